@@ -70,11 +70,11 @@ def movers(lines: DataFrame, chain: DataFrame) -> DataFrame:
         )
         .filter(F.col("pct_change").isNotNull() & F.col("change").isNotNull())
     )
-    order = F.struct("name", "expiry", "strike_price", "lot_size", "tick_size", "underlying_key")
+    # The chain is kept in name order, so the first row of a symbol has its least name.
     names = (
         chain.filter(F.col("asset_symbol").isNotNull())
         .groupBy(F.col("asset_symbol").alias("symbol"))
-        .agg(F.min(order)["name"].alias("name"))
+        .agg(F.min("name").alias("name"))
     )
     return parsed.join(names, "symbol", "left").select(
         F.coalesce("name", "symbol").alias("name"), "symbol", "pct_change", "change", "line_no"

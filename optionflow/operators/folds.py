@@ -131,15 +131,15 @@ def reset_windows(
         if not len(pdf):
             continue
         rows = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-        begin, alert, live = _resets(rows, by, width, threshold)
+        begin, alert, live = resets(rows, by, width, threshold)
         if len(alert):
-            yield _window_rows(rows, begin, alert)
+            yield window_rows(rows, begin, alert)
         held = rows.iloc[live:] if live < len(rows) else None
         if width is None and held is not None:
-            held = _window_rows(rows, np.array([live]), np.array([len(rows) - 1]))
+            held = window_rows(rows, np.array([live]), np.array([len(rows) - 1]))
 
 
-def _resets(rows: pd.DataFrame, by: list[str], width: int | None, threshold: int):
+def resets(rows: pd.DataFrame, by: list[str], width: int | None, threshold: int):
     """First and last row of each alert's window, and the first row still live at the end."""
     n = len(rows)
     first = _starts(rows, by)
@@ -175,7 +175,7 @@ def _resets(rows: pd.DataFrame, by: list[str], width: int | None, threshold: int
     return np.array(begin, dtype="int64"), np.array(alert, dtype="int64"), max(s, last_low)
 
 
-def _window_rows(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+def window_rows(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:
     """One row per window [begin, end]: sums, first and last values."""
     out = rows.iloc[end].copy()
     for c in ("paise", "vol", "n", "buy", "sell"):

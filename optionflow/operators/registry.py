@@ -16,12 +16,12 @@ def history(log: DataFrame, run_date) -> DataFrame:
     """Average alerts and value per trading day of every strike, without the run date.
 
     Days are reduced first, so a busy strike arrives at the second step as one row per day.
-    Rows without a readable date belong to no day and are left out.
+    Rows without a timestamp belong to no day and are left out.
     """
     strike = ["ticker", "strike", "option_type"]
     per_day = (
-        log.withColumn("day", F.try_to_date("timestamp", F.lit(clock.DAY_TIME)))
-        .filter(F.col("day") != F.lit(run_date).cast("date"))
+        log.withColumn("day", F.substring("timestamp", 1, 10))
+        .filter(F.col("day") != F.date_format(F.lit(run_date).cast("date"), clock.DAY))
         .groupBy(*strike, "day")
         .agg(F.count(F.lit(1)).alias("alerts"), F.sum("paise").alias("paise"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, money
+from ..shipping import ship
 from . import folds, ordered
 
 STEP_MS = 500
@@ -34,14 +35,14 @@ def explode_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def _defaults(ticks: DataFrame) -> DataFrame:
+def with_defaults(ticks: DataFrame) -> DataFrame:
     """Absent numbers read as 0, as in the feed's own encoding."""
     zero = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("ltt", "ltq", "vtt", "oi")}
     book = {c: F.coalesce(c, F.lit(0.0)) for c in ("bid_p", "ask_p")}
     return ticks.withColumns({**zero, **book, "arrival_ms": F.coalesce("arrival_ms", "ltt")})
 
 
-def _finish(accepted: DataFrame) -> DataFrame:
+def finish(accepted: DataFrame) -> DataFrame:
     return accepted.filter("qty > 0").select(
         "instrument_key",
         "seq",
@@ -63,10 +64,10 @@ def trades(ticks: DataFrame, assume_monotone: bool = False, chunk_rows: int = CH
     and only positive ones are trades. With `assume_monotone` (time and volume never fall
     along `seq`) the last accepted tick is the previous row and a lag does it.
     """
-    ticks = _defaults(ticks)
+    ticks = with_defaults(ticks)
     if assume_monotone:
-        return _finish(_lag_difference(ticks, chunk_rows))
-    return _finish(_fold_difference(ticks, chunk_rows))
+        return finish(_lag_difference(ticks, chunk_rows))
+    return finish(_fold_difference(ticks, chunk_rows))
 
 
 def _lag_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
@@ -86,6 +87,7 @@ def _lag_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
 def _fold_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
     """Exact for any feed. Three passes: a narrow one that reduces each chunk of a key to one
     row, a scan of those rows that gives each chunk its entry state, and the full one."""
+    ship(ticks.sparkSession)
     by = ["instrument_key", "chunk"]
     chunked = ticks.withColumn("chunk", ordered.row_chunk(F.col("seq"), chunk_rows))
     summaries = (

@@ -1,0 +1,31 @@
+"""Makes this package importable in Python workers that were not started with it."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import SparkSession
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's source to the executors, once per application.
+
+    The same as naming it in `--py-files`; harmless if it was.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="optionflow-"), "optionflow.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
