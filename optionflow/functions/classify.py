@@ -76,7 +76,8 @@ def oi_growth(last_oi: Column, base_oi: Column) -> Column:
 def strike_text(strike: Column) -> Column:
     """Strike as text with its decimal point: 1600.0; also right from 1e7 up, where a
     plain cast switches to exponent form."""
-    return F.when(F.abs(strike) < 1e7, strike.cast("string")).otherwise(F.format_string("%.1f", strike))
+    long_form = F.when(strike.isNotNull(), F.format_string("%.1f", strike))
+    return F.when(F.abs(strike) < 1e7, strike.cast("string")).otherwise(long_form)
 
 
 def reg_key(name: Column, strike: Column, option_type: Column) -> Column:

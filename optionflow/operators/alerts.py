@@ -6,7 +6,6 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..shipping import ship
 from . import folds
 
 # Check instants per time slice of the sliding window (4 hours of half seconds).
@@ -26,7 +25,6 @@ def reset_alerts(buckets: DataFrame, width: int | None, threshold_paise: int) ->
     history whatever its tick volume, which bounds what one key sends to one task; the fold
     itself streams.
     """
-    ship(buckets.sparkSession)
     columns = [c.split()[0] for c in ALERT_COLUMNS.split(", ")]
     fold = partial(folds.reset_windows, by=["instrument_key"], width=width, threshold=threshold_paise)
     return (

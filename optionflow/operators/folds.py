@@ -6,10 +6,15 @@ carries only a bounded state from batch to batch, so no group is ever held in me
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
+
+# Python workers get these functions with the task, so they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _starts(pdf: pd.DataFrame, by: list[str]) -> np.ndarray:
@@ -94,25 +99,27 @@ def enter_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def difference_volume(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Accepted ticks with the quantity since the previous state.
+def difference(rows: pd.DataFrame, by: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Accepted rows with the quantity since the previous state, and the very last state.
 
-    Each (instrument_key, chunk) begins with its entry row (`is_entry`).
+    Each group begins with its starting state, marked `is_entry`.
     """
-    by = ["instrument_key", "chunk"]
+    vtt, ltq = rows["vtt"].to_numpy(), rows["ltq"].to_numpy()
+    taken = np.flatnonzero(accept(_starts(rows, by), rows["ltt"].to_numpy(), vtt))
+    before = vtt[np.concatenate([taken[:1], taken[:-1]])]
+    qty = np.where(before > 0, vtt[taken] - before, ltq[taken])
+    out = rows.iloc[taken].assign(qty=qty)
+    return out[~out["is_entry"].to_numpy(dtype=bool)], rows.iloc[taken[-1:]].assign(is_entry=True)
+
+
+def difference_volume(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """`difference` over the (instrument_key, chunk) groups of a partition."""
     state: pd.DataFrame | None = None
     for pdf in batches:
-        if not len(pdf):
-            continue
-        rows = pdf if state is None else pd.concat([state, pdf], ignore_index=True)
-        first = _starts(rows, by)
-        vtt, ltq = rows["vtt"].to_numpy(), rows["ltq"].to_numpy()
-        taken = np.flatnonzero(accept(first, rows["ltt"].to_numpy(), vtt))
-        before = vtt[np.concatenate([taken[:1], taken[:-1]])]
-        qty = np.where(before > 0, vtt[taken] - before, ltq[taken])
-        out = rows.iloc[taken].assign(qty=qty)
-        state = rows.iloc[taken[-1:]].assign(is_entry=True)
-        yield out[~out["is_entry"]].drop(columns=["is_entry", "chunk", "vtt", "ltq"])
+        if len(pdf):
+            rows = pdf if state is None else pd.concat([state, pdf], ignore_index=True)
+            out, state = difference(rows, ["instrument_key", "chunk"])
+            yield out.drop(columns=["is_entry", "chunk", "vtt", "ltq"])
 
 
 # ---------------------------------------------------------------- reset-on-alert windows
@@ -134,13 +141,16 @@ def reset_windows(
         begin, alert, live = resets(rows, by, width, threshold)
         if len(alert):
             yield window_rows(rows, begin, alert)
-        held = rows.iloc[live:] if live < len(rows) else None
+        # only the last group can go on in the next batch
+        last = np.flatnonzero(_starts(rows, by))[-1]
+        at = last + np.flatnonzero(live[last:])
+        held = rows.iloc[at] if len(at) else None
         if width is None and held is not None:
-            held = window_rows(rows, np.array([live]), np.array([len(rows) - 1]))
+            held = window_rows(rows, at[:1], at[-1:])
 
 
 def resets(rows: pd.DataFrame, by: list[str], width: int | None, threshold: int):
-    """First and last row of each alert's window, and the first row still live at the end."""
+    """First and last row of each alert's window, and which rows stay live after the end."""
     n = len(rows)
     first = _starts(rows, by)
     index = np.arange(n)
@@ -167,12 +177,18 @@ def resets(rows: pd.DataFrame, by: list[str], width: int | None, threshold: int)
         alert.append(j)
         begin.append(max(s, int(low[j])))
         s = j + 1
-    last_low = int(low[n - 1])
+    begin, alert = np.array(begin, dtype="int64"), np.array(alert, dtype="int64")
+
+    # A row is live if nothing in its group alerted at or after it and it is still in the
+    # window at the check after the group's last bucket.
+    group = np.cumsum(first) - 1
+    end = np.append(np.flatnonzero(first)[1:], n) - 1
+    done = np.full(len(end), -1)
+    done[group[alert]] = alert
+    live = index > done[group]
     if width is not None:
-        # the next bucket is at least one instant later, so the oldest one expires
-        b = rows["b"].to_numpy()
-        last_low = max(last_low, int(np.searchsorted(b[last_low:], b[n - 1] + 1 - width, side="right")) + last_low)
-    return np.array(begin, dtype="int64"), np.array(alert, dtype="int64"), max(s, last_low)
+        live &= b > b[end[group]] + 1 - width
+    return begin, alert, live
 
 
 def window_rows(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray) -> pd.DataFrame:

@@ -75,4 +75,4 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
     sends at most n rows per map task.
     """
     w = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("row_no", F.row_number().over(w)).filter(F.col("row_no") <= n)
+    return df.withColumn("row_no", F.row_number().over(w).cast("bigint")).filter(F.col("row_no") <= n)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, money
-from ..shipping import ship
 from . import folds, ordered
 
 STEP_MS = 500
@@ -87,7 +86,6 @@ def _lag_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
 def _fold_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
     """Exact for any feed. Three passes: a narrow one that reduces each chunk of a key to one
     row, a scan of those rows that gives each chunk its entry state, and the full one."""
-    ship(ticks.sparkSession)
     by = ["instrument_key", "chunk"]
     chunked = ticks.withColumn("chunk", ordered.row_chunk(F.col("seq"), chunk_rows))
     summaries = (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, score as points
 from ..operators import alerts as windows, chain as chains, registry, trades as trade_ops
-from .profiles import STEP_MS, Profile
+from .profiles import OI_LOCK, STEP_MS, Profile
 
 
 def detect(trades: DataFrame, profile: Profile) -> DataFrame:
@@ -76,6 +76,7 @@ def scan(
     tz: str = "UTC",
     assume_monotone: bool = False,
     settle: bool = True,
+    lock: str = OI_LOCK,
 ) -> DataFrame:
     """Scored alerts of a whole tick table; `records.alert_records` gives their final layout.
 
@@ -96,7 +97,7 @@ def scan(
         return registry.with_atm_flag(named, chains.atm_keys(strike_table))
     if not profile.score:
         return named
-    base = registry.oi_baseline(ticks, tz=tz)
+    base = registry.oi_baseline(ticks, lock, tz)
     grown = registry.with_oi_growth(named, base, tz)
     registered = registry.register(registry.with_reg_key(grown), tz=tz)
     return score(registered, history if history is not None else _no_history(spark), profile)

@@ -3,8 +3,20 @@
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _struct(text: str, **nested: T.DataType) -> T.StructType:
+    """`name type, name type, ...`; usable before a session exists."""
+    fields = [column.split() for column in text.split(", ")]
+    return T.StructType([T.StructField(n, nested.get(t) or _TYPES[t]) for n, t in fields])
 
 
 INSTRUMENT_MASTER = _struct(
@@ -28,10 +40,10 @@ STRIKE_TABLE = _struct(
 )
 
 # One feed message: instrument key -> feed. `first_level` is null for the other feed variants.
-FEED = _struct(
-    "first_level struct<ltpc: struct<ltp: double, ltt: bigint, ltq: bigint>, "
-    "first_depth: struct<bid_p: double, ask_p: double>, vtt: bigint, oi: bigint>"
-)
+_LTPC = _struct("ltp double, ltt bigint, ltq bigint")
+_DEPTH = _struct("bid_p double, ask_p double")
+_FIRST_LEVEL = _struct("ltpc ltpc, first_depth depth, vtt bigint, oi bigint", ltpc=_LTPC, depth=_DEPTH)
+FEED = _struct("first_level level", level=_FIRST_LEVEL)
 TICK_MESSAGE = T.StructType(
     [
         T.StructField("seq", T.LongType()),

@@ -7,43 +7,45 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import classify, clock
 from ..operators import alerts as windows, board, trades as trade_ops
 from ..plans.profiles import OI_LOCK, STEP_MS, Profile
-from ..shipping import ship
 from . import processors
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# State is kept per shard of keys. The number must not change over a checkpoint's life.
+SHARDS = 512
+
+
+def _sharded(rows: DataFrame, key: str, shards: int):
+    return rows.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards))).groupBy("shard")
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """State on local disk with checkpointed deltas instead of the executor heap."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def dedup_ticks(ticks: DataFrame) -> DataFrame:
+def dedup_ticks(ticks: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Tick stream -> trade stream."""
-    ship(ticks.sparkSession)
-    accepted = (
-        trade_ops.with_defaults(ticks)
-        .groupBy("instrument_key")
-        .transformWithStateInPandas(
-            processors.TickDedup(), trade_ops.TRADE_COLUMNS, outputMode="Append", timeMode="None"
-        )
+    fold = processors.TickDedup(processors.names(trade_ops.TRADE_COLUMNS))
+    accepted = _sharded(trade_ops.with_defaults(ticks), "instrument_key", shards).transformWithStateInPandas(
+        fold, trade_ops.TRADE_COLUMNS, outputMode="Append", timeMode="None"
     )
     return trade_ops.finish(accepted)
 
 
-def latch_oi(ticks: DataFrame, lock: str = OI_LOCK, tz: str = "UTC") -> DataFrame:
-    ship(ticks.sparkSession)
+def latch_oi(ticks: DataFrame, lock: str = OI_LOCK, tz: str = "UTC", shards: int = SHARDS) -> DataFrame:
     at = F.col("arrival_ms")
-    return (
+    late = (
         trade_ops.with_defaults(ticks)
         .filter((F.col("oi") > 0) & clock.at_or_after(at, lock, tz))
-        .groupBy("instrument_key", clock.trade_date(at, tz).alias("trade_date"))
-        .transformWithStateInPandas(
-            processors.OiLatch(),
-            "instrument_key string, trade_date date, base_oi bigint, locked_ms bigint",
-            outputMode="Append",
-            timeMode="None",
-        )
+        .select("instrument_key", clock.trade_date(at, tz).alias("trade_date"), "seq", "oi", "arrival_ms")
+    )
+    return _sharded(late, "instrument_key", shards).transformWithStateInPandas(
+        processors.OiLatch(),
+        "instrument_key string, trade_date date, base_oi bigint, locked_ms bigint",
+        outputMode="Append",
+        timeMode="None",
     )
 
 
@@ -52,16 +54,18 @@ def _timed(trades: DataFrame, clock_col: str, lateness: str) -> DataFrame:
     return trades.withColumn("ts", F.timestamp_millis(F.col(clock_col))).withWatermark("ts", lateness)
 
 
-def reset_alerts(trades: DataFrame, profile: Profile, lateness: str | None = None) -> DataFrame:
+def reset_alerts(
+    trades: DataFrame, profile: Profile, lateness: str | None = None, shards: int = SHARDS
+) -> DataFrame:
     """Reset-on-alert windows (value bars without a window) on a trade stream."""
-    ship(trades.sparkSession)
     lateness = lateness or f"{profile.window_s or 5} seconds"
     fold = processors.ResetWindow(profile.width, profile.threshold_paise, STEP_MS)
-    found = (
+    timed = (
         _timed(trades.withColumn("at", F.col(profile.clock)), profile.clock, lateness)
-        .select("instrument_key", "ts", *processors.TRADE_STATE_COLUMNS)
-        .groupBy("instrument_key")
-        .transformWithStateInPandas(fold, windows.ALERT_COLUMNS, outputMode="Append", timeMode="EventTime")
+        .select("ts", *processors.names(processors.TRADE_STATE))
+    )
+    found = _sharded(timed, "instrument_key", shards).transformWithStateInPandas(
+        fold, windows.ALERT_COLUMNS, outputMode="Append", timeMode="EventTime"
     )
     return found.withColumn("alert_ms", F.col("b") * STEP_MS)
 
@@ -85,15 +89,10 @@ def sliding_bursts(trades: DataFrame, profile: Profile, lateness: str | None = N
     )
 
 
-def heat_scores(alerts: DataFrame, tick_ms: int = 1000) -> DataFrame:
+def heat_scores(alerts: DataFrame, tick_ms: int = 1000, shards: int = SHARDS) -> DataFrame:
     """Alert stream -> score per touched ticker as of its latest alert."""
-    ship(alerts.sparkSession)
     fold = processors.HeatScore(board.DECAY, tick_ms)
-    return (
-        alerts.withColumn("points", board.alert_points(F.col("paise")))
-        .select("ticker", "alert_ms", "seq", "points")
-        .groupBy("ticker")
-        .transformWithStateInPandas(
-            fold, "ticker string, heat double, at_tick bigint", outputMode="Update", timeMode="None"
-        )
+    scored = alerts.select("ticker", "alert_ms", "seq", board.alert_points(F.col("paise")).alias("points"))
+    return _sharded(scored, "ticker", shards).transformWithStateInPandas(
+        fold, processors.HEAT_STATE, outputMode="Update", timeMode="None"
     )

@@ -1,47 +1,95 @@
-"""Per-key state machines for Structured Streaming.
+"""State machines for Structured Streaming.
 
-They hold a bounded state per key and reuse the batch kernels, so a stream gives what the
-batch operators give on the same rows.
+Keys are grouped into shards by hash. A shard's state is a short table with a few rows per
+key, read and written once per micro-batch, and the batch kernels run over all of its keys
+at once; a call to the state store per key would cost far more than the work itself. The
+kernels are those of the batch operators, so a stream gives what they give.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators import folds
+from ..operators.folds import difference, resets, window_rows
 
+# Python workers get these classes with the task, so they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+LAST_STATE = "instrument_key string, ltt bigint, vtt bigint"
+LATCH_STATE = "instrument_key string, trade_date date"
 BUCKET_STATE = (
-    "b bigint, paise bigint, vol bigint, n bigint, first_price double, last_price double, "
-    "first_oi bigint, last_oi bigint, last_ms bigint, buy bigint, sell bigint"
+    "instrument_key string, b bigint, paise bigint, vol bigint, n bigint, first_price double, "
+    "last_price double, first_oi bigint, last_oi bigint, last_ms bigint, buy bigint, sell bigint"
+)
+TRADE_STATE = (
+    "instrument_key string, seq bigint, at bigint, ltt bigint, price double, qty bigint, "
+    "paise bigint, oi bigint, side string"
 )
-BUCKET_COLUMNS = [c.split()[0] for c in BUCKET_STATE.split(", ")]
-TRADE_STATE = "seq bigint, at bigint, ltt bigint, price double, qty bigint, paise bigint, oi bigint, side string"
-TRADE_STATE_COLUMNS = [c.split()[0] for c in TRADE_STATE.split(", ")]
+HEAT_STATE = "ticker string, heat double, at_tick bigint"
+
+
+def names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+class Table:
+    """A list state seen as a frame."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: str) -> None:
+        self.columns = names(schema)
+        self.state = handle.getListState(name, schema)
+
+    def read(self) -> pd.DataFrame:
+        return pd.DataFrame(list(self.state.get()), columns=self.columns)
+
+    def append(self, rows: pd.DataFrame) -> None:
+        if len(rows):
+            self.state.appendList(self._tuples(rows))
+
+    def write(self, rows: pd.DataFrame) -> None:
+        if len(rows):
+            self.state.put(self._tuples(rows))
+        else:
+            self.state.clear()
+
+    def _tuples(self, rows: pd.DataFrame) -> list[tuple]:
+        return list(zip(*[rows[c].tolist() for c in self.columns]))
+
+
+def stacked(*frames: pd.DataFrame) -> pd.DataFrame:
+    kept = [f for f in frames if len(f)]
+    return pd.concat(kept, ignore_index=True) if kept else frames[0]
 
 
 class TickDedup(StatefulProcessor):
     """Ticks -> trades; keeps the last accepted (time, volume) per instrument."""
 
+    def __init__(self, columns: list[str]) -> None:
+        self.out = columns
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "ltt bigint, vtt bigint")
+        self.last = Table(handle, "last", LAST_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ticks = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-        ltt, vtt = self.last.get() if self.last.exists() else (0, 0)
-        time = np.concatenate([[ltt], ticks["ltt"].to_numpy()])
-        volume = np.concatenate([[vtt], ticks["vtt"].to_numpy()])
-        first = np.zeros(len(time), dtype=bool)
-        first[0] = True
-        taken = np.flatnonzero(folds.accept(first, time, volume))
-        self.last.update((int(time[taken[-1]]), int(volume[taken[-1]])))
-        now, before = taken[1:], taken[:-1]
-        out = ticks.iloc[now - 1]
-        qty = np.where(volume[before] > 0, volume[now] - volume[before], out["ltq"].to_numpy())
-        yield out.assign(qty=qty.astype("int64")).drop(columns=["vtt", "ltq"])
+        ticks = pd.concat(list(rows), ignore_index=True).assign(is_entry=False)
+        known = self.last.read()
+        fresh = ticks.loc[~ticks["instrument_key"].isin(known["instrument_key"]), ["instrument_key"]].drop_duplicates()
+        entries = stacked(known, fresh.assign(ltt=0, vtt=0)).assign(is_entry=True)
+        entries = entries.reindex(columns=ticks.columns, fill_value=0)
+        by = ["instrument_key"]
+        rows = stacked(entries, ticks).sort_values(
+            [*by, "is_entry", "seq"], ascending=[True, False, True], ignore_index=True
+        )
+        accepted, _ = difference(rows, by)
+        last = stacked(entries, accepted).drop_duplicates("instrument_key", keep="last")
+        self.last.write(last)
+        yield accepted[self.out]
 
     def close(self) -> None:
         pass
@@ -51,31 +99,27 @@ class OiLatch(StatefulProcessor):
     """First positive open interest at or after the lock time, once per key and trade date."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.locked = handle.getValueState("locked", "base_oi bigint, locked_ms bigint")
+        self.locked = Table(handle, "locked", LATCH_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ticks = pd.concat(list(rows), ignore_index=True)
-        if not self.locked.exists():
-            first = ticks.loc[ticks["seq"].idxmin()]
-            self.locked.update((int(first["oi"]), int(first["arrival_ms"])))
-            yield pd.DataFrame(
-                {
-                    "instrument_key": [key[0]],
-                    "trade_date": [key[1]],
-                    "base_oi": [int(first["oi"])],
-                    "locked_ms": [int(first["arrival_ms"])],
-                }
-            )
+        by = ["instrument_key", "trade_date"]
+        ticks = pd.concat(list(rows), ignore_index=True).sort_values("seq").drop_duplicates(by)
+        known = self.locked.read()
+        new = ticks.merge(known.assign(known=1), on=by, how="left")
+        new = new[new["known"].isna()].drop(columns="known")
+        both = stacked(known, new[by])
+        self.locked.write(both[both["trade_date"] >= both["trade_date"].max() - pd.Timedelta(days=1)])
+        yield new.rename(columns={"oi": "base_oi", "arrival_ms": "locked_ms"})[[*by, "base_oi", "locked_ms"]]
 
     def close(self) -> None:
         pass
 
 
 def bucket_frame(trades: pd.DataFrame, step_ms: int) -> pd.DataFrame:
-    """Trades of one key reduced to buckets, as the batch aggregation does."""
+    """Trades reduced to buckets, as the batch aggregation does."""
     t = trades.sort_values("seq")
     t = t.assign(b=t["at"] // step_ms + 1, buy=np.where(t["side"] == "BUY", t["qty"], 0))
-    g = t.groupby("b", sort=True)
+    g = t.groupby(["instrument_key", "b"], sort=True)
     out = g.agg(
         paise=("paise", "sum"),
         vol=("qty", "sum"),
@@ -87,16 +131,15 @@ def bucket_frame(trades: pd.DataFrame, step_ms: int) -> pd.DataFrame:
         last_ms=("ltt", "last"),
         buy=("buy", "sum"),
     ).reset_index()
-    out["sell"] = out["vol"] - out["buy"]
-    return out[BUCKET_COLUMNS]
+    return out.assign(sell=out["vol"] - out["buy"])[names(BUCKET_STATE)]
 
 
 class ResetWindow(StatefulProcessor):
     """Reset-on-alert windows and value bars on event time.
 
     Trades wait until the watermark has passed their check instant, so a bucket is judged
-    once and whole, whatever the micro-batches were. State per key: the waiting trades, the
-    live buckets of one window, and one alarm.
+    once and whole, whatever the micro-batches were. State: the waiting trades, the live
+    buckets of one window per instrument, and one alarm.
     """
 
     def __init__(self, width: int | None, threshold_paise: int, step_ms: int) -> None:
@@ -104,17 +147,17 @@ class ResetWindow(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", TRADE_STATE)
-        self.live = handle.getListState("live", BUCKET_STATE)
+        self.waiting = Table(handle, "waiting", TRADE_STATE)
+        self.live = Table(handle, "live", BUCKET_STATE)
         self.alarm = handle.getValueState("alarm", "at_ms bigint")
 
-    def _waiting(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.waiting.get()), columns=TRADE_STATE_COLUMNS)
+    def _check_ms(self, trades: pd.DataFrame) -> pd.Series:
+        return (trades["at"] // self.step_ms + 1) * self.step_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows), ignore_index=True)
-        self.waiting.appendList(list(new[TRADE_STATE_COLUMNS].itertuples(index=False, name=None)))
-        self._set_alarm(int((new["at"].min() // self.step_ms + 1) * self.step_ms))
+        self.waiting.append(new)
+        self._set_alarm(int(self._check_ms(new).min()))
         yield from ()
 
     def _set_alarm(self, at_ms: int) -> None:
@@ -128,29 +171,31 @@ class ResetWindow(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.alarm.clear()
-        now = timerValues.getCurrentWatermarkInMs()
-        trades = self._waiting()
-        due = (trades["at"] // self.step_ms + 1) * self.step_ms <= now
-        rest = trades[~due]
-        self.waiting.clear()
-        if len(rest):
-            self.waiting.put(list(rest[TRADE_STATE_COLUMNS].itertuples(index=False, name=None)))
-            self._set_alarm(int((rest["at"].min() // self.step_ms + 1) * self.step_ms))
-        buckets = bucket_frame(trades[due], self.step_ms)
-        if not len(buckets):
-            return
-        held = pd.DataFrame(list(self.live.get()), columns=BUCKET_COLUMNS)
-        rows = pd.concat([held, buckets], ignore_index=True) if len(held) else buckets
-        rows = rows.assign(instrument_key=key[0])
-        begin, alert, live = folds.resets(rows, ["instrument_key"], self.width, self.threshold)
-        keep = rows.iloc[live:]
+        trades = self.waiting.read()
+        check = self._check_ms(trades)
+        due = check <= timerValues.getCurrentWatermarkInMs()
+        self.waiting.write(trades[~due])
+        if not due.all():
+            self._set_alarm(int(check[~due].min()))
+        if due.any():
+            yield self._judge(bucket_frame(trades[due], self.step_ms))
+
+    def _judge(self, buckets: pd.DataFrame) -> pd.DataFrame:
+        """Alerts of new buckets; keeps what stays live of each instrument."""
+        held = self.live.read()
+        busy = held["instrument_key"].isin(buckets["instrument_key"])
+        by = ["instrument_key"]
+        rows = stacked(held[busy], buckets).sort_values([*by, "b"], ignore_index=True)
+        begin, alert, live = resets(rows, by, self.width, self.threshold)
+        keep = rows[live]
         if self.width is None and len(keep):
-            keep = folds.window_rows(rows, np.array([live]), np.array([len(rows) - 1]))
-        self.live.clear()
-        if len(keep):
-            self.live.put(list(keep[BUCKET_COLUMNS].itertuples(index=False, name=None)))
-        if len(alert):
-            yield folds.window_rows(rows, begin, alert)[["instrument_key", *BUCKET_COLUMNS]]
+            at = np.flatnonzero(live)
+            key = keep["instrument_key"].to_numpy()
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            end = np.concatenate([start[1:], [len(at)]]) - 1
+            keep = window_rows(rows, at[start], at[end])
+        self.live.write(stacked(held[~busy], keep))
+        return window_rows(rows, begin, alert)[names(BUCKET_STATE)]
 
     def close(self) -> None:
         pass
@@ -166,16 +211,18 @@ class HeatScore(StatefulProcessor):
         self.decay, self.tick_ms = decay, tick_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.score = handle.getValueState("score", "heat double, at_tick bigint")
+        self.scores = Table(handle, "scores", HEAT_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         alerts = pd.concat(list(rows), ignore_index=True).sort_values(["alert_ms", "seq"])
-        heat, at = self.score.get() if self.score.exists() else (0.0, 0)
-        for ms, points in zip(alerts["alert_ms"], alerts["points"]):
+        scores = {t: (h, a) for t, h, a in self.scores.read().itertuples(index=False, name=None)}
+        for ticker, ms, points in zip(alerts["ticker"], alerts["alert_ms"], alerts["points"]):
+            heat, at = scores.get(ticker, (0.0, 0))
             tick = int(ms) // self.tick_ms
-            heat, at = self.cooled(heat, max(tick - at, 0)) + float(points), max(at, tick)
-        self.score.update((heat, at))
-        yield pd.DataFrame({"ticker": [key[0]], "heat": [heat], "at_tick": [at]})
+            scores[ticker] = (self.cooled(heat, max(tick - at, 0)) + float(points), max(at, tick))
+        table = pd.DataFrame([(t, h, a) for t, (h, a) in scores.items()], columns=names(HEAT_STATE))
+        self.scores.write(table)
+        yield table[table["ticker"].isin(alerts["ticker"])]
 
     def cooled(self, heat: float, ticks: int) -> float:
         heat *= self.decay**ticks
