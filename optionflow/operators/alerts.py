@@ -54,10 +54,15 @@ def sliding_alerts(
     later = F.floor((F.col("b") + reach - 1) / slice_steps).cast("bigint")
     sliced = buckets.withColumn("slice", F.explode(F.sequence(own, later)))
 
-    # A bucket answers for the instants up to the next bucket, at most `width` of them.
+    # A window's value only falls until the next bucket comes, so a bucket whose own instant
+    # is below the threshold needs no others; the rest answer for the instants up to the
+    # next bucket, at most `width` of them.
     per_slice = W.partitionBy("instrument_key", "slice").orderBy("b")
+    value = F.sum("paise").over(per_slice.rangeBetween(-(width - 1), 0))
     until = F.least(F.lead("b").over(per_slice) - 1, F.col("b") + width - 1)
-    grid = sliced.withColumn("until", until).withColumn("instant", F.explode(F.sequence("b", "until")))
+    grid = sliced.withColumn(
+        "until", F.when(value >= threshold_paise, until).otherwise(F.col("b"))
+    ).withColumn("instant", F.explode(F.sequence("b", "until")))
     here = F.col("instant") == F.col("b")
     amounts = ["paise", "vol", "n", "buy", "sell"]
     edges = ["first_price", "last_price", "first_oi", "last_oi", "last_ms"]
@@ -92,20 +97,20 @@ def sliding_alerts(
 
 
 def windowed_bursts(trades: DataFrame, window_s: float, step_ms: int, threshold_paise: int) -> DataFrame:
-    """The sliding window as Spark's own time window; also runs on streams.
+    """The sliding window as Spark's own time windows over `ts`; also runs on streams.
 
-    Each trade is first reduced to its bucket's window set by the map-side combine.
+    Trades are first summed into windows of one step. Only those sums, not the trades, are
+    copied into each of the overlapping long windows.
     """
     buy = F.when(F.col("side") == "BUY", F.col("qty")).otherwise(0)
-    window = F.window("ts", f"{int(window_s * 1000)} milliseconds", f"{step_ms} milliseconds")
-    return (
-        trades.groupBy("instrument_key", window.alias("w"))
-        .agg(
-            F.sum("paise").alias("paise"),
-            F.sum("qty").alias("vol"),
-            F.count(F.lit(1)).alias("n"),
-            F.sum(buy).alias("buy"),
-            F.sum(F.col("qty") - buy).alias("sell"),
-        )
-        .filter(F.col("paise") >= threshold_paise)
+    step = F.window("ts", f"{step_ms} milliseconds")
+    steps = trades.groupBy("instrument_key", step.alias("step")).agg(
+        F.sum("paise").alias("paise"),
+        F.sum("qty").alias("vol"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(buy).alias("buy"),
+        F.sum(F.col("qty") - buy).alias("sell"),
     )
+    long = F.window(F.window_time("step"), f"{int(window_s * 1000)} milliseconds", f"{step_ms} milliseconds")
+    sums = [F.sum(c).alias(c) for c in ("paise", "vol", "n", "buy", "sell")]
+    return steps.groupBy("instrument_key", long.alias("w")).agg(*sums).filter(F.col("paise") >= threshold_paise)

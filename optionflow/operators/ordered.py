@@ -36,9 +36,8 @@ def running(
     """
     sums, previous = sums or {}, previous or {}
     keys = list(keys)
-    base = df.withColumn(CHUNK, chunk)
-    for name, col in {**sums, **previous}.items():
-        base = base.withColumn(f"__in_{name}", col)
+    inputs = {f"__in_{name}": col for name, col in {**sums, **previous}.items()}
+    base = df.withColumns({CHUNK: chunk, **inputs})
     partials = [F.sum(f"__in_{n}").alias(f"__sum_{n}") for n in sums]
     partials += [F.max_by(f"__in_{n}", order[0]).alias(f"__last_{n}") for n in previous]
     summary = base.groupBy(*keys, CHUNK).agg(*partials)
@@ -55,7 +54,7 @@ def running(
     within = W.partitionBy(*keys, CHUNK).orderBy(*order)
     upto = within.rowsBetween(W.unboundedPreceding, 0)
     joined = base.join(carry, [*keys, CHUNK])
-    out = joined.select(
+    return joined.select(
         *df.columns,
         *[(F.sum(f"__in_{n}").over(upto) + F.col(f"__carry_{n}")).alias(n) for n in sums],
         *[
@@ -65,7 +64,6 @@ def running(
             for n in previous
         ],
     )
-    return out
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:

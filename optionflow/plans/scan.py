@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, score as points
 from ..operators import alerts as windows, chain as chains, registry, trades as trade_ops
+from ..workspace import settled
 from .profiles import OI_LOCK, STEP_MS, Profile
 
 
@@ -81,13 +82,13 @@ def scan(
     """Scored alerts of a whole tick table; `records.alert_records` gives their final layout.
 
     The detected alerts feed the registry three times, so with `settle` they are written
-    once to the session's checkpoint folder when it has one.
+    once to the session's shared folder.
     """
     spark = ticks.sparkSession
     trades = trade_ops.trades(ticks, assume_monotone)
     found = categorise(detect(trades, profile), profile)
-    if settle and profile.score and spark.sparkContext.getCheckpointDir():
-        found = found.checkpoint()
+    if settle and profile.score:
+        found = settled(found)
     keys = chains.active_keys(strike_table) if strike_table is not None else None
     dim = chains.instrument_dim(chain, keys, calls_first=profile.name == "sliding")
     named = registry.with_instrument(found, dim)

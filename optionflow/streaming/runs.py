@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..workspace import shared_folder
+
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below the session's shared checkpoint folder; a machine-local one only
-    where the session names none (tests)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{shared or tempfile.mkdtemp(prefix='optionflow-')}/run-{uuid.uuid4().hex}"
+    """Folder for a stream's input copies, checkpoint and output; it has to be shared."""
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    return folder
 
 
 def batch_writer(path: str):
