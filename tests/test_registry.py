@@ -1,0 +1,117 @@
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from optionflow.operators import board, ordered, registry
+
+from . import model
+
+DAY = 86_400_000
+
+
+@pytest.mark.parametrize("chunk_ms", [1, 5_000, 60_000, 10**9])
+def test_registry_equals_the_model(spark, chunk_ms):
+    rng = random.Random(chunk_ms)
+    rows = [
+        ("hot" if rng.random() < 0.5 else f"r{rng.randrange(3)}", rng.randrange(60) * 500, tie, rng.randrange(1, 99))
+        for tie in range(120)
+    ]
+    second_day = [(k, ms + DAY, tie + 1000, p) for k, ms, tie, p in rows[:30]]
+    df = spark.createDataFrame(rows + second_day, "reg_key string, alert_ms bigint, seq bigint, paise bigint")
+    out = registry.register(df, tie=("seq",), chunk_ms=chunk_ms).collect()
+    got = sorted(
+        (r.reg_key, r.seq, r.alert_count, r.cumulative_paise, r.minutes_active, r.first_gap, r.last_gap) for r in out
+    )
+    assert got == sorted(model.registry(rows) + model.registry(second_day))
+
+
+def test_running_equals_the_plain_window(spark):
+    rng = random.Random(7)
+    rows = [("hot" if rng.random() < 0.6 else "k", i, rng.randrange(50)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, seq bigint, v bigint")
+    plain = {}
+    for k, seq, v in rows:
+        total, last = plain.get(k, [(0, None, None, None)])[-1][:2] if k in plain else (0, None)
+        plain.setdefault(k, []).append((total + v, v, seq, last))
+    want = sorted((k, s, t, p) for k, rs in plain.items() for t, _, s, p in rs)
+    for chunk in (1, 9, 64, 1000):
+        out = ordered.running(
+            df, ["k"], ["seq"], ordered.row_chunk(F.col("seq"), chunk), {"total": F.col("v")}, {"before": F.col("v")}
+        )
+        assert sorted((r.k, r.seq, r.total, r.before) for r in out.collect()) == want
+
+
+def test_history_without_today_and_undated(spark):
+    log = [
+        ("29/01/2024 10:00:00", "A", "1.0", "CE", 100),
+        ("29/01/2024 11:00:00", "A", "1.0", "CE", 200),
+        ("28/01/2024 11:00:00", "A", "1.0", "CE", 300),
+        ("30/01/2024 11:00:00", "A", "1.0", "CE", 999),
+        ("30/01/2024 11:00:00", "B", "1.0", "CE", 999),
+        (None, "A", "1.0", "CE", 999),
+    ]
+    df = spark.createDataFrame(log, "timestamp string, ticker string, strike string, option_type string, paise bigint")
+    assert [tuple(r) for r in registry.history(df, date(2024, 1, 30)).collect()] == [("A-1.0-CE", 1.5, 300.0, 2)]
+
+
+def test_oi_baseline_latches_once_and_only_after_the_lock(spark):
+    lock = 9 * 3_600_000 + 30 * 60_000
+    rows = [
+        ("k", 1, lock - 1, 50),
+        ("k", 2, lock, 0),
+        ("k", 3, lock + 5, 100),
+        ("k", 4, lock + 6, 200),
+        ("k", 5, DAY + lock, 300),
+    ]
+    ticks = spark.createDataFrame(rows, "instrument_key string, seq bigint, arrival_ms bigint, oi bigint")
+    base = registry.oi_baseline(ticks)
+    got = sorted((r.trade_date, r.base_oi, r.locked_ms) for r in base.collect())
+    assert got == [(date(1970, 1, 1), 100, lock + 5), (date(1970, 1, 2), 300, DAY + lock)]
+    alerts = [("k", lock + 4, 150), ("k", lock + 5, 150), ("k", DAY + lock + 1, 150), ("z", lock + 9, 150)]
+    df = spark.createDataFrame(alerts, "instrument_key string, alert_ms bigint, last_oi bigint")
+    out = registry.with_oi_growth(df, base)
+    assert sorted((r.instrument_key, r.alert_ms, r.oi_growth) for r in out.collect()) == [
+        ("k", lock + 4, 0.0),
+        ("k", lock + 5, 50.0),
+        ("k", DAY + lock + 1, -50.0),
+        ("z", lock + 9, 0.0),
+    ]
+
+
+def test_unknown_instrument_and_atm_flag(spark):
+    alerts = spark.createDataFrame([("a",), ("b",), ("z",)], "instrument_key string")
+    dim = spark.createDataFrame([("a", "A", 10.0, "CE"), ("b", "A", 10.0, "PE")], "instrument_key string, name string, strike double, type string")
+    named = registry.with_instrument(alerts, dim)
+    assert sorted(map(tuple, named.collect())) == [("a", "A", "10.0", "CE"), ("b", "A", "10.0", "PE"), ("z", "z", "", "")]
+    atm = spark.createDataFrame([("A", "a", None)], "name string, atm_ce string, atm_pe string")
+    flags = {r.instrument_key: r.is_atm for r in registry.with_atm_flag(named, atm).collect()}
+    assert flags == {"a": True, "b": False, "z": False}
+
+
+def test_heat_decays_and_flags(spark):
+    rows = [("A", 0, 10_000_000), ("A", 10_000, 10**12), ("B", 5_500, 0), ("C", 99_999, 1)]
+    df = spark.createDataFrame(rows, "ticker string, alert_ms bigint, paise bigint")
+    out = {r.ticker: r for r in board.heat(df, 10_000).collect()}
+    assert set(out) == {"A", "B"}  # C comes later
+    assert out["A"].heat == pytest.approx(101 * 0.98**10 + 150) and out["A"].is_hot
+    assert out["B"].heat == pytest.approx(100 * 0.98**4) and not out["B"].is_hot
+    assert [r.ticker for r in board.leaderboard(board.heat(df, 10_000)).collect()] == ["A", "B"]
+
+
+def test_recent_keeps_the_newest_per_side(spark):
+    rows = [("A", "CE" if i % 2 else "pe", i * 10, i, 50_000_001) for i in range(10)]
+    df = spark.createDataFrame(rows, "ticker string, option_type string, alert_ms bigint, seq bigint, paise bigint")
+    out = board.recent(df, 2).orderBy("side", "row_no").collect()
+    assert [(r.side, r.row_no, r.seq) for r in out] == [("ce", 1, 9), ("ce", 2, 7), ("pe", 1, 8), ("pe", 2, 6)]
+    assert all(r.is_whale and r.value_text == "5.0L" for r in out)
+
+
+def test_movers_skip_malformed_lines(spark):
+    lines = ["=== header ===", "AA | 1%", "BB | n/a | 1", "CC  |  2.50%  |  27.30", "DD|9%|1", " EE | 2.5 | x", "FF | 2.5% | -1 | more"]
+    df = spark.createDataFrame(list(enumerate(lines)), "line_no bigint, line string")
+    chain = spark.createDataFrame([("Z Corp", "CC"), ("C Corp", "CC"), ("F Corp", "FF")], "name string, asset_symbol string")
+    out = board.sorted_movers(board.movers(df, chain)).collect()
+    got = [(r.name, r.symbol, r.pct_change, r.change) for r in out]
+    assert got == [("DD", "DD", 9.0, 1.0), ("C Corp", "CC", 2.5, 27.3), ("F Corp", "FF", 2.5, -1.0)]
