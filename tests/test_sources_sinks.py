@@ -1,0 +1,128 @@
+import gzip
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from optionflow.operators import chain as chains, records
+from optionflow.plans import profiles as P
+from optionflow.sources import readers, schemas, sinks
+
+EXPIRY = datetime(2026, 2, 24, 18, 29, 59)
+
+
+def chain_row(name, strike, key):
+    return (name, f"S{name}", EXPIRY, f"c{key}", strike, None, 25, 5.0, f"NSE_EQ|{name}")
+
+
+def test_master_json_plain_and_gzipped(spark, tmp_path):
+    rows = [
+        {"segment": "NSE_FO", "name": "A", "expiry": 1771957799000, "instrument_type": "CE", "asset_symbol": "SA",
+         "instrument_key": f"k{i}", "strike_price": 100.0 + i, "lot_size": 5, "tick_size": 5.0,
+         "underlying_key": "u", "other": {"x": 1}}
+        for i in range(3)
+    ]
+    (tmp_path / "m.json").write_text(json.dumps(rows))
+    with gzip.open(tmp_path / "m.json.gz", "wt") as f:
+        json.dump(rows, f)
+    for name in ("m.json", "m.json.gz"):
+        master = readers.instrument_master(spark, str(tmp_path / name))
+        assert [r.instrument_key for r in master.orderBy("seq").collect()] == ["k0", "k1", "k2"]
+        assert chains.option_chain(master, EXPIRY).count() == 3
+
+
+def test_chain_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([chain_row("A", 100.0, 1), chain_row("B", 90.5, 2)], schemas.OPTION_CHAIN)
+    sinks.write_csv(df, str(tmp_path / "chain"))
+    back = readers.option_chain(spark, str(tmp_path / "chain"))
+    assert sorted(back.collect()) == sorted(df.collect()) and back.schema == df.schema
+    sinks.write_snapshot(df, str(tmp_path / "snap"))
+    assert sorted(readers.option_chain(spark, str(tmp_path / "snap"), "parquet").collect()) == sorted(df.collect())
+
+
+def test_value_lists_keep_first_appearance(spark, tmp_path):
+    rows = [chain_row("B", 1.0, 1), chain_row("A", 2.0, 2), chain_row("A", 1.0, 3)]
+    sinks.write_list(spark.createDataFrame(rows, schemas.OPTION_CHAIN), "underlying_key", str(tmp_path / "l"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "l")).collect()] == ["NSE_EQ|A", "NSE_EQ|B"]
+
+
+def test_missing_strike_table_is_empty(spark, tmp_path):
+    assert readers.strike_table(spark, str(tmp_path / "none"), missing_ok=True).count() == 0
+    with pytest.raises(Exception):
+        readers.strike_table(spark, str(tmp_path / "none"))
+
+
+def scored(spark, n=3):
+    rows = [(f"k{i}", "A", "10.0", "CE", 1_234_567 + i, 7, 3, 10.0, 10.254, 100, 90 + i, 5_000, 6_000, i + 1, 2.26,
+             33.349, 9_999_999, 101 + i, "HIGH_CONVICTION" if i else "NOISE", "BUY_SCRAPE", 4.25, 66.66, "X", True)
+            for i in range(n)]
+    schema = (
+        "instrument_key string, ticker string, strike string, option_type string, paise bigint, vol bigint, n bigint, "
+        "first_price double, last_price double, first_oi bigint, last_oi bigint, last_ms bigint, alert_ms bigint, "
+        "alert_count bigint, minutes_active double, oi_growth double, cumulative_paise bigint, conviction int, "
+        "conviction_label string, side string, acceleration double, delta_pct double, category string, is_atm boolean"
+    )
+    return spark.createDataFrame(rows, schema)
+
+
+def test_record_layouts(spark):
+    first = lambda p: records.alert_records(scored(spark, 1), p).first().asDict()
+    assert first(P.ARRIVAL) == {
+        "timestamp": "00:00:06", "ticker": "A", "strike": "10.0", "option_type": "CE", "value": 12345.67,
+        "ltp": 10.254, "oi": 90, "category": "X", "is_atm": True,
+    }
+    bars = first(P.BARS)
+    assert bars["timestamp"] == "Jan 01 00:00:05" and bars["avg_trade_size"] == 4115.0
+    assert (bars["ltp"], bars["ltp_change"], bars["oi_change"], bars["volume"]) == (10.25, 0.25, -10.0, 7.0)
+    day = first(P.RESET)
+    assert day["timestamp"] == "01/01/1970 00:00:05" and day["cumulative_value"] == 99999.99
+    assert (day["alert_count"], day["time_active_minutes"], day["oi_growth_from_open"]) == (1, 2.3, 33.3)
+    flow = first(P.SLIDING)
+    assert (flow["side"], flow["acceleration"], flow["delta_pct"]) == ("BUY_SCRAPE", 4.2, 66.7)
+    for p in P.PROFILES.values():
+        built = records.alert_records(scored(spark, 1), p)
+        assert built.schema.simpleString() == schemas.ALERT_MESSAGE[p.name].simpleString()
+
+
+@pytest.mark.parametrize("name", list(P.PROFILES))
+def test_message_round_trip_and_quarantine(spark, name):
+    built = records.alert_records(scored(spark), P.PROFILES[name])
+    lines = records.to_messages(built).union(spark.createDataFrame([("not json",), ('{"value": [}',)], "value string"))
+    good, bad = records.from_messages(lines, P.PROFILES[name])
+    assert sorted(good.collect()) == sorted(built.collect())
+    assert bad.count() == 2
+
+
+def test_log_append_is_idempotent_and_schema_evolves(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for p, batch in ((P.BARS, 0), (P.SLIDING, 1), (P.SLIDING, 1)):
+        rows = records.log_rows(records.alert_records(scored(spark), p), p)
+        sinks.append_alerts(rows.withColumn("trade_date", F.lit(date(2024, 1, 1 + batch))), log, batch)
+    back = readers.alert_log(spark, log)
+    assert back.count() == 6 and "delta_pct" in back.columns
+    assert back.filter("delta_pct is null").count() == 3
+    sinks.create_alert_table(spark, "alerts_by_profile", "sliding", log)
+    spark.sql("msck repair table alerts_by_profile")
+    assert spark.table("alerts_by_profile").filter("trade_date = date'2024-01-02'").count() == 3
+    spark.sql("drop table alerts_by_profile")
+
+
+def test_high_conviction_lines(spark, tmp_path):
+    sinks.write_high_conviction(scored(spark), str(tmp_path / "hot"))
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "hot")).collect())
+    assert len(lines) == 2
+    assert lines[0] == "HIGH CONVICTION | A 10.0 CE | Score: 102 | OI+33% | Alerts today: 2 | Active: 2min | ₹1.0L total"
+
+
+def test_bad_feed_messages_are_quarantined(spark):
+    feeds = {"k": {"first_level": {"ltpc": {"ltp": 1.5, "ltt": 5, "ltq": 2}, "first_depth": None, "vtt": 9, "oi": 1}}}
+    lines = [json.dumps({"seq": 1, "arrival_ms": 3, "feeds": feeds}), "{broken", json.dumps({"seq": 2})]
+    good, bad = readers.decode_tick_messages(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert good.count() == 1 and bad.count() == 2
+    assert good.first().feeds["k"].first_level.vtt == 9
+
+
+def test_movers_lines_keep_order(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("a | 1% | 2\nb | 2% | 3\n")
+    assert [r.line for r in readers.movers_lines(spark, str(tmp_path / "m.txt")).orderBy("line_no").collect()][0][0] == "a"
