@@ -6,6 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ..workspace import spread
 from . import folds
 
 # Check instants per time slice of the sliding window (4 hours of half seconds).
@@ -28,8 +29,7 @@ def reset_alerts(buckets: DataFrame, width: int | None, threshold_paise: int) ->
     columns = [c.split()[0] for c in ALERT_COLUMNS.split(", ")]
     fold = partial(folds.reset_windows, by=["instrument_key"], width=width, threshold=threshold_paise)
     return (
-        buckets.select(*columns)
-        .repartition("instrument_key")
+        spread(buckets.select(*columns), "instrument_key")
         .sortWithinPartitions("instrument_key", "b")
         .mapInPandas(fold, ALERT_COLUMNS)
     )

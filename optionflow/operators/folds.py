@@ -27,6 +27,23 @@ def _starts(pdf: pd.DataFrame, by: list[str]) -> np.ndarray:
     return out
 
 
+# Rows per kernel call. Arrow batches are smaller, and the kernels cost more per call than per row.
+KERNEL_ROWS = 200_000
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held, size = [], 0
+    for pdf in batches:
+        if len(pdf):
+            held.append(pdf)
+            size += len(pdf)
+        if size >= KERNEL_ROWS:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 # ---------------------------------------------------------------- accepted ticks
 
 
@@ -63,9 +80,7 @@ def summarise_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     by = ["instrument_key", "chunk"]
     cols = [*by, "max_ltt", "max_vtt", "ltt", "vtt"]
     open_group: pd.DataFrame | None = None
-    for pdf in batches:
-        if not len(pdf):
-            continue
+    for pdf in _joined(batches):
         rows = pdf[[*by, "ltt", "vtt"]].assign(max_ltt=pdf["ltt"], max_vtt=pdf["vtt"])
         if open_group is not None:
             rows = pd.concat([open_group, rows], ignore_index=True)
@@ -115,11 +130,10 @@ def difference(rows: pd.DataFrame, by: list[str]) -> tuple[pd.DataFrame, pd.Data
 def difference_volume(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """`difference` over the (instrument_key, chunk) groups of a partition."""
     state: pd.DataFrame | None = None
-    for pdf in batches:
-        if len(pdf):
-            rows = pdf if state is None else pd.concat([state, pdf], ignore_index=True)
-            out, state = difference(rows, ["instrument_key", "chunk"])
-            yield out.drop(columns=["is_entry", "chunk", "vtt", "ltq"])
+    for pdf in _joined(batches):
+        rows = pdf if state is None else pd.concat([state, pdf], ignore_index=True)
+        out, state = difference(rows, ["instrument_key", "chunk"])
+        yield out.drop(columns=["is_entry", "chunk", "vtt", "ltq"])
 
 
 # ---------------------------------------------------------------- reset-on-alert windows
@@ -134,9 +148,7 @@ def reset_windows(
     instants (all of them if None) since the last alert, and alerts at value >= threshold.
     """
     held: pd.DataFrame | None = None
-    for pdf in batches:
-        if not len(pdf):
-            continue
+    for pdf in _joined(batches):
         rows = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
         begin, alert, live = resets(rows, by, width, threshold)
         if len(alert):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, money
+from ..workspace import spread
 from . import folds, ordered
 
 STEP_MS = 500
@@ -89,8 +90,7 @@ def _fold_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
     by = ["instrument_key", "chunk"]
     chunked = ticks.withColumn("chunk", ordered.row_chunk(F.col("seq"), chunk_rows))
     summaries = (
-        chunked.select(*by, "seq", "ltt", "vtt")
-        .repartition(*by)
+        spread(chunked.select(*by, "seq", "ltt", "vtt"), *by)
         .sortWithinPartitions(*by, "seq")
         .mapInPandas(
             folds.summarise_chunks,
@@ -109,7 +109,7 @@ def _fold_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
     zeros |= {c: F.lit(0.0) for c in ("ltp", "bid_p", "ask_p")}
     marked = rows.unionByName(entries.withColumns({**zeros, "is_entry": F.lit(True)}))
     return (
-        marked.repartition(*by)
+        spread(marked, *by)
         .sortWithinPartitions(*by, F.desc("is_entry"), "seq")
         .mapInPandas(folds.difference_volume, TRADE_COLUMNS)
     )

@@ -81,14 +81,12 @@ def scan(
 ) -> DataFrame:
     """Scored alerts of a whole tick table; `records.alert_records` gives their final layout.
 
-    The detected alerts feed the registry three times, so with `settle` they are written
-    once to the session's shared folder.
+    The registry reads its alerts three times, so with `settle` they are written once to the
+    session's shared folder.
     """
     spark = ticks.sparkSession
     trades = trade_ops.trades(ticks, assume_monotone)
     found = categorise(detect(trades, profile), profile)
-    if settle and profile.score:
-        found = settled(found)
     keys = chains.active_keys(strike_table) if strike_table is not None else None
     dim = chains.instrument_dim(chain, keys, calls_first=profile.name == "sliding")
     named = registry.with_instrument(found, dim)
@@ -100,7 +98,8 @@ def scan(
         return named
     base = registry.oi_baseline(ticks, lock, tz)
     grown = registry.with_oi_growth(named, base, tz)
-    registered = registry.register(registry.with_reg_key(grown), tz=tz)
+    keyed = registry.with_reg_key(grown)
+    registered = registry.register(settled(keyed) if settle else keyed, tz=tz)
     return score(registered, history if history is not None else _no_history(spark), profile)
 
 

@@ -30,3 +30,12 @@ def settled(df: DataFrame) -> DataFrame:
         return df
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partition by columns into exactly the session's number of shuffle partitions.
+
+    For Python stages: they cost more per byte than the sizes adaptive execution merges
+    partitions by are made for.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from checks.compare import session  # noqa: E402
+from optionflow.operators import folds  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,8 +17,9 @@ def spark():
 
 
 @pytest.fixture()
-def small_batches(spark):
-    """Arrow batches of a few rows, so that every carry between batches is used."""
+def small_batches(spark, monkeypatch):
+    """Kernel calls of a few rows, so that every carry between calls is used."""
+    monkeypatch.setattr(folds, "KERNEL_ROWS", 5)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     old = spark.conf.get(key)
     spark.conf.set(key, "5")

@@ -9,6 +9,14 @@ from optionflow.operators import folds
 
 from . import model
 
+
+@pytest.fixture(autouse=True, scope="module")
+def one_batch_per_call():
+    old, folds.KERNEL_ROWS = folds.KERNEL_ROWS, 1
+    yield
+    folds.KERNEL_ROWS = old
+
+
 TICK = st.tuples(st.integers(0, 30), st.integers(0, 30), st.integers(0, 5))
 
 
