@@ -374,6 +374,8 @@ from companies""",
     "burst_alerts": BURST,
     "burst_acceleration": f"""{_with(SLIDING + BASE_VOL)} select instrument_key, b, paise, vol, base_vol, acceleration,
   delta_pct, side from flow""",
+    "burst_reset_acceleration": f"""{_with(reset(20) + BASE_VOL, recursive=True)} select instrument_key, b, paise, vol,
+  base_vol, acceleration, delta_pct, side from flow""",
     "burst_windows": f"{_with(SLIDING)} select instrument_key, b, paise, vol, n, buy, sell from alerts",
     "rolling_reset_alerts": _reset_query(10, flow_category("EXITING")),
     "rolling_reset_alerts_120s": _reset_query(240, flow_category("EXITING")),
@@ -399,6 +401,11 @@ from alerts a left join baseline p using (instrument_key)""",
 keyed as (select *, concat(ticker, '-', strike, '-', option_type) as reg_key from log),
 {registered('keyed', 'seq')}
 select reg_key, trade_date, seq, alert_count, cumulative_paise, minutes_active, first_gap, last_gap
+from registered""",
+    "stream_registry": f"""{_with(LOG)},
+keyed as (select *, concat(ticker, '-', strike, '-', option_type) as reg_key from log),
+{registered('keyed', 'seq')}
+select reg_key, trade_date, seq, alert_count, cumulative_paise, minutes_active, first_gap, last_gap
 from registered""",
     "conviction_day": f"""{_with(SIGNALS, registered('signals', 'seq'), scored(DAY_SCORE))}
 select reg_key, seq, conviction, conviction_label from scored""",

@@ -153,6 +153,14 @@ def burst_acceleration(spark, d):
     return found.select("instrument_key", "b", "paise", "vol", "base_vol", "acceleration", "delta_pct", "side")
 
 
+@query
+def burst_reset_acceleration(spark, d):
+    """Two horizons with reset: one alert per burst."""
+    profile = replace(P.SLIDING, reset_on_alert=True)
+    found = scan.categorise(scan.detect(_trades(spark, d), profile), profile)
+    return found.select("instrument_key", "b", "paise", "vol", "base_vol", "acceleration", "delta_pct", "side")
+
+
 @query
 def burst_windows(spark, d):
     timed = _trades(spark, d).withColumn("ts", F.timestamp_millis("ltt"))
@@ -376,6 +384,23 @@ def stream_oi_latch(spark, d):
     return out.drop("batch_id")
 
 
+@query
+def stream_registry(spark, d):
+    live.use_rocksdb(spark)
+    log = _log(spark, d).select("reg_key", "alert_ms", "seq", "paise")
+    out = streams.run(spark, log, lambda a: live.register(a, ("seq",), shards=SHARDS))
+    return out.select(
+        "reg_key",
+        "trade_date",
+        "seq",
+        "alert_count",
+        "cumulative_paise",
+        "minutes_active",
+        "first_gap",
+        "last_gap",
+    )
+
+
 @query
 def stream_heat(spark, d):
     """Latest score per ticker: the last batch that touched it wins."""

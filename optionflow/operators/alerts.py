@@ -96,6 +96,21 @@ def sliding_alerts(
     ).drop("slice")
 
 
+def trailing_volume(buckets: DataFrame, base_width: int, slice_steps: int = SLICE) -> DataFrame:
+    """Volume of the last `base_width` check instants at each bucket."""
+    own = F.floor(F.col("b") / slice_steps).cast("bigint")
+    later = F.floor((F.col("b") + base_width - 1) / slice_steps).cast("bigint")
+    sliced = buckets.select("instrument_key", "b", "vol", F.explode(F.sequence(own, later)).alias("slice"))
+    ordered = W.partitionBy("instrument_key", "slice").orderBy("b")
+    upto = F.sum("vol").over(ordered.rangeBetween(W.unboundedPreceding, 0))
+    gone = F.sum("vol").over(ordered.rangeBetween(W.unboundedPreceding, -base_width))
+    return (
+        sliced.withColumn("base_vol", upto - F.coalesce(gone, F.lit(0)))
+        .filter(own == F.col("slice"))
+        .select("instrument_key", "b", "base_vol")
+    )
+
+
 def windowed_bursts(trades: DataFrame, window_s: float, step_ms: int, threshold_paise: int) -> DataFrame:
     """The sliding window as Spark's own time windows over `ts`; also runs on streams.
 

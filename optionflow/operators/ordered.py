@@ -27,9 +27,13 @@ def running(
     chunk: Column,
     sums: dict[str, Column] | None = None,
     previous: dict[str, Column] | None = None,
+    constants: DataFrame | None = None,
 ) -> DataFrame:
     """Add inclusive running sums and previous-row values per key.
 
+    `constants` has one row per key; its other columns are added too. They travel with the
+    chunk carries, so the rows are never joined by the bare key.
+
     `chunk` must not decrease along `order` within a key. Values in `previous` are primitive
     and, where rows tie on the first order column, equal; then the chunk ends need no
     struct-valued aggregate, which Spark could only run by sorting.
@@ -51,11 +55,16 @@ def running(
         *[F.lag(f"__last_{n}").over(per_key).alias(f"__carry_{n}") for n in previous],
     )
 
+    extra = [c for c in constants.columns if c not in keys] if constants is not None else []
+    if extra:
+        carry = carry.join(constants, keys)
+
     within = W.partitionBy(*keys, CHUNK).orderBy(*order)
     upto = within.rowsBetween(W.unboundedPreceding, 0)
     joined = base.join(carry, [*keys, CHUNK])
     return joined.select(
         *df.columns,
+        *extra,
         *[(F.sum(f"__in_{n}").over(upto) + F.col(f"__carry_{n}")).alias(n) for n in sums],
         *[
             F.when(F.row_number().over(within) == 1, F.col(f"__carry_{n}"))

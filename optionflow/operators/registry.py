@@ -54,14 +54,6 @@ def register(
     """
     scope = ["reg_key", "trade_date"]
     dated = alerts.withColumn("trade_date", clock.trade_date(F.col("alert_ms"), tz))
-    seen = ordered.running(
-        dated,
-        scope,
-        ["alert_ms", *tie],
-        F.call_function("div", F.col("alert_ms"), F.lit(chunk_ms)),
-        sums={"alert_count": F.lit(1).cast("bigint"), "cumulative_paise": F.col("paise")},
-        previous={"last_alert_ms": F.col("alert_ms")},
-    )
     heads = (
         ordered.first_rows(dated.select(*scope, "alert_ms", *tie), scope, ["alert_ms", *tie], 2)
         .groupBy(*scope)
@@ -70,18 +62,28 @@ def register(
             F.max(F.when(F.col("row_no") == 2, F.col("alert_ms"))).alias("second_ms"),
         )
     )
-    third = F.col("alert_count") >= 3
-    return (
-        seen.join(heads, scope)
-        .withColumns(
-            {
-                "minutes_active": (F.col("alert_ms") - F.col("first_ms")) / 60_000,
-                "first_gap": F.when(third, (F.col("second_ms") - F.col("first_ms")) / 1000),
-                "last_gap": F.when(third, (F.col("alert_ms") - F.col("last_alert_ms")) / 1000),
-            }
-        )
-        .drop("first_ms", "second_ms", "last_alert_ms")
+    seen = ordered.running(
+        dated,
+        scope,
+        ["alert_ms", *tie],
+        F.call_function("div", F.col("alert_ms"), F.lit(chunk_ms)),
+        sums={"alert_count": F.lit(1).cast("bigint"), "cumulative_paise": F.col("paise")},
+        previous={"last_alert_ms": F.col("alert_ms")},
+        constants=heads,
     )
+    return with_gaps(seen)
+
+
+def with_gaps(seen: DataFrame) -> DataFrame:
+    """Minutes active, first and last gap from the first, second and previous alert times."""
+    third = F.col("alert_count") >= 3
+    return seen.withColumns(
+        {
+            "minutes_active": (F.col("alert_ms") - F.col("first_ms")) / 60_000,
+            "first_gap": F.when(third, (F.col("second_ms") - F.col("first_ms")) / 1000),
+            "last_gap": F.when(third, (F.col("alert_ms") - F.col("last_alert_ms")) / 1000),
+        }
+    ).drop("first_ms", "second_ms", "last_alert_ms")
 
 
 def oi_baseline(rows: DataFrame, lock: str = "09:30", tz: str = "UTC", clock_col: str = "arrival_ms") -> DataFrame:

@@ -24,7 +24,6 @@ class Profile:
     score: str | None = None  # "day" or "flow"
     baseline_s: float | None = None
     threshold_paise: int = THRESHOLD_PAISE
-    latch_every_tick: bool = True  # OI baseline also sees duplicate ticks
     time_text: str = "dd/MM/yyyy HH:mm:ss"
 
     @property
@@ -40,8 +39,8 @@ class Profile:
 ARRIVAL = Profile("arrival", "arrival_ms", RESET_S, True, "momentum", time_text="HH:mm:ss")
 BARS = Profile("bars", "ltt", None, True, "flow", quiet_exit="DISTRIBUTION", time_text="MMM dd HH:mm:ss")
 RESET = Profile("reset", "ltt", RESET_S, True, "flow", score="day")
-SLIDING = Profile(
-    "sliding", "ltt", BURST_S, False, "side", score="flow", baseline_s=BASELINE_S, latch_every_tick=True
-)
+# Not reset, so one burst alerts on every check it lasts; `replace(SLIDING, reset_on_alert=True)`
+# alerts once per burst.
+SLIDING = Profile("sliding", "ltt", BURST_S, False, "side", score="flow", baseline_s=BASELINE_S)
 
 PROFILES = {p.name: p for p in (ARRIVAL, BARS, RESET, SLIDING)}

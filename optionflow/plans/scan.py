@@ -15,6 +15,9 @@ def detect(trades: DataFrame, profile: Profile) -> DataFrame:
     buckets = trade_ops.buckets(trades, profile.clock)
     if profile.reset_on_alert:
         found = windows.reset_alerts(buckets, profile.width, profile.threshold_paise)
+        if profile.base_width:
+            base = windows.trailing_volume(buckets, profile.base_width)
+            found = found.join(base, ["instrument_key", "b"])
     else:
         found = windows.sliding_alerts(buckets, profile.width, profile.threshold_paise, profile.base_width)
     return found.withColumn("alert_ms", F.col("b") * STEP_MS)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import classify, clock
-from ..operators import alerts as windows, board, trades as trade_ops
+from ..operators import alerts as windows, board, registry, trades as trade_ops
 from ..plans.profiles import OI_LOCK, STEP_MS, Profile
 from . import processors
 
@@ -89,6 +91,19 @@ def sliding_bursts(trades: DataFrame, profile: Profile, lateness: str | None = N
     )
 
 
+def register(alerts: DataFrame, tie: Sequence[str] = ("instrument_key",), tz: str = "UTC", shards: int = SHARDS) -> DataFrame:
+    """Alert stream with `reg_key` -> the same with the strike's running state."""
+    dated = alerts.withColumn("trade_date", clock.trade_date(F.col("alert_ms"), tz))
+    times = ["first_ms", "second_ms", "last_alert_ms"]
+    added = ["alert_count", "cumulative_paise", *times]
+    schema = T.StructType([*dated.schema, *[T.StructField(c, T.LongType()) for c in added]])
+    fold = processors.StrikeRegistry(schema.fieldNames(), ["alert_ms", *tie])
+    seen = _sharded(dated, "reg_key", shards).transformWithStateInPandas(
+        fold, schema, outputMode="Append", timeMode="None"
+    )
+    return registry.with_gaps(seen)
+
+
 def heat_scores(alerts: DataFrame, tick_ms: int = 1000, shards: int = SHARDS) -> DataFrame:
     """Alert stream -> score per touched ticker as of its latest alert."""
     fold = processors.HeatScore(board.DECAY, tick_ms)

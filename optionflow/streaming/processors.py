@@ -31,6 +31,10 @@ TRADE_STATE = (
     "instrument_key string, seq bigint, at bigint, ltt bigint, price double, qty bigint, "
     "paise bigint, oi bigint, side string"
 )
+REGISTRY_STATE = (
+    "reg_key string, trade_date date, alert_count bigint, cumulative_paise bigint, first_ms bigint, "
+    "second_ms bigint, last_ms bigint"
+)
 HEAT_STATE = "ticker string, heat double, at_tick bigint"
 
 
@@ -59,7 +63,7 @@ class Table:
             self.state.clear()
 
     def _tuples(self, rows: pd.DataFrame) -> list[tuple]:
-        return list(zip(*[rows[c].tolist() for c in self.columns]))
+        return list(zip(*[rows[c].astype(object).where(rows[c].notna(), None) for c in self.columns]))
 
 
 def stacked(*frames: pd.DataFrame) -> pd.DataFrame:
@@ -201,6 +205,46 @@ class ResetWindow(StatefulProcessor):
         pass
 
 
+class StrikeRegistry(StatefulProcessor):
+    """Running state of each strike and trade date; strikes of earlier dates are forgotten."""
+
+    SCOPE = ["reg_key", "trade_date"]
+
+    def __init__(self, columns: list[str], order: list[str]) -> None:
+        self.out, self.order = columns, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.strikes = Table(handle, "strikes", REGISTRY_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        alerts = pd.concat(list(rows), ignore_index=True).sort_values(self.order, ignore_index=True)
+        known = self.strikes.read()
+        seen = alerts.merge(known, on=self.SCOPE, how="left", suffixes=("", "_known"))
+        count = seen["alert_count"].fillna(0).astype("int64")
+        total = seen["cumulative_paise"].fillna(0).astype("int64")
+        at = seen["alert_ms"]
+        group = seen.groupby(self.SCOPE, sort=False)
+        nth = count + group.cumcount() + 1
+        last = group["alert_ms"].shift().fillna(seen["last_ms"])
+        first = seen["first_ms"].fillna(group["alert_ms"].transform("first"))
+        second = seen["second_ms"].fillna(at.where(nth == 2)).groupby([seen[c] for c in self.SCOPE]).ffill()
+        out = seen.assign(
+            alert_count=nth,
+            cumulative_paise=total + group["paise"].cumsum(),
+            first_ms=first.astype("int64"),
+            second_ms=second.astype("Int64"),
+            last_alert_ms=last.astype("Int64"),
+            last_ms=at,
+        )
+        state = stacked(known, out[names(REGISTRY_STATE)]).drop_duplicates(self.SCOPE, keep="last")
+        state = state[state["trade_date"] >= state["trade_date"].max() - pd.Timedelta(days=1)]
+        self.strikes.write(state.astype({"second_ms": "Int64"}))
+        yield out[self.out]
+
+    def close(self) -> None:
+        pass
+
+
 class HeatScore(StatefulProcessor):
     """Decayed score per ticker, brought forward by whole ticks when it is touched.
 

@@ -24,6 +24,17 @@ def batch_writer(path: str):
     return write
 
 
+def start(stream: DataFrame, folder: str, mode: str = "append", write=None, every: str = "500 milliseconds"):
+    """Run until stopped. The interval sets the latency only: results follow event time."""
+    return (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(write or batch_writer(f"{folder}/out"))
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(processingTime=every)
+        .start()
+    )
+
+
 def drain(stream: DataFrame, folder: str, mode: str = "append", write=None) -> None:
     """Run over all input there is, then stop. Restarting on the same folder goes on from
     its checkpoint."""

@@ -64,6 +64,17 @@ def test_oi_latch_equals_batch(spark):
     assert sorted(out.select(want.columns).collect()) == sorted(want.collect())
 
 
+def test_registry_equals_the_model(spark):
+    rows = [("hot" if i % 2 else f"r{i % 5}", i * 700 % 40_000 + (i // 20) * 40_000, i, i + 1) for i in range(60)]
+    alerts = spark.createDataFrame(rows, "reg_key string, alert_ms bigint, seq bigint, paise bigint")
+    out = streams.run(spark, alerts, lambda a: live.register(a, ("seq",), shards=2))
+    got = sorted(
+        (r.reg_key, r.seq, r.alert_count, r.cumulative_paise, r.minutes_active, r.first_gap, r.last_gap)
+        for r in out.collect()
+    )
+    assert got == model.registry(rows)
+
+
 def test_heat_equals_the_model(spark):
     rows = [(f"T{i % 3}", i * 7_000 + (i % 4) * 300_000, i, i * 1_000_000) for i in range(40)]
     rows = [(t, i * 9_000 if i < 20 else i * 9_000 + 500_000, i, p) for i, (t, _, _, p) in enumerate(rows)]
