@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify, money
 from ..workspace import spread
@@ -115,18 +115,11 @@ def _fold_difference(ticks: DataFrame, chunk_rows: int) -> DataFrame:
     )
 
 
-def buckets(trades: DataFrame, clock: str = "ltt", step_ms: int = STEP_MS) -> DataFrame:
-    """Trades reduced to one row per instrument and check instant.
-
-    A trade at `clock` counts from check instant `b = floor(clock / step) + 1` on. The
-    aggregation combines map-side, so a hot instrument costs at most one row per instant
-    and map task.
-    """
+def bucket_values() -> list[Column]:
+    """What is kept of the trades of one instrument and check instant."""
     buy = F.when(F.col("side") == "BUY", F.col("qty")).otherwise(0)
     seq = F.col("seq")
-    return trades.groupBy(
-        "instrument_key", (F.floor(F.col(clock) / step_ms) + 1).cast("bigint").alias("b")
-    ).agg(
+    return [
         F.sum("paise").alias("paise"),
         F.sum("qty").alias("vol"),
         F.count(F.lit(1)).alias("n"),
@@ -134,7 +127,30 @@ def buckets(trades: DataFrame, clock: str = "ltt", step_ms: int = STEP_MS) -> Da
         F.max_by("price", seq).alias("last_price"),
         F.min_by("oi", seq).alias("first_oi"),
         F.max_by("oi", seq).alias("last_oi"),
-        F.max_by(F.col("ltt"), seq).alias("last_ms"),
+        F.max_by("ltt", seq).alias("last_ms"),
         F.sum(buy).alias("buy"),
         F.sum(F.col("qty") - buy).alias("sell"),
-    )
+    ]
+
+
+def buckets(trades: DataFrame, clock: str = "ltt", step_ms: int = STEP_MS) -> DataFrame:
+    """Trades reduced to one row per instrument and check instant.
+
+    A trade at `clock` counts from check instant `b = floor(clock / step) + 1` on. The
+    aggregation combines map-side, so a hot instrument costs at most one row per instant
+    and map task.
+    """
+    instant = (F.floor(F.col(clock) / step_ms) + 1).cast("bigint")
+    return trades.groupBy("instrument_key", instant.alias("b")).agg(*bucket_values())
+
+
+def bucket_stream(
+    trades: DataFrame, clock: str = "ltt", lateness: str = "5 seconds", step_ms: int = STEP_MS
+) -> DataFrame:
+    """`buckets` of a trade stream: each is emitted once, whole, when the watermark has passed
+    it. Trades later than that are dropped."""
+    timed = trades.withColumn("ts", F.timestamp_millis(clock)).withWatermark("ts", lateness)
+    step = F.window("ts", f"{step_ms} milliseconds")
+    instant = F.call_function("div", F.unix_millis("step.end"), F.lit(step_ms))
+    found = timed.groupBy("instrument_key", step.alias("step")).agg(*bucket_values())
+    return found.select("*", instant.alias("b")).drop("step")

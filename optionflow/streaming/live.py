@@ -59,15 +59,15 @@ def _timed(trades: DataFrame, clock_col: str, lateness: str) -> DataFrame:
 def reset_alerts(
     trades: DataFrame, profile: Profile, lateness: str | None = None, shards: int = SHARDS
 ) -> DataFrame:
-    """Reset-on-alert windows (value bars without a window) on a trade stream."""
-    lateness = lateness or f"{profile.window_s or 5} seconds"
-    fold = processors.ResetWindow(profile.width, profile.threshold_paise, STEP_MS)
-    timed = (
-        _timed(trades.withColumn("at", F.col(profile.clock)), profile.clock, lateness)
-        .select("ts", *processors.names(processors.TRADE_STATE))
-    )
-    found = _sharded(timed, "instrument_key", shards).transformWithStateInPandas(
-        fold, windows.ALERT_COLUMNS, outputMode="Append", timeMode="EventTime"
+    """Reset-on-alert windows (value bars without a window) on a trade stream.
+
+    Spark sums the trades into buckets first, map-side, so the state machine sees at most
+    two rows per second of an instrument.
+    """
+    buckets = trade_ops.bucket_stream(trades, profile.clock, lateness or f"{profile.window_s or 5} seconds")
+    fold = processors.ResetWindow(profile.width, profile.threshold_paise)
+    found = _sharded(buckets, "instrument_key", shards).transformWithStateInPandas(
+        fold, windows.ALERT_COLUMNS, outputMode="Append", timeMode="None"
     )
     return found.withColumn("alert_ms", F.col("b") * STEP_MS)
 

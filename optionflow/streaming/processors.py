@@ -27,10 +27,6 @@ BUCKET_STATE = (
     "instrument_key string, b bigint, paise bigint, vol bigint, n bigint, first_price double, "
     "last_price double, first_oi bigint, last_oi bigint, last_ms bigint, buy bigint, sell bigint"
 )
-TRADE_STATE = (
-    "instrument_key string, seq bigint, at bigint, ltt bigint, price double, qty bigint, "
-    "paise bigint, oi bigint, side string"
-)
 REGISTRY_STATE = (
     "reg_key string, trade_date date, alert_count bigint, cumulative_paise bigint, first_ms bigint, "
     "second_ms bigint, last_ms bigint"
@@ -119,70 +115,22 @@ class OiLatch(StatefulProcessor):
         pass
 
 
-def bucket_frame(trades: pd.DataFrame, step_ms: int) -> pd.DataFrame:
-    """Trades reduced to buckets, as the batch aggregation does."""
-    t = trades.sort_values("seq")
-    t = t.assign(b=t["at"] // step_ms + 1, buy=np.where(t["side"] == "BUY", t["qty"], 0))
-    g = t.groupby(["instrument_key", "b"], sort=True)
-    out = g.agg(
-        paise=("paise", "sum"),
-        vol=("qty", "sum"),
-        n=("qty", "size"),
-        first_price=("price", "first"),
-        last_price=("price", "last"),
-        first_oi=("oi", "first"),
-        last_oi=("oi", "last"),
-        last_ms=("ltt", "last"),
-        buy=("buy", "sum"),
-    ).reset_index()
-    return out.assign(sell=out["vol"] - out["buy"])[names(BUCKET_STATE)]
-
-
 class ResetWindow(StatefulProcessor):
-    """Reset-on-alert windows and value bars on event time.
+    """Reset-on-alert windows and value bars over a bucket stream.
 
-    Trades wait until the watermark has passed their check instant, so a bucket is judged
-    once and whole, whatever the micro-batches were. State: the waiting trades, the live
-    buckets of one window per instrument, and one alarm.
+    Buckets arrive whole and, from one micro-batch to the next, in order of their instants.
+    State: the live buckets of one window per instrument.
     """
 
-    def __init__(self, width: int | None, threshold_paise: int, step_ms: int) -> None:
-        self.width, self.threshold, self.step_ms = width, threshold_paise, step_ms
+    def __init__(self, width: int | None, threshold_paise: int) -> None:
+        self.width, self.threshold = width, threshold_paise
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = Table(handle, "waiting", TRADE_STATE)
         self.live = Table(handle, "live", BUCKET_STATE)
-        self.alarm = handle.getValueState("alarm", "at_ms bigint")
-
-    def _check_ms(self, trades: pd.DataFrame) -> pd.Series:
-        return (trades["at"] // self.step_ms + 1) * self.step_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        self.waiting.append(new)
-        self._set_alarm(int(self._check_ms(new).min()))
-        yield from ()
-
-    def _set_alarm(self, at_ms: int) -> None:
-        if self.alarm.exists():
-            old = self.alarm.get()[0]
-            if old <= at_ms:
-                return
-            self.handle.deleteTimer(old)
-        self.alarm.update((at_ms,))
-        self.handle.registerTimer(at_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.alarm.clear()
-        trades = self.waiting.read()
-        check = self._check_ms(trades)
-        due = check <= timerValues.getCurrentWatermarkInMs()
-        self.waiting.write(trades[~due])
-        if not due.all():
-            self._set_alarm(int(check[~due].min()))
-        if due.any():
-            yield self._judge(bucket_frame(trades[due], self.step_ms))
+        buckets = pd.concat(list(rows), ignore_index=True)[names(BUCKET_STATE)]
+        yield self._judge(buckets)
 
     def _judge(self, buckets: pd.DataFrame) -> pd.DataFrame:
         """Alerts of new buckets; keeps what stays live of each instrument."""
