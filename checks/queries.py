@@ -12,6 +12,7 @@ from optionflow.functions import classify
 from optionflow.operators import alerts as windows, board, chain as chains, records, registry, trades as trade_ops
 from optionflow.plans import profiles as P, scan
 from optionflow.streaming import live
+from optionflow.workspace import settled
 
 from . import proxy, streams
 
@@ -41,8 +42,15 @@ def _companies(spark, d):
     return chains.companies(_chain(spark, d))
 
 
-def _strikes(spark, d):
-    return chains.directional_strikes(_companies(spark, d), chains.spot_prices(proxy.quotes(spark, d)))
+def _strikes(spark, d, companies=None):
+    companies = companies if companies is not None else _companies(spark, d)
+    return chains.directional_strikes(companies, chains.spot_prices(proxy.quotes(spark, d)))
+
+
+def _stored(spark, d):
+    """Chain and strike table as stored tables: the scanner reads them several times."""
+    companies = settled(_companies(spark, d))
+    return companies, settled(_strikes(spark, d, companies))
 
 
 def _trades(spark, d):
@@ -212,9 +220,9 @@ def category_6state(spark, d):
 
 @query
 def atm_flag(spark, d):
-    strikes = _strikes(spark, d)
+    companies, strikes = _stored(spark, d)
     found = scan.detect(_trades(spark, d), P.ARRIVAL)
-    named = registry.with_instrument(found, chains.instrument_dim(_companies(spark, d)))
+    named = registry.with_instrument(found, chains.instrument_dim(companies))
     flagged = registry.with_atm_flag(named, chains.atm_keys(strikes))
     return flagged.select("instrument_key", "b", "ticker", "strike", "option_type", "is_atm")
 
@@ -280,12 +288,12 @@ def high_conviction_feed(spark, d):
 
 
 def _scan(spark, d, profile):
-    strikes = _strikes(spark, d) if profile.name != "sliding" else None
+    companies, strikes = _stored(spark, d)
     return scan.scan(
         proxy.ticks(spark, d),
-        _companies(spark, d),
+        companies,
         profile,
-        strike_table=strikes,
+        strike_table=strikes if profile.name != "sliding" else None,
         history=_history(spark, d),
         assume_monotone=True,
         lock=LOCK,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from optionflow.sources import readers
 from optionflow.streaming import runs
 
-STRETCHES = 3
+STRETCHES = 2
 CLOSING_KEY = "~close"
 CLOSING_MS = 3_600_000
 
