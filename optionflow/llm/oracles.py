@@ -40,3 +40,17 @@ from kinds
 """
 
 ORACLES: dict[str, str] = {"op3_poisson_mixture": OP3, "op9_warc_roundtrip": OP9}
+
+#: Brute force over all pairs of a query and another vector, in whole numbers.
+OP1 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as w from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, v.vec_id, list_inner_product(q.w, v.w)::bigint as score
+  from v q join v on q.vec_id <> v.vec_id where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+ORACLES["op1_va_file_topk"] = OP1

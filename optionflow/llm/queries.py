@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, secrets, sharding, warc
+from . import hilbert, licenses, mixing, secrets, sharding, vafile, warc
 from .store import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,24 @@ def op9_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(
         F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
     )
+
+
+def every_50th(df: DataFrame) -> DataFrame:
+    """The stated query set of the searches."""
+    return df.filter(F.col("vec_id") % 50 == 0)
+
+
+@query
+def op1_va_file_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vafile.topk(vectors, every_50th(vectors), k=5)
+
+
+@query
+def op5_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -18,7 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 # The base patterns. Letters of the key words in either case, ASCII only.
 ASSIGN = re.compile(
@@ -191,9 +191,6 @@ ADDED = (
     ("spans", pa.string()),
     ("clean_text", pa.string()),
 )
-ADDED_DDL = (
-    "n_assign bigint, n_access bigint, n_hex bigint, n_confirmed bigint, base_sha256 string, spans string, clean_text string"
-)
 
 
 def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, mark: str | None = None) -> DataFrame:
@@ -233,8 +230,7 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, mar
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = [*keep, *(n for n, _ in ADDED)]
-    schema = docs.select(*keep).schema
-    for field in docs.sparkSession.createDataFrame([], ADDED_DDL).schema:
-        schema = schema.add(field)
+    added = [T.StructField(n, T.LongType() if t == pa.int64() else T.StringType()) for n, t in ADDED]
+    schema = T.StructType([*docs.select(*keep).schema.fields, *added])
     body = docs[text].cast("string").alias("__text")
     return docs.select(*keep, body).mapInArrow(rows, schema)
