@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-CHUNK_ROWS = 2000
+CHUNK_ROWS = 500
 
 KEY, CHUNK, BEFORE, SIZE = "__key", "__chunk", "__before", "__size"
 
