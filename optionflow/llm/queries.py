@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hilbert, licenses, mixing, secrets, sharding, vafile, warc
+from . import hilbert, language, licenses, mixing, packing, secrets, sharding, vafile, warc
 from .store import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,19 @@ def op5_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, ~language.held_out(F.col("doc_id")))
+    labelled = language.predict(docs, model, keep=["doc_id"])
+    return labelled.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_spans"
+    )
+
+
+@query
+def op8_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
