@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hilbert, language, licenses, mixing, packing, secrets, sharding, vafile, warc
+from . import hilbert, language, licenses, mixing, ngram_join, packing, secrets, sharding, vafile, warc
 from .store import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op7_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+
+
+@query
+def op6_ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.link_components(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
