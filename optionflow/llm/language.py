@@ -15,13 +15,14 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from .ranks import unit
+from .texts import Coded, portions
 
 #: Texts per language to learn from (on average, by hash); grams kept per language.
 SAMPLE, GRAMS = 2000, 20_000
@@ -218,18 +219,16 @@ def stretches(labels: np.ndarray, names: tuple[str, ...]) -> str:
     return ",".join(f"{names[labels[a]]}:{a}:{b}" for a, b in zip(edges, edges[1:]))
 
 
-def label(model: Model, texts: pa.Array, switch: float = SWITCH) -> tuple[list[str], list[float], list[str]]:
+def label(model: Model, texts: list[bytes], switch: float = SWITCH) -> tuple[list[str], list[float], list[str]]:
     """Language, score and stretches of each text."""
-    size = len(texts)
-    if not model.languages or not size:
-        return [NONE] * size, [0.0] * size, [""] * size
-    lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    split = pc.ascii_split_whitespace(lowered)
-    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = split.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
+    if not model.languages:
+        return [NONE] * len(texts), [0.0] * len(texts), [""] * len(texts)
+    split = [t.decode("utf-8", "replace").lower().split() for t in texts]
+    lengths = np.array([len(words) for words in split], np.int64)
+    known = Coded(lambda _: len(known))
+    codes = known.all(chain.from_iterable(split), int(lengths.sum()), np.int64)
+    words = list(known)
     scores = word_scores(model, words)
-    codes = coded.indices.to_numpy(zero_copy_only=False)
     lettered = np.array([LETTERS.search(w) is not None for w in words], bool)[codes]
     labels = viterbi(scores[codes], lengths, switch)
     ends = np.cumsum(lengths)
@@ -267,17 +266,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(width)), 0).to_numpy(zero_copy_only=False)
-            steps = np.cumsum(sizes) // STEP_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(steps)) + 1).tolist(), len(sizes)]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                langs, shares, spans = label(model, part.column(width), switch)
-                columns = [pa.array(langs, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:width], *columns], names=names)
+            langs, shares, spans = [], [], []
+            for part in portions(batch.column(width), STEP_BYTES):
+                for column, cells in zip((langs, shares, spans), label(model, part, switch)):
+                    column += cells
+            columns = [pa.array(langs, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=names)
 
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t in added)])
-    return docs.select(*keep, docs[text].cast("string").alias("__text")).mapInArrow(rows, schema)
+    return docs.select(*keep, docs[text].cast("binary").alias("__text")).mapInArrow(rows, schema)
 
 
 def held_out(id: Column) -> Column:

@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shingles import fingerprint, mix, sets, steps
+from .shingles import Shingles, fingerprint, mix
 from .store import drop, kept
+from .texts import portions
 
 #: Counters of the frequency sketch, and how many of them travel in a row.
 SKETCH_BITS, SKETCH_ROW = 20, 1 << 14
@@ -74,11 +75,10 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
     size = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
+        counts, shingles = np.zeros(size, np.int64), Shingles(n)
         for batch in batches:
-            for part in steps(batch, 0):
-                found = sets(part.column(0), n)
-                tokens = np.concatenate(found) if found else np.empty(0, np.uint64)
+            for part in portions(batch.column(0)):
+                tokens = np.concatenate(shingles.of(part))
                 counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
         yield from rows(dict(enumerate(counts.reshape(-1, SKETCH_ROW))))
 
@@ -114,10 +114,11 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        shingles = Shingles(n)
         for batch in batches:
-            for part in steps(batch, 2):
-                out: list[list] = [[] for _ in range(7)]
-                for tokens in sets(part.column(2), n):
+            out: list[list] = [[] for _ in kinds]
+            for part in portions(batch.column(2)):
+                for tokens in shingles.of(part):
                     fp = fingerprint(tokens) if len(tokens) else None
                     if fp is None or fp in seen:
                         cells = (len(tokens), fp, False, None, None, None, None)
@@ -126,11 +127,8 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
                         cells = (len(tokens), fp, True, *filters(tokens))
                     for column, cell in zip(out, cells):
                         column.append(cell)
-                ids = pa.list_(pa.int64())
-                kinds = (pa.int64(), pa.int64(), pa.bool_(), ids, ids, pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(out, kinds))], names=names
-                )
+            columns = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, kinds))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def filters(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
         p = rule.prefix(len(tokens))
@@ -148,6 +146,8 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
         return rare, frequent, odd_sketch(tokens), more
 
     names = ["id", "body", "size", "fp", "first", "rare", "frequent", "odd", "more"]
+    ids = pa.list_(pa.int64())
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), ids, ids, pa.binary(), pa.binary())
     ddl = (
         "id bigint, body bigint, size bigint, fp bigint, first boolean, rare array<bigint>, frequent array<bigint>, "
         "odd binary, more binary"
@@ -297,13 +297,14 @@ def verified(pairs: DataFrame, kept_records: DataFrame, texts: DataFrame, n: int
     both = left.join(bodies.select(F.col("fp").alias("fb"), F.col("text").alias("text_b")), F.col("b") == F.col("fb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(n)
         for batch in batches:
-            for part in steps(batch, 2):
-                good = [
-                    bool(rule.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
-                    for x, y in zip(sets(part.column(2), n), sets(part.column(3), n))
-                ]
-                yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            good: list[bool] = []
+            for part in portions(batch.column(2)):
+                other = batch.column(3).slice(len(good), len(part)).to_pylist()
+                for x, y in zip(shingles.of(part), shingles.of(other)):
+                    good.append(bool(rule.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))))
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     result = kept(both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint"))
     drop(texts.sparkSession, bodies)
@@ -321,7 +322,7 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     component has one. Repeated rows each have a row. Other columns are ignored. An empty table gives no rows.
     """
     rule = Rule(percent)
-    texts = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text"))
     classes = frequency_classes(texts, n)
     known = kept(records(texts, n, rule, classes))
     rare = kept(rare_lists(known))

@@ -19,18 +19,20 @@ import zlib
 from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
+from .texts import Coded, portions
+
 TIERS = (256, 512, 1024, 2048)
 END = 1
 
-#: Tokens that are packed together; tokens of a step group; text that is tokenized at a time.
-CHUNK_TOKENS, STEP_TOKENS, STEP_BYTES = 1 << 21, 1 << 16, 4_000_000
+#: Tokens that are packed together; tokens of a step group.
+CHUNK_TOKENS, STEP_TOKENS = 1 << 21, 1 << 16
 
 #: Words whose ids a task remembers.
 REMEMBERED = 600_000
@@ -111,18 +113,19 @@ class Tokens:
             self.sizes.append(len(ids))
             self.ids.extend(ids)
 
-    def of(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, `end` after each, and the number of each text's ids."""
         if len(self.known) > REMEMBERED:
             self.clear()
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        split = [t.split() for t in texts]
+        counts = np.array([len(words) for words in split], np.int64)
+        coded = Coded(lambda _: len(coded))
+        codes = coded.all(chain.from_iterable(split), int(counts.sum()), np.int64)
+        words = [w.decode("utf-8", "replace") for w in coded]
         if new := [w for w in words if w not in self.known]:
-            self.learn(new)
-        word = np.array([self.known[w] for w in words], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+            self.learn(list(dict.fromkeys(new)))
+        word = np.array([self.known[w] for w in words], np.int64)[codes]
         sizes = np.array(self.sizes, np.int64)[word]
-        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         text = np.repeat(np.arange(len(counts)), counts)
         lengths = np.bincount(text, weights=sizes, minlength=len(counts)).astype(np.int64) + 1
         before = np.cumsum(sizes) - sizes
@@ -235,12 +238,14 @@ def packed(
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 36
         sequences = groups = waiting = 0
-        parts: list[tuple[pa.RecordBatch, np.ndarray, np.ndarray]] = []
+        held: list[pa.RecordBatch] = []  # batches that the waiting documents come from
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # ids, lengths, places in those batches
 
         def flush() -> pa.RecordBatch:
-            nonlocal sequences, groups, waiting, parts
-            lengths = np.concatenate([n for _, _, n in parts])
-            all_ids = np.concatenate([i for _, i, _ in parts])
+            nonlocal sequences, groups, waiting
+            lengths = np.concatenate([n for _, n, _ in parts])
+            all_ids = np.concatenate([i for i, _, _ in parts])
+            places = np.concatenate([p for _, _, p in parts])
             first = (np.cumsum(lengths) - lengths).tolist()
             windows = pack(lengths.tolist(), tiers)
             group = step_groups([w for w, _ in windows], STEP_TOKENS)
@@ -259,28 +264,27 @@ def packed(
                         column.append(cell)
             sequences += len(windows)
             groups += max(group, default=-1) + 1
-            keys = pa.Table.from_batches([b for b, _, _ in parts]).take(pa.array(doc, pa.int64())).combine_chunks()
-            arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in keys.columns]
-            parts, waiting = [], 0
-            arrays = [a.chunk(0) if isinstance(a, pa.ChunkedArray) and a.num_chunks else a for a in arrays]
+            keys = pa.Table.from_batches(held).combine_chunks().take(pa.array(places[doc], pa.int64()))
+            arrays = [pa.concat_arrays(c.chunks) for c in keys.columns]
+            waiting = 0
+            parts.clear()
             return pa.RecordBatch.from_arrays([*arrays, *(pa.array(c, t) for c, (_, _, t) in zip(cells, added))], names=names)
 
         for batch in batches:
             tokens = tokens or Tokens(spec)
-            sizes = pc.fill_null(pc.binary_length(batch.column(width)), 0).to_numpy(zero_copy_only=False)
-            steps = np.cumsum(sizes) // STEP_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(steps)) + 1).tolist(), len(sizes)]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                body, lengths = tokens.of(part.column(width), END)
-                parts.append((part.select(key_places), body, lengths))
+            held = [*held, batch.select(list(range(width)))] if waiting else [batch.select(list(range(width)))]
+            place = sum(b.num_rows for b in held[:-1])
+            for part in portions(batch.column(width)):
+                body, lengths = tokens.of(part, END)
+                parts.append((body, lengths, np.arange(place, place + len(part))))
+                place += len(part)
                 waiting += len(body)
                 if waiting >= CHUNK_TOKENS:
                     yield flush()
+                    place -= sum(b.num_rows for b in held[:-1])
+                    held = held[-1:]
         if waiting:
             yield flush()
 
-    # keys under names of their own: a frame may hold one name twice
-    key_places = list(range(width))
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t, _ in added)])
-    return docs.select(*keep, docs[text].cast("string").alias("__text")).mapInArrow(rows, schema)
+    return docs.select(*keep, docs[text].cast("binary").alias("__text")).mapInArrow(rows, schema)

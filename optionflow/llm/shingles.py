@@ -6,18 +6,18 @@ pairs are mistaken for equal: none up to a few billion.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 
+from .texts import Coded
+
 # The multipliers of the splitmix64 finalizer and its increment.
 MIX_A, MIX_B, GOLDEN = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
 
-#: Text that is cut into shingles at a time.
-STEP_BYTES = 4_000_000
+#: Words whose hashes a task remembers.
+REMEMBERED = 500_000
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -28,51 +28,42 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `STEP_BYTES` of text each, or one row."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    at = np.cumsum(sizes) // STEP_BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(sizes)]
-    for a, b in zip(cuts, cuts[1:]):
-        yield batch.slice(a, b - a)
-
-
-def sets(texts: pa.Array, n: int) -> list[np.ndarray]:
-    """The distinct n-word shingles of each text, sorted. A-Z counts as a-z, words end at ASCII white space.
-
-    A text of fewer words has its whole word sequence as its one shingle; a text without words, or a null
-    one, has none.
-    """
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
-    coded = split.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in words], np.uint64)
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-    text = np.repeat(np.arange(len(counts)), counts)
-    if "" in words:  # before leading and after trailing white space
-        real = codes != words.index("")
-        codes, text = codes[real], text[real]
-        counts = np.bincount(text, minlength=len(counts))
-    word = hashes[codes]
-    places = max(0, len(word) - n + 1)
-    rolled = np.zeros(places, np.uint64)
-    for k in range(n):
-        rolled = rolled * np.uint64(GOLDEN) + word[k : k + places]
-    rolled = mix(rolled, n)
-    starts = np.cumsum(counts) - counts
-    found = []
-    for first, count in zip(starts.tolist(), counts.tolist()):
-        if count >= n:
-            found.append(np.unique(rolled[first : first + count - n + 1]))
-        elif count:
-            whole = 0
-            for w in word[first : first + count].tolist():
-                whole = (whole * GOLDEN + w) % 2**64
-            found.append(mix(np.array([whole], np.uint64), -count % 1000))
-        else:
-            found.append(np.empty(0, np.uint64))
-    return found
+class Shingles:
+    """The distinct n-word shingles of texts. A-Z counts as a-z, words end at ASCII white space."""
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+        self.words = Coded(xxhash.xxh3_64_intdigest)
+
+    def of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """A sorted array per text.
+
+        A text of fewer than n words has its whole word sequence as its one shingle, a text without words has
+        none.
+        """
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        n, split = self.n, [t.lower().split() for t in texts]
+        counts = [len(words) for words in split]
+        word = self.words.all(chain.from_iterable(split), sum(counts), np.uint64)
+        places = max(0, len(word) - n + 1)
+        rolled = np.zeros(places, np.uint64)
+        for k in range(n):
+            rolled = rolled * np.uint64(GOLDEN) + word[k : k + places]
+        rolled = mix(rolled, n)
+        found, first = [], 0
+        for count in counts:
+            if count >= n:
+                found.append(np.unique(rolled[first : first + count - n + 1]))
+            elif count:
+                whole = 0
+                for w in word[first : first + count].tolist():
+                    whole = (whole * GOLDEN + w) % 2**64
+                found.append(mix(np.array([whole], np.uint64), 1000 - count))
+            else:
+                found.append(np.empty(0, np.uint64))
+            first += count
+        return found
 
 
 def fingerprint(shingles: np.ndarray) -> int:
