@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .components import components
 from .shingles import Shingles, fingerprint, mix
@@ -315,7 +315,8 @@ def verified(pairs: DataFrame, kept_records: DataFrame, texts: DataFrame, n: int
 
 
 def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, fp, component_id) per document: its set's size and fingerprint, and the smallest id reachable by links.
+    """A row per document: id, `body` (the hash of its text), `n_shingles` and `fp` (its set's size and fingerprint),
+    `root` (the smallest fingerprint reachable by links) and `component_id` (the smallest id reachable).
 
     Documents with equal sets are linked. A document without words, or with a null text, is linked with
     nothing: its fp is null and it is its own component. A null id is never a component id, unless no document of a
@@ -376,14 +377,42 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
         links = links.unionByName(verified(again, known, texts, n, rule))
         roots = kept(components(links))
 
-    rows = with_roots(known.select("id", "size", "fp"), roots, "fp")
+    rows = with_roots(known.select("id", "body", "size", "fp"), roots, "fp")
     least = rows.filter("fp is not null").groupBy(F.col("root_fp").alias("r")).agg(F.min("id").alias("least"))
     named = rows.join(least, F.col("root_fp") == F.col("r"), "left")
     return named.select(
-        F.col("id").alias(id), F.col("size").alias("n_shingles"), "fp", F.coalesce("least", "id").alias("component_id")
+        F.col("id").alias(id),
+        "body",
+        F.col("size").alias("n_shingles"),
+        "fp",
+        F.col("root_fp").alias("root"),
+        F.coalesce("least", "id").alias("component_id"),
     )
 
 
+def one_each(docs: DataFrame, n: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document with the smallest id of each component, and every document without words; all columns.
+
+    Of rows with that id and the same text one stays, whichever.
+    """
+    found = link_components(docs, n, percent, id, text)
+    last = F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), "body")
+    winners = found.filter("fp is not null").groupBy("root").agg(F.min(last).alias("first"))
+    winners = winners.select(F.col("first.id").alias("id"), F.col("first.body").alias("body"), F.lit(True).alias("worded"))
+    bare = found.filter("fp is null").select(F.col(id).alias("id"), "body", F.lit(False).alias("worded")).distinct()
+    stays = winners.unionByName(bare)
+
+    def row_keys(key: Column, body: Column) -> dict[str, Column]:
+        return {"__id": F.xxhash64(key.isNull(), key), "__body": body}
+
+    # the id as it is decides; its hash is a key without nulls
+    chosen = stays.withColumns(row_keys(F.col("id"), F.col("body"))).select("__id", "__body", "worded")
+    keyed = docs.withColumns(row_keys(F.col(id).cast("bigint"), F.xxhash64(F.col(text).cast("binary"))))
+    matched = keyed.join(chosen, ["__id", "__body"])
+    alike = W.partitionBy("__id", "__body").orderBy("__id")
+    return matched.withColumn("__n", F.row_number().over(alike)).filter(~F.col("worded") | (F.col("__n") == 1)).select(*docs.columns)
+
+
 def with_roots(df: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     """Add `root_<column>`: the component of a set, itself if it has no link."""
     named = roots.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
