@@ -98,7 +98,7 @@ OPENSSH = b"openssh-key-v1\0"
 
 
 def is_openssh_key(data: bytes) -> bool:
-    """Magic, cipher, KDF name and options, key count and public keys, each by its length."""
+    """Magic, cipher, KDF name and options, key count, public keys and the private part, each by its length."""
     if not data.startswith(OPENSSH):
         return False
     at, fields = len(OPENSSH), 0
@@ -113,7 +113,8 @@ def is_openssh_key(data: bytes) -> bool:
         at += 4 + size
         if at + 4 > len(data):
             return False
-    return 1 <= keys <= 16
+    private = int.from_bytes(data[at : at + 4], "big")
+    return 1 <= keys <= 16 and at + 4 + private == len(data)
 
 
 def is_token(run: str) -> bool:

@@ -21,7 +21,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .store import kept, shared_folder
@@ -33,6 +33,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 CRLF = b"\r\n"
 
 LATIN = "ISO-8859-1"
+
+# Hadoop picks a file's codec by the last suffix, in the order of reversed names, that comes before the name. One
+# that never occurs, just before .warc.gz, hides the gzip codec from such files, so they are split and read as they are.
+AS_THEY_ARE = {
+    "io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+    "io.compress.passthrough.extension": ".varc.gz",
+    "org.apache.hadoop.shaded.io.compress.passthrough.extension": ".varc.gz",  # its name in the shaded client
+}
 GZIP = 31  # zlib's window bits for a gzip wrapper
 
 
@@ -117,24 +125,16 @@ def dispositions(pages: DataFrame) -> DataFrame:
 def write(pages: DataFrame, folder: str) -> None:
     """Write `page_id`, `url`, `html` of pages with dispositions as archives below a folder."""
 
-    def members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = []
-            for id, url, html, hexed, kind, refers in zip(
-                f["page_id"], f["url"], f["html"], f["digest_hex"], f["record_type"], f["refers_to"]
-            ):
-                payload = (html if isinstance(html, str) else "").encode()
+            for id, url, html, hexed, kind, refers in zip(*(c.to_pylist() for c in batch.columns)):
                 digest = base64.b32encode(bytes.fromhex(hexed)).decode()
-                where = url if isinstance(url, str) else None
-                out.append(member(record(kind, number(id), where, payload, digest, number(refers))))
-            yield pd.DataFrame({"member": out})
-
-    def number(cell: str | None) -> int | None:
-        return int(cell) if isinstance(cell, str) else None
+                out.append(member(record(kind, id, url, html or b"", digest, refers)))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
 
-    # ids travel as text: pandas would turn a column of integers with nulls into floats
-    columns = [F.col(c).cast("string").alias(c) for c in ("page_id", "url", "html", "digest_hex", "record_type", "refers_to")]
-    packed = pages.select(*columns).mapInPandas(members, "member binary")
+    columns = ["page_id", "url", F.col("html").cast("binary"), "digest_hex", "record_type", "refers_to"]
+    packed = pages.select(*columns).mapInArrow(members, "member binary")
     packed.select(F.col("member").cast("string")).write.option("encoding", LATIN).option(
         "lineSep", EMPTY.decode("latin-1")
     ).text(folder)
@@ -170,22 +170,26 @@ class Member:
 
 
 FIELDS = (
-    "path string, record_id bigint, record_type string, refers_to bigint, url string, payload_digest string, "
-    "payload_bytes bigint, intact boolean"
+    ("path", "string", pa.string()),
+    ("record_id", "bigint", pa.int64()),
+    ("record_type", "string", pa.string()),
+    ("refers_to", "bigint", pa.int64()),
+    ("url", "string", pa.string()),
+    ("payload_digest", "string", pa.string()),
+    ("payload_bytes", "bigint", pa.int64()),
+    ("intact", "boolean", pa.bool_()),
 )
-BLOCK = ", block binary"
-PIECE = ", start bigint, kind string, place bigint, piece binary"
-WHOLE = {"record_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64", "start": "Int64", "place": "Int64"}
+BLOCK = (("block", "binary", pa.binary()),)
+PIECE = (("start", "bigint", pa.int64()), ("kind", "string", pa.string()), ("place", "bigint", pa.int64()), ("piece", "binary", pa.binary()))
+Fields = tuple[tuple[str, str, pa.DataType], ...]
 
 
-def names(ddl: str) -> list[str]:
-    return [c.split()[0] for c in ddl.split(", ")]
+def ddl(fields: Fields) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind, _ in fields)
 
 
-def frame(rows: list[dict], ddl: str) -> pd.DataFrame:
-    """Rows with integer columns that can hold nulls."""
-    columns = names(ddl)
-    return pd.DataFrame(rows, columns=columns).astype({c: t for c, t in WHOLE.items() if c in columns})
+def arrays(rows: list[dict], fields: Fields) -> dict[str, pa.Array]:
+    return {name: pa.array([r.get(name) for r in rows], kind) for name, _, kind in fields}
 
 
 def record_row(path: str, data: bytes) -> dict | None:
@@ -217,7 +221,8 @@ def split_scan(spark: SparkSession, folder: str, blocks: bool) -> DataFrame:
     A cut member has its pieces in its own range as `open` and in the next ones as `tail`.
     """
     stretches = (
-        spark.read.option("encoding", LATIN)
+        spark.read.options(**AS_THEY_ARE)
+        .option("encoding", LATIN)
         .option("lineSep", MAGIC.decode("latin-1"))
         .text(folder)
         .select(
@@ -226,9 +231,9 @@ def split_scan(spark: SparkSession, folder: str, blocks: bool) -> DataFrame:
             F.col("value").cast("binary").alias("stretch"),
         )
     )
-    ddl = FIELDS + BLOCK * blocks + PIECE
+    fields = FIELDS + BLOCK * blocks + PIECE
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the rows of a byte range come in order; a task can have several ranges
         at, current, pieces, synced, place = None, None, [], False, 0
 
@@ -237,10 +242,9 @@ def split_scan(spark: SparkSession, folder: str, blocks: bool) -> DataFrame:
                 return []
             return [{"path": at[0], "start": at[1], "kind": "open", "place": k, "piece": p} for k, p in enumerate(pieces)]
 
-        for f in frames:
+        for batch in batches:
             out = []
-            for path, start, stretch in zip(f["path"], f["start"], f["stretch"]):
-                stretch = bytes(stretch)
+            for path, start, stretch in zip(*(c.to_pylist() for c in batch.columns)):
                 if (path, start) != at:
                     out += left()
                     at, current, pieces, synced, place = (path, start), None, [], start == 0, 0
@@ -263,10 +267,10 @@ def split_scan(spark: SparkSession, folder: str, blocks: bool) -> DataFrame:
                     if got := record_row(path, current.bytes()):
                         out.append(got | {"start": start, "kind": "member", "place": 0})
                     current, pieces = None, []
-            yield frame(out, ddl)
-        yield frame(left(), ddl)
+            yield pa.RecordBatch.from_pydict(arrays(out, fields))
+        yield pa.RecordBatch.from_pydict(arrays(left(), fields))
 
-    return stretches.mapInPandas(scan, ddl)
+    return stretches.mapInArrow(scan, ddl(fields))
 
 
 def read(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
@@ -278,24 +282,24 @@ def read(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
     """
     found = split_scan(spark, folder, blocks)
     found = found if blocks else kept(found)
-    ddl = FIELDS + BLOCK * blocks
+    fields = FIELDS + BLOCK * blocks
 
-    def sewn(f: pd.DataFrame) -> pd.DataFrame:
-        rows, current, path = [], None, f["path"].iloc[0]
-        f = f.assign(late=f["kind"] == "open").sort_values(["start", "late", "place"])
-        for kind, place, piece in zip(f["kind"], f["place"], f["piece"]):
+    def sewn(cut: pa.Table) -> pa.Table:
+        rows, current = [], None
+        pieces = sorted(cut.to_pylist(), key=lambda p: (p["start"], p["kind"] == "open", p["place"]))
+        for p in pieces:
             try:
-                if kind == "open" and place == 0:
+                if p["kind"] == "open" and p["place"] == 0:
                     current = Member()
-                if current is not None and current.add(bytes(piece)):
-                    rows.append(record_row(path, current.bytes()))
+                if current is not None and current.add(p["piece"]):
+                    rows.append(record_row(p["path"], current.bytes()))
                     current = None
             except zlib.error:
                 current = None
-        return frame([r for r in rows if r], ddl)
+        return pa.table(arrays([r for r in rows if r], fields))
 
-    whole = found.filter(F.col("kind") == "member").select(*names(ddl))
-    cut = found.filter(F.col("kind") != "member").groupBy("path").applyInPandas(sewn, ddl)
+    whole = found.filter(F.col("kind") == "member").select(*[name for name, _, _ in fields])
+    cut = found.filter(F.col("kind") != "member").groupBy("path").applyInArrow(sewn, ddl(fields))
     return whole.unionByName(cut)
 
 
@@ -306,5 +310,5 @@ def archive(pages: DataFrame, folder: str | None = None, blocks: bool = True) ->
     a null url has no field, a null page_id no record id.
     """
     folder = folder or shared_folder(pages.sparkSession)
-    write(dispositions(pages), folder)
+    write(dispositions(pages.select("page_id", "url", "html")), folder)
     return folder, read(pages.sparkSession, folder, blocks)
