@@ -307,8 +307,8 @@ def clock(ms: str, fmt: str) -> str:
 MOVES = """ticker, strike, option_type, paise / 100 as value, round(last_price, 2) as ltp, last_oi as oi, category,
     round(last_price - first_price, 2) as ltp_change, cast(last_oi - first_oi as double) as oi_change,
     cast(vol as double) as volume"""
-CONVICTION = """cast(alert_count as integer) as alert_count, round_even(minutes_active, 1) as time_active_minutes,
-    round_even(oi_growth, 1) as oi_growth_from_open, conviction, conviction_label"""
+CONVICTION = """cast(alert_count as integer) as alert_count, cast(printf('%.1f', (minutes_active)::double) as double) as time_active_minutes,
+    cast(printf('%.1f', (oi_growth)::double) as double) as oi_growth_from_open, conviction, conviction_label"""
 DAY_TIME = "%d/%m/%Y %H:%M:%S"
 MONTH_TIME = "%b %d %H:%M:%S"
 
@@ -349,7 +349,7 @@ def _bars_records(with_keys: bool) -> str:
     keys = "instrument_key, b, " if with_keys else ""
     body = _with(STRIKES, dim(ROWWISE, ACTIVE_ONLY), reset(None), BASELINE, NAMED.format(found="alerts"), recursive=True)
     return f"""{body}
-select {keys}{clock('last_ms', MONTH_TIME)} as timestamp, {MOVES}, round_even(paise / 100 / n, 0) as avg_trade_size
+select {keys}{clock('last_ms', MONTH_TIME)} as timestamp, {MOVES}, cast(printf('%.0f', (paise / 100 / n)::double) as double) as avg_trade_size
 from (select *, {flow_category('DISTRIBUTION')} as category from grown)"""
 
 
@@ -413,10 +413,8 @@ select reg_key, seq, conviction, conviction_label from scored""",
 select reg_key, seq, conviction, conviction_label from scored""",
     "high_conviction_feed": f"""{_with(SIGNALS, registered('signals', 'seq'), scored(DAY_SCORE))}
 select seq, concat('HIGH CONVICTION | ', ticker, ' ', strike, ' ', option_type, ' | Score: ', conviction, ' | OI+',
-  cast(cast(oi_growth as integer) as varchar), '% | Alerts today: ', alert_count, ' | Active: ',
-  cast(cast(floor(minutes_active) as integer) as varchar), 'min | ₹',
-  cast((cumulative_paise + 500000) // 1000000 // 10 as varchar), '.',
-  cast((cumulative_paise + 500000) // 1000000 % 10 as varchar), 'L total') as line
+  printf('%.0f', oi_growth), '% | Alerts today: ', alert_count, ' | Active: ', printf('%.0f', minutes_active), 'min | ₹',
+  printf('%.1f', cumulative_paise / 100 / 100000), 'L total | ', {clock('alert_ms', '%H:%M')}) as line
 from scored where conviction_label = 'HIGH_CONVICTION'""",
     "scan_arrival": f"""{_with(STRIKES, dim(ROWWISE, ACTIVE_ONLY), reset(10, 'arrival_ms'), BASELINE,
   NAMED.format(found='alerts'), recursive=True)}
@@ -429,12 +427,12 @@ from grown n left join (select * from strikes
     "scan_reset": f"""{_with(STRIKES, dim(ROWWISE, ACTIVE_ONLY), reset(240), BASELINE, NAMED.format(found='alerts'),
   LOG, registered('grown', 'instrument_key'), scored(DAY_SCORE), recursive=True)}
 select instrument_key, b, {clock('last_ms', DAY_TIME)} as timestamp, {MOVES}, {CONVICTION},
-  round_even(paise / 100 / n, 0) as avg_trade_size, cumulative_paise / 100 as cumulative_value
+  cast(printf('%.0f', (paise / 100 / n)::double) as double) as avg_trade_size, cumulative_paise / 100 as cumulative_value
 from (select *, {flow_category('EXITING')} as category from scored)""",
     "scan_sliding": f"""{_with(MASTER, dim(CALLS_FIRST), SLIDING + BASE_VOL, BASELINE, NAMED.format(found='flow'),
   LOG, registered('grown', 'instrument_key'), scored(FLOW_SCORE))}
 select instrument_key, b, {clock('last_ms', DAY_TIME)} as timestamp, {MOVES}, {CONVICTION}, side,
-  round_even(acceleration, 1) as acceleration, round_even(delta_pct, 1) as delta_pct
+  cast(printf('%.1f', (acceleration)::double) as double) as acceleration, cast(printf('%.1f', (delta_pct)::double) as double) as delta_pct
 from (select *, side as category from scored)""",
     "alert_json_roundtrip": _bars_records(False),
     "heat_board": f"""{_with(LOG)},
@@ -481,3 +479,5 @@ steps as (
 select ticker, tick as at_tick, round(heat, 6) as heat from steps
 qualify row_number() over (partition by ticker order by i desc) = 1""",
 }
+ORACLES["stream_registry_late"] = ORACLES["stream_registry"]
+ORACLES["stream_oi_latch_late"] = ORACLES["stream_oi_latch"]

@@ -9,7 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from optionflow.functions import classify
-from optionflow.operators import alerts as windows, board, chain as chains, records, registry, trades as trade_ops
+from optionflow.operators import alerts as windows, board, chain as chains, ordered, records, registry, trades as trade_ops
 from optionflow.plans import profiles as P, scan
 from optionflow.streaming import live
 from optionflow.workspace import settled
@@ -21,7 +21,6 @@ RUN_DATE = date(2024, 1, 30)
 LOCK = "00:10"  # the compressed feed runs from 00:00 to 00:43
 SLOW_RESET = replace(P.RESET, window_s=120)
 MINUTE_MS = 60_000
-SHARDS = 16
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -253,8 +252,8 @@ def strike_registry(spark, d):
     )
 
 
-def _scored(spark, d, profile):
-    """The log's days compressed twelvefold, with made-up signals per row, and scored."""
+def _registered(spark, d):
+    """The log's days compressed twelvefold, with made-up signals per row, and registered."""
     seq, ms = F.col("seq"), F.col("alert_ms")
     day = ms - ms % 86_400_000
     log = _log(spark, d).withColumns(
@@ -265,7 +264,11 @@ def _scored(spark, d, profile):
             "delta_pct": (seq % 101).cast("double"),
         }
     )
-    return scan.score(registry.register(log, tie=("seq",)), _history(spark, d), profile)
+    return registry.register(log, tie=("seq",))
+
+
+def _scored(spark, d, profile):
+    return scan.score(_registered(spark, d), _history(spark, d), profile)
 
 
 @query
@@ -280,8 +283,7 @@ def conviction_flow(spark, d):
 
 @query
 def high_conviction_feed(spark, d):
-    scored = _scored(spark, d, P.RESET).withColumn("minutes_active", F.floor("minutes_active").cast("double"))
-    return records.high_conviction_feed(scored).select("seq", "line")
+    return records.high_conviction_feed(_scored(spark, d, P.RESET)).select("seq", "line")
 
 
 # ---------------------------------------------------------------- whole scans
@@ -356,7 +358,7 @@ def movers(spark, d):
 @query
 def stream_dedup(spark, d):
     live.use_rocksdb(spark)
-    out = streams.run(spark, proxy.noisy_ticks(spark, d), lambda t: live.dedup_ticks(t, SHARDS))
+    out = streams.run(spark, proxy.noisy_ticks(spark, d), lambda t: live.dedup_ticks(t))
     return out.drop("batch_id")
 
 
@@ -374,48 +376,83 @@ def stream_burst(spark, d):
 @query
 def stream_reset(spark, d):
     live.use_rocksdb(spark)
-    build = lambda t: live.reset_alerts(t, SLOW_RESET, "5 seconds", SHARDS)
+    build = lambda t: live.reset_alerts(t, SLOW_RESET, "5 seconds")
     return _drop_flow(streams.run(spark, _closed_trades(spark, d), build).drop("batch_id"))
 
 
 @query
 def stream_bars(spark, d):
     live.use_rocksdb(spark)
-    build = lambda t: live.reset_alerts(t, P.BARS, "5 seconds", SHARDS)
+    build = lambda t: live.reset_alerts(t, P.BARS, "5 seconds")
     return _drop_flow(streams.run(spark, _closed_trades(spark, d), build).drop("batch_id"))
 
 
+def _latched(out):
+    """The last one sent counts."""
+    newest = [F.max_by(c, "batch_id").alias(c) for c in ("base_oi", "locked_ms")]
+    return out.groupBy("instrument_key", "trade_date").agg(*newest)
+
+
 @query
 def stream_oi_latch(spark, d):
     live.use_rocksdb(spark)
-    out = streams.run(spark, proxy.ticks(spark, d), lambda t: live.latch_oi(t, LOCK, shards=SHARDS))
-    return out.drop("batch_id")
+    return _latched(streams.run(spark, proxy.ticks(spark, d), lambda t: live.latch_oi(t, LOCK), mode="update"))
+
+
+REGISTERED = (
+    "reg_key",
+    "trade_date",
+    "seq",
+    "alert_count",
+    "cumulative_paise",
+    "minutes_active",
+    "first_gap",
+    "last_gap",
+)
 
 
 @query
 def stream_registry(spark, d):
     live.use_rocksdb(spark)
     log = _log(spark, d).select("reg_key", "alert_ms", "seq", "paise")
-    out = streams.run(spark, log, lambda a: live.register(a, ("seq",), shards=SHARDS))
-    return out.select(
-        "reg_key",
-        "trade_date",
-        "seq",
-        "alert_count",
-        "cumulative_paise",
-        "minutes_active",
-        "first_gap",
-        "last_gap",
-    )
+    return streams.run(spark, log, lambda a: live.register(a, ("seq",))).select(*REGISTERED)
+
+
+DAY_MS = 86_400_000
+
+
+@query
+def stream_registry_late(spark, d):
+    """Days arrive in the order of their last digit, a strike's alerts of a day in order of time."""
+    live.use_rocksdb(spark)
+    at, seq = F.col("alert_ms"), F.col("event_seq")
+    log = _log(spark, d).select("reg_key", "alert_ms", F.col("seq").alias("event_seq"), "paise")
+    day = F.call_function("div", at, F.lit(DAY_MS))
+    late = log.withColumn("seq", (day % 10) * 1_000_000_000_000 + seq)
+    places = ordered.running(late, [], ["seq"], ordered.row_chunk(F.col("seq"), proxy.CHUNK_ROWS), sums={"place": F.lit(1).cast("bigint")})
+    arrived = places.drop("seq").withColumnRenamed("place", "seq")
+    out = streams.run(spark, arrived, lambda a: live.register(a, ("event_seq",), lateness="400 days"))
+    return out.drop("seq").withColumnRenamed("event_seq", "seq").select(*REGISTERED)
+
+
+@query
+def stream_oi_latch_late(spark, d):
+    """The ticks arrive backwards; the first one by number counts."""
+    live.use_rocksdb(spark)
+    rows = proxy.ticks(spark, d)
+    back = rows.withColumn("tick_no", F.col("seq")).withColumn("seq", rows.agg(F.max("seq")).scalar() - F.col("seq"))
+
+    def build(t):
+        return live.latch_oi(t.drop("seq").withColumnRenamed("tick_no", "seq"), LOCK, lateness="400 days")
+
+    return _latched(streams.run(spark, back, build, mode="update"))
 
 
 @query
 def stream_heat(spark, d):
     """Latest score per ticker: the last batch that touched it wins."""
     live.use_rocksdb(spark)
-    out = streams.run(
-        spark, proxy.alert_log(spark, d), lambda a: live.heat_scores(a, MINUTE_MS, SHARDS), mode="update"
-    )
+    out = streams.run(spark, proxy.alert_log(spark, d), lambda a: live.heat_scores(a, MINUTE_MS), mode="update")
     last = out.groupBy("ticker").agg(
         F.max_by("heat", "batch_id").alias("heat"), F.max_by("at_tick", "batch_id").alias("at_tick")
     )

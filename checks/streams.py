@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from optionflow.sources import readers
 from optionflow.streaming import runs
 
-STRETCHES = 2
+STRETCHES = 4
 CLOSING_KEY = "~close"
 CLOSING_MS = 3_600_000
 
@@ -37,17 +37,6 @@ def run(spark: SparkSession, rows: DataFrame, build, mode: str = "append", stret
     and restarted from its checkpoint in between, so each stretch is one micro-batch, of any
     number of files, and every run is also a recovery test.
     """
-    setting = "spark.sql.shuffle.partitions"
-    partitions = spark.conf.get(setting)
-    # State partitions beyond the cores there are only cost commits.
-    spark.conf.set(setting, min(int(partitions), 2 * spark.sparkContext.defaultParallelism))
-    try:
-        return _run(spark, rows, build, mode, stretches)
-    finally:
-        spark.conf.set(setting, partitions)
-
-
-def _run(spark: SparkSession, rows: DataFrame, build, mode: str, stretches: int) -> DataFrame:
     folder = runs.work_folder(spark)
     last = rows.agg(F.max("seq").alias("seq")).scalar()
     stretch = F.call_function("div", F.col("seq") * stretches, last + 1)

@@ -16,6 +16,44 @@ def rupees(paise: Column) -> Column:
     return paise / F.lit(PAISE)
 
 
-def lakh_text(paise: Column) -> Column:
-    """`1.2L`"""
-    return F.format_string("%.1fL", paise / F.lit(PAISE * LAKH))
+def _scaled(x: Column, digits: int, ties_up: bool) -> Column:
+    """x * 10^digits as a whole number, rounded by the exact binary value of x (from 2^-8 to below 2^45).
+
+    x is n / 2^k with whole n and k, so its digits follow from whole-number arithmetic.
+    """
+    k = (F.lit(53) - F.floor(F.log2(x))).cast("int")
+    tens = (x * F.pow(F.lit(2.0), k)).cast("bigint") * F.lit(10**digits)
+    whole = F.call_function("shiftright", tens, k)
+    rest = tens - F.call_function("shiftleft", whole, k)
+    half = F.call_function("shiftleft", F.lit(1).cast("bigint"), k - 1)
+    up = rest >= half if ties_up else (rest > half) | ((rest == half) & (whole % 2 == 1))
+    return whole + up.cast("bigint")
+
+
+def scaled(x: Column, digits: int, ties_up: bool = False) -> Column:
+    """|x| * 10^digits as a whole number: half-even on the binary value of x, or half-up."""
+    size = F.abs(x)
+    return (
+        F.when(size < 2.0**-8, F.lit(0).cast("bigint"))
+        .when(size < 2.0**45, _scaled(size, digits, ties_up))
+        .otherwise(F.round(size * 10**digits).cast("bigint"))
+    )
+
+
+def half_even(x: Column, digits: int) -> Column:
+    """x rounded to so many decimals, half-even on its binary value: 2.675 gives 2.67, 0.25 gives 0.2."""
+    return F.signum(x) * (scaled(x, digits) / F.lit(10**digits))
+
+
+def fixed_text(x: Column, digits: int, ties_up: bool = False) -> Column:
+    """x with so many decimals (0 or 1); the sign stays where the digits are all 0."""
+    units = scaled(x, digits, ties_up)
+    sign = F.when(x < 0, "-").otherwise("")
+    if digits == 0:
+        return F.concat(sign, units.cast("string"))
+    return F.concat(sign, F.call_function("div", units, F.lit(10)).cast("string"), F.lit("."), (units % 10).cast("string"))
+
+
+def lakh_text(paise: Column, ties_up: bool = True) -> Column:
+    """`1.2L`; ties go up, or to even."""
+    return F.concat(fixed_text(paise / F.lit(PAISE) / F.lit(LAKH), 1, ties_up), F.lit("L"))

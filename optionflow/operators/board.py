@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import money
+from ..functions import money, text
 from . import ordered
 
 # Fixed values.
@@ -59,14 +59,14 @@ def recent(alerts: DataFrame, n: int = ROWS_KEPT, tie: str = "seq") -> DataFrame
 def movers(lines: DataFrame, chain: DataFrame) -> DataFrame:
     """`SYMBOL | 2.88% | 27.30` lines -> named rows; malformed lines are skipped."""
     part = F.split(F.trim("line"), r"\|")
-    number = lambda i: F.trim(F.replace(F.get(part, F.lit(i)), F.lit("%"), F.lit(""))).try_cast("double")
+    cell = lambda i: F.trim(F.get(part, F.lit(i)))
     parsed = (
         lines.filter(F.size(part) >= 3)
         .select(
             "line_no",
-            F.trim(F.get(part, F.lit(0))).alias("symbol"),
-            number(1).alias("pct_change"),
-            F.trim(F.get(part, F.lit(2))).try_cast("double").alias("change"),
+            cell(0).alias("symbol"),
+            text.number(F.trim(F.replace(cell(1), F.lit("%"), F.lit("")))).alias("pct_change"),
+            text.number(cell(2)).alias("change"),
         )
         .filter(F.col("pct_change").isNotNull() & F.col("change").isNotNull())
     )

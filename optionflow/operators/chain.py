@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions import clock
+from ..functions import clock, text
 
 # Market segment, contract types, names left out of the company chain.
 SEGMENT = "NSE_FO"
@@ -52,7 +52,7 @@ def contracts(master: DataFrame, expiry: datetime) -> DataFrame:
         .select(*CONTRACT_COLUMNS, "seq")
         .withColumn("expiry", clock.utc_clock(F.col("expiry")))
         .filter(F.col("expiry") == F.lit(expiry).cast("timestamp_ntz"))
-        .withColumn("strike_price", F.col("strike_price").try_cast("double"))
+        .withColumn("strike_price", text.number(F.col("strike_price").cast("string")))
     )
 
 

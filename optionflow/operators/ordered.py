@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-CHUNK = "__chunk"
+CHUNK, KEY = "__chunk", "__key"
 
 
 def row_chunk(seq: Column, rows: int) -> Column:
@@ -41,15 +41,16 @@ def running(
     sums, previous = sums or {}, previous or {}
     keys = list(keys)
     inputs = {f"__in_{name}": col for name, col in {**sums, **previous}.items()}
-    base = df.withColumns({CHUNK: chunk, **inputs})
+    # a struct is never null, so rows with null keys or chunks meet their carries too
+    base = df.withColumns({CHUNK: F.struct(chunk.alias("at")), KEY: F.struct(F.lit(0).alias("any"), *keys), **inputs})
     partials = [F.sum(f"__in_{n}").alias(f"__sum_{n}") for n in sums]
     partials += [F.max_by(f"__in_{n}", order[0]).alias(f"__last_{n}") for n in previous]
-    summary = base.groupBy(*keys, CHUNK).agg(*partials)
+    summary = base.groupBy(KEY, CHUNK).agg(*partials)
 
-    per_key = W.partitionBy(*keys).orderBy(CHUNK)
+    per_key = W.partitionBy(KEY).orderBy(CHUNK)
     before = per_key.rowsBetween(W.unboundedPreceding, -1)
     carry = summary.select(
-        *keys,
+        KEY,
         CHUNK,
         *[F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0)).alias(f"__carry_{n}") for n in sums],
         *[F.lag(f"__last_{n}").over(per_key).alias(f"__carry_{n}") for n in previous],
@@ -57,11 +58,12 @@ def running(
 
     extra = [c for c in constants.columns if c not in keys] if constants is not None else []
     if extra:
-        carry = carry.join(constants, keys)
+        keyed = constants.select(F.struct(F.lit(0).alias("any"), *keys).alias(KEY), *extra)
+        carry = carry.join(keyed, KEY)
 
-    within = W.partitionBy(*keys, CHUNK).orderBy(*order)
+    within = W.partitionBy(KEY, CHUNK).orderBy(*order)
     upto = within.rowsBetween(W.unboundedPreceding, 0)
-    joined = base.join(carry, [*keys, CHUNK])
+    joined = base.join(carry, [KEY, CHUNK])
     return joined.select(
         *df.columns,
         *extra,

@@ -10,10 +10,10 @@ from ..sources import schemas
 
 
 def record_columns(profile: Profile, tz: str = "UTC") -> dict[str, Column]:
-    """Every field a record can have. Rounding is half-even."""
+    """Every field a record can have. Rounding is half-even on binary values."""
     c = F.col
     instant = c("alert_ms") if profile.clock == "arrival_ms" else c("last_ms")
-    ltp = c("last_price") if profile.category == "momentum" else F.bround("last_price", 2)
+    ltp = c("last_price") if profile.category == "momentum" else money.half_even(c("last_price"), 2)
     return {
         "timestamp": clock.clock_text(instant, profile.time_text, tz),
         "ticker": c("ticker"),
@@ -23,20 +23,20 @@ def record_columns(profile: Profile, tz: str = "UTC") -> dict[str, Column]:
         "ltp": ltp,
         "oi": c("last_oi").cast("bigint"),
         "category": c("category"),
-        "ltp_change": F.bround(c("last_price") - c("first_price"), 2),
+        "ltp_change": money.half_even(c("last_price") - c("first_price"), 2),
         "oi_change": (c("last_oi") - c("first_oi")).cast("double"),
         "volume": c("vol").cast("double"),
-        "avg_trade_size": F.bround(money.rupees(c("paise")) / c("n"), 0),
+        "avg_trade_size": money.half_even(money.rupees(c("paise")) / c("n"), 0),
         "is_atm": c("is_atm"),
         "alert_count": c("alert_count").cast("int"),
-        "time_active_minutes": F.bround("minutes_active", 1),
-        "oi_growth_from_open": F.bround("oi_growth", 1),
+        "time_active_minutes": money.half_even(c("minutes_active"), 1),
+        "oi_growth_from_open": money.half_even(c("oi_growth"), 1),
         "cumulative_value": money.rupees(c("cumulative_paise")),
         "conviction": c("conviction"),
         "conviction_label": c("conviction_label"),
         "side": c("side"),
-        "acceleration": F.bround("acceleration", 1),
-        "delta_pct": F.bround("delta_pct", 1),
+        "acceleration": money.half_even(c("acceleration"), 1),
+        "delta_pct": money.half_even(c("delta_pct"), 1),
     }
 
 
@@ -52,23 +52,46 @@ def log_rows(records: DataFrame, profile: Profile, keep: tuple[str, ...] = ()) -
     return records.select(*keep, *schemas.ALERT_LOG[profile.name].fieldNames())
 
 
-def high_conviction_feed(alerts: DataFrame) -> DataFrame:
-    """Formatted lines of the HIGH_CONVICTION alerts."""
+def high_conviction_feed(alerts: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Lines, in a format of our own, of the HIGH_CONVICTION alerts. Numbers are rounded half-even on binary values."""
     c = F.col
     line = F.format_string(
-        "HIGH CONVICTION | %s %s %s | Score: %d | OI+%.0f%% | Alerts today: %d | Active: %.0fmin | ₹%s total",
+        "HIGH CONVICTION | %s %s %s | Score: %d | OI+%s%% | Alerts today: %d | Active: %smin | ₹%s total | %s",
         c("ticker"),
         c("strike"),
         c("option_type"),
         c("conviction"),
-        c("oi_growth"),
+        money.fixed_text(c("oi_growth"), 0),
         c("alert_count"),
-        c("minutes_active"),
-        money.lakh_text(c("cumulative_paise")),
+        money.fixed_text(c("minutes_active"), 0),
+        money.lakh_text(c("cumulative_paise"), ties_up=False),
+        clock.clock_text(c("alert_ms"), "HH:mm", tz),
     )
     return alerts.filter(c("conviction_label") == "HIGH_CONVICTION").withColumn("line", line)
 
 
+def normal_form(rows: DataFrame, profile: Profile, tz: str = "UTC") -> DataFrame:
+    """Log rows or decoded messages with `paise`, `alert_ms` and `seq`, as history, heat and recent lists take them.
+
+    A time text without a date or year takes it from `trade_date`. `seq` is the order in which the
+    rows are read.
+    """
+    text, layout = F.col("timestamp"), profile.time_text
+    if "dd" not in layout:
+        text, layout = F.concat_ws(" ", F.col("trade_date").cast("string"), text), f"yyyy-MM-dd {layout}"
+    elif "yyyy" not in layout:
+        text, layout = F.concat_ws(" ", F.year("trade_date").cast("string"), text), f"yyyy {layout}"
+    wall = F.to_timestamp_ntz(text, F.lit(layout))
+    at = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.convert_timezone(F.lit(tz), F.lit("UTC"), wall))
+    return rows.withColumns(
+        {
+            "paise": F.round(F.col("value") * money.PAISE).cast("bigint"),
+            "alert_ms": at.cast("bigint"),
+            "seq": F.monotonically_increasing_id(),
+        }
+    )
+
+
 def to_messages(records: DataFrame) -> DataFrame:
     return records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 

@@ -15,18 +15,19 @@ REGISTRY_CHUNK_MS = 60_000
 def history(log: DataFrame, run_date) -> DataFrame:
     """Average alerts and value per trading day of every strike, without the run date.
 
-    Days are reduced first, so a busy strike arrives at the second step as one row per day.
-    Rows without a timestamp belong to no day and are left out.
+    One row per `reg_key`: strikes whose parts spell the same key count as one. Days are
+    reduced first, so a busy strike arrives at the second step as one row per day. Rows without a
+    timestamp belong to no day and are left out.
     """
-    strike = ["ticker", "strike", "option_type"]
+    key = classify.reg_key(F.col("ticker"), F.col("strike"), F.col("option_type"))
     per_day = (
         log.withColumn("day", F.substring("timestamp", 1, 10))
         .filter(F.col("day") != F.date_format(F.lit(run_date).cast("date"), clock.DAY))
-        .groupBy(*strike, "day")
+        .groupBy(key.alias("reg_key"), "day")
         .agg(F.count(F.lit(1)).alias("alerts"), F.sum("paise").alias("paise"))
     )
     return (
-        per_day.groupBy(*strike)
+        per_day.groupBy("reg_key")
         .agg(
             F.sum("alerts").alias("total_alerts"),
             F.sum("paise").alias("total_paise"),
@@ -34,7 +35,7 @@ def history(log: DataFrame, run_date) -> DataFrame:
         )
         .filter("trading_days > 0")
         .select(
-            classify.reg_key(F.col("ticker"), F.col("strike"), F.col("option_type")).alias("reg_key"),
+            "reg_key",
             (F.col("total_alerts") / F.col("trading_days")).alias("avg_alerts_per_day"),
             (F.col("total_paise") / F.col("trading_days")).alias("avg_paise_per_day"),
             "trading_days",

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import chain as chains, records
+from ..plans.profiles import Profile
 from . import schemas
 
 
@@ -50,13 +51,14 @@ def publish(rows: DataFrame, path: str, batch_id: int) -> None:
     records.to_messages(rows).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
-def log_and_publish(log_path: str, queue_path: str, keep: tuple[str, ...] = ("trade_date",)) -> Callable:
-    """`foreachBatch` function: log first, then publish the same rows."""
+def log_and_publish(log_path: str, queue_path: str, profile: Profile, keep: tuple[str, ...] = ("trade_date",)) -> Callable:
+    """`foreachBatch` function: log first, then publish. The log has the columns of the
+    profile's alert log, the message its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            append_alerts(batch, log_path, batch_id)
+            append_alerts(records.log_rows(batch, profile, keep), log_path, batch_id)
             publish(batch.drop(*keep), queue_path, batch_id)
         finally:
             batch.unpersist()
@@ -64,5 +66,7 @@ def log_and_publish(log_path: str, queue_path: str, keep: tuple[str, ...] = ("tr
     return write
 
 
-def write_high_conviction(alerts: DataFrame, path: str) -> None:
-    records.high_conviction_feed(alerts).select("line").write.mode("append").text(path)
+def write_high_conviction(alerts: DataFrame, path: str, batch_id: int, tz: str = "UTC") -> None:
+    """The lines of one batch, in a folder of their own: a repeated batch rewrites it."""
+    lines = records.high_conviction_feed(alerts, tz).select("line")
+    lines.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")

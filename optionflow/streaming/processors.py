@@ -1,224 +1,158 @@
-"""State machines for Structured Streaming.
+"""Per-key steps of the stateful streams.
 
-Keys are grouped into shards by hash. A shard's state is a short table with a few rows per
-key, read and written once per micro-batch, and the batch kernels run over all of its keys
-at once; a call to the state store per key would cost far more than the work itself. The
+Spark keeps one state row per key and calls a step with the key's rows of a micro-batch. The
 kernels are those of the batch operators, so a stream gives what they give.
 """
 
 from __future__ import annotations
 
+import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from ..operators.folds import difference, resets, window_rows
 
-# Python workers get these classes with the task, so they need not have the package.
+# Python workers get these functions with the task, so they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LAST_STATE = "instrument_key string, ltt bigint, vtt bigint"
-LATCH_STATE = "instrument_key string, trade_date date"
-BUCKET_STATE = (
-    "instrument_key string, b bigint, paise bigint, vol bigint, n bigint, first_price double, "
-    "last_price double, first_oi bigint, last_oi bigint, last_ms bigint, buy bigint, sell bigint"
-)
-REGISTRY_STATE = (
-    "reg_key string, trade_date date, alert_count bigint, cumulative_paise bigint, first_ms bigint, "
-    "second_ms bigint, last_ms bigint"
+Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
+
+LAST_STATE = "ltt bigint, vtt bigint"
+BUCKETS = (
+    "b bigint, paise bigint, vol bigint, n bigint, first_price double, last_price double, first_oi bigint, "
+    "last_oi bigint, last_ms bigint, buy bigint, sell bigint"
 )
-HEAT_STATE = "ticker string, heat double, at_tick bigint"
+REGISTRY_STATE = "alert_count bigint, cumulative_paise bigint, first_ms bigint, second_ms bigint, last_ms bigint"
+HEAT_STATE = "heat double, at_tick bigint"
 
 
 def names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-class Table:
-    """A list state seen as a frame."""
-
-    def __init__(self, handle: StatefulProcessorHandle, name: str, schema: str) -> None:
-        self.columns = names(schema)
-        self.state = handle.getListState(name, schema)
-
-    def read(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.state.get()), columns=self.columns)
-
-    def append(self, rows: pd.DataFrame) -> None:
-        if len(rows):
-            self.state.appendList(self._tuples(rows))
-
-    def write(self, rows: pd.DataFrame) -> None:
-        if len(rows):
-            self.state.put(self._tuples(rows))
-        else:
-            self.state.clear()
-
-    def _tuples(self, rows: pd.DataFrame) -> list[tuple]:
-        return list(zip(*[rows[c].astype(object).where(rows[c].notna(), None) for c in self.columns]))
-
-
-def stacked(*frames: pd.DataFrame) -> pd.DataFrame:
-    kept = [f for f in frames if len(f)]
-    return pd.concat(kept, ignore_index=True) if kept else frames[0]
-
+#: State of a reset window: the columns of its live buckets.
+BUCKET_STATE = ", ".join(f"{name} array<{kind}>" for name, kind in (c.split() for c in BUCKETS.split(", ")))
 
-class TickDedup(StatefulProcessor):
-    """Ticks -> trades; keeps the last accepted (time, volume) per instrument."""
 
-    def __init__(self, columns: list[str]) -> None:
-        self.out = columns
+def joined(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    return pd.concat(list(frames), ignore_index=True).sort_values(order, ignore_index=True)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = Table(handle, "last", LAST_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ticks = pd.concat(list(rows), ignore_index=True).assign(is_entry=False)
-        known = self.last.read()
-        fresh = ticks.loc[~ticks["instrument_key"].isin(known["instrument_key"]), ["instrument_key"]].drop_duplicates()
-        entries = stacked(known, fresh.assign(ltt=0, vtt=0)).assign(is_entry=True)
-        entries = entries.reindex(columns=ticks.columns, fill_value=0)
-        by = ["instrument_key"]
-        rows = stacked(entries, ticks).sort_values(
-            [*by, "is_entry", "seq"], ascending=[True, False, True], ignore_index=True
-        )
-        accepted, _ = difference(rows, by)
-        last = stacked(entries, accepted).drop_duplicates("instrument_key", keep="last")
-        self.last.write(last)
-        yield accepted[self.out]
-
-    def close(self) -> None:
-        pass
 
+def dedup(columns: list[str]) -> Step:
+    """Ticks -> trades; the state is the last accepted time and volume."""
 
-class OiLatch(StatefulProcessor):
-    """First positive open interest at or after the lock time, once per key and trade date."""
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ticks = joined(frames, ["seq"])
+        ltt, vtt = state.get if state.exists else (0, 0)
+        entry = ticks.iloc[:1].assign(ltt=ltt, vtt=vtt, is_entry=True)
+        rows = pd.concat([entry, ticks.assign(is_entry=False)], ignore_index=True)
+        accepted, last = difference(rows, [])
+        state.update((int(last["ltt"].iloc[0]), int(last["vtt"].iloc[0])))
+        yield accepted[columns]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.locked = Table(handle, "locked", LATCH_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        by = ["instrument_key", "trade_date"]
-        ticks = pd.concat(list(rows), ignore_index=True).sort_values("seq").drop_duplicates(by)
-        known = self.locked.read()
-        new = ticks.merge(known.assign(known=1), on=by, how="left")
-        new = new[new["known"].isna()].drop(columns="known")
-        both = stacked(known, new[by])
-        self.locked.write(both[both["trade_date"] >= both["trade_date"].max() - pd.Timedelta(days=1)])
-        yield new.rename(columns={"oi": "base_oi", "arrival_ms": "locked_ms"})[[*by, "base_oi", "locked_ms"]]
-
-    def close(self) -> None:
-        pass
+    return step
 
 
 class ResetWindow(StatefulProcessor):
-    """Reset-on-alert windows and value bars over a bucket stream.
+    """Reset-on-alert windows and value bars; the state is the live buckets of one window.
 
-    Buckets arrive whole and, from one micro-batch to the next, in order of their instants.
-    State: the live buckets of one window per instrument.
+    Buckets arrive whole and, from one micro-batch to the next, in order of their instants. A
+    processor, since the buckets are a streaming aggregate, which the step functions can't follow.
     """
 
-    def __init__(self, width: int | None, threshold_paise: int) -> None:
-        self.width, self.threshold = width, threshold_paise
+    def __init__(self, width: int | None, threshold_paise: int, columns: list[str]) -> None:
+        self.width, self.threshold, self.out = width, threshold_paise, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.live = Table(handle, "live", BUCKET_STATE)
+        self.live = handle.getValueState("live", BUCKET_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        buckets = pd.concat(list(rows), ignore_index=True)[names(BUCKET_STATE)]
-        yield self._judge(buckets)
-
-    def _judge(self, buckets: pd.DataFrame) -> pd.DataFrame:
-        """Alerts of new buckets; keeps what stays live of each instrument."""
-        held = self.live.read()
-        busy = held["instrument_key"].isin(buckets["instrument_key"])
-        by = ["instrument_key"]
-        rows = stacked(held[busy], buckets).sort_values([*by, "b"], ignore_index=True)
-        begin, alert, live = resets(rows, by, self.width, self.threshold)
-        keep = rows[live]
-        if self.width is None and len(keep):
-            at = np.flatnonzero(live)
-            key = keep["instrument_key"].to_numpy()
-            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            end = np.concatenate([start[1:], [len(at)]]) - 1
-            keep = window_rows(rows, at[start], at[end])
-        self.live.write(stacked(held[~busy], keep))
-        return window_rows(rows, begin, alert)[names(BUCKET_STATE)]
+        buckets = joined(rows, ["b"])[names(BUCKETS)]
+        held = self.live.exists()
+        if held:
+            known = pd.DataFrame(dict(zip(names(BUCKETS), self.live.get())))
+            buckets = pd.concat([known, buckets], ignore_index=True).sort_values("b", ignore_index=True)
+        begin, alert, live = resets(buckets, [], self.width, self.threshold)
+        at = np.flatnonzero(live)
+        keep = buckets.iloc[at]
+        if self.width is None and len(at):
+            keep = window_rows(buckets, at[:1], at[-1:])
+        if len(keep):
+            self.live.update(tuple(keep[c].tolist() for c in names(BUCKETS)))
+        elif held:
+            self.live.clear()
+        yield window_rows(buckets, begin, alert).assign(instrument_key=key[0])[self.out]
 
     def close(self) -> None:
         pass
 
 
-class StrikeRegistry(StatefulProcessor):
-    """Running state of each strike and trade date; strikes of earlier dates are forgotten."""
-
-    SCOPE = ["reg_key", "trade_date"]
-
-    def __init__(self, columns: list[str], order: list[str]) -> None:
-        self.out, self.order = columns, order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.strikes = Table(handle, "strikes", REGISTRY_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        alerts = pd.concat(list(rows), ignore_index=True).sort_values(self.order, ignore_index=True)
-        known = self.strikes.read()
-        seen = alerts.merge(known, on=self.SCOPE, how="left", suffixes=("", "_known"))
-        count = seen["alert_count"].fillna(0).astype("int64")
-        total = seen["cumulative_paise"].fillna(0).astype("int64")
-        at = seen["alert_ms"]
-        group = seen.groupby(self.SCOPE, sort=False)
-        nth = count + group.cumcount() + 1
-        last = group["alert_ms"].shift().fillna(seen["last_ms"])
-        first = seen["first_ms"].fillna(group["alert_ms"].transform("first"))
-        second = seen["second_ms"].fillna(at.where(nth == 2)).groupby([seen[c] for c in self.SCOPE]).ffill()
-        out = seen.assign(
+def registry(columns: list[str], order: list[str]) -> Step:
+    """Running state of one strike and trade date, until the watermark passes the date's end."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        alerts = joined(frames, order)
+        count, total, first, second, last = state.get if state.exists else (0, 0, None, None, None)
+        at = alerts["alert_ms"]
+        first = int(at.iloc[0]) if first is None else first
+        nth = count + 1 + np.arange(len(alerts))
+        if second is None and (nth >= 2).any():
+            second = int(at[nth == 2].iloc[0])
+        out = alerts.assign(
             alert_count=nth,
-            cumulative_paise=total + group["paise"].cumsum(),
-            first_ms=first.astype("int64"),
-            second_ms=second.astype("Int64"),
-            last_alert_ms=last.astype("Int64"),
-            last_ms=at,
+            cumulative_paise=total + alerts["paise"].cumsum(),
+            first_ms=first,
+            second_ms=pd.array(np.where(nth >= 2, second or 0, 0), dtype="Int64"),
+            last_alert_ms=at.shift().astype("Int64").fillna(pd.NA if last is None else last),
         )
-        state = stacked(known, out[names(REGISTRY_STATE)]).drop_duplicates(self.SCOPE, keep="last")
-        state = state[state["trade_date"] >= state["trade_date"].max() - pd.Timedelta(days=1)]
-        self.strikes.write(state.astype({"second_ms": "Int64"}))
-        yield out[self.out]
+        out.loc[nth < 2, "second_ms"] = pd.NA
+        state.update((int(nth[-1]), int(out["cumulative_paise"].iloc[-1]), first, second, int(at.iloc[-1])))
+        state.setTimeoutTimestamp(int(alerts["day_end_ms"].iloc[0]))
+        yield out[columns]
 
-    def close(self) -> None:
-        pass
+    return step
 
 
-class HeatScore(StatefulProcessor):
-    """Decayed score per ticker, brought forward by whole ticks when it is touched.
+def heat(decay: float, tick_ms: int) -> Step:
+    """Decayed score of one ticker, as of its latest alert.
 
-    Below 1 the score falls to 0, as it would if it were decayed every tick.
+    A late alert counts with what is left of its points by now. A score that falls below 1 is
+    0 from then on, as if it were decayed every tick, and its state is dropped.
     """
-
-    def __init__(self, decay: float, tick_ms: int) -> None:
-        self.decay, self.tick_ms = decay, tick_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.scores = Table(handle, "scores", HEAT_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        alerts = pd.concat(list(rows), ignore_index=True).sort_values(["alert_ms", "seq"])
-        scores = {t: (h, a) for t, h, a in self.scores.read().itertuples(index=False, name=None)}
-        for ticker, ms, points in zip(alerts["ticker"], alerts["alert_ms"], alerts["points"]):
-            heat, at = scores.get(ticker, (0.0, 0))
-            tick = int(ms) // self.tick_ms
-            scores[ticker] = (self.cooled(heat, max(tick - at, 0)) + float(points), max(at, tick))
-        table = pd.DataFrame([(t, h, a) for t, (h, a) in scores.items()], columns=names(HEAT_STATE))
-        self.scores.write(table)
-        yield table[table["ticker"].isin(alerts["ticker"])]
-
-    def cooled(self, heat: float, ticks: int) -> float:
-        heat *= self.decay**ticks
-        return heat if heat >= 1 else 0.0
-
-    def close(self) -> None:
-        pass
+    # an alert adds 100 points, so a score can only fall below 1 over a gap of this many ticks
+    long_gap = math.ceil(math.log(1 / 100) / math.log(decay)) - 1
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        alerts = joined(frames, ["alert_ms"])
+        tick, points = alerts["alert_ms"].to_numpy() // tick_ms, alerts["points"].to_numpy()
+        score, at = state.get if state.exists else (0.0, int(tick[0]))
+        late = tick < at
+        score += float((points[late] * decay ** (at - tick[late])).sum())
+        tick, points = tick[~late], points[~late]
+        gaps = np.flatnonzero(np.diff(np.concatenate([[at], tick])) >= long_gap)
+        for a, b in zip([0, *gaps], [*gaps, len(tick)]):
+            if a == b:
+                continue
+            begin, end = int(tick[a]), int(tick[b - 1])
+            left = score * decay ** (begin - at)
+            score = (left if left >= 1 else 0.0) * decay ** (end - begin)
+            score += float((points[a:b] * decay ** (end - tick[a:b])).sum())
+            at = end
+        state.update((score, at))
+        cold = at + math.ceil(math.log(1 / max(score, 1)) / math.log(decay)) + 1
+        state.setTimeoutTimestamp(max(cold * tick_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"ticker": [key[0]], "heat": [score], "at_tick": [at]})
+
+    return step
