@@ -35,12 +35,10 @@ def hash_unit(digest: Column) -> Column:
 
 def tempered(docs: DataFrame, exponent: float, epochs: float = 1.0, key: str = "source") -> DataFrame:
     """Rates (key, rate) for weights in proportion to n ** exponent; the mixture is `epochs` tables long."""
-    counts = docs.groupBy(key).agg(F.count("*").alias("n")).withColumn("n", F.col("n").cast("double"))
+    counts = docs.groupBy(key).agg(F.count("*").cast("double").alias("n"))
     counts = counts.withColumn("share", F.pow("n", F.lit(float(exponent))))
-    total = counts.agg(F.sum("share").alias("shares"), F.sum("n").alias("rows"))
-    one = F.lit(1).alias("one")
-    both = counts.select("*", one).join(total.select("*", one), "one")
-    return both.select(key, (F.col("share") / F.col("shares") * F.col("rows") * F.lit(float(epochs)) / F.col("n")).alias("rate"))
+    shares, rows = (counts.agg(F.sum(c)).scalar() for c in ("share", "n"))
+    return counts.select(key, (F.col("share") / shares * rows * F.lit(float(epochs)) / F.col("n")).alias("rate"))
 
 
 def weighted(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0, key: str = "source") -> DataFrame:
@@ -49,10 +47,8 @@ def weighted(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0, ke
     total = sum(weights.values())
     given = spark.createDataFrame([(k, float(w) / total) for k, w in weights.items()], f"{key} string, share double")
     counts = docs.groupBy(key).agg(F.count("*").alias("n"))
-    rows = docs.agg(F.count("*").alias("rows"))
-    one = F.lit(1).alias("one")
-    both = counts.join(given, key).select("*", one).join(rows.select("*", one), "one")
-    return both.select(key, (F.col("share") * F.col("rows") * F.lit(float(epochs)) / F.col("n")).alias("rate"))
+    rows = counts.agg(F.sum("n")).scalar()
+    return counts.join(given, key).select(key, (F.col("share") * rows * F.lit(float(epochs)) / F.col("n")).alias("rate"))
 
 
 def thresholds(mean: Column) -> Column:

@@ -19,6 +19,7 @@ chunks of bounded size; tasks compare a chunk, or in the second round two, in me
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +29,17 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .components import components
 from .shingles import Shingles, fingerprint, mix
-from .store import drop, kept
+from .store import kept
 from .texts import portions
 
-#: Counters of the frequency sketch, and how many of them travel in a row.
-SKETCH_BITS, SKETCH_ROW = 20, 1 << 14
+#: The frequency sketch has a counter for about so many tokens, between two bounds; counters that travel in a row.
+TOKENS_PER_COUNTER, LEAST_SKETCH, MOST_SKETCH, SKETCH_ROW = 8, 14, 24, 1 << 14
 
-#: Bits of an odd sketch. Orders beside the first one.
-ODD_BITS, MORE_ORDERS = 2048, 2
+#: Bits of an odd sketch per token, and its bounds. Orders beside the first one.
+ODD_BITS, LEAST_ODD, MOST_ODD, MORE_ORDERS = 4, 512, 1 << 16, 2
+
+#: Bits of the bitmap that finds the texts to verify, per set in question, and its bounds.
+FIND_BITS, LEAST_FIND, MOST_FIND = 16, 12, 26
 
 #: Lists up to this length give pairs; longer ones are compared in chunks of about so many sets.
 SHORT_LIST, CHUNK_SETS = 32, 1024
@@ -69,41 +73,49 @@ def text_key() -> list:
 def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
     """For each counter of the sketch, how far above the usual load it is, as a power of two; 0 if it isn't.
 
-    A token's count is at most its counter's, so a token of class 0 has a bounded list. What comes to
-    the driver is the sketch, whose size is fixed.
+    A token's count is at most its counter's, so a token of class 0 has a bounded list. What comes to the
+    driver is the sketch: at most 2^MOST_SKETCH counters. Its size only decides how well the first order tells
+    frequent tokens.
     """
-    size = 1 << SKETCH_BITS
+    words = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    bits = min(MOST_SKETCH, max(LEAST_SKETCH, (words // TOKENS_PER_COUNTER).bit_length()))
+    most = np.iinfo(np.uint16).max
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, shingles = np.zeros(size, np.int64), Shingles(n)
+        counts, shingles = np.zeros(1 << bits, np.uint32), Shingles(n)
         for batch in batches:
             for part in portions(batch.column(0)):
-                tokens = np.concatenate(shingles.of(part))
-                counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        yield from rows(dict(enumerate(counts.reshape(-1, SKETCH_ROW))))
+                places, times = np.unique(np.concatenate(shingles.of(part)) >> np.uint64(64 - bits), return_counts=True)
+                counts[places.astype(np.int64)] += times.astype(np.uint32)
+        yield from rows(dict(enumerate(counts.reshape(-1, min(SKETCH_ROW, 1 << bits)))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[number] = sums.get(number, 0) + np.frombuffer(data, "<u4").astype(np.int64)
+                part = np.frombuffer(zlib.decompress(data), "<u2").astype(np.uint32)
+                sums[number] = sums[number] + part if number in sums else part
         yield from rows(sums)
 
     def rows(parts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # a counter that is full stays far above the usual load
         for number, part in parts.items():
             if part.any():
-                data = np.minimum(part, 2**32 - 1).astype("<u4").tobytes()
+                data = zlib.compress(np.minimum(part, most).astype("<u2").tobytes(), 1)
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data])], names=["number", "counts"])
 
     ddl = "number int, counts binary"
     total = texts.select("text").mapInArrow(count, ddl).repartition("number").mapInArrow(add, ddl)
-    counts = np.zeros((size // SKETCH_ROW, SKETCH_ROW), np.int64)
+    counts = np.zeros((max(1, (1 << bits) // SKETCH_ROW), min(SKETCH_ROW, 1 << bits)), np.uint16)
     for row in total.collect():
-        counts[row["number"]] += np.frombuffer(row["counts"], "<u4")
+        counts[row["number"]] = np.frombuffer(zlib.decompress(row["counts"]), "<u2")
     counts = counts.reshape(-1)
-    load = counts.mean()
-    usual = load + 4 * np.sqrt(load) + 2
-    return np.where(counts > usual, 1 + np.log2(np.maximum(counts / usual, 1)).astype(np.int64), 0).astype(np.uint8)
+    load = float(counts.mean())
+    usual = min(load + 4 * load**0.5 + 2, most - 1)
+    classes = np.zeros(len(counts), np.uint8)
+    above = counts > usual
+    classes[above] = 1 + np.log2(counts[above] / usual).astype(np.uint8)
+    return classes
 
 
 # --- what is kept of every set --------------------------------------------------------
@@ -132,7 +144,7 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
 
     def filters(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
         p = rule.prefix(len(tokens))
-        rank = classes[tokens >> np.uint64(64 - SKETCH_BITS)]
+        rank = classes[tokens >> shift]
         late = rank.astype(np.uint64) << np.uint64(56)
         orders = []
         for order in range(1 + MORE_ORDERS):
@@ -145,6 +157,7 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
         more = b"".join(len(s).to_bytes(4, "little") + s.tobytes() for s in short)
         return rare, frequent, odd_sketch(tokens), more
 
+    shift = np.uint64(64 - (len(classes) - 1).bit_length())
     names = ["id", "body", "size", "fp", "first", "rare", "frequent", "odd", "more"]
     ids = pa.list_(pa.int64())
     kinds = (pa.int64(), pa.int64(), pa.bool_(), ids, ids, pa.binary(), pa.binary())
@@ -156,9 +169,28 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
 
 
 def odd_sketch(tokens: np.ndarray) -> bytes:
-    """Parities of the numbers of tokens that hash to each bit (Mitzenmacher, Pagh and Pham, 2014)."""
-    bits = (mix(tokens, 20) & np.uint64(ODD_BITS - 1)).astype(np.int64)
-    return np.packbits((np.bincount(bits, minlength=ODD_BITS) & 1).astype(np.uint8)).tobytes()
+    """Parities of the numbers of tokens that hash to each bit (Mitzenmacher, Pagh and Pham, 2014).
+
+    A sketch of twice the size folds to this one by exclusive or of its halves.
+    """
+    bits = min(MOST_ODD, max(LEAST_ODD, 1 << (ODD_BITS * len(tokens) - 1).bit_length()))
+    places = (mix(tokens, 20) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (a row each) brought down to so many 64-bit words."""
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """Bits in which two odd sketches differ: at most the number of tokens that only one set has."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64))
 
 
 def orders_of(more: bytes) -> list[np.ndarray]:
@@ -187,9 +219,16 @@ class Members:
     def __init__(self, f: pd.DataFrame) -> None:
         self.fp = f["fp"].to_numpy(np.int64)
         self.size = f["size"].to_numpy(np.int64)
-        self.odd = np.frombuffer(b"".join(f["odd"]), np.uint64).reshape(len(f), -1)
+        self.odd = [np.frombuffer(o, np.uint64) for o in f["odd"]]
         self.more = [orders_of(m) for m in f["more"]]
         self.root = f["root"].to_numpy(np.int64) if "root" in f else None
+        self.words = np.array([len(o) for o in self.odd], np.int64)
+        # sketches of one length as rows of a matrix, by length; `row` is a set's row in its matrix
+        self.tables, self.row = {}, np.empty(len(f), np.int64)
+        for length in np.unique(self.words):
+            here = np.flatnonzero(self.words == length)
+            self.tables[int(length)] = np.stack([self.odd[i] for i in here])
+            self.row[here] = np.arange(len(here))
 
     def candidates(self, other: Members, rule: Rule) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each set, the places and differences of those in `other` with a smaller fingerprint that pass all filters."""
@@ -200,12 +239,18 @@ class Members:
                 near = near[other.root[near] != self.root[i]]
             if not len(near):
                 continue
-            apart = np.bitwise_count(self.odd[i] ^ other.odd[near]).sum(1, dtype=np.int64)
-            passed = apart <= allowed[near]
-            near, apart = near[passed], apart[passed]
+            differ = np.empty(len(near), np.int64)
+            for length, table in other.tables.items():
+                here = other.words[near] == length
+                if here.any():
+                    words = min(length, len(self.odd[i]))
+                    rows = folded(table[other.row[near[here]]], words) ^ folded(self.odd[i], words)
+                    differ[here] = np.bitwise_count(rows).sum(1, dtype=np.int64)
+            passed = differ <= allowed[near]
+            near, differ = near[passed], differ[passed]
             keep = np.array([share_all(self.more[i], other.more[j]) for j in near], bool)
             if keep.any():
-                yield i, near[keep], apart[keep]
+                yield i, near[keep], differ[keep]
 
 
 PAIRS = "a bigint, b bigint, apart bigint"  # b < a
@@ -282,17 +327,32 @@ def long_lists(kept_records: DataFrame, rare: DataFrame) -> DataFrame:
 # --- verification -----------------------------------------------------------------------
 
 
-def verified(pairs: DataFrame, kept_records: DataFrame, texts: DataFrame, n: int, rule: Rule) -> DataFrame:
-    """Pairs (a, b) whose sets link, by the whole texts. Only texts of sets in a pair are moved by their sets."""
-    ends = pairs.select(F.col("a").alias("end")).unionByName(pairs.select(F.col("b").alias("end"))).distinct()
-    known = kept_records.filter("first")
-    known = known.groupBy("fp").agg(F.min(F.struct("id", "body")).alias("text_key"))
-    wanted = known.join(ends, F.col("fp") == F.col("end"), "left_semi")
-    wanted = wanted.select("fp", F.col("text_key.id").alias("of"), F.col("text_key.body").alias("of_body"))
-    found = texts.select(*text_key(), "text").join(
-        wanted, (F.col("body") == F.col("of_body")) & F.col("id").eqNullSafe(F.col("of"))
-    )
-    bodies = kept(found.select("fp", "text").dropDuplicates(["fp"]))
+def bodies_of(sets: DataFrame, kept_records: DataFrame, texts: DataFrame) -> DataFrame:
+    """(fp, text): one text for each of the sets.
+
+    A bitmap of the texts' hashes, of bounded size and therefore broadcast, keeps most other texts
+    from being moved; the join that follows is exact.
+    """
+    known = kept_records.filter("first").groupBy("fp").agg(F.min(F.struct("body", "id")).alias("key"))
+    wanted = known.join(sets.select(F.col("fp").alias("m")), F.col("fp") == F.col("m"), "left_semi")
+    wanted = kept(wanted.select("fp", F.col("key.id").alias("of"), F.col("key.body").alias("of_body")))
+    bits = min(MOST_FIND, max(LEAST_FIND, (FIND_BITS * wanted.count()).bit_length()))
+
+    def place(body: Column) -> tuple[Column, Column]:
+        bit = F.shiftrightunsigned(F.xxhash64(body), 64 - bits)
+        return F.shiftright(bit, 6), F.shiftleft(F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+
+    word, bit = place(F.col("of_body"))
+    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    word, bit = place(F.col("body"))
+    keyed = texts.select(*text_key(), "text").withColumn("at", word)
+    likely = keyed.join(F.broadcast(bitmap), F.col("at") == F.col("word")).filter(F.col("bits").bitwiseAND(bit) != 0)
+    found = likely.join(wanted, (F.col("body") == F.col("of_body")) & F.col("id").eqNullSafe(F.col("of")))
+    return kept(found.select("fp", "text").dropDuplicates(["fp"]))
+
+
+def verified(pairs: DataFrame, bodies: DataFrame, n: int, rule: Rule) -> DataFrame:
+    """Pairs (a, b) whose sets link, by the whole texts."""
     left = pairs.join(bodies.select(F.col("fp").alias("fa"), F.col("text").alias("text_a")), F.col("a") == F.col("fa"))
     both = left.join(bodies.select(F.col("fp").alias("fb"), F.col("text").alias("text_b")), F.col("b") == F.col("fb"))
 
@@ -306,9 +366,7 @@ def verified(pairs: DataFrame, kept_records: DataFrame, texts: DataFrame, n: int
                     good.append(bool(rule.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    result = kept(both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint"))
-    drop(texts.sparkSession, bodies)
-    return result
+    return kept(both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint"))
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -342,12 +400,15 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
 
     def best_before(f: pd.DataFrame) -> pd.DataFrame:
         m = Members(f)
-        found = [(i, near[k := int(apart.argmin())], apart[k]) for i, near, apart in m.candidates(m, rule)]
+        found = [(i, near[k := int(differ.argmin())], differ[k]) for i, near, differ in m.candidates(m, rule)]
         return frame([tuple(np.array(c, np.int64) for c in (m.fp[[i]], m.fp[[j]], [d])) for i, j, d in found])
 
     in_chunks = members.groupBy("token", "chunk").applyInPandas(best_before, PAIRS)
     nearest = candidates.unionByName(in_chunks).groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-    links = verified(kept(nearest), known, texts, n, rule)
+    nearest = kept(nearest)
+    ends = candidates.select("a", "b").unionByName(nearest).select(F.explode(F.array("a", "b")).alias("fp"))
+    bodies = bodies_of(ends.unionByName(long.select("fp")).distinct(), known, texts)
+    links = verified(nearest, bodies, n, rule)
     roots = kept(components(links))
 
     # the second round: candidates in different components, as far as they were not looked at
@@ -367,14 +428,14 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
         one, two = Members(f[f["chunk"] == x]), Members(f[f["chunk"] == y])
         rows = []
         for left, right in [(one, two)] if x == y else [(one, two), (two, one)]:
-            for i, near, apart in left.candidates(right, rule):
-                rows.append((np.full(len(near), left.fp[i]), right.fp[near], apart))
+            for i, near, differ in left.candidates(right, rule):
+                rows.append((np.full(len(near), left.fp[i]), right.fp[near], differ))
         return frame(rows)
 
     open_pairs = meets.groupBy("token", "x", "y").applyInPandas(across, PAIRS).select("a", "b")
     again = kept(split.unionByName(open_pairs).distinct().join(nearest.select("a", "b"), ["a", "b"], "left_anti"))
     if again.limit(1).count():
-        links = links.unionByName(verified(again, known, texts, n, rule))
+        links = links.unionByName(verified(again, bodies, n, rule))
         roots = kept(components(links))
 
     rows = with_roots(known.select("id", "body", "size", "fp"), roots, "fp")
@@ -432,10 +493,9 @@ def filtered(pairs: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
         for f in frames:
             if not len(f):
                 continue
-            sketch = [np.frombuffer(b"".join(f[c]), np.uint64).reshape(len(f), -1) for c in ("odd_a", "odd_b")]
-            apart = np.bitwise_count(sketch[0] ^ sketch[1]).sum(1, dtype=np.int64)
-            keep = apart <= rule.may_differ(f["size_a"].to_numpy(), f["size_b"].to_numpy())
-            f = f.assign(apart=apart)[keep]
+            differ = np.array([apart(x, y) for x, y in zip(f["odd_a"], f["odd_b"])], np.int64)
+            keep = differ <= rule.may_differ(f["size_a"].to_numpy(), f["size_b"].to_numpy())
+            f = f.assign(apart=differ)[keep]
             keep = [share_all(orders_of(x), orders_of(y)) for x, y in zip(f["more_a"], f["more_b"])]
             yield f.loc[np.array(keep, bool), ["a", "b", "apart"]]
 
