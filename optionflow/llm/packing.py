@@ -72,67 +72,78 @@ class Tokens:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.cores: dict[str, list[int]] = {}
-        self.ids, self.starts, self.sizes = array("I"), array("q"), array("q")
-
-    def learn(self, words: list[str]) -> None:
-        split: list[tuple[str, str] | None] = []
-        cores, rest = [], []
-        for word in words:
-            m = PLAIN.fullmatch(word.lower()) if self.plain is not None else None
-            split.append(m.groups() if m else None)
-            if m is None:
-                rest.append(word)
-                continue
-            if m[1] not in self.cores:
-                self.cores[m[1]] = []
-                cores.append(m[1])
-            if m[2] and m[2] not in self.cores:
-                self.cores[m[2]] = []
-                rest.append(m[2])
-        for a in range(0, len(cores), 10_000):
-            part = cores[a : a + 10_000]
-            spelled = [c if c.isascii() else c.encode().decode("latin-1").translate(self.letters) for c in part]
-            ids = self.plain.encode_batch_fast([" ".join(spelled)], add_special_tokens=False)[0].ids
-            cuts = [0, *(np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1).tolist()]
-            for core, x, y in zip(part, cuts, cuts[1:]):
-                self.cores[core] = ids[x:y]
-        other = dict(zip(rest, (e.ids for e in self.full.encode_batch_fast(rest, add_special_tokens=False)))) if rest else {}
-        for word, parts in zip(words, split):
-            if parts is None:
-                ids = other[word]
-            else:
-                ids = self.cores[parts[0]]
-                if parts[1]:
-                    if not self.cores[parts[1]]:
-                        self.cores[parts[1]] = other[parts[1]]
-                    ids = ids + self.cores[parts[1]]
-            self.known[word] = len(self.starts)
-            self.starts.append(len(self.ids))
-            self.sizes.append(len(ids))
-            self.ids.extend(ids)
+        """Forget all words. Part 0 is the empty one."""
+        self.words, self.new = Coded(self.number), []
+        self.parts: dict[str, int] = {"": 0}
+        self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        # each word is two parts: its letters and what follows them, or all of it and nothing
+        self.first, self.second = array("q"), array("q")
+
+    def number(self, word: bytes) -> int:
+        self.new.append(word)
+        return len(self.words)
+
+    def learn(self) -> None:
+        """Parts of the words that were numbered last, and ids of the parts that are new."""
+        plain: dict[str, int] = {}
+        other: dict[str, int] = {}
+
+        def part(text: str, kind: dict[str, int]) -> int:
+            at = self.parts.get(text)
+            if at is None:
+                at = self.parts[text] = kind[text] = len(self.parts)
+            return at
+
+        for word in self.new:
+            text = word.decode("utf-8", "replace")
+            m = PLAIN.fullmatch(text.lower()) if self.plain is not None else None
+            self.first.append(part(text, other) if m is None else part(m[1], plain))
+            self.second.append(0 if m is None else part(m[2], other))
+        self.new = []
+        fresh = len(self.parts) - len(self.starts)
+        starts, sizes = np.zeros(fresh, np.int64), np.zeros(fresh, np.int64)
+        chunks, end = [self.ids], len(self.ids)
+        texts = list(plain)
+        for a in range(0, len(texts), 10_000):
+            some = texts[a : a + 10_000]
+            spelled = " ".join(c if c.isascii() else c.encode().decode("latin-1").translate(self.letters) for c in some)
+            ids = np.array(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, np.uint32)
+            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+            at = np.array([plain[c] for c in some], np.int64) - len(self.starts)
+            starts[at], sizes[at] = end + cuts[:-1], np.diff(cuts)
+            chunks.append(ids)
+            end += len(ids)
+        for text, found in zip(other, self.full.encode_batch_fast(list(other), add_special_tokens=False) if other else ()):
+            at = other[text] - len(self.starts)
+            starts[at], sizes[at] = end, len(found.ids)
+            chunks.append(np.array(found.ids, np.uint32))
+            end += len(found.ids)
+        self.ids = np.concatenate(chunks)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
     def of(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, `end` after each, and the number of each text's ids."""
-        if len(self.known) > REMEMBERED:
+        if len(self.words) > REMEMBERED:
             self.clear()
         split = [t.split() for t in texts]
         counts = np.array([len(words) for words in split], np.int64)
-        coded = Coded(lambda _: len(coded))
-        codes = coded.all(chain.from_iterable(split), int(counts.sum()), np.int64)
-        words = [w.decode("utf-8", "replace") for w in coded]
-        if new := [w for w in words if w not in self.known]:
-            self.learn(list(dict.fromkeys(new)))
-        word = np.array([self.known[w] for w in words], np.int64)[codes]
-        sizes = np.array(self.sizes, np.int64)[word]
+        word = self.words.all(chain.from_iterable(split), int(counts.sum()), np.int64)
+        if self.new:
+            self.learn()
+        part = np.empty(2 * len(word), np.int64)
+        part[::2], part[1::2] = np.array(self.first, np.int64)[word], np.array(self.second, np.int64)[word]
+        part = part[part > 0]
         text = np.repeat(np.arange(len(counts)), counts)
-        lengths = np.bincount(text, weights=sizes, minlength=len(counts)).astype(np.int64) + 1
-        before = np.cumsum(sizes) - sizes
+        both = np.repeat(text, 1 + (np.array(self.second, np.int64)[word] > 0))
+        sizes = self.sizes[part]
+        lengths = np.bincount(both, weights=sizes, minlength=len(counts)).astype(np.int64) + 1
         ids = np.full(int(lengths.sum()), end, np.uint32)
-        step = np.arange(int(sizes.sum()))
-        to = step + np.repeat(text, sizes)  # one end id before for each earlier text
-        ids[to] = np.array(self.ids, np.uint32)[step + np.repeat(np.array(self.starts, np.int64)[word] - before, sizes)]
+        total = int(sizes.sum())
+        step = np.arange(total)
+        # a part's ids come from where it starts, and go behind one end id for each earlier text
+        source = step + np.repeat(self.starts[part] - (np.cumsum(sizes) - sizes), sizes)
+        step += np.repeat(both, sizes)
+        ids[step] = self.ids[source]
         return ids, lengths
 
 
