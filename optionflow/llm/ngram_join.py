@@ -340,7 +340,7 @@ def bodies_of(sets: DataFrame, kept_records: DataFrame, texts: DataFrame) -> Dat
 
     def place(body: Column) -> tuple[Column, Column]:
         bit = F.shiftrightunsigned(F.xxhash64(body), 64 - bits)
-        return F.shiftright(bit, 6), F.shiftleft(F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+        return F.shiftright(bit, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
 
     word, bit = place(F.col("of_body"))
     bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
