@@ -32,6 +32,9 @@ SWITCH, MOST = 12.0, 8.0
 
 NONE = "und"
 
+#: Bits of a letter in a gram's code. Words whose scores a task remembers.
+BITS, REMEMBERED = 21, 500_000
+
 # First code points of script ranges in Unicode, and the script from there on.
 RANGES = (
     (0x0000, "Latin"),
@@ -84,7 +87,7 @@ def script(letter: str) -> str:
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    grams: dict[str, int]  # rows of `scores`
+    grams: np.ndarray  # sorted codes of the grams: 21 bits per letter
     scores: np.ndarray  # log probability per gram and language
     unseen: np.ndarray  # log probability of any other gram, per language
     scripts: dict[str, np.ndarray]  # which languages use a script
@@ -104,7 +107,7 @@ def fit(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text",
     counts = {r[lang]: r["count"] for r in known.groupBy(lang).count().collect()}
     languages = tuple(sorted(counts))
     if not languages:
-        return Model((), {}, np.zeros((0, 0)), np.zeros(0), {})
+        return Model((), np.empty(0, np.int64), np.zeros((0, 0)), np.zeros(0), {})
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample / n))])
     taken = known.filter(unit(F.col(id), F.lit("sample")) < shares[F.col(lang)])
     letters = F.split(F.lower(F.col(text)), r"[^\p{L}]+")
@@ -124,7 +127,7 @@ def fit(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text",
     total = F.sum("n").over(W.partitionBy("lang", F.length("gram")))
     rows = top.withColumn("total", total).filter(F.col("place") <= GRAMS).collect()
 
-    index = {g: i for i, g in enumerate(sorted({r["gram"] for r in rows}))}
+    index = {g: i for i, g in enumerate(sorted({r["gram"] for r in rows}, key=code))}
     column = {l: j for j, l in enumerate(languages)}
     totals = np.ones((4, len(languages)))
     for r in rows:
@@ -143,31 +146,90 @@ def fit(docs: DataFrame, learn: Column, id: str = "doc_id", text: str = "text",
         row[column[r["lang"]]] += r["n"]
     shown = sum(used.values())
     scripts = {s: row >= SCRIPT_SHARE * np.maximum(shown, 1) for s, row in used.items()}
-    return Model(languages, index, scores, floor.mean(0), scripts)
+    grams = np.array([code(g) for g in index], np.int64)
+    return Model(languages, grams, scores, floor.mean(0), scripts)
 
 
-def word_scores(model: Model, words: list[str]) -> np.ndarray:
-    """A row per word: how much less each language explains it than the best one does, 0 to -MOST; zeros without letters."""
-    out = np.zeros((len(words), len(model.languages)))
-    for i, word in enumerate(words):
-        runs = LETTERS.findall(word)
-        if not runs:
-            continue
-        found, missing = [], 0
-        for run in runs:
-            whole = f"_{run}_"
-            n = len(run)
-            pieces = [*run, *(whole[k : k + 2] for k in range(n + 1)), *(whole[k : k + 3] for k in range(n))]
-            rows = [r for p in pieces if (r := model.grams.get(p)) is not None]
-            found += rows
-            missing += len(pieces) - len(rows)
+def code(gram: str) -> int:
+    """One number per gram of up to three letters."""
+    value = 0
+    for letter in gram:
+        value = value << BITS | ord(letter)
+    return value
+
+
+def word_scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A row per word: how much less each language explains it than the best one does, 0 to -MOST; and whether it has letters.
+
+    Words without letters have zeros.
+    """
+    runs = [LETTERS.findall(w) for w in words]
+    counts = np.array([len(r) for r in runs], np.int64)
+    lettered, totals = counts > 0, np.zeros((len(words), len(model.languages)))
+    if not lettered.any():
+        return totals, lettered
+    flat = list(chain.from_iterable(runs))
+    # each run and a line behind it, after one line; `word` is the word of each place
+    letters = np.frombuffer(f"_{'_'.join(flat)}_".encode("utf-32-le"), np.uint32).astype(np.int64)
+    sizes = np.array([len(r) + 1 for r in flat], np.int64)
+    word = np.concatenate([[0], np.repeat(np.repeat(np.arange(len(words)), counts), sizes)])
+    middle = np.flatnonzero(letters != ord("_"))
+    before, after = letters[middle - 1], letters[middle + 1]
+    first = middle[before == ord("_")]
+    ones = letters[middle]
+    grams = np.concatenate(
+        [
+            ones,
+            ones << BITS | after,
+            ord("_") << BITS | letters[first],
+            before << 2 * BITS | ones << BITS | after,
+        ]
+    )
+    owner = np.concatenate([word[middle], word[middle], word[first], word[middle]])
+    at = np.minimum(np.searchsorted(model.grams, grams), len(model.grams) - 1)
+    known = model.grams[at] == grams
+    for j in range(len(model.languages)):
         # 1-, 2- and 3-grams say the same thing three times
-        row = (model.scores[found].sum(0) + missing * model.unseen) / 3
-        fits = model.scripts.get(script(runs[0][0]))
-        if fits is not None and fits.any():
-            row = np.where(fits, row, row.min() - MOST)
-        out[i] = np.maximum(row - row.max(), -MOST)
-    return out
+        value = np.where(known, model.scores[at, j], model.unseen[j]) / 3
+        totals[:, j] = np.bincount(owner, weights=value, minlength=len(words))
+    start = np.cumsum(counts) - counts
+    initial = [flat[i][0] if c else "" for i, c in zip(start.tolist(), counts.tolist())]
+    for letter in set(initial) - {""}:
+        fits = model.scripts.get(script(letter))
+        if fits is not None and fits.any() and not fits.all():
+            here = np.array([x == letter for x in initial])
+            rows = totals[here]
+            totals[here] = np.where(fits, rows, rows.min(1, keepdims=True) - MOST)
+    totals[lettered] = np.maximum(totals[lettered] - totals[lettered].max(1, keepdims=True), -MOST)
+    return totals, lettered
+
+
+class Scorer:
+    """Scores of words, each computed once per task."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.new = Coded(self.number), []
+        self.scores, self.lettered = np.zeros((0, len(self.model.languages)), np.float32), np.zeros(0, bool)
+
+    def number(self, word: str) -> int:
+        self.new.append(word)
+        return len(self.words)
+
+    def codes(self, words: Iterator[str], count: int) -> np.ndarray:
+        """Rows of `scores` and `lettered` for the words."""
+        if len(self.words) > REMEMBERED:
+            self.clear()
+        found = self.words.all(words, count, np.int64)
+        for a in range(0, len(self.new), 50_000):
+            scores, lettered = word_scores(self.model, self.new[a : a + 50_000])
+            self.scores = np.concatenate([self.scores, scores.astype(np.float32)])
+            self.lettered = np.concatenate([self.lettered, lettered])
+        self.new = []
+        return found
 
 
 def viterbi(emitted: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
@@ -219,18 +281,17 @@ def stretches(labels: np.ndarray, names: tuple[str, ...]) -> str:
     return ",".join(f"{names[labels[a]]}:{a}:{b}" for a, b in zip(edges, edges[1:]))
 
 
-def label(model: Model, texts: list[bytes], switch: float = SWITCH) -> tuple[list[str], list[float], list[str]]:
+def label(scorer: Scorer, texts: list[bytes], switch: float = SWITCH) -> tuple[list[str], list[float], list[str]]:
     """Language, score and stretches of each text."""
-    if not model.languages:
+    languages = scorer.model.languages
+    if not languages:
         return [NONE] * len(texts), [0.0] * len(texts), [""] * len(texts)
     split = [t.decode("utf-8", "replace").lower().split() for t in texts]
     lengths = np.array([len(words) for words in split], np.int64)
-    known = Coded(lambda _: len(known))
-    codes = known.all(chain.from_iterable(split), int(lengths.sum()), np.int64)
-    words = list(known)
-    scores = word_scores(model, words)
-    lettered = np.array([LETTERS.search(w) is not None for w in words], bool)[codes]
-    labels = viterbi(scores[codes], lengths, switch)
+    codes = scorer.codes(chain.from_iterable(split), int(lengths.sum()))
+    del split
+    labels = viterbi(scorer.scores[codes], lengths, switch)
+    lettered = scorer.lettered[codes]
     ends = np.cumsum(lengths)
     langs, shares, spans = [], [], []
     for a, b in zip(ends - lengths, ends):
@@ -238,15 +299,15 @@ def label(model: Model, texts: list[bytes], switch: float = SWITCH) -> tuple[lis
         if not len(mine):
             langs.append(NONE), shares.append(0.0), spans.append("")
             continue
-        counts = np.bincount(mine, minlength=len(model.languages))
-        langs.append(model.languages[int(counts.argmax())])
+        counts = np.bincount(mine, minlength=len(languages))
+        langs.append(languages[int(counts.argmax())])
         shares.append(float(counts.max() / len(mine)))
-        spans.append(stretches(labels[a:b], model.languages))
+        spans.append(stretches(labels[a:b], languages))
     return langs, shares, spans
 
 
 #: Text that a task labels at a time.
-STEP_BYTES = 24_000_000
+STEP_BYTES = 8_000_000
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, switch: float = SWITCH) -> DataFrame:
@@ -265,10 +326,11 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     names, width = [*keep, *(n for n, _ in added)], len(keep)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
         for batch in batches:
             langs, shares, spans = [], [], []
             for part in portions(batch.column(width), STEP_BYTES):
-                for column, cells in zip((langs, shares, spans), label(model, part, switch)):
+                for column, cells in zip((langs, shares, spans), label(scorer, part, switch)):
                     column += cells
             columns = [pa.array(langs, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=names)

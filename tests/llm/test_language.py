@@ -26,7 +26,7 @@ def test_mixed_text_is_cut_where_languages_meet(spark, model):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 600 and text not like '%|%'")
     one = {r.lang: r.text.split()[:80] for r in docs.dropDuplicates(["lang"]).collect()}
     text = " ".join(one["fr"] + one["en"])
-    langs, shares, spans = language.label(model, [text.encode()])
+    langs, shares, spans = language.label(language.Scorer(model), [text.encode()])
     parts = [s.split(":") for s in spans[0].split(",")]
     assert [p[0] for p in parts] == ["fr", "en"] and abs(int(parts[0][2]) - 80) <= 3
     assert 0.4 < shares[0] < 0.6 and langs[0] in ("fr", "en")
@@ -55,7 +55,7 @@ def test_scripts_narrow_the_candidates(spark):
     model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), F.lit(True))
     assert model.languages == ("en", "es", "ru")
     assert model.scripts["Cyrillic"].tolist() == [False, False, True]
-    assert language.label(model, ["неизвестное слово".encode()])[0] == ["ru"]
+    assert language.label(language.Scorer(model), ["неизвестное слово".encode()])[0] == ["ru"]
 
 
 def plain_viterbi(scores, switch):

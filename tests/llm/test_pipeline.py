@@ -38,7 +38,7 @@ def test_language_stage_rejects_only_texts_without_language(stages, spark):
     assert lost == {9001: 1, 9002: 1, 9003: 1}
     assert next(r.lang for r in after if r.doc_id == 9004) == "en"
     model = language.fit(stages[0], language.F.lit(True))
-    langs, shares, _ = language.label(model, [(r.text or "").encode() for r in before])
+    langs, shares, _ = language.label(language.Scorer(model), [(r.text or "").encode() for r in before])
     stays = [r.doc_id for r, l, s in zip(before, langs, shares) if l != "und" and s >= pipeline.LEAST_SHARE]
     assert Counter(stays) == Counter(r.doc_id for r in after)
 
