@@ -145,3 +145,25 @@ def test_flow_conviction_steps(spark):
     value = score.flow_conviction(*[F.col(c) for c in ("g", "c", "a", "d", "h")])
     got = column(spark, rows, "g double, c bigint, a double, d double, h double, want int", value, "want")
     assert [g[0] for g in got] == [g[1] for g in got]
+
+
+def test_numbers_are_rounded_by_their_binary_value(spark):
+    import random
+
+    rng = random.Random(5)
+    values = [0.0, 0.5, 1.5, 2.5, 0.25, 0.75, 0.35, 0.05, 0.15, 2.675, 1.005, -0.4, -2.5, 1e13 + 0.5, 0.004, 0.0039, 123456.785]
+    values += [rng.randrange(10**7) / 200 for _ in range(400)] + [rng.uniform(-1e4, 1e4) for _ in range(200)] + [2.0**k for k in range(-9, 40)]
+    exprs = [money.half_even(F.col("x"), d) for d in (0, 1, 2)] + [money.fixed_text(F.col("x"), d) for d in (0, 1)]
+    got = column(spark, [(v,) for v in values], "x double", F.struct(*[e.alias(f"e{i}") for i, e in enumerate(exprs)]))
+    for v, (row,) in zip(values, got):
+        assert tuple(row)[:3] == (float(round(v, 0)), round(v, 1), round(v, 2)), v
+        assert tuple(row)[3:] == (f"{v:.0f}", f"{v:.1f}"), v
+
+
+def test_numbers_in_text(spark):
+    from optionflow.functions import text
+
+    cells = ["1.0", "-2", "+.5", "3.", "1e3", "1.0d", "2f", "0x1", "", "n/a", "NaN", "inf", None]
+    got = [r for (r,) in column(spark, [(c,) for c in cells], "c string", text.number(F.col("c")))]
+    assert got[:5] == [1.0, -2.0, 0.5, 3.0, 1000.0] and got[5:10] == [None] * 5 and got[12] is None
+    assert got[10] != got[10] and got[11] == float("inf")

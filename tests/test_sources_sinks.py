@@ -113,7 +113,7 @@ def test_high_conviction_lines(spark, tmp_path):
         sinks.write_high_conviction(scored(spark), str(tmp_path / "hot"), 7)
     lines = sorted(r.value for r in spark.read.text(str(tmp_path / "hot")).collect())
     assert len(lines) == 2
-    assert lines[0] == "HIGH CONVICTION | A 10.0 CE | Score: 102 | OI+33% | Alerts today: 2 | Active: 2min | ₹1.0L total"
+    assert lines[0] == "HIGH CONVICTION | A 10.0 CE | Score: 102 | OI+33% | Alerts today: 2 | Active: 2min | ₹1.0L total | 00:00"
 
 
 def test_bad_feed_messages_are_quarantined(spark):
@@ -127,3 +127,18 @@ def test_bad_feed_messages_are_quarantined(spark):
 def test_movers_lines_keep_order(spark, tmp_path):
     (tmp_path / "m.txt").write_text("a | 1% | 2\nb | 2% | 3\n")
     assert [r.line for r in readers.movers_lines(spark, str(tmp_path / "m.txt")).orderBy("line_no").collect()][0][0] == "a"
+
+
+def test_log_keeps_its_columns_and_reads_back_in_normal_form(spark, tmp_path):
+    built = records.alert_records(scored(spark), P.RESET).withColumn("trade_date", F.lit(date(1970, 1, 1)))
+    write = sinks.log_and_publish(str(tmp_path / "log"), str(tmp_path / "queue"), P.RESET)
+    for _ in range(2):
+        write(built, 3)
+    log = readers.alert_log(spark, str(tmp_path / "log"))
+    assert set(log.columns) == {*records.schemas.ALERT_LOG["reset"].fieldNames(), "trade_date", "batch_id"}
+    rows = records.normal_form(log, P.RESET).select("paise", "alert_ms").collect()
+    assert sorted(r.paise for r in rows) == [1_234_567, 1_234_568, 1_234_569] and {r.alert_ms for r in rows} == {5000}
+    for profile, text in ((P.ARRIVAL, "01:02:03"), (P.BARS, "Jan 01 01:02:03")):
+        one = spark.createDataFrame([(text, 1.5, date(1970, 1, 1))], "timestamp string, value double, trade_date date")
+        got = records.normal_form(one, profile, "Asia/Kolkata").first()
+        assert (got.paise, got.alert_ms) == (150, 3_723_000 - 19_800_000)

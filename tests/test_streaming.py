@@ -67,9 +67,9 @@ def test_oi_latch_equals_batch(spark):
 
 
 def test_registry_equals_the_model(spark):
-    rows = [("hot" if i % 2 else f"r{i % 5}", i * 700 % 40_000 + (i // 20) * 40_000, i, i + 1) for i in range(60)]
+    rows = [("hot" if i % 2 else f"r{i % 5}", 1000 + i * 700 % 40_000 + (i // 20) * 40_000, i, i + 1) for i in range(60)]  # a watermark starts at 0
     alerts = spark.createDataFrame(rows, "reg_key string, alert_ms bigint, seq bigint, paise bigint")
-    out = streams.run(spark, alerts, lambda a: live.register(a, ("seq",)))
+    out = streams.run(spark, alerts, lambda a: live.register(a, ("seq",)), stretches=2)
     got = sorted(
         (r.reg_key, r.seq, r.alert_count, r.cumulative_paise, r.minutes_active, r.first_gap, r.last_gap)
         for r in out.collect()
