@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .components import components
 from .shingles import Shingles, fingerprint, mix
-from .store import kept
+from .store import drop, kept
 from .texts import portions
 
 #: The frequency sketch has a counter for about so many tokens, between two bounds; counters that travel in a row.
@@ -395,6 +395,7 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     marks = kept(marks.join(needed, F.col("fp") == F.col("m"), "left_semi").dropDuplicates(["fp"]))
 
     candidates = kept(filtered(short_pairs, marks, rule))
+    drop(docs.sparkSession, rare)
     chunked = long.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     members = chunked.join(marks.withColumnRenamed("fp", "mark"), F.col("fp") == F.col("mark")).drop("mark")
 
@@ -438,6 +439,8 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
         links = links.unionByName(verified(again, bodies, n, rule))
         roots = kept(components(links))
 
+    drop(docs.sparkSession, long, marks, candidates, nearest, bodies, again)
+
     rows = with_roots(known.select("id", "body", "size", "fp"), roots, "fp")
     least = rows.filter("fp is not null").groupBy(F.col("root_fp").alias("r")).agg(F.min("id").alias("least"))
     named = rows.join(least, F.col("root_fp") == F.col("r"), "left")

@@ -29,15 +29,21 @@ def unit(*columns: Column | str) -> Column:
 
 
 def ranked(
-    df: DataFrame, keys: Sequence[str], position: Column, order: Sequence[Column | str], rank: str, size: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    order: Sequence[Column | str],
+    rank: str,
+    size: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add `rank`, from 0 within equal `keys` (nulls are equal), and optionally the key's row count.
 
     `position` is a number from 0 to below 1 that does not decrease along `order` and spreads a
     key's rows about evenly. `order` decides within a chunk; rows that tie in it
-    may take each other's ranks.
+    may take each other's ranks. `rows` is the row count, if it is known.
     """
-    n = chunks(df.count())
+    n = chunks(df.count() if rows is None else rows)
     base = df.withColumns({KEY: F.struct(F.lit(0), *keys), CHUNK: F.floor(position * F.lit(float(n)))})
     counts = base.groupBy(KEY, CHUNK).agg(F.count("*").alias(SIZE))
     along = W.partitionBy(KEY).orderBy(CHUNK)

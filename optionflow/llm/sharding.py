@@ -29,10 +29,11 @@ def interleave(df: DataFrame, stratum: str, identity: Sequence[Column | str], se
     mixed = df.withColumn(MIX, F.xxhash64(F.lit(seed), *identity))
     place = F.shiftrightunsigned(MIX, 11).cast("double") * F.lit(2.0**-53)
     order = [F.shiftrightunsigned(MIX, 11), F.col(MIX), *identity]
-    within = ranked(mixed.withColumn(PLACE, place), [stratum], F.col(PLACE), order, RANK, SIZE)
+    rows = df.count()
+    within = ranked(mixed.withColumn(PLACE, place), [stratum], F.col(PLACE), order, RANK, SIZE, rows)
     fraction = (F.col(RANK) + unit(F.lit(seed), F.lit("stratum"), F.col(stratum))) / F.col(SIZE)
     spread = within.withColumn(FRACTION, fraction)
-    placed = ranked(spread, [], F.col(FRACTION), [FRACTION, MIX, *identity], "position", "n_rows")
+    placed = ranked(spread, [], F.col(FRACTION), [FRACTION, MIX, *identity], "position", "n_rows", rows)
     return placed.drop(RANK, SIZE, PLACE, FRACTION, MIX)
 
 
