@@ -11,7 +11,6 @@ in Spark; the model has at most `GRAMS` grams per language, whatever the corpus
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from .ranks import unit
@@ -77,7 +77,7 @@ STARTS = [a for a, _ in RANGES]
 #: A language is a candidate for a script that holds at least this share of its words.
 SCRIPT_SHARE = 0.01
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def script(letter: str) -> str:

@@ -33,7 +33,7 @@ def test_mixed_text_is_cut_where_languages_meet(spark, model):
 
 
 def test_odd_rows(spark, model):
-    rows = [(1, None, "x"), (2, "", "x"), (3, "12 34 !?", "x"), (4, "the " * 50_000, None), (4, "the " * 50_000, None), (None, "Und der die das", "x")]
+    rows = [(1, None, "x"), (2, "", "x"), (3, "12 34 !? ² ½ _", "x"), (4, "the " * 50_000, None), (4, "the " * 50_000, None), (None, "Und der die das", "x")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = language.predict(df, model, keep=["doc_id", "lang"]).collect()
     assert [(r.doc_id, r.lang) for r in got] == [(a, c) for a, _, c in rows]
