@@ -133,7 +133,7 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
                 for tokens in shingles.of(part):
                     fp = fingerprint(tokens) if len(tokens) else None
                     if fp is None or fp in seen:
-                        cells = (len(tokens), fp, False, None, None, None, None)
+                        cells = (len(tokens), fp, False, None, None, None, None, None)
                     else:
                         seen.add(fp)
                         cells = (len(tokens), fp, True, *filters(tokens))
@@ -142,7 +142,7 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
             columns = [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, kinds))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    def filters(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, bytes]:
+    def filters(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, bytes, bytes]:
         p = rule.prefix(len(tokens))
         rank = classes[tokens >> shift]
         late = rank.astype(np.uint64) << np.uint64(56)
@@ -155,15 +155,17 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
         frequent = tokens[first][rank[first] > 0].view(np.int64)
         short = [np.unique((mix(tokens[o], 10) & np.uint64(0xFFFF)).astype("<u2")) for o in rest]
         more = b"".join(len(s).to_bytes(4, "little") + s.tobytes() for s in short)
-        return rare, frequent, odd_sketch(tokens), more
+        odd = odd_sketch(tokens)
+        brief = folded(np.frombuffer(odd, np.uint64), LEAST_ODD // 64).tobytes()
+        return rare, frequent, brief, odd, more
 
     shift = np.uint64(64 - (len(classes) - 1).bit_length())
-    names = ["id", "body", "size", "fp", "first", "rare", "frequent", "odd", "more"]
+    names = ["id", "body", "size", "fp", "first", "rare", "frequent", "brief", "odd", "more"]
     ids = pa.list_(pa.int64())
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), ids, ids, pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), ids, ids, pa.binary(), pa.binary(), pa.binary())
     ddl = (
         "id bigint, body bigint, size bigint, fp bigint, first boolean, rare array<bigint>, frequent array<bigint>, "
-        "odd binary, more binary"
+        "brief binary, odd binary, more binary"
     )
     return texts.select(*text_key(), "text").mapInArrow(rows, ddl)
 
@@ -327,28 +329,40 @@ def long_lists(kept_records: DataFrame, rare: DataFrame) -> DataFrame:
 # --- verification -----------------------------------------------------------------------
 
 
-def bodies_of(sets: DataFrame, kept_records: DataFrame, texts: DataFrame) -> DataFrame:
-    """(fp, text): one text for each of the sets.
+def likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, count: int) -> DataFrame:
+    """Rows of `df` whose key may be among the wanted ones: all that are, and few others.
 
-    A bitmap of the texts' hashes, of bounded size and therefore broadcast, keeps most other texts
-    from being moved; the join that follows is exact.
+    The keys' hashes mark a bitmap of bounded size, which is therefore broadcast; it keeps most
+    rows from being moved by the exact join that has to follow.
     """
+    bits = min(MOST_FIND, max(LEAST_FIND, (FIND_BITS * count).bit_length()))
+
+    def place(key: Column) -> tuple[Column, Column]:
+        bit = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
+        return F.shiftright(bit, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+
+    word, bit = place(wanted_key)
+    bitmap = wanted.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    word, bit = place(key)
+    marked = df.withColumn("__at", word).join(F.broadcast(bitmap), F.col("__at") == F.col("__word"))
+    return marked.filter(F.col("__bits").bitwiseAND(bit) != 0).drop("__at", "__word", "__bits")
+
+
+def bodies_of(sets: DataFrame, kept_records: DataFrame, texts: DataFrame) -> DataFrame:
+    """(fp, text): one text for each of the sets."""
     known = kept_records.filter("first").groupBy("fp").agg(F.min(F.struct("body", "id")).alias("key"))
     wanted = known.join(sets.select(F.col("fp").alias("m")), F.col("fp") == F.col("m"), "left_semi")
     wanted = kept(wanted.select("fp", F.col("key.id").alias("of"), F.col("key.body").alias("of_body")))
-    bits = min(MOST_FIND, max(LEAST_FIND, (FIND_BITS * wanted.count()).bit_length()))
+    keyed = likely(texts.select(*text_key(), "text"), F.col("body"), wanted, F.col("of_body"), wanted.count())
+    found = keyed.join(wanted, (F.col("body") == F.col("of_body")) & F.col("id").eqNullSafe(F.col("of")))
+    return kept(found.select("fp", "text").dropDuplicates(["fp"]))
 
-    def place(body: Column) -> tuple[Column, Column]:
-        bit = F.shiftrightunsigned(F.xxhash64(body), 64 - bits)
-        return F.shiftright(bit, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
 
-    word, bit = place(F.col("of_body"))
-    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    word, bit = place(F.col("body"))
-    keyed = texts.select(*text_key(), "text").withColumn("at", word)
-    likely = keyed.join(F.broadcast(bitmap), F.col("at") == F.col("word")).filter(F.col("bits").bitwiseAND(bit) != 0)
-    found = likely.join(wanted, (F.col("body") == F.col("of_body")) & F.col("id").eqNullSafe(F.col("of")))
-    return kept(found.select("fp", "text").dropDuplicates(["fp"]))
+def marks_of(sets: DataFrame, kept_records: DataFrame) -> DataFrame:
+    """(fp, size, odd, more): what the filters need, a row for each of the sets."""
+    known = kept_records.filter("first").select("fp", "size", "odd", "more")
+    near = likely(known, F.col("fp"), sets, F.col("m"), sets.count())
+    return kept(near.join(sets, F.col("fp") == F.col("m"), "left_semi").dropDuplicates(["fp"]))
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, n: int, rule: Rule) -> DataFrame:
@@ -388,13 +402,13 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     long = kept(long_lists(known, rare))
     short_pairs = rare.filter("token is null").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    # what the filters need, for sets that are in a pair or a long list
-    in_pairs = short_pairs.select(F.col("a").alias("m")).unionByName(short_pairs.select(F.col("b").alias("m")))
-    needed = in_pairs.unionByName(long.select(F.col("fp").alias("m"))).distinct()
-    marks = known.filter("first").select("fp", "size", "odd", "more")
-    marks = kept(marks.join(needed, F.col("fp") == F.col("m"), "left_semi").dropDuplicates(["fp"]))
+    # a short sketch rules out most pairs; the rest of what the filters need is moved for few sets
+    brief = known.filter("first").groupBy("fp").agg(F.first("size").alias("size"), F.first("brief").alias("brief"))
+    hopeful = kept(passing_brief(short_pairs, kept(brief), rule))
+    in_pairs = hopeful.select(F.explode(F.array("a", "b")).alias("m"))
+    marks = marks_of(kept(in_pairs.unionByName(long.select(F.col("fp").alias("m"))).distinct()), known)
 
-    candidates = kept(filtered(short_pairs, marks, rule))
+    candidates = kept(filtered(hopeful, marks, rule))
     drop(docs.sparkSession, rare)
     chunked = long.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     members = chunked.join(marks.withColumnRenamed("fp", "mark"), F.col("fp") == F.col("mark")).drop("mark")
@@ -484,6 +498,26 @@ def with_roots(df: DataFrame, roots: DataFrame, column: str) -> DataFrame:
     return joined.withColumn(f"root_{column}", F.coalesce("__root", column)).drop("__node", "__root")
 
 
+def passing_brief(pairs: DataFrame, brief: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs that pass the length filter and the shortest odd sketch."""
+
+    def side(end: str) -> DataFrame:
+        return brief.select(*[F.col(c).alias(f"{c}_{end}") for c in ("fp", "size", "brief")])
+
+    met = pairs.join(side("a"), F.col("a") == F.col("fp_a")).join(side("b"), F.col("b") == F.col("fp_b"))
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                sizes = [batch.column(c).to_numpy() for c in (2, 4)]
+                sketch = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in (3, 5)]
+                differ = np.bitwise_count(sketch[0] ^ sketch[1]).sum(1, dtype=np.int64)
+                keep = np.maximum(differ, np.abs(sizes[0] - sizes[1])) <= rule.may_differ(*sizes)
+                yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return met.select("a", "b", "size_a", "brief_a", "size_b", "brief_b").mapInArrow(passed, "a bigint, b bigint")
+
+
 def filtered(pairs: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b, apart) that pass the length filter, the odd sketch and the other orders."""
 
