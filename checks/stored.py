@@ -139,7 +139,7 @@ def messages_heat(spark, d):
     """The board from the messages that the sink published. Their time text has whole seconds."""
     lines = spark.read.text(f"{_delivered(spark, d)}/queue").select("value")
     good, _ = records.from_messages(lines, P.RESET)
-    alerts = records.normal_form(good, P.RESET)
+    alerts = records.normal_form(good, P.RESET, numbered=False)
     hot = board.heat(alerts, alerts.agg(F.max("alert_ms")).scalar(), base.MINUTE_MS)
     return hot.select("ticker", F.floor(F.round("heat", 6) * 100).cast("bigint").alias("heat_100"), "alerts")
 

@@ -70,11 +70,11 @@ def high_conviction_feed(alerts: DataFrame, tz: str = "UTC") -> DataFrame:
     return alerts.filter(c("conviction_label") == "HIGH_CONVICTION").withColumn("line", line)
 
 
-def normal_form(rows: DataFrame, profile: Profile, tz: str = "UTC") -> DataFrame:
+def normal_form(rows: DataFrame, profile: Profile, tz: str = "UTC", numbered: bool = True) -> DataFrame:
     """Log rows or decoded messages with `paise`, `alert_ms` and `seq`, as history, heat and recent lists take them.
 
-    A time text without a date or year takes it from `trade_date`. `seq` is the order in which the
-    rows are read.
+    A time text without a date or year takes it from `trade_date`. `seq`, the order in which the rows are
+    read, is only needed to break ties of recent lists; it keeps a table out of scalar subqueries.
     """
     text, layout = F.col("timestamp"), profile.time_text
     if "dd" not in layout:
@@ -83,13 +83,10 @@ def normal_form(rows: DataFrame, profile: Profile, tz: str = "UTC") -> DataFrame
         text, layout = F.concat_ws(" ", F.year("trade_date").cast("string"), text), f"yyyy {layout}"
     wall = F.to_timestamp_ntz(text, F.lit(layout))
     at = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.convert_timezone(F.lit(tz), F.lit("UTC"), wall))
-    return rows.withColumns(
-        {
-            "paise": F.round(F.col("value") * money.PAISE).cast("bigint"),
-            "alert_ms": at.cast("bigint"),
-            "seq": F.monotonically_increasing_id(),
-        }
-    )
+    added = {"paise": F.round(F.col("value") * money.PAISE).cast("bigint"), "alert_ms": at.cast("bigint")}
+    if numbered:
+        added["seq"] = F.monotonically_increasing_id()
+    return rows.withColumns(added)
 
 
 def to_messages(records: DataFrame) -> DataFrame:
