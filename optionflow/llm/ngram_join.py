@@ -411,14 +411,16 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     candidates = kept(filtered(hopeful, marks, rule))
     drop(docs.sparkSession, rare)
     chunked = long.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    members = chunked.join(marks.withColumnRenamed("fp", "mark"), F.col("fp") == F.col("mark")).drop("mark")
+
+    def marked(members: DataFrame) -> DataFrame:
+        return members.join(marks.withColumnRenamed("fp", "mark"), F.col("fp") == F.col("mark")).drop("mark")
 
     def best_before(f: pd.DataFrame) -> pd.DataFrame:
         m = Members(f)
         found = [(i, near[k := int(differ.argmin())], differ[k]) for i, near, differ in m.candidates(m, rule)]
         return frame([tuple(np.array(c, np.int64) for c in (m.fp[[i]], m.fp[[j]], [d])) for i, j, d in found])
 
-    in_chunks = members.groupBy("token", "chunk").applyInPandas(best_before, PAIRS)
+    in_chunks = marked(chunked).groupBy("token", "chunk").applyInPandas(best_before, PAIRS)
     nearest = candidates.unionByName(in_chunks).groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
     nearest = kept(nearest)
     ends = candidates.select("a", "b").unionByName(nearest).select(F.explode(F.array("a", "b")).alias("fp"))
@@ -428,10 +430,10 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
 
     # the second round: candidates in different components, as far as they were not looked at
     split = with_roots(with_roots(candidates, roots, "a"), roots, "b").filter("root_a <> root_b").select("a", "b")
-    rooted = with_roots(members, roots, "fp").withColumnRenamed("root_fp", "root")
+    rooted = with_roots(chunked, roots, "fp").withColumnRenamed("root_fp", "root")
     divided = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     divided = divided.select(F.col("token").alias("t"))
-    open_lists = rooted.join(divided, F.col("token") == F.col("t"), "left_semi")
+    open_lists = marked(rooted.join(divided, F.col("token") == F.col("t"), "left_semi"))
     # chunks x <= y meet in (token, x, y): a chunk goes to all pairs that hold it
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
     meets = open_lists.withColumn("other", F.explode(every)).select(
