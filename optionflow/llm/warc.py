@@ -7,10 +7,11 @@ gzip reader skips. The files are plain multi-member gzip on whatever storage Spa
 Reading. Spark's text source cuts files into byte ranges. With the gzip magic as its line
 separator a task scans its range for the magic and owns what starts inside it. A stretch
 between two magics is only a candidate: compressed bytes can hold the magic too. So a
-member is accepted when its gzip header is valid and its start inflates to a WARC version
-line, and stretches are added to it until it inflates to its end. Stretches before the
-first accepted member of a range are the end of a member of an earlier range; the few
-members cut that way are put together in a second step.
+stretch with a valid gzip header starts a member that takes further stretches: until it has
+inflated to a WARC version line it is undecided, then accepted, and whole once it inflates to
+its end; when it is refuted, the next stretch is tried. Stretches before
+the first accepted member of a range are the end of a member of an earlier range; the few
+members cut that way, or undecided at the end of a range, are put together in a second step.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from .store import kept, shared_folder
 # Fixed values of the gzip format (RFC 1952) and of WARC 1.1.
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
+RECORD = b"WARC/1."  # what every record starts with
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
 
@@ -80,7 +82,7 @@ def parsed(data: bytes) -> dict | None:
     """Header fields (lower-case names) and block of a record; None if it isn't a whole one."""
     head, blank, rest = data.partition(CRLF + CRLF)
     lines = head.split(CRLF)
-    if not blank or not lines[0].startswith(b"WARC/1."):
+    if not blank or not lines[0].startswith(RECORD):
         return None
     fields = {}
     for line in lines[1:]:
@@ -155,20 +157,76 @@ def starts_record(stretch: bytes) -> bool:
 
 
 class Member:
-    """A gzip member that is put together from stretches."""
+    """A gzip member that is put together from stretches; `sure` once it has inflated to a WARC version line."""
 
     def __init__(self) -> None:
-        self.inflate, self.data = zlib.decompressobj(GZIP), []
+        self.inflate, self.data, self.head, self.sure = zlib.decompressobj(GZIP), [], b"", False
 
     def add(self, stretch: bytes) -> bool:
-        """Add magic + stretch; True once the member is whole. zlib.error if the bytes are damaged."""
-        self.data.append(self.inflate.decompress(MAGIC + stretch))
+        """Add magic + stretch; True once the member is whole. zlib.error if it is damaged or holds no WARC record.
+
+        The magic can come before the first byte that is inflated, so it can take several stretches to be sure.
+        """
+        rest = MAGIC + stretch
+        if not self.sure:
+            self.head += self.inflate.decompress(rest, len(RECORD) - len(self.head))
+            if not RECORD.startswith(self.head) or (self.inflate.eof and self.head != RECORD):
+                raise zlib.error("no WARC record")
+            if self.head != RECORD:
+                return False
+            self.sure, self.data, rest = True, [self.head], self.inflate.unconsumed_tail
+        self.data.append(self.inflate.decompress(rest))
         return self.inflate.eof
 
     def bytes(self) -> bytes:
         return b"".join(self.data)
 
 
+class Walk:
+    """Members from stretches that follow each other.
+
+    `held` are the stretches since the start of the member that is not whole yet, `synced` is whether
+    a start was certain so far.
+    """
+
+    def __init__(self, synced: bool = False) -> None:
+        self.member, self.held, self.synced = None, [], synced
+
+    def add(self, *stretches: bytes) -> Iterator[tuple[bool, bytes]]:
+        """(True, data) of each member that is now whole, (False, stretch) of each stretch at which none starts.
+
+        When a member is refuted or damaged, the next one is looked for from its second stretch on.
+        """
+        todo = list(reversed(stretches))
+        while todo:
+            stretch = todo.pop()
+            if self.member is None:
+                if MAGIC + stretch == EMPTY:
+                    self.synced = True
+                    continue
+                self.member = Member()
+            self.held.append(stretch)
+            try:
+                whole, refuted = self.member.add(stretch), False
+            except zlib.error:
+                whole, refuted = False, True
+            self.synced |= self.member.sure
+            if whole or refuted:
+                member, held = self.member, self.held
+                self.member, self.held = None, []
+                if refuted:
+                    todo += reversed(held[1:])
+                yield (False, held[0]) if refuted else (True, member.bytes())
+
+    def end(self) -> Iterator[tuple[bool, bytes]]:
+        """What is left when no stretch follows: an unfinished member is none, but others can start within it."""
+        while self.held:
+            first, *others = self.held
+            self.member, self.held = None, []
+            yield False, first
+            yield from self.add(*others)
+
+
 FIELDS = (
     ("path", "string", pa.string()),
     ("record_id", "bigint", pa.int64()),
@@ -218,7 +276,8 @@ def record_row(path: str, data: bytes) -> dict | None:
 def split_scan(spark: SparkSession, folder: str, blocks: bool) -> DataFrame:
     """Records that one byte range holds whole (kind `member`), and the pieces of those that are cut.
 
-    A cut member has its pieces in its own range as `open` and in the next ones as `tail`.
+    A cut member has its pieces in its own range as `open` and in the next ones as `tail`. A range without a
+    certain start can end with stretches that may start a member or belong to an earlier one: these are `maybe`.
     """
     stretches = (
         spark.read.options(**AS_THEY_ARE)
@@ -235,38 +294,27 @@ def split_scan(spark: SparkSession, folder: str, blocks: bool) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the rows of a byte range come in order; a task can have several ranges
-        at, current, pieces, synced, place = None, None, [], False, 0
+        at, walk, place = None, Walk(), 0
 
         def left() -> list[dict]:
-            if current is None:
-                return []
-            return [{"path": at[0], "start": at[1], "kind": "open", "place": k, "piece": p} for k, p in enumerate(pieces)]
+            kind = "open" if walk.synced else "maybe"
+            return [{"path": at[0], "start": at[1], "kind": kind, "place": k, "piece": p} for k, p in enumerate(walk.held)]
 
         for batch in batches:
             out = []
             for path, start, stretch in zip(*(c.to_pylist() for c in batch.columns)):
                 if (path, start) != at:
                     out += left()
-                    at, current, pieces, synced, place = (path, start), None, [], start == 0, 0
+                    at, walk, place = (path, start), Walk(start == 0), 0
                     if start == 0:
                         continue  # what stands before the first magic
-                if current is None:
-                    if not starts_record(stretch):
-                        if not synced:
-                            out.append({"path": path, "start": start, "kind": "tail", "place": place, "piece": stretch})
-                            place += 1
-                        continue
-                    synced, current, pieces = True, Member(), []
-                pieces.append(stretch)
-                try:
-                    whole = current.add(stretch)
-                except zlib.error:  # the damaged member ends here; this may be the next one
-                    current, pieces = (Member(), [stretch]) if starts_record(stretch) else (None, [])
-                    whole = current is not None and current.add(stretch)
-                if whole:
-                    if got := record_row(path, current.bytes()):
-                        out.append(got | {"start": start, "kind": "member", "place": 0})
-                    current, pieces = None, []
+                for whole, data in walk.add(stretch):
+                    if whole:
+                        if got := record_row(path, data):
+                            out.append(got | {"start": start, "kind": "member", "place": 0})
+                    elif not walk.synced:
+                        out.append({"path": path, "start": start, "kind": "tail", "place": place, "piece": data})
+                        place += 1
             yield pa.RecordBatch.from_pydict(arrays(out, fields))
         yield pa.RecordBatch.from_pydict(arrays(left(), fields))
 
@@ -285,17 +333,15 @@ def read(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
     fields = FIELDS + BLOCK * blocks
 
     def sewn(cut: pa.Table) -> pa.Table:
-        rows, current = [], None
-        pieces = sorted(cut.to_pylist(), key=lambda p: (p["start"], p["kind"] == "open", p["place"]))
-        for p in pieces:
-            try:
-                if p["kind"] == "open" and p["place"] == 0:
-                    current = Member()
-                if current is not None and current.add(p["piece"]):
-                    rows.append(record_row(p["path"], current.bytes()))
-                    current = None
-            except zlib.error:
-                current = None
+        path, found, walk = cut["path"][0].as_py(), [], Walk()
+        pieces = cut.select(["start", "kind", "place", "piece"]).to_pylist()
+        for p in sorted(pieces, key=lambda p: (p["start"], p["kind"] != "tail", p["place"])):
+            if p["kind"] == "open" and p["place"] == 0:  # what came before ended in this range
+                found += walk.end()
+                walk = Walk()
+            found += walk.add(p["piece"])
+        found += walk.end()
+        rows = [record_row(path, data) for whole, data in found if whole]
         return pa.table(arrays([r for r in rows if r], fields))
 
     whole = found.filter(F.col("kind") == "member").select(*[name for name, _, _ in fields])

@@ -3,6 +3,7 @@ import glob
 import gzip
 import hashlib
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -59,6 +60,52 @@ def test_magic_inside_members_and_members_across_ranges(spark, tmp_path, small_r
         assert [g[0] for g in got] == [w[0] for w in want] and got == want
 
 
+# members as `member` packs them (level 6), with the magic at byte 34, 32 and 61, before anything is inflated
+EARLY = (
+    "H4sIAAAAAAAAA02O3WqDQBSE7wXfwRfYZlfXNW6TgmiJ6R+LCJHeHdezWkhVdAPN29cWCYG5GGbmgzklRbphD8x1Tosj5XVE6U04j0M/4xoWqIepIcdMervL1MsRWpTR"
+    "09pmYBeExREllC0qKZX/+lwHCq7nARqSfbU4W+nNHTAZ+K9lIfKDrxKefxxKofgxfwnfK/WcVolSrlPdwDfsW9tJL9y6Tjr0Fnu7HrX4Yzed/T4/erqDaUa7v1hD7nb3"
+    "rOsYn+mIhhwBtBACjAHgEfKY1rXRsdCBgUDXgmHMGlY3AgRumwBo+Ef/AgUm2xQsAQAA",
+    "H4sIAAAAAAAAA02O3U6DQBSE70l4B14AC1FAdqvJCpUfiwjdtJRE40pXIKyAsNVSE59dNERN5uJkZr6T2aDYmqknqihsxkvGQ0uB1NG+beqeTmZMs6bbyZ4NpPm+q0FL"
+    "cgqMyym1CR8R1TQUWVFHYUUBP0qnwh0ZWEN2sl3mtOdA6guiAid10coxbm5XxtrTLG0dh4G+cFN8ZvnLq9ORTX7BJa1zXgBJ10XBampOaz4N5fTAZwV/YVDKCtL1lF/s"
+    "+bN8/tf7z4oCyh6DgYUImJb9BM0wKhH0MtOfJ6/4Hb6VW1Zdf7DomFR4COG9P3xqThm4Drajij0sthh9f/kCLEm1NzQBAAA=",
+    "H4sIAAAAAAAAA02OUUuEQBzE3wW/gx/AbZW8rM2y0Lgzz8M8Y+Webrnb3EB3xf0LeVCfPTukgnkYZuYHQx+LCLsXrmnQyaFy7Dixeq47JTWfw4IfVH9ESUysYOgl6VjN"
+    "iX8/tzGDCXFvfAc57qTScchZu3mQs7FR7Iji95prIJYWzCU0L6mfLbMqWXkvq5JWl9TfFs/JJrp6LfMdNY3qF1xzWYMglrcwjUhJ4BLmo8A/AAtom1vrIFivOdwN8Iau"
+    "/3b/WdNYPOFoneI9PmWZjpaj9pSN7KC1H8LPJg2UYNsTHcKQpl/t/gf4BmrK+14fAQAA",
+)
+
+
+def test_magic_in_the_first_compressed_bytes(spark, tmp_path, small_ranges):
+    early = [base64.b64decode(m) for m in EARLY]
+    assert all(0 < m.find(warc.MAGIC, 3) < 70 and b"\nWARC-Record-ID: <urn:page:7>" in gzip.decompress(m) for m in early)
+    blocks = [warc.parsed(gzip.decompress(m))["block"] for m in early]
+    name = early[0][:3] + b"\x08" + early[0][4:10] + b"n" + warc.MAGIC * 2 + b"\x00" + early[0][10:]  # also in a header field
+    time = early[1][:4] + warc.MAGIC + early[1][7:]
+    assert gzip.decompress(name) == gzip.decompress(early[0]) and gzip.decompress(time) == gzip.decompress(early[1])
+    # the ranges end at every few bytes before, in and behind the members
+    for shift in range(0, 1000, 37):
+        filler = stored(warc.record("response", 1, None, b"x" * (300 + shift), digest(b"x" * (300 + shift)), None))
+        (tmp_path / f"{shift}.warc.gz").write_bytes(filler + b"".join([*early, name, time, *early]) + filler)
+    for cut in range(0, 80, 4):
+        size = 1000 - cut - len(stored(warc.record("response", 1, None, b"x" * 500, digest(b"x" * 500), None))) + 500
+        filler = stored(warc.record("response", 1, None, b"x" * size, digest(b"x" * size), None))
+        assert len(filler) == 1000 - cut
+        (tmp_path / f"cut{cut}.warc.gz").write_bytes(filler + early[2])
+    want = Counter({blocks[0]: 3 * 28, blocks[1]: 3 * 28, blocks[2]: 2 * 28 + 20})
+    for with_blocks in (True, False):
+        got = warc.read(spark, str(tmp_path), with_blocks).collect()
+        assert len(got) == 28 * 10 + 20 * 2 and all(r.intact for r in got)
+        assert Counter(r.record_id for r in got) == {1: 2 * 28 + 20, 7: want.total()}
+    assert Counter(bytes(r.block) for r in warc.read(spark, str(tmp_path)).collect() if r.record_id == 7) == want
+
+
+def test_refuted_starts_do_not_hide_members(spark, tmp_path, small_ranges):
+    # after junk, a header whose name has no end: undecided until the members behind it are tried
+    members = [warc.member(warc.record("response", k, None, b"p%d" % k, digest(b"p%d" % k), None)) for k in range(9)]
+    unsure = warc.MAGIC + b"\x08" + b"\x01" * 30
+    (tmp_path / "a.warc.gz").write_bytes(members[0] + unsure + b"".join(members[1:5]) + unsure + b"".join(members[5:]))
+    assert [g[0] for g in found(spark, str(tmp_path))] == list(range(9))
+
+
 def test_damaged_and_foreign_members_are_left_out(spark, tmp_path, small_ranges):
     payloads = [bytes([65 + k]) * 700 for k in range(20)]
     folder = archive(tmp_path, payloads, damage=7)
