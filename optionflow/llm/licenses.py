@@ -5,8 +5,8 @@ positions of all pairs of a fixed set of license texts; a hit at text position p
 template position t votes for the diagonal p - t. A phrase stands in a text word by word where
 one diagonal has all of its votes. A longer notice that was edited leaves votes on
 neighbouring diagonals (a word put in or left out moves the rest by one): those merge, and the
-merged span is verified by the share of the template that it holds and by how densely
-it is filled.
+merged span is verified by the share of the template that it holds, by how densely
+it is filled and by the words that tell the license from its siblings, all of which it must hold.
 
 The texts are exploded where they are read and joined to the template table, which is fixed and
 small and therefore broadcast; only hits are shuffled, once, by document. A marker element per
@@ -51,6 +51,11 @@ NOTICES = (
         "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
         "general public license as published by the free software foundation",
     ),
+    (
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu library "
+        "general public license as published by the free software foundation",
+    ),
     ("mit", "released under the mit license"),
     (
         "mit",
@@ -78,6 +83,24 @@ NOTICES = (
     ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
 )
 
+# Words that tell a license from siblings with other terms. A span must hold all pairs of those that
+# its template has: "by nc 4 0" or "version 2" are no edits of "by 4 0" and "version 3".
+TELLING = (
+    "apache license",
+    "version 2 0",
+    "license 2 0",
+    "gnu general public license",
+    "gnu lesser general public license",
+    "gnu library general public license",
+    "version 3",
+    "mozilla public license",
+    "v 2 0",
+    "cc by 4 0",
+    "cc by nc 4 0",
+    "cc by sa 4 0",
+    "creative commons attribution 4 0",
+)
+
 #: Diagonals this far apart belong to one span; share of a template, and of a span's places, that must be hit.
 APART, COVERAGE, DENSITY = 3, 0.8, 0.6
 
@@ -88,11 +111,28 @@ def pair_hash(a: Column, b: Column) -> Column:
     return F.xxhash64(a, b)
 
 
+def known() -> list[tuple[str, str, bool]]:
+    """(label, text, phrase) of all templates, by number."""
+    return [(label, text, True) for text, label in PHRASES.items()] + [(label, text, False) for label, text in NOTICES]
+
+
+def telling() -> Column:
+    """Map from template to the positions of the word pairs that a span of it must hold."""
+    entries = []
+    for number, (_, text, _) in enumerate(known()):
+        words, must = text.split(), set()
+        for key in map(str.split, TELLING):
+            for at in range(len(words) - len(key) + 1):
+                if words[at : at + len(key)] == key:
+                    must.update(range(at, at + len(key) - 1))
+        entries += [F.lit(number), F.array(*map(F.lit, sorted(must))).cast("array<int>")]
+    return F.create_map(*entries)
+
+
 def templates(spark: SparkSession) -> DataFrame:
     """(gram, template, at, pairs, label, phrase): the word pairs of all phrases and notices, and the marker."""
     rows = [(None, None, MARK, 0, 1, None, False)]
-    known = [(label, text, True) for text, label in PHRASES.items()] + [(label, text, False) for label, text in NOTICES]
-    for number, (label, text, phrase) in enumerate(known):
+    for number, (label, text, phrase) in enumerate(known()):
         words = text.split()
         rows += [(a, b, number, at, len(words) - 1, label, phrase) for at, (a, b) in enumerate(zip(words, words[1:]))]
     ddl = "a string, b string, template int, at int, pairs int, label string, phrase boolean"
@@ -140,16 +180,18 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     numbered = lines.withColumn("far", F.coalesce(far, F.lit(True)).cast("int"))
     numbered = numbered.withColumn("span", F.sum("far").over(along.rowsBetween(W.unboundedPreceding, 0)))
     spans = numbered.groupBy(*doc, "template", "pairs", "label", "phrase", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("held"),
+        F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"),
         F.min(F.col("diagonal") + F.array_min("at")).alias("first"),
         F.max(F.col("diagonal") + F.array_max("at") + 2).alias("end"),
         F.sum("rows").alias("rows"),
     )
+    spans = spans.withColumn("held", F.size("at"))
     mark = F.col("template") == MARK
     share = F.col("held") / F.col("pairs")
     dense = F.col("held") + 1 >= F.lit(DENSITY) * (F.col("end") - F.col("first"))
     base = F.col("phrase") & (F.col("held") == F.col("pairs"))
-    noted = ~mark & ~F.col("phrase") & (share >= COVERAGE) & dense
+    told = F.size(F.array_except(telling()[F.col("template")], F.col("at"))) == 0
+    noted = ~mark & ~F.col("phrase") & (share >= COVERAGE) & dense & told
     label = lambda when: F.array_sort(F.collect_set(F.when(when, F.col("label"))))
     results = spans.groupBy(*doc).agg(
         F.max(F.when(mark, F.col("rows"))).alias("copies"),

@@ -62,6 +62,33 @@ def test_edited_notices_are_found_across_neighbouring_diagonals(spark):
     assert all(got[k].labels == "" and got[k].score == 0 for k in (2, 3, 4))
 
 
+def test_notices_are_not_taken_for_their_siblings(spark):
+    plain = [(k, text) for k, (_, text) in enumerate(licenses.NOTICES)]
+    got = {r.doc_id: r for r in scan(spark, [(k, f"intro words {text} and more") for k, text in plain])}
+    for k, text in plain:
+        assert set(got[k].labels.split(",")) == {licenses.NOTICES[k][0], *filter(None, brute(text)[4].split(","))}, text
+        assert got[k].score == 1 and got[k].n_spans == 1
+
+
+def test_other_terms_are_no_edits(spark):
+    gpl, lgpl = notice("gpl"), notice("lgpl")
+    texts = {
+        "Licensed under CC BY-NC 4.0.": {"cc-by", "cc-by-nc-4.0"}, "licensed under CC-BY-SA 4.0": {"cc-by", "cc-by-sa-4.0"},
+        "licensed under CC BY-ND 4.0": {"cc-by"}, "licensed under CC BY-NC-SA 4.0": {"cc-by"}, "licensed under CC BY 3.0": {"cc-by"},
+        notice("cc-by-4.0", 1).replace("attribution", "attribution noncommercial"): set(),
+        notice("gpl-3.0").replace("3", "2"): {"gpl"}, notice("gpl-3.0").replace("gnu", "gnu affero"): set(),
+        gpl.replace("gnu", "gnu affero"): set(), gpl.replace("gnu", "gnu lesser"): {"lgpl"}, lgpl.replace("lesser ", ""): {"gpl"},
+        gpl.replace("program", "package"): {"gpl"}, lgpl.replace("library", "program"): {"lgpl"},
+        notice("apache-2.0", 0).replace("2 0", "2 1"): {"apache"}, notice("apache-2.0", 1).replace("2 0", "1 1"): set(),
+        notice("mpl-2.0").replace("2 0", "1 1"): set(),
+        "licensed under the GNU General Public License (GPL) version 3": {"gpl", "gpl-3.0"},
+        "Licensed under CC BY 4.0. The pictures are licensed under CC BY-NC 4.0.": {"cc-by", "cc-by-4.0", "cc-by-nc-4.0"},
+    }
+    got = {r.doc_id: r.labels for r in scan(spark, list(enumerate(texts)))}
+    for k, (text, want) in enumerate(texts.items()):
+        assert set(filter(None, got[k].split(","))) == want, text
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "mit license"), (1, "mit license"), (1, "other"), (None, "cc by"), (None, "cc by"), (None, None)]
     got = Counter((r.doc_id, r.n_words, r.n_base, r.labels) for r in scan(spark, rows))
