@@ -481,3 +481,10 @@ qualify row_number() over (partition by ticker order by i desc) = 1""",
 }
 ORACLES["stream_registry_late"] = ORACLES["stream_registry"]
 ORACLES["stream_oi_latch_late"] = ORACLES["stream_oi_latch"]
+
+# The scans over the noisy feed: its trades are those that the accept rule takes.
+FOLD_TRADES = FOLD.removeprefix("with recursive ").replace("steps", "taken_steps")
+FOLD_TRADES = FOLD_TRADES.replace("\nselect f.instrument_key", ",\ntrades as (\nselect f.instrument_key") + ")"
+for _name in ("scan_arrival", "scan_bars", "scan_reset", "scan_sliding"):
+    _sql = ORACLES[_name].replace(TRADES, FOLD_TRADES)
+    ORACLES[f"{_name}_fold"] = _sql if _sql.startswith("with recursive ") else _sql.replace("with ", "with recursive ", 1)

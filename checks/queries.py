@@ -289,15 +289,15 @@ def high_conviction_feed(spark, d):
 # ---------------------------------------------------------------- whole scans
 
 
-def _scan(spark, d, profile):
+def _scan(spark, d, profile, noisy=False):
     companies, strikes = _stored(spark, d)
     return scan.scan(
-        proxy.ticks(spark, d),
+        proxy.noisy_ticks(spark, d) if noisy else proxy.ticks(spark, d),
         companies,
         profile,
         strike_table=strikes if profile.name != "sliding" else None,
         history=_history(spark, d),
-        assume_monotone=True,
+        assume_monotone=not noisy,
         lock=LOCK,
     )
 
@@ -322,6 +322,26 @@ def scan_sliding(spark, d):
     return records.alert_records(_scan(spark, d, P.SLIDING), P.SLIDING, keep=("instrument_key", "b"))
 
 
+@query
+def scan_arrival_fold(spark, d):
+    return records.alert_records(_scan(spark, d, P.ARRIVAL, noisy=True), P.ARRIVAL, keep=("instrument_key", "b"))
+
+
+@query
+def scan_bars_fold(spark, d):
+    return records.alert_records(_scan(spark, d, P.BARS, noisy=True), P.BARS, keep=("instrument_key", "b"))
+
+
+@query
+def scan_reset_fold(spark, d):
+    return records.alert_records(_scan(spark, d, SLOW_RESET, noisy=True), SLOW_RESET, keep=("instrument_key", "b"))
+
+
+@query
+def scan_sliding_fold(spark, d):
+    return records.alert_records(_scan(spark, d, P.SLIDING, noisy=True), P.SLIDING, keep=("instrument_key", "b"))
+
+
 @query
 def alert_json_roundtrip(spark, d):
     built = records.alert_records(_scan(spark, d, P.BARS), P.BARS)
@@ -370,7 +390,7 @@ def _closed_trades(spark, d):
 def stream_burst(spark, d):
     live.use_rocksdb(spark)
     out = streams.run(spark, _closed_trades(spark, d), lambda t: live.sliding_bursts(t, P.SLIDING))
-    return out.drop("batch_id")
+    return out.select("instrument_key", "b", "paise", "vol", "n", "buy", "sell", "side")
 
 
 @query

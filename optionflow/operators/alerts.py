@@ -125,7 +125,16 @@ def windowed_bursts(trades: DataFrame, window_s: float, step_ms: int, threshold_
         F.count(F.lit(1)).alias("n"),
         F.sum(buy).alias("buy"),
         F.sum(F.col("qty") - buy).alias("sell"),
+        *[F.min_by(c, "seq").alias(f"first_{c}") for c in ("price", "oi")],
+        *[F.max_by(c, "seq").alias(f"last_{c}") for c in ("price", "oi")],
+        F.max_by("ltt", "seq").alias("last_ms"),
     )
     long = F.window(F.window_time("step"), f"{int(window_s * 1000)} milliseconds", f"{step_ms} milliseconds")
     sums = [F.sum(c).alias(c) for c in ("paise", "vol", "n", "buy", "sell")]
-    return steps.groupBy("instrument_key", long.alias("w")).agg(*sums).filter(F.col("paise") >= threshold_paise)
+
+    def edge(pick, c: str):  # of the first or last step that has one
+        return pick(c, F.when(F.col(c).isNotNull(), F.col("step.start"))).alias(c)
+
+    edges = [edge(F.min_by, c) for c in ("first_price", "first_oi")]
+    edges += [edge(F.max_by, c) for c in ("last_price", "last_oi", "last_ms")]
+    return steps.groupBy("instrument_key", long.alias("w")).agg(*sums, *edges).filter(F.col("paise") >= threshold_paise)

@@ -75,7 +75,8 @@ def reset_alerts(trades: DataFrame, profile: Profile, lateness: str | None = Non
 
 def sliding_bursts(trades: DataFrame, profile: Profile, lateness: str | None = None) -> DataFrame:
     """Sliding windows on a trade stream. Append mode emits each window once it is final,
-    update mode as soon as it qualifies (and again when it grows)."""
+    update mode as soon as it qualifies (and again when it grows). There is no long baseline
+    volume, so no acceleration."""
     lateness = lateness or f"{profile.window_s} seconds"
     timed = _timed(trades, profile.clock, lateness)
     found = windows.windowed_bursts(timed, profile.window_s, STEP_MS, profile.threshold_paise)
@@ -88,6 +89,11 @@ def sliding_bursts(trades: DataFrame, profile: Profile, lateness: str | None = N
         "n",
         "buy",
         "sell",
+        "first_price",
+        "last_price",
+        "first_oi",
+        "last_oi",
+        "last_ms",
         classify.flow_side(F.col("buy"), F.col("sell")).alias("side"),
     )
 

@@ -47,6 +47,20 @@ def test_sliding_equals_batch(spark):
     assert sorted(out.select(keep).collect()) == sorted(want.select(keep).collect())
 
 
+def test_sliding_edges_equal_batch(spark):
+    profile = replace(P.SLIDING, threshold_paise=6000)
+    rows = trade_rows(13) + [("~close", 10_000, 10_000_000, 1)]
+    moved = {"price": F.col("price") + F.col("seq") % 7, "oi": F.when(F.col("seq") % 3 > 0, F.col("seq") * 10)}
+    stream = trade_frame(spark, rows).withColumns(moved)
+    out = streams.run(spark, stream, lambda t: live.sliding_bursts(t, profile))
+    want = scan.detect(stream, profile).filter("instrument_key != '~close'")
+    keep = ["instrument_key", "b", "paise", "first_price", "last_price", "first_oi", "last_oi", "last_ms"]
+    key = lambda r: (r.instrument_key, r.b)
+    got = sorted(out.select(keep).collect(), key=key)
+    assert got and got == sorted(want.select(keep).collect(), key=key)
+    assert any(r.first_oi != r.last_oi for r in got)
+
+
 def test_late_trades_are_dropped(spark):
     """A trade older than the watermark when its stretch arrives does not count."""
     profile = replace(P.RESET, threshold_paise=100)
