@@ -31,12 +31,19 @@ ASSIGN_MIN, ACCESS_MIN = 6, 20
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "der", "openssh", "jwt")
 
-PEM = re.compile(r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s*([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n[ \t]*+)++\s*+)?"
+    r"([A-Za-z0-9+/=\s]+?)\s*-----END \1-----"
+)
+# An RFC 1421 header that names the cipher of the body.
+ENCRYPTED = re.compile(r"^[ \t]*DEK-Info:[ \t]*[A-Z0-9-]+,[ \t]*(?:[0-9A-Fa-f]{16}|[0-9A-Fa-f]{32})[ \t\r]*$", re.M)
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_BYTES = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
+# 1.2.840.113549.1.5 (PKCS#5) and 1.2.840.113549.1.12.1 (PKCS#12)
+PBE = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 
 
 def unbase64(run: str) -> bytes | None:
@@ -77,17 +84,37 @@ def children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
     return found
 
 
+def is_cipher(data: bytes, algorithm: list[tuple[int, int, int]]) -> bool:
+    """An algorithm of password-based encryption: its OID, in the arcs of PKCS#5 or PKCS#12, and parameters."""
+    tag, start, end = algorithm[0]
+    return tag == OID and data[start:end].startswith(PBE) and algorithm[1][0] == SEQUENCE
+
+
+def is_dsa(version: int, p: int, q: int, g: int, y: int, x: int) -> bool:
+    """Sizes and laws of a DSA key: q divides p - 1, g generates, y is g to the power of x."""
+    if version != 0 or not 512 <= p.bit_length() <= 4096 or not 160 <= q.bit_length() <= 256 or (p - 1) % q:
+        return False
+    return 1 < g < p and 0 < x < q and pow(g, x, p) == y
+
+
 def is_der_key(data: bytes) -> bool:
-    """PKCS#1, PKCS#8 or SEC 1 private key: one outer sequence of exactly the data, well formed inside."""
+    """PKCS#1, DSA, PKCS#8 (also encrypted) or SEC 1 private key: one outer sequence of exactly the data, well formed inside."""
     outer = element(data, 0, len(data))
     if outer is None or outer[0] != SEQUENCE or outer[2] != len(data):
         return False
     parts = children(data, outer[1], outer[2])
-    if not parts or len(parts) < 2 or parts[0][0] != INTEGER or parts[0][2] - parts[0][1] != 1:
+    if not parts or len(parts) < 2:
         return False
     tags = [p[0] for p in parts]
+    if tags == [SEQUENCE, OCTETS]:  # encrypted: the algorithm with its parameters, then the cipher text
+        algorithm = children(data, parts[0][1], parts[0][2])
+        return bool(algorithm) and len(algorithm) == 2 and is_cipher(data, algorithm) and parts[1][2] - parts[1][1] >= 16
+    if parts[0][0] != INTEGER or parts[0][2] - parts[0][1] != 1:
+        return False
     if len(parts) >= 9 and all(t == INTEGER for t in tags[:9]):
         return True
+    if tags == [INTEGER] * 6:
+        return is_dsa(*(int.from_bytes(data[a:b], "big") for _, a, b in parts))
     if tags[1] == SEQUENCE and len(tags) > 2 and tags[2] == OCTETS:
         algorithm = children(data, parts[1][1], parts[1][2])
         return bool(algorithm) and algorithm[0][0] == OID
@@ -134,6 +161,11 @@ def key_kind(data: bytes | None) -> str | None:
     return "der" if is_der_key(data) else "openssh" if is_openssh_key(data) else None
 
 
+def encrypted_kind(headers: str | None, data: bytes | None) -> str | None:
+    """Kind of a PEM body that its headers call encrypted: DER as whole cipher blocks."""
+    return "der" if headers and data and ENCRYPTED.search(headers) and len(data) >= 16 and len(data) % 8 == 0 else None
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of the three base patterns, failing matches dropped."""
     found = [(*m.span(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_MIN]
@@ -147,7 +179,8 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(*m.span(), "jwt") for m in JWT.finditer(text) if is_token(m[0])] if "eyJ" in text else []
     if "PRIVATE KEY-----" in text:
         for m in PEM.finditer(text):
-            if kind := key_kind(unbase64(m[2])):
+            data = unbase64(m[3])
+            if kind := key_kind(data) or encrypted_kind(m[2], data):
                 found.append((*m.span(), kind))
     inside = list(found)
 

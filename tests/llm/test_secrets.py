@@ -54,6 +54,37 @@ def kinds(text):
     return [k for _, _, k in secrets.confirmed_spans(text)]
 
 
+def dsa_key(change=0):
+    q, x = (1 << 159) + 7, 12345678901234567890
+    p = q * (1 << 400) + 1
+    numbers = (0, p, q, 3, pow(3, x, p) + change, x)
+    return der(0x30, b"".join(der(2, n.to_bytes(n.bit_length() // 8 + 1, "big")) for n in numbers))
+
+
+def encrypted_pkcs8(oid="2a864886f70d01050d"):
+    return der(0x30, der(0x30, der(6, bytes.fromhex(oid)) + der(0x30, der(4, b"salt" * 4))) + der(4, b"c" * 64))
+
+
+def pem(label, data, headers="", end="\n"):
+    body = base64.encodebytes(data).decode().replace("\n", end)
+    return f"-----BEGIN {label}-----{end}{headers}{body}-----END {label}-----"
+
+
+def test_dsa_and_encrypted_keys():
+    for data in (dsa_key(), encrypted_pkcs8()):
+        assert kinds(f"key {base64.b64encode(data).decode()} end") == kinds(f"x {data.hex()} y") == ["der"]
+    for data in (dsa_key(1), der(0x30, b"".join(der(2, bytes([k])) for k in range(6))), encrypted_pkcs8("2a8648ce3d0201")):
+        assert kinds(f"key {base64.b64encode(data).decode()} end") == []
+    for end in ("\n", "\r\n"):
+        assert kinds(pem("ENCRYPTED PRIVATE KEY", encrypted_pkcs8(), end=end)) == kinds(pem("DSA PRIVATE KEY", dsa_key(), end=end)) == ["der"]
+        sealed = f"Proc-Type: 4,ENCRYPTED{end}DEK-Info: AES-128-CBC,{'0A' * 16}{end}{end}"
+        text = pem("RSA PRIVATE KEY", b"\x99" * 128, sealed, end)
+        assert secrets.confirmed_spans(f"a {text} b") == [(2, 2 + len(text), "der")]
+        assert kinds(pem("RSA PRIVATE KEY", rsa_key(), f"Comment: mine{end}{end}", end)) == ["der"]
+        assert kinds(pem("RSA PRIVATE KEY", b"\x99" * 128, f"Comment: mine{end}{end}", end)) == []
+    assert kinds("-----BEGIN RSA PRIVATE KEY-----" + "\n a: b" * 20_000 + " \n" * 20_000) == []
+
+
 def test_keys_are_reported_only_if_they_parse():
     for data, kind in ((rsa_key(), "der"), (pkcs8(), "der"), (ec_key() + b"", "der"), (ssh_key(), "openssh")):
         run = base64.b64encode(data).decode()
