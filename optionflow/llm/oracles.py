@@ -54,3 +54,31 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 ORACLES["op1_va_file_topk"] = OP1
+
+#: Scores of all documents that hold a term of an item.
+OP13 = """
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents where text is not null),
+sized as (select r, doc_id, terms, len(terms) as n from docs where len(terms) > 0),
+whole as (select count(*)::bigint as docs, sum(n)::bigint as length from sized),
+held as (select r, unnest(terms) as term from sized),
+counts as (select r, term, count(*)::bigint as tf from held group by all),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from counts, whole group by term),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark where text is not null),
+scored as (
+  select a.item_id, s.r, s.doc_id,
+    sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (50 + (50 * s.n * t.docs) // t.length))))::bigint as score
+  from asked a join counts c using (term) join weights w using (term) join sized s using (r), whole t
+  group by a.item_id, s.r, s.doc_id),
+ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id)::int as rank from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50
+"""
+ORACLES["op13_mask_grouped_search"] = OP13

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hilbert, language, licenses, mixing, ngram_join, packing, secrets, sharding, vafile, warc
+from . import hilbert, language, lexical, licenses, mixing, ngram_join, packing, secrets, sharding, vafile, warc, whitening
 from .store import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,13 @@ def op8_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.link_components(table(spark, sf_dir, "documents"), n=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op12_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_mask_grouped_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
