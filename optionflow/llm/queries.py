@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hilbert, language, lexical, licenses, mixing, ngram_join, packing, secrets, sharding, vafile, warc, whitening
+from . import hilbert, language, lexical, licenses, mixing, ngram_join, packing, repeats, secrets, sharding, vafile, warc, whitening
 from .store import kept
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,11 @@ def op6_ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op11_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicate(table(spark, sf_dir, "documents"), keep=[], texts=False)
+
+
 @query
 def op12_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
