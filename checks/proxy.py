@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from optionflow.operators import ordered
+from optionflow.operators import ordered, registry
 
 START_US = 1_704_067_200_000_000  # 2024-01-01
 CHUNK_ROWS = 1 << 20
@@ -139,6 +139,19 @@ def alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def option_log(spark: SparkSession, sf_dir: str, dim: DataFrame) -> DataFrame:
+    """Alert log of the feed's own instruments, so that its history meets the feed's alerts."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    rows = ev.select(
+        F.concat(F.lit("NSE_FO|"), F.col("user_id").cast("string")).alias("instrument_key"),
+        F.date_format("ts", "dd/MM/yyyy HH:mm:ss").alias("timestamp"),
+        F.floor(micros(F.col("ts")) / 1000).cast("bigint").alias("alert_ms"),
+        F.col("event_id").alias("seq"),
+        (F.round(F.col("value") * 100).cast("bigint") * (1 + F.col("event_id") % 400)).alias("paise"),
+    )
+    return registry.with_instrument(rows, dim)
+
+
 def movers_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     key, name = F.col("s_suppkey"), F.col("s_name")
