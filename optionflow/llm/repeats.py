@@ -35,7 +35,7 @@ from .texts import portions
 ANCHOR, MOST_WINDOWS = 20, 64
 
 #: Text in a portion; text whose anchors go to a bucket; text of stretches in a bucket and in one suffix sort.
-PORTION, ANCHOR_BUCKET, STRETCH_BUCKET, SORTED = 4_000_000, 64_000_000, 4_000_000, 2_000_000
+PORTION, ANCHOR_BUCKET, STRETCH_BUCKET, SORTED = 4_000_000, 64_000_000, 4_000_000, 1_000_000
 
 #: Documents up to which an anchor's stretches go to one bucket.
 HOT = 5000

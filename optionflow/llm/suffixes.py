@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Bits of a symbol (a byte plus 1, or 0 for the end of a string) and symbols in a sort key.
-BITS, PACKED = 9, 7
+#: Bits of a sort key.
+KEY_BITS = 63
+
+#: Intervals are kept for all rows until only one row in so many is in one.
+SPARSE = 8
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -24,36 +27,50 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return symbols, ends - sizes
 
 
+def sorted_by(keys: np.ndarray, bits: int, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The places (their numbers, if not given) in the order of keys of so many bits, and the keys in order."""
+    room = int(len(keys) if places is None else places.max(initial=0)).bit_length()
+    if bits + room > KEY_BITS:
+        by = np.argsort(keys)
+        return by if places is None else places[by], keys[by]
+    # key and place in one number: sorting numbers is many times faster than sorting places by keys
+    both = keys << room
+    both |= np.arange(len(keys)) if places is None else places
+    both.sort()
+    return both & ((1 << room) - 1), both >> room
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """The rotations of the symbols in the order of their first `depth` ones (a few more, if `depth` is small)."""
+    """The rotations of the symbols in the order of their first `depth` ones."""
     n = len(symbols)
-    wide = np.concatenate([symbols, np.resize(symbols, PACKED)]).astype(np.int64)
-    key = np.zeros(n, np.int64)
-    for j in range(PACKED):
-        key = key << BITS | wide[j : j + n]
-    order = np.argsort(key)
+    # as many symbols in a key as their number and that of the rotations allow
+    used = np.bincount(symbols) > 0
+    bits, place = max(1, int(used.sum() - 1).bit_length()), n.bit_length()
+    known = min(max(1, (KEY_BITS - place) // bits), depth)
+    code = (np.cumsum(used) - 1)[symbols]
+    wide = np.concatenate([code, np.resize(code, known)])
+    key = wide[:n].copy()
+    for j in range(1, known):
+        key <<= bits
+        key |= wide[j : j + n]
+    order, key = sorted_by(key, bits * known)
     rank = np.empty(n, np.int64)
-
-    def settle(places: np.ndarray, new: np.ndarray) -> np.ndarray:
-        """Ranks of the rotations at ascending places of the order (their group's first place); places still tied."""
-        first = np.maximum.accumulate(np.where(new, places, 0))
-        rank[order[places]] = first
-        last = np.append(new[1:], True)
-        return places[~(new & last)]
-
-    sorted_key = key[order]
-    tied = settle(np.arange(n), np.append(True, sorted_key[1:] != sorted_key[:-1]))
-    known = PACKED
-    while known < depth and len(tied):
+    tied = np.arange(n)  # places of the order whose rotations are not told apart
+    while True:
+        new = np.append(True, key[1:] != key[:-1])
+        # a group's rank is its first place
+        rank[order[tied]] = np.maximum.accumulate(np.where(new, tied, 0))
+        tied = tied[~(new & np.append(new[1:], True))]
+        if known >= depth or not len(tied):
+            return order
         step = min(known, depth - known)
         rotation = order[tied]
-        key = rank[rotation] * n + rank[(rotation + step) % n]
-        by = np.argsort(key)
-        order[tied] = rotation[by]
-        key = key[by]
-        tied = settle(tied, np.append(True, key[1:] != key[:-1]))
+        after = rotation + step
+        after[after >= n] %= n
+        key = rank[rotation] << place
+        key |= rank[after]
+        order[tied], key = sorted_by(key, 2 * place, rotation)
         known += step
-    return order
 
 
 def borders(transform: np.ndarray, least: int) -> np.ndarray:
@@ -62,28 +79,39 @@ def borders(transform: np.ndarray, least: int) -> np.ndarray:
     The rows have to be in order by their first `least` symbols.
     """
     n = len(transform)
-    before = np.argsort(transform, kind="stable")  # the row that each row comes from by a step back
-    onto = np.empty(n, np.int64)
-    onto[before] = np.arange(n)
+    before = np.argsort(transform, kind="stable").astype(np.int32)  # the row that each row comes from by a step back
     symbol = transform[before]
+    other = np.append(True, symbol[1:] != symbol[:-1])
     border = np.zeros(n + 1, bool)
     border[0] = border[n] = True
-    rows, interval = np.arange(n), np.zeros(n, np.int64)
-    mark = np.full(n, -1, np.int64)
-    for _ in range(least):
+    interval, active = np.zeros(n, np.int32), n  # the interval that each row is in, -1 if it is in none
+    left = least
+    while left and active > n // SPARSE:
+        # a row stands in the interval of its symbol and of the interval that the row before it stood in
+        came = interval[before]
+        new = other.copy()
+        new[1:] |= came[1:] != came[:-1]
+        first = np.flatnonzero(new)
+        ends = np.append(first[1:], n)
+        on = came[first] >= 0
+        on[on] = ~border[ends[on]]
+        border[ends[on]] = True
+        size = ends - first
+        interval = np.repeat(np.where(on, np.arange(len(first)), -1).astype(np.int32), size)
+        active, left = int(size[on].sum()), left - 1
+    if not left or not active:
+        return border[:n]
+    onto = np.empty(n, np.int32)
+    onto[before] = np.arange(n, dtype=np.int32)
+    rows = np.flatnonzero(interval >= 0)
+    interval = interval[rows]
+    for _ in range(left):
         reached = onto[rows]
-        if len(rows) > n // 16:
-            mark[reached] = interval
-            reached = np.flatnonzero(mark >= 0)
-            came = mark[reached]
-            mark[reached] = -1
-        else:
-            by = np.argsort(reached)
-            reached, came = reached[by], interval[by]
+        by = np.argsort(reached)
+        reached, came = reached[by], interval[by]
         if not len(reached):
             break
-        letter = symbol[reached]
-        new = np.append(True, (reached[1:] != reached[:-1] + 1) | (came[1:] != came[:-1]) | (letter[1:] != letter[:-1]))
+        new = np.append(True, (reached[1:] != reached[:-1] + 1) | (came[1:] != came[:-1]) | other[reached[1:]])
         ends = reached[np.append(new[1:], True)] + 1
         fresh = ~border[ends]
         border[ends] = True
