@@ -16,17 +16,15 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from .texts import Coded, portions
+from .texts import Numbered, Words, portions
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -37,8 +35,8 @@ CHUNK_TOKENS, STEP_TOKENS = 1 << 21, 1 << 16
 #: Words whose ids a task remembers.
 REMEMBERED = 600_000
 
-# Letters whose composed and lower-case forms are settled, then punctuation that is a token run of its own.
-PLAIN = re.compile(r"([a-zß-öø-ɏ]+)([,.;:!?|\"()]*)")
+# A line of letters whose composed and lower-case forms are settled, then punctuation that is a token run of its own; or another line.
+PLAIN = re.compile(r"^(?:([a-zß-öø-ɏ]+)([,.;:!?|\"()]*)|.+)$", re.M)
 
 
 def byte_letters() -> dict[int, str]:
@@ -73,48 +71,39 @@ class Tokens:
 
     def clear(self) -> None:
         """Forget all words. Part 0 is the empty one."""
-        self.words, self.new = Coded(self.number), []
-        self.parts: dict[str, int] = {"": 0}
+        self.words, self.parts = Words(), Numbered({"": 0})
         self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         # each word is two parts: its letters and what follows them, or all of it and nothing
-        self.first, self.second = array("q"), array("q")
-
-    def number(self, word: bytes) -> int:
-        self.new.append(word)
-        return len(self.words)
-
-    def learn(self) -> None:
-        """Parts of the words that were numbered last, and ids of the parts that are new."""
-        plain: dict[str, int] = {}
-        other: dict[str, int] = {}
-
-        def part(text: str, kind: dict[str, int]) -> int:
-            at = self.parts.get(text)
-            if at is None:
-                at = self.parts[text] = kind[text] = len(self.parts)
-            return at
-
-        for word in self.new:
-            text = word.decode("utf-8", "replace")
-            m = PLAIN.fullmatch(text.lower()) if self.plain is not None else None
-            self.first.append(part(text, other) if m is None else part(m[1], plain))
-            self.second.append(0 if m is None else part(m[2], other))
-        self.new = []
+        self.first, self.second = np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Parts of words that are new, and ids of the parts that are; all words at once, a line each."""
+        lines = b"\n".join(words).decode("utf-8", "replace")
+        first, second, plain, other = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], []
+        if self.plain is not None:
+            letters, marks = zip(*PLAIN.findall(lines.lower()))
+            first, plain = self.parts.of(letters)
+            second, other = self.parts.of(marks)
+        odd = np.flatnonzero(first == 0)
+        if len(odd):
+            lines = lines.split("\n")
+            first[odd], new = self.parts.of([lines[i] for i in odd.tolist()])
+            other += new
+        self.first, self.second = (np.concatenate([a, b.astype(np.int32)]) for a, b in ((self.first, first), (self.second, second)))
         fresh = len(self.parts) - len(self.starts)
         starts, sizes = np.zeros(fresh, np.int64), np.zeros(fresh, np.int64)
         chunks, end = [self.ids], len(self.ids)
-        texts = list(plain)
-        for a in range(0, len(texts), 10_000):
-            some = texts[a : a + 10_000]
+        for a in range(0, len(plain), 10_000):
+            some = plain[a : a + 10_000]
             spelled = " ".join(c if c.isascii() else c.encode().decode("latin-1").translate(self.letters) for c in some)
             ids = np.array(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, np.uint32)
             cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
-            at = np.array([plain[c] for c in some], np.int64) - len(self.starts)
+            at = np.array([self.parts[c] for c in some], np.int64) - len(self.starts)
             starts[at], sizes[at] = end + cuts[:-1], np.diff(cuts)
             chunks.append(ids)
             end += len(ids)
-        for text, found in zip(other, self.full.encode_batch_fast(list(other), add_special_tokens=False) if other else ()):
-            at = other[text] - len(self.starts)
+        for text, found in zip(other, self.full.encode_batch_fast(other, add_special_tokens=False) if other else ()):
+            at = self.parts[text] - len(self.starts)
             starts[at], sizes[at] = end, len(found.ids)
             chunks.append(np.array(found.ids, np.uint32))
             end += len(found.ids)
@@ -125,23 +114,22 @@ class Tokens:
         """All ids of the texts one after the other, `end` after each, and the number of each text's ids."""
         if len(self.words) > REMEMBERED:
             self.clear()
-        split = [t.split() for t in texts]
-        counts = np.array([len(words) for words in split], np.int64)
-        word = self.words.all(chain.from_iterable(split), int(counts.sum()), np.int64)
-        if self.new:
-            self.learn()
-        part = np.empty(2 * len(word), np.int64)
-        part[::2], part[1::2] = np.array(self.first, np.int64)[word], np.array(self.second, np.int64)[word]
+        counts, word, new = self.words.in_texts(texts)
+        if new:
+            self.learn(new)
+        second = self.second[word]
+        part = np.empty(2 * len(word), np.int32)
+        part[::2], part[1::2] = self.first[word], second
         part = part[part > 0]
-        text = np.repeat(np.arange(len(counts)), counts)
-        both = np.repeat(text, 1 + (np.array(self.second, np.int64)[word] > 0))
+        both = np.repeat(np.repeat(np.arange(len(counts), dtype=np.int32), counts), 1 + (second > 0))
         sizes = self.sizes[part]
-        lengths = np.bincount(both, weights=sizes, minlength=len(counts)).astype(np.int64) + 1
-        ids = np.full(int(lengths.sum()), end, np.uint32)
-        total = int(sizes.sum())
-        step = np.arange(total)
+        total, behind = int(sizes.sum()), np.cumsum(sizes, dtype=np.int64)
+        through = np.concatenate([[0], behind])[np.concatenate([[0], np.cumsum(np.bincount(both, minlength=len(counts)))])]
+        lengths = np.diff(through) + 1
+        ids = np.full(total + len(counts), end, np.uint32)
         # a part's ids come from where it starts, and go behind one end id for each earlier text
-        source = step + np.repeat(self.starts[part] - (np.cumsum(sizes) - sizes), sizes)
+        step = np.arange(total, dtype=np.int32)
+        source = step + np.repeat((self.starts[part] - (behind - sizes)).astype(np.int32), sizes)
         step += np.repeat(both, sizes)
         ids[step] = self.ids[source]
         return ids, lengths

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,68 @@ def portions(column: pa.Array, size: int = PORTION_BYTES) -> Iterator[list[bytes
         yield held
 
 
+class Numbered(dict):
+    """A number for every value seen, in order of first appearance."""
+
+    def of(self, values: Sequence) -> tuple[np.ndarray, list]:
+        """The numbers of all values, and the values that are new."""
+        found = np.fromiter(map(self.get, values, repeat(-1)), np.int64, len(values))
+        late = found < 0
+        if not late.any():
+            return found, []
+        missing = list(compress(values, late.tolist()))
+        new = list(dict.fromkeys(missing))
+        self.update(zip(new, range(len(self), len(self) + len(new))))
+        found[late] = np.fromiter(map(self.__getitem__, missing), np.int64, len(missing))
+        return found, new
+
+
+# White space at which bytes are split into words.
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\r\x0b\x0c")] = True
+
+#: Words of so many bytes are compared as two numbers and their length.
+SHORT = 16
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+
+
+class Words(Numbered):
+    """Numbers for the words of texts. Equal words of a portion are found by sorting, so each is looked up once."""
+
+    def in_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The number of words of each text, the numbers of all words, and the words that are new."""
+        body = b"\n".join([*texts, bytes(SHORT)])
+        space = SPACE[np.frombuffer(body, np.uint8, len(body) - SHORT)]
+        edge = np.flatnonzero(np.diff(space, prepend=True))
+        begin, size = edge[::2], edge[1::2] - edge[::2]
+        first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        counts = np.diff(np.searchsorted(begin, first))
+        eight = np.ndarray(len(body) - 7, "<u8", body, strides=(1,))
+        low = eight[begin] & FIRST_BYTES[np.minimum(size, 8)]
+        high = eight[np.minimum(begin + 8, len(eight) - 1)] & FIRST_BYTES[np.clip(size - 8, 0, 8)]
+        key = (low * MULTIPLIERS[0] ^ high * MULTIPLIERS[1]) + size.astype(np.uint64) * MULTIPLIERS[2]
+        short = np.flatnonzero(size <= SHORT)
+        by = short[np.argsort(key[short])]
+        if len(by):
+            other = key[by[1:]] != key[by[:-1]]
+            differ = (low[by[1:]] != low[by[:-1]]) | (high[by[1:]] != high[by[:-1]]) | (size[by[1:]] != size[by[:-1]])
+            if (differ & ~other).any():  # different words of one key
+                by = short[np.lexsort((size[short], high[short], low[short]))]
+                differ = (low[by[1:]] != low[by[:-1]]) | (high[by[1:]] != high[by[:-1]]) | (size[by[1:]] != size[by[:-1]])
+            group = np.flatnonzero(np.append(True, differ))
+        else:
+            group = np.empty(0, np.int64)
+        long = np.flatnonzero(size > SHORT)
+        asked = np.concatenate([by[group], long])
+        start = begin[asked]
+        numbers, new = self.of([body[a:b] for a, b in zip(start.tolist(), (start + size[asked]).tolist())])
+        found = np.empty(len(begin), np.int64)
+        found[by] = np.repeat(numbers[: len(group)], np.diff(np.append(group, len(by))))
+        found[long] = numbers[len(group) :]
+        return counts, found, new
+
+
 class Coded(dict):
     """A number for every value asked for; those not seen before get it from `number`."""
 
