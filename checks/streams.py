@@ -39,15 +39,15 @@ def run(
     sink=None,
     before=None,
     added: str = "",
-) -> DataFrame:
+) -> DataFrame | None:
     """Replay rows through `build` and read back what it wrote.
 
     The input folder grows by one stretch of arrival order at a time. The query is stopped
     and restarted from its checkpoint in between, so each stretch is one micro-batch, of any
     number of files, and every run is also a recovery test.
 
-    `sink(folder)` makes another batch function than the plain one, which adds columns `added` to
-    `folder`/out; `before(folder, stretch)` runs ahead of each stretch.
+    `sink(folder)` makes another batch function than the plain one. If it writes to `folder`/out too, `added`
+    says with which columns; else there is nothing to read back. `before(folder, stretch)` runs ahead of each stretch.
     """
     folder = runs.work_folder(spark)
     stage(spark, rows, folder, stretches)
@@ -58,7 +58,9 @@ def run(
             before(folder, i)
         out = build(readers.stream(spark, f"{folder}/input", rows.schema, files_per_trigger=None))
         runs.drain(out, folder, mode, sink(folder) if sink else None)
-    if added:
+    if sink:
+        if not added:
+            return None
         schema = T.StructType([*T.StructType.fromDDL(added), T.StructField("batch_id", T.LongType())])
         return runs.written(spark, folder, schema)
     return runs.written(spark, folder, _plus(out.schema, "batch_id"))

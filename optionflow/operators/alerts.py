@@ -18,23 +18,76 @@ ALERT_COLUMNS = (
 )
 
 
-def reset_alerts(buckets: DataFrame, width: int | None, threshold_paise: int) -> DataFrame:
+def reset_alerts(buckets: DataFrame, width: int | None, threshold_paise: int, slice_steps: int = SLICE) -> DataFrame:
     """Windows of the last `width` check instants, emptied whenever they alert.
 
     `width=None` never expires trades: value bars. Value only grows when a trade arrives, so
     only trade buckets can alert. An instrument has at most two buckets per second of
-    history whatever its tick volume, which bounds what one key sends to one task; the fold
-    itself streams.
+    history whatever its tick volume. Its history is cut where that changes nothing, so tasks do not grow with it.
     """
+    if width is None:
+        return value_bars(buckets, threshold_paise, slice_steps)
     columns = [c.split()[0] for c in ALERT_COLUMNS.split(", ")]
-    fold = partial(folds.reset_windows, by=["instrument_key"], width=width, threshold=threshold_paise)
+    fold = partial(folds.reset_windows, by=["instrument_key", "stretch"], width=width, threshold=threshold_paise)
     return (
-        spread(buckets.select(*columns), "instrument_key")
-        .sortWithinPartitions("instrument_key", "b")
-        .mapInPandas(fold, ALERT_COLUMNS)
+        spread(stretches(buckets.select(*columns), width, slice_steps), "instrument_key", "stretch")
+        .sortWithinPartitions("instrument_key", "stretch", "b")
+        .mapInPandas(fold, f"{ALERT_COLUMNS}, stretch bigint")
+        .drop("stretch")
     )
 
 
+def stretches(buckets: DataFrame, width: int, slice_steps: int = SLICE) -> DataFrame:
+    """Add `stretch`: time slices with a pause of `width` instants between them, after which a window is empty, are told apart.
+
+    One row per instrument and slice says when it begins and ends.
+    """
+    of = F.floor(F.col("b") / slice_steps).cast("bigint")
+    rows = buckets.withColumn("slice", of)
+    key = F.struct("instrument_key").alias("key")
+    ends = rows.groupBy(key, "slice").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+    along = W.partitionBy("key").orderBy("slice")
+    rest = F.col("low") - F.lag("high").over(along) >= width
+    stretch = F.max(F.when(rest, F.col("slice"))).over(along.rowsBetween(W.unboundedPreceding, 0))
+    marked = ends.select("key", "slice", F.coalesce(stretch, F.min("slice").over(W.partitionBy("key"))).alias("stretch"))
+    return rows.withColumn("key", key).join(marked, ["key", "slice"]).drop("key", "slice")
+
+
+def value_bars(buckets: DataFrame, threshold_paise: int, slice_steps: int = SLICE) -> DataFrame:
+    """Bars of value `threshold_paise` or more: windows that never expire and are emptied when they alert.
+
+    Three passes, as for trades: time slices are reduced to what they do to the value that an open bar brings in, a scan of
+    those rows gives every slice the bar it is entered with, and all slices mark their buckets' bars in parallel. Spark
+    sums up each bar.
+    """
+    by = ["instrument_key", "chunk"]
+    columns = [c.split()[0] for c in ALERT_COLUMNS.split(", ")]
+    rows = buckets.select(*columns).withColumn("chunk", F.floor(F.col("b") / slice_steps).cast("bigint"))
+    summaries = (
+        spread(rows.select(*by, "b", "paise"), *by)
+        .sortWithinPartitions(*by, "b")
+        .mapInPandas(partial(folds.summarise_bars, threshold=threshold_paise), folds.BAR_SUMMARY)
+    )
+    entries = (
+        summaries.repartition("instrument_key").sortWithinPartitions(*by, "low").mapInPandas(folds.enter_bars, folds.BAR_ENTRY)
+    )
+    # an entry row comes before its slice's buckets; zeros, as nulls would make other numbers of the columns
+    blank = {f.name: F.lit(0).cast(f.dataType) for f in rows.schema if f.name not in by}
+    nothing = {c: F.lit(0).cast("bigint") for c in ("carry", "open_b")}
+    united = rows.withColumns({**nothing, "is_entry": F.lit(False)}).unionByName(entries.withColumns({**blank, "is_entry": F.lit(True)}))
+    marked = (
+        spread(united, *by)
+        .sortWithinPartitions(*by, F.desc("is_entry"), "b")
+        .mapInPandas(partial(folds.mark_bars, threshold=threshold_paise), f"{ALERT_COLUMNS}, bar bigint, done boolean")
+    )
+    at = F.col("b")
+    sums = [F.sum(c).alias(c) for c in ("paise", "vol", "n", "buy", "sell")]
+    firsts = [F.min_by(c, at).alias(c) for c in ("first_price", "first_oi")]
+    lasts = [F.max_by(c, at).alias(c) for c in ("last_price", "last_oi", "last_ms")]
+    whole = marked.groupBy("instrument_key", "bar").agg(F.max("b").alias("b"), F.max("done").alias("done"), *sums, *firsts, *lasts)
+    return whole.filter("done").select(*columns)
+
+
 def sliding_alerts(
     buckets: DataFrame,
     width: int,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import money, text
 from . import ordered
@@ -86,8 +86,28 @@ def sorted_movers(movers: DataFrame) -> DataFrame:
 
 
 def movers_document(movers: DataFrame) -> DataFrame:
-    """One JSON line per stock in report order, plus nothing gathered on the driver; the
-    report's count is the row count."""
-    return sorted_movers(movers).select(
-        F.to_json(F.struct("name", "symbol", "pct_change", "change")).alias("value")
-    )
+    """The report as the lines of one JSON document: stocks in report order, their count, and 0 failed.
+
+    Nothing is gathered: the last stock, which has no comma behind it, and the count are aggregates.
+    """
+    place = [F.desc("pct_change"), "line_no"]
+    last = movers.agg(F.max(F.struct((-F.col("pct_change")).alias("p"), F.col("line_no").alias("l")))).scalar()
+    stock = F.to_json(F.struct("name", "symbol", "pct_change", "change"))
+    is_last = F.struct((-F.col("pct_change")).alias("p"), F.col("line_no").alias("l")) == last
+    stocks = movers.select(F.lit(1).alias("part"), "pct_change", "line_no", F.when(is_last, stock).otherwise(F.concat(stock, F.lit(","))).alias("value"))
+    end = movers.agg(F.count(F.lit(1)).alias("n"))
+    tail = end.select(F.lit(2).alias("part"), F.format_string('],"count":%d,"failed":0}', "n").alias("value"))
+    head = end.select(F.lit(0).alias("part"), F.lit('{"stocks":[').alias("value"))
+    lines = stocks.unionByName(head, allowMissingColumns=True).unionByName(tail, allowMissingColumns=True)
+    return lines.orderBy("part", *place).select("value")
+
+
+def ranked(scores: DataFrame, at_tick: Column | int, n: int = 1000) -> DataFrame:
+    """The n hottest tickers at a tick, numbered: (rank, ticker, heat). `scores` has each ticker's heat as of `at_tick`.
+
+    The sort stops at n rows per task, so what one task numbers does not grow with the tickers.
+    """
+    left = F.col("heat") * F.pow(F.lit(DECAY), at_tick - F.col("at_tick"))
+    now = scores.select("ticker", F.when(left >= 1, left).otherwise(0.0).alias("heat"))
+    best = now.orderBy(F.desc("heat"), "ticker").limit(n)
+    return best.select(F.row_number().over(W.orderBy(F.desc("heat"), "ticker")).alias("rank"), "ticker", "heat")

@@ -212,3 +212,117 @@ def window_rows(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray) -> pd.Da
     for c in ("first_price", "first_oi"):
         out[c] = rows[c].to_numpy()[begin]
     return out
+
+
+# ---------------------------------------------------------------- value bars, chunk by chunk
+
+
+def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The whole groups of sorted batches, one at a time."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        cuts = np.flatnonzero(_starts(pdf, by))
+        for a, b in zip(cuts, [*cuts[1:], len(pdf)]):
+            part = pdf.iloc[a:b]
+            if held and any(held[0][c].iloc[0] != part[c].iloc[0] for c in by):
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def bar_ends(total: np.ndarray, threshold: int) -> np.ndarray:
+    """For a bar that begins at each row: the row that completes it, or the number of rows. `total` are running sums from 0."""
+    return np.searchsorted(total, total[:-1] + threshold, side="left") - 1
+
+
+def open_after(total: np.ndarray, ends: np.ndarray, start: int) -> int:
+    """The row at which the bar begins that is still open after the last one, if a bar begins at `start`."""
+    n = len(ends)
+    while start < n and ends[start] < n:
+        start = int(ends[start]) + 1
+    return start
+
+
+BAR_SUMMARY = "instrument_key string, chunk bigint, first_b bigint, low bigint, rest bigint, open_b bigint"
+
+
+def summarise_bars(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
+    """What a chunk does to the value that the open bar brings in: a row for each range of values, from `low` on.
+
+    The bar that is open after the chunk has value `rest` since bucket `open_b`. In the range that completes no
+    bar, `open_b` is null and `rest` is what the chunk adds.
+    """
+    for rows in _groups(batches, ["instrument_key", "chunk"]):
+        b = rows["b"].to_numpy()
+        total = np.concatenate([[0], np.cumsum(rows["paise"].to_numpy())])
+        ends, n = bar_ends(total, threshold), len(b)
+        # rows that complete the incoming bar for some value below the threshold, the last of them for the least
+        reach = np.flatnonzero(total[1:] > 0)
+        top = min(int(np.searchsorted(total, threshold, side="left")) - 1, n - 1)
+        first = [j for j in reach[reach <= top].tolist() if total[j + 1] > total[j]]
+        found = [] if total[n] >= threshold else [(0, int(total[n]), None)]
+        for j in first:
+            start = open_after(total, ends, j + 1)
+            found.append((max(0, threshold - int(total[j + 1])), int(total[n] - total[start]), int(b[start]) if start < n else -1))
+        yield pd.DataFrame(
+            {
+                "instrument_key": rows["instrument_key"].iloc[0],
+                "chunk": rows["chunk"].iloc[0],
+                "first_b": int(b[0]),
+                "low": [f[0] for f in found],
+                "rest": [f[1] for f in found],
+                "open_b": pd.array([f[2] for f in found], dtype="Int64"),
+            }
+        )
+
+
+BAR_ENTRY = "instrument_key string, chunk bigint, carry bigint, open_b bigint"
+
+
+def enter_bars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The open bar with which each chunk is entered: its value and first bucket (null: none). Sorted by key, chunk, low."""
+    key, carry, since = None, 0, None
+    for rows in _groups(batches, ["instrument_key", "chunk"]):
+        k = rows["instrument_key"].iloc[0]
+        if k != key:
+            key, carry, since = k, 0, None
+        yield pd.DataFrame(
+            {"instrument_key": [k], "chunk": [rows["chunk"].iloc[0]], "carry": [carry], "open_b": pd.array([since], dtype="Int64")}
+        )
+        # of the ranges that begin at or below the value the one with the highest begin; the one that completes none comes last at 0
+        low, at = rows["low"].to_numpy(), rows["open_b"]
+        fits = np.flatnonzero((low <= carry) & ~at.isna().to_numpy())
+        if len(fits):
+            row = fits[np.argmax(low[fits])]
+            carry = int(rows["rest"].iloc[row])
+            since = None if at.iloc[row] < 0 else int(at.iloc[row])
+        else:
+            none = np.flatnonzero(at.isna().to_numpy())[0]
+            carry += int(rows["rest"].iloc[none])
+            since = int(rows["first_b"].iloc[0]) if since is None else since
+
+
+def mark_bars(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
+    """Buckets with `bar`, the first bucket of their bar, and `done`, whether they complete it.
+
+    Each (instrument_key, chunk) group begins with its entry row.
+    """
+    for rows in _groups(batches, ["instrument_key", "chunk"]):
+        entry, rows = rows.iloc[0], rows.iloc[1:]
+        b = rows["b"].to_numpy()
+        total = np.concatenate([[0], np.cumsum(rows["paise"].to_numpy())])
+        ends, n = bar_ends(total, threshold), len(b)
+        bar, done = np.empty(n, np.int64), np.zeros(n, bool)
+        end = int(np.searchsorted(total, threshold - int(entry["carry"]), side="left")) - 1
+        begin, of = 0, int(b[0]) if pd.isna(entry["open_b"]) else int(entry["open_b"])
+        while begin < n:
+            stop = min(end, n - 1)
+            bar[begin : stop + 1] = of
+            if end < n:
+                done[end] = True
+            begin = stop + 1
+            if begin < n:
+                end, of = int(ends[begin]), int(b[begin])
+        yield rows.assign(bar=bar, done=done).drop(columns=["chunk", "carry", "open_b", "is_entry"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import classify, clock
-from . import ordered
+from . import asof, ordered
 
 REGISTRY_CHUNK_MS = 60_000
 
@@ -133,6 +133,21 @@ def with_atm_flag(alerts: DataFrame, atm: DataFrame) -> DataFrame:
     )
 
 
+def with_atm_versions(alerts: DataFrame, strike_tables: DataFrame, starts: DataFrame) -> DataFrame:
+    """`is_atm` by the strike table in force at the alert: the last version with `valid_from` <= `alert_ms`.
+
+    `strike_tables` holds the rows of all versions with `version`, `starts` their (version, valid_from). An alert before the
+    first version, or of a company that its version lacks, is not at the money.
+    """
+    stamped = asof.asof_join(alerts, starts, [], "alert_ms", "valid_from", ["version"])
+    first = F.min(F.struct("underlying_key", "atm_ce", "atm_pe")).alias("r")
+    keys = strike_tables.groupBy("version", F.col("name").alias("ticker")).agg(first)
+    key = F.col("instrument_key")
+    joined = stamped.join(keys, ["version", "ticker"], "left")
+    here = (key == F.col("r.atm_ce")) | (key == F.col("r.atm_pe"))
+    return joined.withColumn("is_atm", F.coalesce(here, F.lit(False))).drop("r")
+
+
 def with_reg_key(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn(
         "reg_key", classify.reg_key(F.col("ticker"), F.col("strike"), F.col("option_type"))

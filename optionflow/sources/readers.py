@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from . import schemas
+from . import json_array, schemas
 
 
 def instrument_master(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array of contracts, gzipped or not; `seq` is the file order.
-
-    One such file is one task, so the rows are spread afterwards.
-    """
-    rows = spark.read.schema(schemas.INSTRUMENT_MASTER).json(path, multiLine=True)
-    seq = F.monotonically_increasing_id().alias("seq")
-    return rows.select("*", seq).repartition("underlying_key", "strike_price")
+    """JSON array of contracts; `seq` is the file order. The file is read in many ranges, unless it is compressed as a whole."""
+    return json_array.read(spark, path, schemas.INSTRUMENT_MASTER)
 
 
 def option_chain(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -70,11 +65,16 @@ def json_message_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.text(path)
 
 
-def decode_tick_messages(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """JSON text lines -> feed messages, and the lines that cannot be read (quarantine)."""
+def marked_tick_messages(lines: DataFrame) -> DataFrame:
+    """JSON text lines -> (value, seq, arrival_ms, feeds, dead): `dead` lines cannot be read."""
     schema = T.StructType([*schemas.TICK_MESSAGE, T.StructField("_corrupt", T.StringType())])
     opts = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
     read = lines.select("value", F.from_json("value", schema, opts).alias("m"))
     bad = F.col("m").isNull() | F.col("m._corrupt").isNotNull() | F.col("m.feeds").isNull()
-    good = read.filter(~bad).select("m.seq", "m.arrival_ms", "m.feeds")
-    return good, read.filter(bad).select("value")
+    return read.select("value", "m.seq", "m.arrival_ms", "m.feeds", bad.alias("dead"))
+
+
+def decode_tick_messages(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """JSON text lines -> feed messages, and the lines that cannot be read (quarantine)."""
+    read = marked_tick_messages(lines)
+    return read.filter(~F.col("dead")).select("seq", "arrival_ms", "feeds"), read.filter("dead").select("value")

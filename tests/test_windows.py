@@ -117,6 +117,31 @@ def test_reset_alerts_equal_the_model(spark, small_batches, width, seed):
     assert got == sorted(a[:3] for a in model.reset_alerts(model_buckets(rows), width, 6000))
 
 
+@pytest.mark.parametrize("width, slice_steps", [(1, 3), (5, 4), (10, 25), (None, 1), (None, 5), (None, 20)])
+def test_reset_alerts_in_slices_equal_the_model(spark, small_batches, width, slice_steps):
+    rows = trade_rows(7, n=300, span_ms=60_000) + trade_rows(8, n=60, span_ms=300_000, keys=1)
+    rows = [(k if i % 11 else None, i, t, q if i % 13 else 0) for i, (k, _, t, q) in enumerate(sorted(rows, key=lambda r: r[2]))]
+    buckets = trade_ops.buckets(trade_frame(spark, rows))
+    found = windows.reset_alerts(buckets, width, 6000, slice_steps)
+    whole = windows.reset_alerts(buckets, width, 6000, 10**9)
+    order = lambda r: (r.instrument_key or "", r.b)
+    assert sorted(found.collect(), key=order) == sorted(whole.select(found.columns).collect(), key=order)
+    got = sorted((r.instrument_key or "", r.b, r.paise) for r in found.collect())
+    named = [(k or "", b, v) for k, b, v in model_buckets(rows)]
+    assert got == sorted(a[:3] for a in model.reset_alerts(named, width, 6000))
+
+
+def test_slices_of_a_long_history_are_told_apart(spark):
+    """A key that trades all day and rests over night is a stretch a day; one that never rests is one stretch."""
+    day, busy = 86_400_000, [("day", i, d * 86_400_000 + t, 1) for i, (d, t) in enumerate((d, t) for d in range(4) for t in range(0, 8 * 3_600_000, 3_600_000 - 1))]
+    rest = [("all", 10_000 + i, t, 1) for i, t in enumerate(range(0, 4 * day, 400_000))]
+    found = windows.stretches(trade_ops.buckets(trade_frame(spark, busy + rest)), 10)
+    count = {r.instrument_key: r.n for r in found.groupBy("instrument_key").agg(F.countDistinct("stretch").alias("n")).collect()}
+    assert count["day"] >= 4 and count["all"] > 4
+    found = windows.stretches(trade_ops.buckets(trade_frame(spark, busy + rest)), 1000)
+    assert {r.instrument_key: r.n for r in found.groupBy("instrument_key").agg(F.countDistinct("stretch").alias("n")).collect()}["all"] == 1
+
+
 @pytest.mark.parametrize("slice_steps", [7, 25, 28_800])
 def test_sliding_alerts_equal_the_model(spark, slice_steps):
     rows = trade_rows(3)
