@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 
 from optionflow.llm import secrets
 from optionflow.llm.queries import QUERIES
@@ -15,9 +16,14 @@ def der(tag, body):
     return bytes([tag]) + size + body
 
 
-def rsa_key():
-    numbers = [b"\x00"] + [bytes([1 + k]) * 40 for k in range(8)]
-    return der(0x30, b"".join(der(2, n) for n in numbers))
+def whole(n):
+    return der(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
+
+
+def rsa_key(change=0):
+    p, q = (1 << 300) + 157, (1 << 280) + 95
+    numbers = (0, p * q + change, 65537, (1 << 555) + 3, p, q, 5, 7, 11)
+    return der(0x30, b"".join(whole(n) for n in numbers))
 
 
 def ec_key():
@@ -97,6 +103,61 @@ def test_keys_are_reported_only_if_they_parse():
     assert kinds("M" * 80) == [] and kinds("30" * 40) == []
 
 
+def test_numbers_have_to_make_a_key():
+    for data in (rsa_key(1), der(0x30, b"".join(whole(k << 600) for k in range(9))), der(0x30, b"".join(whole(k) for k in (0, 15, 3, 5, 3, 5, 1, 1, 1)))):
+        assert kinds(f"key {base64.b64encode(data).decode()} end") == kinds(f"x {data.hex()} y") == []
+    bare = der(0x30, der(2, b"\x01") + der(4, b"k" * 31))
+    named = der(0x30, der(2, b"\x01") + der(4, b"k" * 31) + der(0xA0, der(6, b"\x2b\x81\x04\x00\x0a")))
+    assert kinds(base64.b64encode(bare).decode()) == [] and kinds(base64.b64encode(named).decode()) == ["der"]
+
+
+def test_inner_keys_are_opened():
+    def wrapped(oid, inner, *parameters):
+        return der(0x30, der(2, b"\x00") + der(0x30, der(6, bytes.fromhex(oid)) + b"".join(parameters)) + der(4, inner))
+
+    q = (1 << 159) + 7
+    group = der(0x30, whole(q * (1 << 400) + 1) + whole(q) + whole(3))
+    good = [
+        wrapped("2a864886f70d010101", rsa_key(), der(5, b"")), wrapped("2b6570", der(4, b"s" * 32)), wrapped("2a8648ce380401", whole(12345), group),
+        wrapped("2a8648ce3d0201", der(0x30, der(2, b"\x01") + der(4, b"k" * 31)), der(6, b"\x2b\x81\x04\x00\x0a")),
+    ]
+    bad = [
+        wrapped("2a864886f70d010101", rsa_key(1), der(5, b"")), wrapped("2b6570", der(4, b"s" * 31)), wrapped("2a8648ce380401", whole(q), group),
+        wrapped("2a8648ce3d0201", der(0x30, der(2, b"\x02") + der(4, b"k" * 32))), wrapped("2a864886f70d010101", b"x" * 90), wrapped("2b81", b"x" * 90),
+    ]
+    assert [kinds(base64.b64encode(k).decode()) for k in good] == [["der"]] * len(good)
+    assert [kinds(base64.b64encode(k).decode()) for k in bad] == [[]] * len(bad)
+
+
+def test_wrapped_lines_outside_armour():
+    run = base64.b64encode(pkcs8()).decode()
+    for end in ("\n", "\r\n"):
+        lines = re.sub("(.{64})", rf"\1{end}", run).strip()
+        assert secrets.confirmed_spans(f"key: {lines} end") == [(5, 5 + len(lines), "der")]
+    assert kinds(re.sub("(.{64})", "\\1\n", base64.b64encode(b"\x30" * 200).decode())) == []
+
+
+def test_two_megabytes_of_anything_are_scanned_at_once():
+    n = 2_000_000
+    begin = "-----BEGIN PRIVATE KEY-----"
+    texts = [
+        "eyJ" * (n // 3), "eyJ." * (n // 4), "eyJabcdefgh." * (n // 12), f"{begin}X" + " " * n, f"{begin}\n" * (n // 28), f"{begin}a: b\n" * (n // 33),
+        f"{begin}" + "a: b\n" * (n // 5), f"-----BEGIN {'A' * n}", "-" * n, "-----BEGIN " * (n // 11), "A" * n, "Mab/" * (n // 4), ("M" * 64 + "\n") * (n // 65),
+        "30" * (n // 2), "password" * (n // 8), "password" + " " * n, "token=" * (n // 6), "AKIA" * (n // 4), "f" * n, f"{jwt()} " * (n // 70), "MAAA" * 20 + " " * n,
+        (base64.b64encode(ssh_key()).decode() + " ") * (n // 350),
+    ]
+    for text in texts:
+        begun = time.process_time()
+        secrets.base_spans(text), secrets.confirmed_spans(text)
+        assert time.process_time() - begun < 2, text[:40]
+
+
+def test_bytes_that_are_not_utf8(spark):
+    df = spark.sql("select 1L as doc_id, cast(unhex('ff746f6b656e3d616263646566c3') as string) as text")
+    (row,) = secrets.scan(df, keep=["doc_id"], mark="#").collect()
+    assert row.spans == "assign:1:13" and row.clean_text == "\ufffd#\ufffd"
+
+
 def test_tokens_need_header_and_claims():
     assert kinds(f"bearer {jwt()}") == ["jwt"]
     assert kinds(jwt(head={"typ": "JWT"})) == [] and kinds(jwt(claims=[1])) == []
