@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from .ranks import unit
-from .texts import Coded, portions
+from .texts import Numbered, portions
 
 #: Texts per language to learn from (on average, by hash); grams kept per language.
 SAMPLE, GRAMS = 2000, 20_000
@@ -32,8 +32,8 @@ SWITCH, MOST = 12.0, 8.0
 
 NONE = "und"
 
-#: Bits of a letter in a gram's code. Words whose scores a task remembers.
-BITS, REMEMBERED = 21, 500_000
+#: Bits of a letter in a gram's code. Bytes of words whose scores a task remembers, and what a word takes beside its letters.
+BITS, REMEMBERED, WORD_BYTES = 21, 48_000_000, 160
 
 # First code points of script ranges in Unicode, and the script from there on.
 RANGES = (
@@ -158,8 +158,9 @@ def code(gram: str) -> int:
     return value
 
 
-def word_scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A row per word: how much less each language explains it than the best one does, 0 to -MOST; and whether it has letters.
+def word_scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A row per word: how much less each language explains it than the best one does, 0 to -MOST; how many letters it has, and
+    of how many of them the 3-gram around is known.
 
     Words without letters have zeros.
     """
@@ -167,7 +168,7 @@ def word_scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]
     counts = np.array([len(r) for r in runs], np.int64)
     lettered, totals = counts > 0, np.zeros((len(words), len(model.languages)))
     if not lettered.any():
-        return totals, lettered
+        return totals, counts, counts
     flat = list(chain.from_iterable(runs))
     # each run and a line behind it, after one line; `word` is the word of each place
     letters = np.frombuffer(f"_{'_'.join(flat)}_".encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -188,6 +189,8 @@ def word_scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]
     owner = np.concatenate([word[middle], word[middle], word[first], word[middle]])
     at = np.minimum(np.searchsorted(model.grams, grams), len(model.grams) - 1)
     known = model.grams[at] == grams
+    size = np.bincount(word[middle], minlength=len(words))
+    seen = np.bincount(word[middle][known[-len(middle) :]], minlength=len(words))
     for j in range(len(model.languages)):
         # 1-, 2- and 3-grams say the same thing three times
         value = np.where(known, model.scores[at, j], model.unseen[j]) / 3
@@ -201,34 +204,33 @@ def word_scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]
             rows = totals[here]
             totals[here] = np.where(fits, rows, rows.min(1, keepdims=True) - MOST)
     totals[lettered] = np.maximum(totals[lettered] - totals[lettered].max(1, keepdims=True), -MOST)
-    return totals, lettered
+    return totals, size, seen
 
 
 class Scorer:
-    """Scores of words, each computed once per task."""
+    """Scores of words, each computed once while the task remembers it."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
         self.clear()
 
     def clear(self) -> None:
-        self.words, self.new = Coded(self.number), []
-        self.scores, self.lettered = np.zeros((0, len(self.model.languages)), np.float32), np.zeros(0, bool)
+        self.words, self.size = Numbered(), 0
+        self.scores = np.zeros((0, len(self.model.languages)), np.float32)
+        self.letters = self.seen = np.zeros(0, np.int32)
 
-    def number(self, word: str) -> int:
-        self.new.append(word)
-        return len(self.words)
-
-    def codes(self, words: Iterator[str], count: int) -> np.ndarray:
-        """Rows of `scores` and `lettered` for the words."""
-        if len(self.words) > REMEMBERED:
+    def codes(self, words: list[str]) -> np.ndarray:
+        """Rows of `scores`, `letters` and `seen` for the words."""
+        if self.size > REMEMBERED:
             self.clear()
-        found = self.words.all(words, count, np.int64)
-        for a in range(0, len(self.new), 50_000):
-            scores, lettered = word_scores(self.model, self.new[a : a + 50_000])
-            self.scores = np.concatenate([self.scores, scores.astype(np.float32)])
-            self.lettered = np.concatenate([self.lettered, lettered])
-        self.new = []
+        found, new = self.words.of(words)
+        parts = [(self.scores, self.letters, self.seen)]
+        for a in range(0, len(new), 20_000):
+            scores, letters, seen = word_scores(self.model, new[a : a + 20_000])
+            parts.append((scores.astype(np.float32), letters.astype(np.int32), seen.astype(np.int32)))
+        if new:
+            self.scores, self.letters, self.seen = (np.concatenate(x) for x in zip(*parts))
+            self.size += sum(map(len, new)) + WORD_BYTES * len(new)
         return found
 
 
@@ -281,37 +283,42 @@ def stretches(labels: np.ndarray, names: tuple[str, ...]) -> str:
     return ",".join(f"{names[labels[a]]}:{a}:{b}" for a, b in zip(edges, edges[1:]))
 
 
-def label(scorer: Scorer, texts: list[bytes], switch: float = SWITCH) -> tuple[list[str], list[float], list[str]]:
-    """Language, score and stretches of each text."""
+def label(scorer: Scorer, texts: list[bytes], switch: float = SWITCH) -> tuple[list[str], list[float], list[str], list[float]]:
+    """Language, score and stretches of each text, and the share of its letters whose 3-gram is known."""
     languages = scorer.model.languages
     if not languages:
-        return [NONE] * len(texts), [0.0] * len(texts), [""] * len(texts)
+        return [NONE] * len(texts), [0.0] * len(texts), [""] * len(texts), [0.0] * len(texts)
     split = [t.decode("utf-8", "replace").lower().split() for t in texts]
     lengths = np.array([len(words) for words in split], np.int64)
-    codes = scorer.codes(chain.from_iterable(split), int(lengths.sum()))
+    codes = scorer.codes(list(chain.from_iterable(split)))
     del split
     labels = viterbi(scorer.scores[codes], lengths, switch)
-    lettered = scorer.lettered[codes]
+    letters = scorer.letters[codes]
+    lettered = letters > 0
     ends = np.cumsum(lengths)
-    langs, shares, spans = [], [], []
-    for a, b in zip(ends - lengths, ends):
+    through = np.concatenate([[0], np.cumsum(letters, dtype=np.int64)])
+    known = np.concatenate([[0], np.cumsum(scorer.seen[codes], dtype=np.int64)])
+    langs, shares, spans, seen = [], [], [], []
+    for a, b in zip((ends - lengths).tolist(), ends.tolist()):
         mine = labels[a:b][lettered[a:b]]
         if not len(mine):
-            langs.append(NONE), shares.append(0.0), spans.append("")
+            langs.append(NONE), shares.append(0.0), spans.append(""), seen.append(0.0)
             continue
         counts = np.bincount(mine, minlength=len(languages))
         langs.append(languages[int(counts.argmax())])
         shares.append(float(counts.max() / len(mine)))
         spans.append(stretches(labels[a:b], languages))
-    return langs, shares, spans
+        seen.append(float((known[b] - known[a]) / max(1, through[b] - through[a])))
+    return langs, shares, spans, seen
 
 
 #: Text that a task labels at a time.
-STEP_BYTES = 8_000_000
+STEP_BYTES = 2_000_000
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, switch: float = SWITCH) -> DataFrame:
-    """The columns `keep` (all, if None), `lang_pred`, `lang_score` (share of its words) and `lang_spans`.
+    """The columns `keep` (all, if None), `lang_pred`, `lang_score` (share of its words), `lang_spans` and `lang_known` (share of its
+    letters whose 3-gram is one of the model's: low for scripts that were not learned and for random letters).
 
     Texts that are null or have no letter get `und`, score 0 and no span, and so does every text if the
     model knows no language. Ties go to the first language by name. Repeated rows are
@@ -319,24 +326,28 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     error.
     """
     keep = docs.columns if keep is None else keep
-    added = [("lang_pred", T.StringType()), ("lang_score", T.DoubleType()), ("lang_spans", T.StringType())]
+    added = [("lang_pred", T.StringType()), ("lang_score", T.DoubleType()), ("lang_spans", T.StringType()), ("lang_known", T.DoubleType())]
     clash = sorted({c.lower() for c in keep} & {n for n, _ in added})
     if clash:
         raise ValueError(f"column names in use: {clash}")
     names, width = [*keep, *(n for n, _ in added)], len(keep)
+    # a text that is kept travels once
+    there = keep.index(text) if text in keep and docs.schema[text].dataType == T.StringType() else None
+    body = [] if there is not None else [docs[text].cast("binary").alias("__text")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            langs, shares, spans = [], [], []
-            for part in portions(batch.column(width), STEP_BYTES):
-                for column, cells in zip((langs, shares, spans), label(scorer, part, switch)):
+            found = [], [], [], []
+            texts = batch.column(width) if there is None else batch.column(there).cast(pa.binary())
+            for part in portions(texts, STEP_BYTES):
+                for column, cells in zip(found, label(scorer, part, switch)):
                     column += cells
-            columns = [pa.array(langs, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, pa.string())]
+            columns = [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.float64(), pa.string(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=names)
 
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t in added)])
-    return docs.select(*keep, docs[text].cast("binary").alias("__text")).mapInArrow(rows, schema)
+    return docs.select(*keep, *body).mapInArrow(rows, schema)
 
 
 def held_out(id: Column) -> Column:

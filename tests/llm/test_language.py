@@ -26,7 +26,7 @@ def test_mixed_text_is_cut_where_languages_meet(spark, model):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 600 and text not like '%|%'")
     one = {r.lang: r.text.split()[:80] for r in docs.dropDuplicates(["lang"]).collect()}
     text = " ".join(one["fr"] + one["en"])
-    langs, shares, spans = language.label(language.Scorer(model), [text.encode()])
+    langs, shares, spans, _ = language.label(language.Scorer(model), [text.encode()])
     parts = [s.split(":") for s in spans[0].split(",")]
     assert [p[0] for p in parts] == ["fr", "en"] and abs(int(parts[0][2]) - 80) <= 3
     assert 0.4 < shares[0] < 0.6 and langs[0] in ("fr", "en")
@@ -91,3 +91,85 @@ def test_portions_bound_the_work_and_lose_nothing():
     column = pa.array([b"x" * 10, None, b"", b"y" * 1000] * 100, pa.binary())
     parts = list(portions(column, 2000))
     assert [t for p in parts for t in p] == [c or b"" for c in column.to_pylist()] and len(parts) > 5
+
+
+def brute_word(model, word):
+    """Scores of a word gram by gram, its letters, and of how many the 3-gram is known."""
+    index = {int(g): i for i, g in enumerate(model.grams)}
+    runs = language.LETTERS.findall(word)
+    total, letters, seen = np.zeros(len(model.languages)), 0, 0
+    for run in runs:
+        framed = f"_{run}_"
+        grams = list(run) + [framed[i : i + 2] for i in range(len(run) + 1)] + [framed[i : i + 3] for i in range(len(run))]
+        for g in grams:
+            i = index.get(language.code(g))
+            total += (model.unseen if i is None else model.scores[i]) / 3
+            seen += i is not None and len(g) == 3
+        letters += len(run)
+    if not runs:
+        return total, 0, 0
+    fits = model.scripts.get(language.script(runs[0][0]))
+    if fits is not None and fits.any() and not fits.all():
+        total = np.where(fits, total, total.min() - language.MOST)
+    return np.maximum(total - total.max(), -language.MOST), letters, seen
+
+
+def brute_label(model, text):
+    words = text.lower().split()
+    scored = [brute_word(model, w) for w in words]
+    if not any(n for _, n, _ in scored):
+        return "und", 0.0, 0.0
+    k = len(model.languages)
+    value, back = np.float32(scored[0][0]), []
+    for s, _, _ in scored[1:]:
+        best = int(value.argmax())
+        stay = value >= value[best] - language.SWITCH
+        back.append([j if stay[j] else best for j in range(k)])
+        value = np.maximum(value, value[best] - language.SWITCH) + np.float32(s)
+    path = [int(value.argmax())]
+    for step in reversed(back):
+        path.append(step[path[-1]])
+    path = path[::-1]
+    mine = [p for p, (_, n, _) in zip(path, scored) if n]
+    counts = np.bincount(mine, minlength=k)
+    return model.languages[int(counts.argmax())], counts.max() / len(mine), sum(x for *_, x in scored) / sum(n for _, n, _ in scored)
+
+
+def test_labels_equal_brute_force(spark, model):
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
+    texts += ["the le der la " * 12, "привет the мир", "12 a_b c-d É", "x" * 300]
+    langs, shares, _, known = language.label(language.Scorer(model), [t.encode() for t in texts])
+    for t, l, s, k in zip(texts, langs, shares, known):
+        want = brute_label(model, t)
+        assert (l, s) == want[:2] and abs(k - want[2]) < 1e-12, t[:50]
+
+
+def test_model_equals_counting(spark):
+    from collections import Counter
+
+    docs = [(r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r.text and r.lang]
+    model = language.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), F.lit(True), sample=10**9)
+    counts = {l: Counter() for l in sorted({l for _, l in docs})}
+    for text, l in docs:
+        for run in language.LETTERS.findall(text.lower()):
+            framed = f"_{run}_"
+            counts[l].update([*run, *(framed[i : i + 2] for i in range(len(run) + 1)), *(framed[i : i + 3] for i in range(len(run)))])
+    assert model.languages == tuple(counts) and all(len(c) < language.GRAMS for c in counts.values())
+    grams = sorted({g for c in counts.values() for g in c}, key=language.code)
+    assert model.grams.tolist() == [language.code(g) for g in grams]
+    for j, c in enumerate(counts.values()):
+        total = [0, *(sum(n for g, n in c.items() if len(g) == k) for k in (1, 2, 3))]
+        want = [np.log(c[g] + 1) - np.log(total[len(g)] + len(grams)) for g in grams]
+        assert np.allclose(model.scores[:, j], want)
+
+
+def test_very_long_texts_and_small_steps(spark, model, monkeypatch):
+    rows = [(i, r.text) for i, r in enumerate(spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect())]
+    rows.append((99, "the and of " * 200_000))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(tuple(r) for r in language.predict(df, model, keep=["doc_id"]).collect())
+    monkeypatch.setattr(language, "STEP_BYTES", 1000)
+    monkeypatch.setattr(language, "REMEMBERED", 5000)
+    assert sorted(tuple(r) for r in language.predict(df, model, keep=["doc_id"]).collect()) == want
+    whole = language.predict(df, model).drop("text")
+    assert sorted(tuple(r) for r in whole.collect()) == want
