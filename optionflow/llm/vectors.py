@@ -6,6 +6,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .store import kept
+
+#: Numbers in a matrix of queries by rows.
+MATRIX_CELLS = 1 << 22
+
 
 def finite(vector: Column) -> Column:
     """True where a vector is not null and all of its components are finite numbers."""
@@ -41,6 +46,48 @@ def both(left: pa.ChunkedArray, right: pa.ChunkedArray) -> tuple[np.ndarray, np.
     return (np.pad(a, ((0, 0), (0, b.shape[1] - a.shape[1]))), b)
 
 
+def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
+    """(vid, v, ids): every distinct vector `v` of rows (id, v) once, with up to so many of its smallest ids; a written table.
+
+    Equal rows are reduced before they are moved, and a vector's ids are cut to that number in every task.
+    """
+    place = F.row_number().over(W.partitionBy("v").orderBy("id"))
+    few = rows.distinct().withColumn("place", place).filter(F.col("place") <= ids)
+    lists = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    return kept(lists.select(F.monotonically_increasing_id().alias("vid"), "v", "ids"))
+
+
+def members(rows: DataFrame, vectors: DataFrame, number: str) -> DataFrame:
+    """(query_id, number): which of the distinct vectors each row (id, v) has."""
+    known = vectors.select(F.col("v").alias("__v"), F.col(number))
+    return rows.distinct().join(known, F.col("v") == F.col("__v")).select(F.col("id").alias("query_id"), number)
+
+
+def for_members(found: DataFrame, asking: DataFrame, k: int) -> DataFrame:
+    """From (qid, vec_id, score) of distinct query vectors to the k best per query id, its own id left out.
+
+    One id more than k per vector is enough, whichever is the asker's own. A pair counts once, with its highest score.
+    """
+    once = found.groupBy("qid", "vec_id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), "vec_id"))
+    top = once.withColumn("place", place).filter(F.col("place") <= k + 1).drop("place")
+    each = asking.join(top, "qid").filter(F.col("query_id") != F.col("vec_id"))
+    return best(each.select("query_id", "vec_id", "score"), k)
+
+
+def slices(queries: int, rows: int) -> list[slice]:
+    """Parts of a block of queries, so that a matrix of one of them and a block of rows stays small."""
+    step = max(1, MATRIX_CELLS // max(1, rows))
+    return [slice(a, a + step) for a in range(0, queries, step)]
+
+
+def list_rows(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, one after the other, and the row of each."""
+    array = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.list_(pa.int64()))
+    sizes = np.diff(array.offsets.to_numpy())
+    return array.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+
+
 def best(pairs: DataFrame, k: int) -> DataFrame:
     """The k highest scores per query, ties to the smaller vec_id; a pair counts once, with its highest score."""
     once = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
