@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .ranks import ranked
+from .sharding import free
 from .store import kept
 
 PART_MEAN = 16.0
@@ -71,9 +72,7 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 0, id: str = "doc_i
     so is one whose count is 0. An empty table gives an empty one. Names of other columns
     must not be `part`, `copy` or `shuffle_key`.
     """
-    extra = [c for c in docs.columns if c in ("part", "copy", "shuffle_key")]
-    if extra:
-        raise ValueError(f"column names in use: {extra}")
+    free(docs, "part", "copy", "shuffle_key", "__source", "__parts", "__cdf", "__body", "__u", "__count")
     parts = F.greatest(F.ceil(F.col("rate") / F.lit(PART_MEAN)), F.lit(1))
     table = kept(
         rates.filter(F.col("rate") > 0).select(
@@ -102,5 +101,6 @@ def shuffled(copies: DataFrame) -> DataFrame:
 
 
 def positions(copies: DataFrame) -> DataFrame:
-    """Add `position`, from 0 without gaps: the place in the global random order."""
+    """Add `position`, from 0 without gaps: the place in the global random order. A column of that name is an error."""
+    free(copies, "position")
     return ranked(copies, [], hash_unit(F.col("shuffle_key")), ["shuffle_key"], "position")

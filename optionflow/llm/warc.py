@@ -23,7 +23,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .store import kept, shared_folder
 
@@ -145,17 +145,6 @@ def write(pages: DataFrame, folder: str) -> None:
 # --- reading ---------------------------------------------------------------------------
 
 
-def starts_record(stretch: bytes) -> bool:
-    """Whether magic + stretch is the start of a member with a WARC record (or an empty member)."""
-    if len(stretch) < 7 or stretch[0] & 0xE0:
-        return False
-    try:
-        text = zlib.decompressobj(GZIP).decompress(MAGIC + stretch, 16)
-    except zlib.error:
-        return False
-    return text.startswith(b"WARC/1.") or (not text and MAGIC + stretch == EMPTY)
-
-
 class Member:
     """A gzip member that is put together from stretches; `sure` once it has inflated to a WARC version line."""
 
@@ -336,19 +325,31 @@ def read(spark: SparkSession, folder: str, blocks: bool = True) -> DataFrame:
         path, found, walk = cut["path"][0].as_py(), [], Walk()
         pieces = cut.select(["start", "kind", "place", "piece"]).to_pylist()
         for p in sorted(pieces, key=lambda p: (p["start"], p["kind"] != "tail", p["place"])):
-            if p["kind"] == "open" and p["place"] == 0:  # what came before ended in this range
-                found += walk.end()
-                walk = Walk()
             found += walk.add(p["piece"])
         found += walk.end()
         rows = [record_row(path, data) for whole, data in found if whole]
         return pa.table(arrays([r for r in rows if r], fields))
 
     whole = found.filter(F.col("kind") == "member").select(*[name for name, _, _ in fields])
-    cut = found.filter(F.col("kind") != "member").groupBy("path").applyInArrow(sewn, ddl(fields))
+    pieces = kept(found.filter(F.col("kind") != "member").select("path", *[name for name, _, _ in PIECE]))
+    cut = chained(pieces).groupBy("path", "chain").applyInArrow(sewn, ddl(fields))
     return whole.unionByName(cut)
 
 
+def chained(pieces: DataFrame) -> DataFrame:
+    """Add `chain`: the byte range in which the member that a piece may belong to was opened.
+
+    A range with a certain start opens a chain, which its tail and the ranges up to the next such one go on. So a
+    file gives many small groups, however long it is; one row per range says where its chain began.
+    """
+    ranges = pieces.groupBy("path", "start").agg(F.max(F.col("kind") == "open").alias("opens"))
+    before = W.partitionBy("path").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    earlier = F.last(F.when(F.col("opens"), F.col("start")), ignorenulls=True).over(before)
+    chains = ranges.select("path", "start", F.coalesce(earlier, F.lit(-1)).alias("earlier"))
+    of = F.when(F.col("kind") == "open", F.col("start")).otherwise(F.col("earlier"))
+    return pieces.join(chains, ["path", "start"]).withColumn("chain", of).drop("earlier")
+
+
 def archive(pages: DataFrame, folder: str | None = None, blocks: bool = True) -> tuple[str, DataFrame]:
     """Write pages as archives; the folder, and the records read back from it.
 

@@ -103,3 +103,52 @@ def test_mixture_of_odd_rows(spark):
 def test_clashing_columns_are_refused(spark):
     with pytest.raises(ValueError):
         mixing.replicate(docs(spark, []).withColumn("copy", F.lit(1)), mixing.tempered(docs(spark, []), 1.0))
+
+
+def test_op2_equals_one_plain_sort(spark):
+    """All 24 shards, slots and their order from windows over the whole table."""
+    from pyspark.sql import Window as W
+
+    seed, n = 0, 24
+    body = F.coalesce(F.col("text"), F.lit(""))
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select(
+        "doc_id", "source", (F.octet_length(body) + 8).cast("bigint").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32")
+    )
+    identity = ["doc_id", "text_crc32", "size"]
+    mix = F.xxhash64(F.lit(seed), *identity)
+    within = W.partitionBy("source").orderBy(F.shiftrightunsigned("mix", 11), "mix", *identity)
+    offset = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("stratum"), "source"), 11).cast("double") * 2.0**-53
+    share = (F.row_number().over(within) - 1 + offset) / F.count("*").over(W.partitionBy("source"))
+    place = F.row_number().over(W.orderBy("share", "mix", *identity)) - 1
+    plain = rows.withColumn("mix", mix).withColumn("share", share).withColumn("place", place).collect()
+    total = len(plain)
+    want = {}
+    for r in plain:
+        shard = r.place * n // total
+        want[r.doc_id] = (shard, r.place - -(-shard * total // n))
+    got = {r.doc_id: (r.shard, r.slot) for r in QUERIES["op2_stratified_shards"](spark, SF).collect()}
+    assert got == want and {s for s, _ in want.values()} == set(range(24))
+
+
+def test_clashing_names(spark):
+    df = odd(spark)
+    inner = df.withColumnsRenamed({"text": "position"}).withColumn("n_rows", F.lit(1))
+    plain = sharding.shards(df.withColumn("n_rows", F.lit(1)), "source", ["doc_id", "text"], 24)
+    got = sharding.shards(inner, "source", ["doc_id", "position"], 24)
+    assert sorted((str(r.doc_id), r.shard, r.slot) for r in got.collect()) == sorted((str(r.doc_id), r.shard, r.slot) for r in plain.collect())
+    for name in ("Shard", "slot", "__fraction"):
+        with pytest.raises(ValueError, match=name.lower()):
+            sharding.shards(df.withColumn(name, F.lit(1)), "source", ["doc_id"], 24)
+    rates = mixing.tempered(df, 0.7)
+    for name in ("PART", "shuffle_key", "__cdf"):
+        with pytest.raises(ValueError, match=name.lower()):
+            mixing.replicate(df.withColumn(name, F.lit(1)), rates)
+    with pytest.raises(ValueError, match="position"):
+        mixing.positions(mixing.replicate(df.withColumn("Position", F.lit(1)), rates))
+
+
+def test_very_long_text(spark):
+    df = docs(spark, [(1, "a", "word " * 400_000), (2, "a", "x"), (3, "b", None)])
+    assert sharding.shards(df, "source", ["doc_id", "text"], 2).count() == 3
+    copies = mixing.replicate(df, mixing.tempered(df, 1.0))
+    assert {r.n for r in copies.select(F.length("text").alias("n")).collect()} <= {2_000_000, 1, None}
