@@ -16,8 +16,9 @@ from optionflow.llm.store import kept
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: A text stays if this share of its words has its language.
-LEAST_SHARE = 0.3
+#: A text stays if this share of its words has its language, and if this share of its letters stands in 3-grams that
+#: some language was learned with: scripts that were not learned and random letters do not.
+LEAST_SHARE, LEAST_KNOWN = 0.3, 0.5
 
 #: Words per shingle and similarity, in percent, from which documents are near duplicates.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -27,10 +28,12 @@ SECRET, TEMPER = "[secret]", 0.7
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters and texts that no language holds `LEAST_SHARE` of; fills in a missing lang."""
+    """Rejects texts without letters, those that no language holds `LEAST_SHARE` of and those of fewer known 3-grams than
+    `LEAST_KNOWN`; fills in a missing lang. Columns named like those of `language.predict` are an error."""
     model = language.fit(docs, F.lit(True))
     labelled = language.predict(docs, model)
-    held = labelled.filter((F.col("lang_pred") != language.NONE) & (F.col("lang_score") >= LEAST_SHARE))
+    known = (F.col("lang_score") >= LEAST_SHARE) & (F.col("lang_known") >= LEAST_KNOWN)
+    held = labelled.filter((F.col("lang_pred") != language.NONE) & known)
     return held.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
@@ -40,7 +43,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts a mark in the place of every secret. Keeps all documents."""
+    """Puts a mark in the place of every secret. Keeps all documents. Columns named like those of `secrets.scan` are an error."""
     clean = secrets.scan(docs, mark=SECRET).withColumn("text", F.col("clean_text"))
     return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
