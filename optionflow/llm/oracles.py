@@ -82,3 +82,29 @@ ranked as (
 select item_id, rank, doc_id, score from ranked where rank <= 50
 """
 ORACLES["op13_mask_grouped_search"] = OP13
+
+#: All 50-byte strings as hex text, and what is left of each text.
+OP11 = """
+with docs as (
+  select row_number() over () as r, doc_id, upper(hex(encode(coalesce(text, '')))) as h from documents),
+sized as (select *, length(h) // 2 as n from docs),
+places as (select r, doc_id, h, n, unnest(range(n - 49)) as s from sized where n >= 50),
+strings as (select r, doc_id, s, md5_number_lower(substr(h, 2 * s + 1, 100)) as low, md5_number_upper(substr(h, 2 * s + 1, 100)) as high
+  from places),
+marked as (select r, doc_id, s, min(doc_id) over (partition by low, high) as least from strings),
+hits as (select r, s, lag(s) over (partition by r order by s) as before from marked where least < doc_id),
+runs as (select r, s, sum(case when before is null or s > before + 50 then 1 else 0 end) over (partition by r order by s) as run from hits),
+spans as (select r, run, min(s) as a, max(s) + 50 as b from runs group by r, run),
+cuts as (select r, a, b, coalesce(lag(b) over (partition by r order by a), 0) as since from spans),
+parts as (
+  select r, since as at, since, a from cuts
+  union all select r, max(b), max(b), null from cuts group by r),
+kept as (
+  select p.r, string_agg(substr(h, 2 * p.since + 1, 2 * (coalesce(p.a, n) - p.since)), '' order by p.at) as left_over
+  from parts p join sized using (r) group by p.r),
+gone as (select r, count(*) as n_spans, cast(sum(b - a) as bigint) as n_removed from spans group by r)
+select s.doc_id, s.n as n_bytes, coalesce(g.n_removed, 0) as n_removed, coalesce(g.n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(k.left_over, s.h))) as kept_sha256
+from sized s left join kept k using (r) left join gone g using (r)
+"""
+ORACLES["op11_suffix_intervals"] = OP11

@@ -38,11 +38,33 @@ def test_language_stage_rejects_only_texts_without_language(stages, spark):
     assert lost == {9001: 1, 9002: 1, 9003: 1}
     assert next(r.lang for r in after if r.doc_id == 9004) == "en"
     model = language.fit(stages[0], language.F.lit(True))
-    langs, shares, _ = language.label(language.Scorer(model), [(r.text or "").encode() for r in before])
-    stays = [r.doc_id for r, l, s in zip(before, langs, shares) if l != "und" and s >= pipeline.LEAST_SHARE]
+    langs, shares, _, known = language.label(language.Scorer(model), [(r.text or "").encode() for r in before])
+    stays = [r.doc_id for r, l, s, k in zip(before, langs, shares, known) if l != "und" and s >= pipeline.LEAST_SHARE and k >= pipeline.LEAST_KNOWN]
     assert Counter(stays) == Counter(r.doc_id for r in after)
 
 
+def test_language_stage_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [(9101, "ნახვამდის მეგობარო " * 30), (9102, "xq zzkwq vvjx qqx wxzk jqv " * 30), (9103, "नमस्ते दुनिया " * 40), (9104, "the and of " * 20)]
+    more = spark.createDataFrame([(i, t, None, "src1", 1) for i, t in odd], docs.schema)
+    before = docs.unionByName(more)
+    after = {r.doc_id for r in pipeline.language_stage(spark, before, SF).collect()}
+    assert after & {i for i, _ in odd} == {9104}
+    assert {r.doc_id for r in docs.collect()} <= after
+
+
+def test_very_long_text_and_clashing_names_go_through(spark):
+    rows = [(1, "the and of " * 300_000, "en", "src1", 1, "a"), (2, "of the and it " * 9, "en", "src2", 1, "b"), (3, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, body string")
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = kept(stage(spark, docs, SF))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "body"], name
+    with pytest.raises(ValueError, match="lang_pred"):
+        pipeline.language_stage(spark, docs.withColumnRenamed("body", "Lang_Pred"), SF)
+    with pytest.raises(ValueError, match="spans"):
+        pipeline.secret_stage(spark, docs.withColumnRenamed("body", "spans"), SF)
+
+
 def test_one_document_of_each_group_stays(stages):
     rows = [(r.doc_id, r.text) for r in stages[1].collect()]
     groups = {c for _, _, c in brute(rows, pipeline.NEAR_WORDS, pipeline.NEAR_PERCENT)}
