@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from optionflow.llm import language, mixing, ngram_join, packing, secrets
-from optionflow.llm.store import kept
+from optionflow.llm.store import drop, kept
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -73,6 +73,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir))
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        after = kept(stage(spark, docs, sf_dir))
+        if number:
+            drop(spark, docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
