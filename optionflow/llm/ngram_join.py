@@ -10,17 +10,18 @@ than the two sets may differ in tokens. None of these filters can lose a link.
 
 What is wanted is the component of every document, so not every link has to be verified. Equal
 sets are one from the start. In the first round every set is verified against the most similar
-of the candidates before it. In the second round all candidates in different components
-are. So a group of m near copies costs about m verified pairs, not m^2 / 2.
+of the candidates before it. In each further round it is verified against the most similar ones in
+other components that it was not compared with, `FEW` at first and `MORE` times as many each round, until no set
+has any. So a group of m near copies costs a few times m verified pairs, not m^2 / 2.
 
 Inverted lists of tokens that the sketch calls frequent, and other long ones, are cut into
-chunks of bounded size; tasks compare a chunk, or in the second round two, in memory.
+chunks of bounded size; tasks compare a chunk, or in further rounds two, in memory.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,9 @@ FIND_BITS, LEAST_FIND, MOST_FIND = 16, 12, 26
 #: Lists up to this length give pairs; longer ones are compared in chunks of about so many sets.
 SHORT_LIST, CHUNK_SETS = 32, 1024
 
+#: Candidates that a set puts up in the second round, and in later ones as a multiple of those of the round before.
+FEW, MORE = 4, 16
+
 
 class Rule:
     """Whole-number arithmetic of the condition 100 * intersection >= percent * union."""
@@ -85,7 +89,8 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
         counts, shingles = np.zeros(1 << bits, np.uint32), Shingles(n)
         for batch in batches:
             for part in portions(batch.column(0)):
-                places, times = np.unique(np.concatenate(shingles.of(part)) >> np.uint64(64 - bits), return_counts=True)
+                # repeats within a text count too: the sketch only tells which tokens are frequent
+                places, times = np.unique(shingles.repeated(part) >> np.uint64(64 - bits), return_counts=True)
                 counts[places.astype(np.int64)] += times.astype(np.uint32)
         yield from rows(dict(enumerate(counts.reshape(-1, min(SKETCH_ROW, 1 << bits)))))
 
@@ -255,6 +260,27 @@ class Members:
                 yield i, near[keep], differ[keep]
 
 
+def closest_across(rule: Rule, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Of two chunks of a list: each set's closest candidates, up to `limit`, in other components and not in its `past`."""
+
+    def across(f: pd.DataFrame) -> pd.DataFrame:
+        x, y = int(f["x"].iloc[0]), int(f["y"].iloc[0])
+        parts = [f[f["chunk"] == c] for c in ((x,) if x == y else (x, y))]
+        sets = [Members(p) for p in parts]
+        past = [[() if p is None else p for p in part["past"]] for part in parts]
+        rows = []
+        for mine, looked, other in [(sets[0], past[0], sets[-1])] + ([(sets[1], past[1], sets[0])] if x != y else []):
+            for i, near, differ in mine.candidates(other, rule):
+                if len(looked[i]):
+                    new = ~np.isin(other.fp[near], looked[i])
+                    near, differ = near[new], differ[new]
+                near, differ = (c[np.lexsort((other.fp[near], differ))[:limit]] for c in (near, differ))
+                rows.append((np.full(len(near), mine.fp[i]), other.fp[near], differ))
+        return frame(rows)
+
+    return across
+
+
 PAIRS = "a bigint, b bigint, apart bigint"  # b < a
 
 
@@ -366,7 +392,9 @@ def marks_of(sets: DataFrame, kept_records: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, n: int, rule: Rule) -> DataFrame:
-    """Pairs (a, b) whose sets link, by the whole texts."""
+    """Pairs (a, b) whose sets link, by the whole texts; only texts that may be of a pair are moved."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("m")).distinct()
+    bodies = likely(bodies, F.col("fp"), ends, F.col("m"), ends.count())
     left = pairs.join(bodies.select(F.col("fp").alias("fa"), F.col("text").alias("text_a")), F.col("a") == F.col("fa"))
     both = left.join(bodies.select(F.col("fp").alias("fb"), F.col("text").alias("text_b")), F.col("b") == F.col("fb"))
 
@@ -428,34 +456,34 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     links = verified(nearest, bodies, n, rule)
     roots = kept(components(links))
 
-    # the second round: candidates in different components, as far as they were not looked at
-    split = with_roots(with_roots(candidates, roots, "a"), roots, "b").filter("root_a <> root_b").select("a", "b")
-    rooted = with_roots(chunked, roots, "fp").withColumnRenamed("root_fp", "root")
-    divided = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    divided = divided.select(F.col("token").alias("t"))
-    open_lists = marked(rooted.join(divided, F.col("token") == F.col("t"), "left_semi"))
-    # chunks x <= y meet in (token, x, y): a chunk goes to all pairs that hold it
+    # further rounds: of its candidates in other components, every set puts up the most similar ones that were not looked
+    # at, `FEW`, then `MORE` times as many each round; what links joins components, until no candidate is left
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
-    meets = open_lists.withColumn("other", F.explode(every)).select(
-        "*", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y")
-    )
-
-    def across(f: pd.DataFrame) -> pd.DataFrame:
-        x, y = int(f["x"].iloc[0]), int(f["y"].iloc[0])
-        one, two = Members(f[f["chunk"] == x]), Members(f[f["chunk"] == y])
-        rows = []
-        for left, right in [(one, two)] if x == y else [(one, two), (two, one)]:
-            for i, near, differ in left.candidates(right, rule):
-                rows.append((np.full(len(near), left.fp[i]), right.fp[near], differ))
-        return frame(rows)
-
-    open_pairs = meets.groupBy("token", "x", "y").applyInPandas(across, PAIRS).select("a", "b")
-    again = kept(split.unionByName(open_pairs).distinct().join(nearest.select("a", "b"), ["a", "b"], "left_anti"))
-    if again.limit(1).count():
+    tried, limit = nearest, FEW
+    while True:
+        split = with_roots(with_roots(candidates, roots, "a"), roots, "b").filter("root_a <> root_b").select("a", "b", "apart")
+        split = split.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        rooted = with_roots(chunked, roots, "fp").withColumnRenamed("root_fp", "root")
+        divided = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+        divided = divided.select(F.col("token").alias("t"))
+        open_lists = marked(rooted.join(divided, F.col("token") == F.col("t"), "left_semi"))
+        past = tried.groupBy(F.col("a").alias("of")).agg(F.collect_set("b").alias("past"))
+        open_lists = open_lists.join(past, F.col("fp") == F.col("of"), "left").drop("of")
+        # chunks x <= y meet in (token, x, y): a chunk goes to all pairs that hold it
+        meets = open_lists.withColumn("other", F.explode(every)).select(
+            "*", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y")
+        )
+        open_pairs = meets.groupBy("token", "x", "y").applyInPandas(closest_across(rule, limit), PAIRS)
+        found = split.unionByName(open_pairs).groupBy("a", "b").agg(F.min("apart").alias("apart"))
+        place = F.row_number().over(W.partitionBy("a").orderBy("apart", "b"))
+        again = kept(found.withColumn("place", place).filter(F.col("place") <= limit).select("a", "b"))
+        if not again.limit(1).count():
+            drop(docs.sparkSession, again)
+            break
         links = links.unionByName(verified(again, bodies, n, rule))
-        roots = kept(components(links))
+        roots, tried, limit = kept(components(links)), tried.select("a", "b").unionByName(again), MORE * limit
 
-    drop(docs.sparkSession, long, marks, candidates, nearest, bodies, again)
+    drop(docs.sparkSession, long, marks, candidates, tried, bodies)
 
     rows = with_roots(known.select("id", "body", "size", "fp"), roots, "fp")
     least = rows.filter("fp is not null").groupBy(F.col("root_fp").alias("r")).agg(F.min("id").alias("least"))

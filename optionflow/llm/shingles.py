@@ -6,12 +6,10 @@ pairs are mistaken for equal: none up to a few billion.
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import xxhash
 
-from .texts import Coded
+from .texts import Words
 
 # The multipliers of the splitmix64 finalizer and its increment.
 MIX_A, MIX_B, GOLDEN = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
@@ -33,7 +31,31 @@ class Shingles:
 
     def __init__(self, n: int) -> None:
         self.n = n
-        self.words = Coded(xxhash.xxh3_64_intdigest)
+        self.words, self.hashes = Words(), np.empty(0, np.uint64)
+
+    def rolled(self, texts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Each text's number of words, all words' hashes, and a hash of every n words in a row, of neighbouring texts too."""
+        if len(self.words) > REMEMBERED:
+            self.words, self.hashes = Words(), np.empty(0, np.uint64)
+        n = self.n
+        counts, word, new = self.words.in_texts([t.lower() for t in texts])
+        if new:
+            fresh = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
+            self.hashes = np.concatenate([self.hashes, fresh])
+        word = self.hashes[word] if len(word) else np.empty(0, np.uint64)
+        places = max(0, len(word) - n + 1)
+        rolled = np.zeros(places, np.uint64)
+        for k in range(n):
+            rolled = rolled * np.uint64(GOLDEN) + word[k : k + places]
+        return counts.tolist(), word, mix(rolled, n)
+
+    def repeated(self, texts: list[bytes]) -> np.ndarray:
+        """The shingles of all texts of n words and more, with repeats, in no order that matters."""
+        counts, _, rolled = self.rolled(texts)
+        inside = np.ones(len(rolled), bool)
+        over = np.cumsum(counts)[:, None] - 1 - np.arange(self.n - 1)
+        inside[over[(over >= 0) & (over < len(rolled))]] = False
+        return rolled[inside]
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
         """A sorted array per text.
@@ -41,16 +63,8 @@ class Shingles:
         A text of fewer than n words has its whole word sequence as its one shingle, a text without words has
         none.
         """
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        n, split = self.n, [t.lower().split() for t in texts]
-        counts = [len(words) for words in split]
-        word = self.words.all(chain.from_iterable(split), sum(counts), np.uint64)
-        places = max(0, len(word) - n + 1)
-        rolled = np.zeros(places, np.uint64)
-        for k in range(n):
-            rolled = rolled * np.uint64(GOLDEN) + word[k : k + places]
-        rolled = mix(rolled, n)
+        n = self.n
+        counts, word, rolled = self.rolled(texts)
         found, first = [], 0
         for count in counts:
             if count >= n:
