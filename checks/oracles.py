@@ -368,6 +368,12 @@ from companies""",
     "instrument_dim_whole_chain": f"{_with(MASTER, dim(CALLS_FIRST))} select * from dim",
     "tick_messages": f"""{_with(NOISY)} select n.instrument_key, n.seq, t.ltt + 250 as arrival_ms, n.ltt, n.ltp, n.ltq,
   n.vtt, n.oi, n.bid_p, n.ask_p from noisy n join ticks t using (instrument_key, seq) where n.seq % 7 <> 6""",
+    "tick_messages_many": f"""{_with(NOISY)},
+last as (
+  select n.*, n.seq // 4 as message, max(t.ltt + 250) over (partition by n.seq // 4) as arrival_ms
+  from noisy n join ticks t using (instrument_key, seq)
+  qualify row_number() over (partition by n.seq // 4, instrument_key order by n.seq desc) = 1)
+select instrument_key, message as seq, arrival_ms, ltt, ltp, ltq, vtt, oi, bid_p, ask_p from last where seq % 7 <> 6""",
     "tick_trades_fold": FOLD,
     "tick_trades_lag": f"{_with(TRADES)} select * from trades",
     "trade_buckets": f"{_with(buckets())} select *, paise / n as avg_paise from buckets",

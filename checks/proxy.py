@@ -67,14 +67,25 @@ def noisy_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed messages; each seventh one carries another feed variant."""
+    return noisy_ticks(spark, sf_dir).select("seq", "arrival_ms", F.create_map("instrument_key", _feed()).alias("feeds"))
+
+
+def _feed() -> F.Column:
     first_level = F.struct(
         F.struct("ltp", "ltt", "ltq").alias("ltpc"),
         F.struct("bid_p", "ask_p").alias("first_depth"),
         "vtt",
         "oi",
     )
-    feed = F.struct(F.when(F.col("seq") % 7 != 6, first_level).alias("first_level"))
-    return noisy_ticks(spark, sf_dir).select("seq", "arrival_ms", F.create_map("instrument_key", feed).alias("feeds"))
+    return F.struct(F.when(F.col("seq") % 7 != 6, first_level).alias("first_level"))
+
+
+def grouped_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed messages of several instruments: the last feed of each among four ticks."""
+    ticks = noisy_ticks(spark, sf_dir).withColumns({"message": F.call_function("div", F.col("seq"), F.lit(4)), "feed": _feed()})
+    last = ticks.groupBy("message", "instrument_key").agg(F.max_by("feed", "seq").alias("feed"), F.max("arrival_ms").alias("arrival_ms"))
+    feeds = F.map_from_entries(F.collect_list(F.struct("instrument_key", "feed"))).alias("feeds")
+    return last.groupBy(F.col("message").alias("seq")).agg(F.max("arrival_ms").alias("arrival_ms"), feeds)
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:

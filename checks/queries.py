@@ -130,6 +130,12 @@ def tick_messages(spark, d):
     return trade_ops.explode_messages(proxy.messages(spark, d))
 
 
+@query
+def tick_messages_many(spark, d):
+    """Messages of several instruments each."""
+    return trade_ops.explode_messages(proxy.grouped_messages(spark, d))
+
+
 @query
 def tick_trades_fold(spark, d):
     return trade_ops.trades(proxy.noisy_ticks(spark, d))

@@ -57,14 +57,6 @@ def stream(
     return reader.load(path)
 
 
-def tick_message_stream(spark: SparkSession, path: str, **options) -> DataFrame:
-    return stream(spark, path, schemas.TICK_MESSAGE, **options)
-
-
-def json_message_stream(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.text(path)
-
-
 def marked_tick_messages(lines: DataFrame) -> DataFrame:
     """JSON text lines -> (value, seq, arrival_ms, feeds, dead): `dead` lines cannot be read."""
     schema = T.StructType([*schemas.TICK_MESSAGE, T.StructField("_corrupt", T.StringType())])
