@@ -81,5 +81,5 @@ def test_dead_letters_are_counted_and_kept(spark, tmp_path):
             write(spark.createDataFrame([(v,) for v in some], "value string"), i)
     counts = {r.batch_id: (r.good, r.bad) for r in spark.read.parquet(f"{tmp_path}/counts").collect()}
     assert counts == {0: (1, 2), 1: (1, 0), 2: (0, 0), 3: (0, 2)}
-    dead = spark.read.parquet(f"{tmp_path}/lines").filter("dead").select("batch_id", "value").collect()
+    dead = spark.read.parquet(f"{tmp_path}/lines").filter("dead = 'true'").select("batch_id", "value").collect()
     assert sorted(((r.batch_id, r.value) for r in dead), key=str) == [(0, ""), (0, "{"), (3, "x"), (3, None)]
