@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from .texts import Numbered, Words, portions
+from .texts import PORTION_BYTES, Numbered, Words, portions
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -212,11 +212,17 @@ IDS = ("ids", T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))
 
 
 def packed(
-    docs: DataFrame, tokenizer: str, text: str = "text", keep: list[str] | None = None, tiers: tuple[int, ...] = TIERS, ids: bool = False
+    docs: DataFrame,
+    tokenizer: str,
+    text: str = "text",
+    keep: list[str] | None = None,
+    tiers: tuple[int, ...] = TIERS,
+    ids: bool = False,
+    step_bytes: int = PORTION_BYTES,
 ) -> DataFrame:
     """A row per piece: the columns `keep` of its document (all, if None), where it lies, and its ids if asked.
 
-    `tokenizer` is the path of a tokenizer file, read by the driver. A document's ids are those of its text, without special
+    `step_bytes` of text are tokenized at a time: less takes less memory and more time. `tokenizer` is the path of a tokenizer file, read by the driver. A document's ids are those of its text, without special
     ones, and the end id; a null text is empty. Sequence ids and step groups carry the task's
     partition number, so they are unique in the result. Repeated rows are packed one by one. An empty
     table gives no rows. Columns named like the added ones are an error.
@@ -234,6 +240,7 @@ def packed(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = None
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 36
         sequences = groups = waiting = 0
@@ -273,7 +280,7 @@ def packed(
             tokens = tokens or Tokens(spec)
             held = [*held, batch.select(list(range(width)))] if waiting else [batch.select(list(range(width)))]
             place = sum(b.num_rows for b in held[:-1])
-            for part in portions(batch.column(width)):
+            for part in portions(batch.column(width), step_bytes):
                 body, lengths = tokens.of(part, END)
                 parts.append((body, lengths, np.arange(place, place + len(part))))
                 place += len(part)
