@@ -23,6 +23,9 @@ LEAST_SHARE, LEAST_KNOWN = 0.3, 0.5
 #: Words per shingle and similarity, in percent, from which documents are near duplicates.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
+#: Text that packing works on at a time.
+PACKING_BYTES = 2_000_000
+
 #: What stands for a secret; weights of sources are in proportion to this power of their row counts.
 SECRET, TEMPER = "[secret]", 0.7
 
@@ -56,7 +59,7 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs token ids; a row per piece."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"], step_bytes=PACKING_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [
