@@ -62,7 +62,8 @@ def value_bars(buckets: DataFrame, threshold_paise: int, slice_steps: int = SLIC
     """
     by = ["instrument_key", "chunk"]
     columns = [c.split()[0] for c in ALERT_COLUMNS.split(", ")]
-    rows = buckets.select(*columns).withColumn("chunk", F.floor(F.col("b") / slice_steps).cast("bigint"))
+    worth = F.coalesce("paise", F.lit(0)).cast("bigint")  # trades without a price have no value
+    rows = buckets.select(*columns).withColumn("paise", worth).withColumn("chunk", F.floor(F.col("b") / slice_steps).cast("bigint"))
     summaries = (
         spread(rows.select(*by, "b", "paise"), *by)
         .sortWithinPartitions(*by, "b")

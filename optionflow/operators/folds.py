@@ -115,16 +115,19 @@ def enter_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def difference(rows: pd.DataFrame, by: list[str]) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """Accepted rows with the quantity since the previous state, and the very last state.
+    """Accepted rows with the quantity since the previous state, and the last state of each group.
 
     Each group begins with its starting state, marked `is_entry`.
     """
     vtt, ltq = rows["vtt"].to_numpy(), rows["ltq"].to_numpy()
-    taken = np.flatnonzero(accept(_starts(rows, by), rows["ltt"].to_numpy(), vtt))
+    first = _starts(rows, by)
+    taken = np.flatnonzero(accept(first, rows["ltt"].to_numpy(), vtt))
     before = vtt[np.concatenate([taken[:1], taken[:-1]])]
     qty = np.where(before > 0, vtt[taken] - before, ltq[taken])
     out = rows.iloc[taken].assign(qty=qty)
-    return out[~out["is_entry"].to_numpy(dtype=bool)], rows.iloc[taken[-1:]].assign(is_entry=True)
+    # a group's first row is always taken
+    last = taken[np.append(np.flatnonzero(first[taken])[1:], len(taken)) - 1]
+    return out[~out["is_entry"].to_numpy(dtype=bool)], rows.iloc[last].assign(is_entry=True)
 
 
 def difference_volume(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,7 +135,8 @@ def difference_volume(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     state: pd.DataFrame | None = None
     for pdf in _joined(batches):
         rows = pdf if state is None else pd.concat([state, pdf], ignore_index=True)
-        out, state = difference(rows, ["instrument_key", "chunk"])
+        out, ended = difference(rows, ["instrument_key", "chunk"])
+        state = ended.iloc[-1:]
         yield out.drop(columns=["is_entry", "chunk", "vtt", "ltq"])
 
 
@@ -217,32 +221,51 @@ def window_rows(rows: pd.DataFrame, begin: np.ndarray, end: np.ndarray) -> pd.Da
 # ---------------------------------------------------------------- value bars, chunk by chunk
 
 
-def _groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
-    """The whole groups of sorted batches, one at a time."""
-    held: list[pd.DataFrame] = []
-    for pdf in batches:
-        cuts = np.flatnonzero(_starts(pdf, by))
-        for a, b in zip(cuts, [*cuts[1:], len(pdf)]):
-            part = pdf.iloc[a:b]
-            if held and any(held[0][c].iloc[0] != part[c].iloc[0] for c in by):
-                yield pd.concat(held, ignore_index=True)
-                held = []
-            held.append(part)
-    if held:
-        yield pd.concat(held, ignore_index=True)
+def _whole(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Sorted batches cut at ends of groups: whole groups, many at a time."""
+    held: pd.DataFrame | None = None
+    for pdf in _joined(batches):
+        rows = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        last = int(np.flatnonzero(_starts(rows, by))[-1])
+        if last:
+            yield rows.iloc[:last]
+        held = rows.iloc[last:].reset_index(drop=True)
+    if held is not None:
+        yield held
+
+
+def _rising(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The same; groups are handed on one by one where a value is negative, as their running sums are not sorted then."""
+    for rows in frames:
+        if (rows["paise"] >= 0).all():
+            yield rows
+        else:
+            yield from (part for _, part in rows.groupby(np.cumsum(_starts(rows, by))))
+
 
+def bar_ends(total: np.ndarray, end: np.ndarray, threshold: int) -> np.ndarray:
+    """For a bar that begins at each row: the row that completes it, or `end`, the end of the row's group.
+
+    `total` are running sums from 0 over all groups.
+    """
+    return np.minimum(np.searchsorted(total, total[:-1] + threshold, side="left") - 1, end)
 
-def bar_ends(total: np.ndarray, threshold: int) -> np.ndarray:
-    """For a bar that begins at each row: the row that completes it, or the number of rows. `total` are running sums from 0."""
-    return np.searchsorted(total, total[:-1] + threshold, side="left") - 1
 
+def open_after(ends: np.ndarray, end: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """For a bar that begins at each row: the row at which the bar begins that is still open at the group's end, or `end`.
 
-def open_after(total: np.ndarray, ends: np.ndarray, start: int) -> int:
-    """The row at which the bar begins that is still open after the last one, if a bar begins at `start`."""
+    The jumps from bar to bar are doubled until none leads further. A group has one place more than rows, for its end.
+    """
     n = len(ends)
-    while start < n and ends[start] < n:
-        start = int(ends[start]) + 1
-    return start
+    place = np.arange(n) + group
+    jump = np.arange(n + int(group[-1]) + 1)
+    jump[place] = np.where(ends < end, ends + 1 + group, place)
+    while True:
+        further = jump[jump]
+        if (further == jump).all():
+            break
+        jump = further
+    return jump[place] - group
 
 
 BAR_SUMMARY = "instrument_key string, chunk bigint, first_b bigint, low bigint, rest bigint, open_b bigint"
@@ -254,26 +277,32 @@ def summarise_bars(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[
     The bar that is open after the chunk has value `rest` since bucket `open_b`. In the range that completes no
     bar, `open_b` is null and `rest` is what the chunk adds.
     """
-    for rows in _groups(batches, ["instrument_key", "chunk"]):
-        b = rows["b"].to_numpy()
+    by = ["instrument_key", "chunk"]
+    for rows in _rising(_whole(batches, by), by):
+        b, n = rows["b"].to_numpy(), len(rows)
         total = np.concatenate([[0], np.cumsum(rows["paise"].to_numpy())])
-        ends, n = bar_ends(total, threshold), len(b)
+        begins = np.flatnonzero(_starts(rows, by))
+        finish = np.append(begins[1:], n)
+        group = np.repeat(np.arange(len(begins)), finish - begins)
+        begin, end = begins[group], finish[group]
+        ends = bar_ends(total, end, threshold)
+        left = open_after(ends, end, group)
         # rows that complete the incoming bar for some value below the threshold, the last of them for the least
-        reach = np.flatnonzero(total[1:] > 0)
-        top = min(int(np.searchsorted(total, threshold, side="left")) - 1, n - 1)
-        first = [j for j in reach[reach <= top].tolist() if total[j + 1] > total[j]]
-        found = [] if total[n] >= threshold else [(0, int(total[n]), None)]
-        for j in first:
-            start = open_after(total, ends, j + 1)
-            found.append((max(0, threshold - int(total[j + 1])), int(total[n] - total[start]), int(b[start]) if start < n else -1))
+        sums = total[1:] - total[begin]
+        at = np.flatnonzero((sums > 0) & (total[1:] > total[:-1]) & (np.arange(n) <= ends[begin]))
+        after = np.where(at + 1 < end[at], left[np.minimum(at + 1, n - 1)], end[at])
+        open_b = np.where(after < end[at], b[np.minimum(after, n - 1)], -1)
+        whole = total[finish] - total[begins]
+        none = np.flatnonzero(whole < threshold)
+        of = np.concatenate([begins[none], begins[group[at]]])
         yield pd.DataFrame(
             {
-                "instrument_key": rows["instrument_key"].iloc[0],
-                "chunk": rows["chunk"].iloc[0],
-                "first_b": int(b[0]),
-                "low": [f[0] for f in found],
-                "rest": [f[1] for f in found],
-                "open_b": pd.array([f[2] for f in found], dtype="Int64"),
+                "instrument_key": rows["instrument_key"].to_numpy()[of],
+                "chunk": rows["chunk"].to_numpy()[of],
+                "first_b": b[of],
+                "low": np.concatenate([np.zeros(len(none), np.int64), np.maximum(0, threshold - sums[at])]),
+                "rest": np.concatenate([whole[none], total[end[at]] - total[after]]),
+                "open_b": pd.arrays.IntegerArray(np.concatenate([np.zeros(len(none), np.int64), open_b]), np.arange(len(of)) < len(none)),
             }
         )
 
@@ -283,25 +312,38 @@ BAR_ENTRY = "instrument_key string, chunk bigint, carry bigint, open_b bigint"
 
 def enter_bars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The open bar with which each chunk is entered: its value and first bucket (null: none). Sorted by key, chunk, low."""
-    key, carry, since = None, 0, None
-    for rows in _groups(batches, ["instrument_key", "chunk"]):
-        k = rows["instrument_key"].iloc[0]
-        if k != key:
-            key, carry, since = k, 0, None
+    key, chunk, first_b, carry, since = object(), None, None, 0, None
+    low, fits, none = -1, None, None
+    for rows in batches:
+        keys, chunks, carries, opened = [], [], [], []
+        columns = [rows[c].tolist() for c in ("instrument_key", "chunk", "first_b", "low", "rest")]
+        for k, of, b, least, rest, at, open_ended in zip(*columns, rows["open_b"].tolist(), rows["open_b"].isna().tolist()):
+            if of != chunk or k != key:
+                # of the ranges that begin at or below the value the one with the highest begin, else the one that completes none
+                if k != key:
+                    carry, since = 0, None
+                elif fits is not None:
+                    carry, since = fits[0], None if fits[1] < 0 else fits[1]
+                else:
+                    carry, since = carry + none, first_b if since is None else since
+                key, chunk, first_b = k, of, b
+                low, fits, none = -1, None, None
+                keys.append(k)
+                chunks.append(of)
+                carries.append(carry)
+                opened.append(since)
+            if open_ended:
+                none = int(rest)
+            elif low < least <= carry:
+                low, fits = least, (int(rest), int(at))
         yield pd.DataFrame(
-            {"instrument_key": [k], "chunk": [rows["chunk"].iloc[0]], "carry": [carry], "open_b": pd.array([since], dtype="Int64")}
+            {
+                "instrument_key": pd.Series(keys, dtype=object),
+                "chunk": np.array(chunks, np.int64),
+                "carry": np.array(carries, np.int64),
+                "open_b": pd.array(opened, dtype="Int64"),
+            }
         )
-        # of the ranges that begin at or below the value the one with the highest begin; the one that completes none comes last at 0
-        low, at = rows["low"].to_numpy(), rows["open_b"]
-        fits = np.flatnonzero((low <= carry) & ~at.isna().to_numpy())
-        if len(fits):
-            row = fits[np.argmax(low[fits])]
-            carry = int(rows["rest"].iloc[row])
-            since = None if at.iloc[row] < 0 else int(at.iloc[row])
-        else:
-            none = np.flatnonzero(at.isna().to_numpy())[0]
-            carry += int(rows["rest"].iloc[none])
-            since = int(rows["first_b"].iloc[0]) if since is None else since
 
 
 def mark_bars(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
@@ -309,20 +351,28 @@ def mark_bars(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.Da
 
     Each (instrument_key, chunk) group begins with its entry row.
     """
-    for rows in _groups(batches, ["instrument_key", "chunk"]):
-        entry, rows = rows.iloc[0], rows.iloc[1:]
-        b = rows["b"].to_numpy()
-        total = np.concatenate([[0], np.cumsum(rows["paise"].to_numpy())])
-        ends, n = bar_ends(total, threshold), len(b)
-        bar, done = np.empty(n, np.int64), np.zeros(n, bool)
-        end = int(np.searchsorted(total, threshold - int(entry["carry"]), side="left")) - 1
-        begin, of = 0, int(b[0]) if pd.isna(entry["open_b"]) else int(entry["open_b"])
-        while begin < n:
-            stop = min(end, n - 1)
-            bar[begin : stop + 1] = of
-            if end < n:
-                done[end] = True
-            begin = stop + 1
-            if begin < n:
-                end, of = int(ends[begin]), int(b[begin])
-        yield rows.assign(bar=bar, done=done).drop(columns=["chunk", "carry", "open_b", "is_entry"])
+    by = ["instrument_key", "chunk"]
+    for rows in _rising(_whole(batches, by), by):
+        b, n = rows["b"].to_numpy(), len(rows)
+        entry = rows["is_entry"].to_numpy(dtype=bool)
+        total = np.concatenate([[0], np.cumsum(np.where(entry, rows["carry"].to_numpy(), rows["paise"].to_numpy()))])
+        begins = np.flatnonzero(_starts(rows, by))
+        finish = np.append(begins[1:], n)
+        end = np.repeat(finish, finish - begins)
+        ends = bar_ends(total, end, threshold)
+        following = np.minimum(ends + 1, end).tolist()
+        begin, s = [], 0
+        while s < n:
+            begin.append(s)
+            s = following[s]
+        begin = np.array(begin)
+        # the bar that a group is entered with begins at its `open_b`, or at the first bucket
+        since = rows["open_b"].to_numpy(dtype="float64", na_value=np.nan)[begin]
+        first = b[np.minimum(begin + 1, n - 1)]
+        old = entry[begin]
+        of = np.where(old, np.where(np.isnan(since), first, np.nan_to_num(since).astype(np.int64)), b[begin])
+        bar = np.repeat(of, np.diff(np.append(begin, n)))
+        done = np.zeros(n, bool)
+        done[ends[begin][ends[begin] < end[begin]]] = True
+        out = rows.assign(bar=bar, done=done)[~entry]
+        yield out.drop(columns=["chunk", "carry", "open_b", "is_entry"])

@@ -72,6 +72,36 @@ def test_reset_windows_equal_the_model(rows, width, threshold, batch):
     assert got == model.reset_alerts(rows, width, threshold)
 
 
+def bars(rows, threshold, slice_steps, batch):
+    """The three passes of value bars, and how many frames the first and the last one handed on."""
+    by = ["instrument_key", "chunk"]
+    buckets = bucket_frame(rows).assign(chunk=lambda d: d["b"] // slice_steps)
+    summaries = list(folds.summarise_bars(cut(buckets, batch), threshold))
+    entries = pd.concat(folds.enter_bars(cut(pd.concat(summaries).sort_values([*by, "low"]), batch)))
+    blank = entries.assign(**{c: 0 for c in buckets.columns if c not in by}, is_entry=True)
+    united = pd.concat([blank, buckets.assign(carry=0, open_b=0, is_entry=False)], ignore_index=True)
+    united = united.sort_values([*by, "is_entry", "b"], ascending=[True, True, False, True])
+    marked = list(folds.mark_bars(cut(united, batch), threshold))
+    of = pd.concat(marked).groupby(["instrument_key", "bar"]).agg(b=("b", "max"), done=("done", "max"), paise=("paise", "sum"))
+    out = of[of["done"]].reset_index()
+    return list(zip(out["instrument_key"], out["b"], out["paise"], out["bar"])), len(summaries), len(marked)
+
+
+@settings(max_examples=300, deadline=None)
+@given(bucket_rows(), st.integers(1, 90), st.sampled_from([1, 4, 15, 100]), st.integers(1, 9))
+def test_value_bars_equal_the_model(rows, threshold, slice_steps, batch):
+    assert bars(rows, threshold, slice_steps, batch)[0] == model.reset_alerts(rows, None, threshold)
+
+
+def test_value_bars_of_many_instruments_are_found_together(monkeypatch):
+    """Calls cost more than rows, so small slices share them."""
+    monkeypatch.setattr(folds, "KERNEL_ROWS", 200_000)
+    rows = [(f"k{i:04d}", b, (i + b) % 7) for i in range(2000) for b in range(4)]
+    found, *frames = bars(rows, 10, 2, 10_000)
+    assert found == model.reset_alerts(rows, None, 10)
+    assert max(frames) <= 2
+
+
 def test_known_feed():
     """Rejected ticks leave the state alone; an accepted one without quantity moves it."""
     ticks = [("k", 1, 10, 100, 5), ("k", 2, 9, 90, 1), ("k", 3, 10, 95, 1), ("k", 4, 11, 95, 1), ("k", 5, 12, 110, 1)]
