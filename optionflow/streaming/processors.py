@@ -23,7 +23,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
-LAST_STATE = "ltt bigint, vtt bigint"
+#: Instruments are dealt to so many groups, whose state holds the last accepted time and volume of each.
+SLOTS = 1024
+LAST_STATE = "instrument_key array<string>, ltt array<bigint>, vtt array<bigint>"
 BUCKETS = (
     "b bigint, paise bigint, vol bigint, n bigint, first_price double, last_price double, first_oi bigint, "
     "last_oi bigint, last_ms bigint, buy bigint, sell bigint"
@@ -45,15 +47,22 @@ def joined(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
 
 
 def dedup(columns: list[str]) -> Step:
-    """Ticks -> trades; the state is the last accepted time and volume."""
+    """Ticks of a group of instruments -> trades; the state is the last accepted time and volume of each."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ticks = joined(frames, ["seq"])
-        ltt, vtt = state.get if state.exists else (0, 0)
-        entry = ticks.iloc[:1].assign(ltt=ltt, vtt=vtt, is_entry=True)
-        rows = pd.concat([entry, ticks.assign(is_entry=False)], ignore_index=True)
-        accepted, last = difference(rows, [])
-        state.update((int(last["ltt"].iloc[0]), int(last["vtt"].iloc[0])))
+        ticks = pd.concat(list(frames), ignore_index=True)
+        of, found = pd.factorize(ticks["instrument_key"], use_na_sentinel=False)
+        found = [None if pd.isna(k) else k for k in found]
+        keys, *times = state.get if state.exists else ([], [], [])
+        known = dict(zip(keys, zip(*times)))
+        ltt, vtt = (np.array(v, np.int64) for v in zip(*[known.get(k, (0, 0)) for k in found]))
+        first = np.unique(of, return_index=True)[1]
+        entry = ticks.iloc[first].assign(of=of[first], ltt=ltt, vtt=vtt, is_entry=True)
+        rows = pd.concat([entry, ticks.assign(of=of, is_entry=False)], ignore_index=True)
+        rows = rows.iloc[np.lexsort([rows["seq"], ~rows["is_entry"], rows["of"]])].reset_index(drop=True)
+        accepted, last = difference(rows, ["of"])
+        known.update(zip(found, zip(last["ltt"].tolist(), last["vtt"].tolist())))
+        state.update((list(known), *map(list, zip(*known.values()))))
         yield accepted[columns]
 
     return step

@@ -2,6 +2,7 @@
 
 from dataclasses import replace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from checks import streams
 from optionflow.operators import records, registry, trades as trade_ops
 from optionflow.plans import profiles as P, scan
 from optionflow.sources import readers, sinks
-from optionflow.streaming import live, runs
+from optionflow.streaming import live, processors, runs
 
 from . import model
 from .test_windows import noisy_feed, ticks, trade_frame, trade_rows
@@ -26,6 +27,31 @@ def test_dedup_equals_batch(spark):
     assert sorted((r.instrument_key, r.seq, r.qty) for r in out.collect()) == sorted(model.trades(rows))
 
 
+class Held:
+    """State of one group outside of a stream."""
+
+    exists, get = False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def test_dedup_takes_many_instruments_in_one_call():
+    """One call a batch for all instruments of a group, null key included, with the state of those that pause."""
+    rows = [(k and f"k{k}", s, (s * 7 + (k or 0)) % 40, (s * 5 + (k or 0)) % 90, 3) for s in range(60) for k in (None, *range(1, 50))]
+    rows = [(k, i, *rest) for i, (k, _, *rest) in enumerate(rows) if not (k == "k3" and 700 < i < 2300)]
+    frame = pd.DataFrame(rows, columns=["instrument_key", "seq", "ltt", "vtt", "ltq"])
+    step, held = processors.dedup(["instrument_key", "seq", "qty"]), Held()
+    out = []
+    for a in range(0, len(frame), 700):
+        part = frame.iloc[a : a + 700].iloc[::-1]
+        out += step((0,), iter([part.iloc[:300], part.iloc[300:]]), held)
+    assert len(out) == 5
+    got = pd.concat(out).query("qty > 0").fillna({"instrument_key": ""})
+    want = model.trades([(k or "", *rest) for k, *rest in rows])
+    assert sorted(got.itertuples(index=False, name=None)) == sorted(want)
+
+
 @pytest.mark.parametrize("window_s", [5, None])
 def test_reset_equals_batch(spark, window_s):
     profile = replace(P.RESET, window_s=window_s, threshold_paise=6000)
