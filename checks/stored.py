@@ -171,6 +171,12 @@ def tick_trades_null_key_fold(spark, d):
 # ---------------------------------------------------------------- the master as one JSON array
 
 ODD_TEXT = '}{ "\\], [\\\\'
+RANGE_BYTES, RANGES = 65_536, 512
+
+
+def _range_bytes(size: int) -> int:
+    """Bytes per range of a file: small ones, so that a small file has many, and wider ones where there would be more than `RANGES`."""
+    return max(RANGE_BYTES, -(-size // RANGES))
 
 
 @stored(
@@ -194,9 +200,10 @@ def master_json(spark, d):
     ordered = master.select("seq", "instrument_type", line.alias("value")).repartition(1).sortWithinPartitions("seq", "instrument_type")
     ordered.select("value").write.text(folder)
     sizes = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    whole = spark.read.format("binaryFile").load(folder).agg(F.sum("length")).first()[0]
     try:
         for c in sizes:
-            spark.conf.set(c, "65536")
+            spark.conf.set(c, str(_range_bytes(whole or 0)))
         found = base.settled(readers.instrument_master(spark, folder))
     finally:
         for c, size in sizes.items():

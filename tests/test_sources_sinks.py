@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import stored
 from optionflow.operators import chain as chains, records
 from optionflow.plans import profiles as P
 from optionflow.sources import readers, schemas, sinks
@@ -32,6 +33,12 @@ def test_master_json_plain_and_gzipped(spark, tmp_path):
         assert chains.option_chain(master, EXPIRY).count() == 3
 
 
+def test_ranges_of_the_master_do_not_grow_without_bound():
+    for size in (0, 1, 10**6, 33_554_432, 10**9, 10**10 + 1):
+        wide = stored._range_bytes(size)
+        assert wide >= 65_536 and -(-size // wide) <= 512
+
+
 def test_chain_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([chain_row("A", 100.0, 1), chain_row("B", 90.5, 2)], schemas.OPTION_CHAIN)
     sinks.write_csv(df, str(tmp_path / "chain"))
