@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 PAISE = 100
@@ -16,28 +18,45 @@ def rupees(paise: Column) -> Column:
     return paise / F.lit(PAISE)
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it.
+
+    Spelled out, a rounding repeats its steps 6 to 20 times, and a few of them make generated code that the JVM
+    will not compile.
+    """
+    return F.transform(F.array(value), f)[0]
+
+
 def _scaled(x: Column, digits: int, ties_up: bool) -> Column:
     """x * 10^digits as a whole number, rounded by the exact binary value of x (from 2^-8 to below 2^45).
 
     x is n / 2^k with whole n and k, so its digits follow from whole-number arithmetic.
     """
-    k = (F.lit(53) - F.floor(F.log2(x))).cast("int")
-    tens = (x * F.pow(F.lit(2.0), k)).cast("bigint") * F.lit(10**digits)
-    whole = F.call_function("shiftright", tens, k)
-    rest = tens - F.call_function("shiftleft", whole, k)
-    half = F.call_function("shiftleft", F.lit(1).cast("bigint"), k - 1)
-    up = rest >= half if ties_up else (rest > half) | ((rest == half) & (whole % 2 == 1))
-    return whole + up.cast("bigint")
+
+    def rounded(k: Column, tens: Column, whole: Column) -> Column:
+        rest = tens - F.call_function("shiftleft", whole, k)
+        half = F.call_function("shiftleft", F.lit(1).cast("bigint"), k - 1)
+        up = rest >= half if ties_up else (rest > half) | ((rest == half) & (whole % 2 == 1))
+        return whole + up.cast("bigint")
+
+    def places(k: Column) -> Column:
+        tens = (x * F.pow(F.lit(2.0), k)).cast("bigint") * F.lit(10**digits)
+        return _let(tens, lambda t: _let(F.call_function("shiftright", t, k), lambda whole: rounded(k, t, whole)))
+
+    return _let((F.lit(53) - F.floor(F.log2(x))).cast("int"), places)
 
 
 def scaled(x: Column, digits: int, ties_up: bool = False) -> Column:
     """|x| * 10^digits as a whole number: half-even on the binary value of x, or half-up."""
-    size = F.abs(x)
-    return (
-        F.when(size < 2.0**-8, F.lit(0).cast("bigint"))
-        .when(size < 2.0**45, _scaled(size, digits, ties_up))
-        .otherwise(F.round(size * 10**digits).cast("bigint"))
-    )
+
+    def of(size: Column) -> Column:
+        return (
+            F.when(size < 2.0**-8, F.lit(0).cast("bigint"))
+            .when(size < 2.0**45, _scaled(size, digits, ties_up))
+            .otherwise(F.round(size * 10**digits).cast("bigint"))
+        )
+
+    return _let(F.abs(x), of)
 
 
 def half_even(x: Column, digits: int) -> Column:

@@ -167,3 +167,9 @@ def test_numbers_in_text(spark):
     got = [r for (r,) in column(spark, [(c,) for c in cells], "c string", text.number(F.col("c")))]
     assert got[:5] == [1.0, -2.0, 0.5, 3.0, 1000.0] and got[5:10] == [None] * 5 and got[12] is None
     assert got[10] != got[10] and got[11] == float("inf")
+
+
+def test_rounding_names_its_number_a_few_times(spark):
+    """Spelled out it was named 20 times and more, and code made of a few roundings was too long to be compiled."""
+    for made in (money.half_even(F.col("price"), 2), money.fixed_text(F.col("price"), 0), money.fixed_text(F.col("price"), 1)):
+        assert str(made).count("price") <= 3
