@@ -56,10 +56,13 @@ def dedup(columns: list[str]) -> Step:
         keys, *times = state.get if state.exists else ([], [], [])
         known = dict(zip(keys, zip(*times)))
         ltt, vtt = (np.array(v, np.int64) for v in zip(*[known.get(k, (0, 0)) for k in found]))
-        first = np.unique(of, return_index=True)[1]
-        entry = ticks.iloc[first].assign(of=of[first], ltt=ltt, vtt=vtt, is_entry=True)
-        rows = pd.concat([entry, ticks.assign(of=of, is_entry=False)], ignore_index=True)
-        rows = rows.iloc[np.lexsort([rows["seq"], ~rows["is_entry"], rows["of"]])].reset_index(drop=True)
+        # each instrument is sorted by itself: where numbers repeat, their order is that of a sort of its own rows
+        seq, by_key = ticks["seq"].to_numpy(), np.argsort(of, kind="stable")
+        parts = np.split(by_key, np.flatnonzero(np.diff(of[by_key])) + 1)
+        ticks = ticks.assign(of=of, is_entry=False).iloc[np.concatenate([part[np.argsort(seq[part])] for part in parts])]
+        entry = ticks.drop_duplicates("of").assign(ltt=ltt, vtt=vtt, is_entry=True)
+        rows = pd.concat([entry, ticks], ignore_index=True)
+        rows = rows.iloc[np.argsort(rows["of"].to_numpy(), kind="stable")].reset_index(drop=True)
         accepted, last = difference(rows, ["of"])
         known.update(zip(found, zip(last["ltt"].tolist(), last["vtt"].tolist())))
         state.update((list(known), *map(list, zip(*known.values()))))

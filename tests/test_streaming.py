@@ -52,6 +52,15 @@ def test_dedup_takes_many_instruments_in_one_call():
     assert sorted(got.itertuples(index=False, name=None)) == sorted(want)
 
 
+def test_dedup_of_many_instruments_breaks_ties_as_that_of_one():
+    rows = [(f"k{i % 3}", i // 6 % 40, i * 7 % 90, i * 11 % 70, 3) for i in range(900)]
+    frame = pd.DataFrame(rows, columns=["instrument_key", "seq", "ltt", "vtt", "ltq"])
+    step = processors.dedup(["instrument_key", "seq", "ltt", "vtt", "qty"])
+    (together,) = step((0,), iter([frame]), Held())
+    alone = [next(step((0,), iter([part]), Held())) for _, part in frame.groupby("instrument_key")]
+    assert together.to_dict("records") == pd.concat(alone).to_dict("records")
+
+
 @pytest.mark.parametrize("window_s", [5, None])
 def test_reset_equals_batch(spark, window_s):
     profile = replace(P.RESET, window_s=window_s, threshold_paise=6000)
