@@ -17,14 +17,15 @@ import heapq
 import re
 import zlib
 from bisect import bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from .texts import PORTION_BYTES, Numbered, Words, portions
+from .texts import PORTION_BYTES, Words, give_back, portions
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -32,7 +33,7 @@ END = 1
 #: Tokens that are packed together; tokens of a step group.
 CHUNK_TOKENS, STEP_TOKENS = 1 << 21, 1 << 16
 
-#: Words whose ids a task remembers.
+#: Words whose ids a worker remembers.
 REMEMBERED = 600_000
 
 # A line of letters whose composed and lower-case forms are settled, then punctuation that is a token run of its own; or another line.
@@ -47,7 +48,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class Tokens:
-    """Token ids of texts, word by word: a word is tokenized once per task, whatever the texts repeat.
+    """Token ids of texts, word by word: a word is tokenized once, whatever the texts repeat.
 
     Exact for tokenizers that never let a token span white space. Words of settled letters skip normalization
     and pattern matching, which leave them as they are.
@@ -62,7 +63,8 @@ class Tokens:
         plain = json.loads(spec) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
         self.suffix = plain["model"].get("end_of_word_suffix") or ""
         self.plain = Tokenizer.from_str(json.dumps(plain)) if self.suffix else None
-        self.letters = byte_letters()
+        # white space between words stays
+        self.letters = np.array([0x20 if b == 0x20 else ord(c) for b, c in sorted(byte_letters().items())], "<u4")
         vocabulary = self.full.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, id in vocabulary.items():
@@ -70,8 +72,8 @@ class Tokens:
         self.clear()
 
     def clear(self) -> None:
-        """Forget all words. Part 0 is the empty one."""
-        self.words, self.parts = Words(), Numbered({"": 0})
+        """Forget all words. Part 0 is the empty one; that numbered k by `parts` is k + 1."""
+        self.words, self.parts = Words(), Words()
         self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         # each word is two parts: its letters and what follows them, or all of it and nothing
         self.first, self.second = np.empty(0, np.int32), np.empty(0, np.int32)
@@ -82,33 +84,36 @@ class Tokens:
         first, second, plain, other = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], []
         if self.plain is not None:
             letters, marks = zip(*PLAIN.findall(lines.lower()))
-            first, plain = self.parts.of(letters)
-            second, other = self.parts.of(marks)
+            first, plain = self.parted(letters)
+            second, other = self.parted(marks)
         odd = np.flatnonzero(first == 0)
         if len(odd):
             lines = lines.split("\n")
-            first[odd], new = self.parts.of([lines[i] for i in odd.tolist()])
+            first[odd], new = self.parted([lines[i] for i in odd.tolist()])
             other += new
         self.first, self.second = (np.concatenate([a, b.astype(np.int32)]) for a, b in ((self.first, first), (self.second, second)))
-        fresh = len(self.parts) - len(self.starts)
-        starts, sizes = np.zeros(fresh, np.int64), np.zeros(fresh, np.int64)
-        chunks, end = [self.ids], len(self.ids)
+        # new parts are numbered on, the plain ones first
+        chunks, sizes = [self.ids], []
         for a in range(0, len(plain), 10_000):
-            some = plain[a : a + 10_000]
-            spelled = " ".join(c if c.isascii() else c.encode().decode("latin-1").translate(self.letters) for c in some)
+            spelled = self.letters[np.frombuffer(b" ".join(plain[a : a + 10_000]), np.uint8)].tobytes().decode("utf-32-le")
             ids = np.array(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, np.uint32)
-            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
-            at = np.array([self.parts[c] for c in some], np.int64) - len(self.starts)
-            starts[at], sizes[at] = end + cuts[:-1], np.diff(cuts)
             chunks.append(ids)
-            end += len(ids)
-        for text, found in zip(other, self.full.encode_batch_fast(other, add_special_tokens=False) if other else ()):
-            at = self.parts[text] - len(self.starts)
-            starts[at], sizes[at] = end, len(found.ids)
+            sizes.append(np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
+        texts = [c.decode() for c in other]
+        for found in self.full.encode_batch_fast(texts, add_special_tokens=False) if texts else ():
             chunks.append(np.array(found.ids, np.uint32))
-            end += len(found.ids)
-        self.ids = np.concatenate(chunks)
-        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+            sizes.append(np.array([len(chunks[-1])]))
+        if sizes:
+            self.sizes = np.concatenate([self.sizes, *sizes])
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.ids = np.concatenate(chunks)
+
+    def parted(self, texts: Sequence[str]) -> tuple[np.ndarray, list[bytes]]:
+        """The numbers of parts, which hold no white space, and the parts that are new."""
+        counts, found, new = self.parts.in_texts([" ".join(texts).encode()])
+        numbers = np.zeros(len(texts), np.int64)
+        numbers[np.fromiter(map(bool, texts), bool, len(texts))] = 1 + found
+        return numbers, new
 
     def of(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, `end` after each, and the number of each text's ids."""
@@ -135,6 +140,12 @@ class Tokens:
         return ids, lengths
 
 
+@lru_cache(1)
+def tokens_of(spec: str, stage: int) -> Tokens:
+    """One for a worker process and stage: the worker's next task of the stage goes on with the words that are known."""
+    return Tokens(spec)
+
+
 Piece = tuple[int, int, int]  # document, first id, number of ids
 
 
@@ -240,7 +251,7 @@ def packed(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = None
-        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
+        give_back()
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 36
         sequences = groups = waiting = 0
@@ -277,7 +288,7 @@ def packed(
             return pa.RecordBatch.from_arrays([*arrays, *(pa.array(c, t) for c, (_, _, t) in zip(cells, added))], names=names)
 
         for batch in batches:
-            tokens = tokens or Tokens(spec)
+            tokens = tokens or tokens_of(spec, context.stageId() if context else 0)
             held = [*held, batch.select(list(range(width)))] if waiting else [batch.select(list(range(width)))]
             place = sum(b.num_rows for b in held[:-1])
             for part in portions(batch.column(width), step_bytes):

@@ -40,6 +40,16 @@ def test_ids_of_any_text(text):
     assert TOKENS.of([text.encode()], END)[0].tolist() == ids_of(text)
 
 
+def test_a_worker_goes_on_with_the_words_of_its_stage():
+    spec = open(PATH, encoding="utf-8").read()
+    first = packing.tokens_of(spec, 7)
+    first.of([b"foo bar, foo"], END)
+    again = packing.tokens_of(spec, 7)
+    assert again is first and len(again.words) == 2
+    assert again.of([b"bar, Foo baz"], END)[0].tolist() == ids_of("bar, Foo baz")
+    assert packing.tokens_of(spec, 8) is not first
+
+
 def held(windows):
     found = {}
     for size, pieces in windows:

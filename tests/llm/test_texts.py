@@ -22,3 +22,16 @@ def test_words_of_one_key_are_told_apart(monkeypatch):
     words = texts.Words()
     _, numbers, _ = words.in_texts([b"b a c a b", b"c b"])
     assert [list(words)[i] for i in numbers.tolist()] == b"b a c a b c b".split()
+
+
+def test_short_words_are_held_as_numbers():
+    words = texts.Words()
+    portion = [b" ".join(b"w%d" % i for i in range(20_000)), b"x" * 17 + b" w5"]
+    for _ in range(2):
+        counts, numbers, _ = words.in_texts(portion)
+        assert counts.tolist() == [20_000, 2]
+    assert list(words.long) == [b"x" * 17] and len(words) == 20_001
+    spelled = list(words)
+    assert [spelled[i] for i in numbers.tolist()] == [w for t in portion for w in t.split()]
+    # a word takes a few numbers, not an object
+    assert sum(a.nbytes for a in (words.low, words.high, words.size, words.slots)) < 40 * len(words)
