@@ -59,7 +59,7 @@ def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs token ids; a row per piece."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"], step_bytes=PACKING_BYTES)
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"], step_bytes=PACKING_BYTES, across_tasks=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from .ranks import unit
-from .texts import Numbered, portions
+from .texts import Numbered, portions, thrifty
 
 #: Texts per language to learn from (on average, by hash); grams kept per language.
 SAMPLE, GRAMS = 2000, 20_000
@@ -347,7 +347,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=names)
 
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t in added)])
-    return docs.select(*keep, *body).mapInArrow(rows, schema)
+    return docs.select(*keep, *body).mapInArrow(thrifty(rows), schema)
 
 
 def held_out(id: Column) -> Column:

@@ -31,11 +31,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .components import components
 from .shingles import Shingles, fingerprint, mix
 from .store import drop, kept
-from .texts import portions
+from .texts import portions, thrifty
 
 #: The frequency sketch has a counter for about so many tokens, between two bounds; counters that travel in a row.
 TOKENS_PER_COUNTER, LEAST_SKETCH, MOST_SKETCH, SKETCH_ROW = 8, 14, 24, 1 << 14
 
+#: Text that a task works on at a time.
+STEP_BYTES = 2_000_000
+
 #: Bits of an odd sketch per token, and its bounds. Orders beside the first one.
 ODD_BITS, LEAST_ODD, MOST_ODD, MORE_ORDERS = 4, 512, 1 << 16, 2
 
@@ -88,7 +91,7 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shingles = np.zeros(1 << bits, np.uint32), Shingles(n)
         for batch in batches:
-            for part in portions(batch.column(0)):
+            for part in portions(batch.column(0), STEP_BYTES):
                 # repeats within a text count too: the sketch only tells which tokens are frequent
                 places, times = np.unique(shingles.repeated(part) >> np.uint64(64 - bits), return_counts=True)
                 counts[places.astype(np.int64)] += times.astype(np.uint32)
@@ -110,7 +113,7 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data])], names=["number", "counts"])
 
     ddl = "number int, counts binary"
-    total = texts.select("text").mapInArrow(count, ddl).repartition("number").mapInArrow(add, ddl)
+    total = texts.select("text").mapInArrow(thrifty(count), ddl).repartition("number").mapInArrow(thrifty(add), ddl)
     counts = np.zeros((max(1, (1 << bits) // SKETCH_ROW), min(SKETCH_ROW, 1 << bits)), np.uint16)
     for row in total.collect():
         counts[row["number"]] = np.frombuffer(zlib.decompress(row["counts"]), "<u2")
@@ -134,7 +137,7 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
         shingles = Shingles(n)
         for batch in batches:
             out: list[list] = [[] for _ in kinds]
-            for part in portions(batch.column(2)):
+            for part in portions(batch.column(2), STEP_BYTES):
                 for tokens in shingles.of(part):
                     fp = fingerprint(tokens) if len(tokens) else None
                     if fp is None or fp in seen:
@@ -172,7 +175,7 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
         "id bigint, body bigint, size bigint, fp bigint, first boolean, rare array<bigint>, frequent array<bigint>, "
         "brief binary, odd binary, more binary"
     )
-    return texts.select(*text_key(), "text").mapInArrow(rows, ddl)
+    return texts.select(*text_key(), "text").mapInArrow(thrifty(rows), ddl)
 
 
 def odd_sketch(tokens: np.ndarray) -> bytes:
@@ -340,7 +343,7 @@ def rare_lists(kept_records: DataFrame) -> DataFrame:
         b = [None] * len(members) + [y for _, y in pairs]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (token, a, b)], names=["token", "a", "b"])
 
-    return sorted_postings.select("token", "fp").mapInArrow(lists, "token bigint, a bigint, b bigint")
+    return sorted_postings.select("token", "fp").mapInArrow(thrifty(lists), "token bigint, a bigint, b bigint")
 
 
 def long_lists(kept_records: DataFrame, rare: DataFrame) -> DataFrame:
@@ -402,13 +405,13 @@ def verified(pairs: DataFrame, bodies: DataFrame, n: int, rule: Rule) -> DataFra
         shingles = Shingles(n)
         for batch in batches:
             good: list[bool] = []
-            for part in portions(batch.column(2)):
+            for part in portions(batch.column(2), STEP_BYTES):
                 other = batch.column(3).slice(len(good), len(part)).to_pylist()
                 for x, y in zip(shingles.of(part), shingles.of(other)):
                     good.append(bool(rule.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return kept(both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint"))
+    return kept(both.select("a", "b", "text_a", "text_b").mapInArrow(thrifty(check), "a bigint, b bigint"))
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -545,7 +548,7 @@ def passing_brief(pairs: DataFrame, brief: DataFrame, rule: Rule) -> DataFrame:
                 keep = np.maximum(differ, np.abs(sizes[0] - sizes[1])) <= rule.may_differ(*sizes)
                 yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return met.select("a", "b", "size_a", "brief_a", "size_b", "brief_b").mapInArrow(passed, "a bigint, b bigint")
+    return met.select("a", "b", "size_a", "brief_a", "size_b", "brief_b").mapInArrow(thrifty(passed), "a bigint, b bigint")
 
 
 def filtered(pairs: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
@@ -566,4 +569,4 @@ def filtered(pairs: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
             keep = [share_all(orders_of(x), orders_of(y)) for x, y in zip(f["more_a"], f["more_b"])]
             yield f.loc[np.array(keep, bool), ["a", "b", "apart"]]
 
-    return met.drop("fp_a", "fp_b").mapInPandas(passed, PAIRS)
+    return met.drop("fp_a", "fp_b").mapInPandas(thrifty(passed), PAIRS)

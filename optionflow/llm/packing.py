@@ -14,18 +14,18 @@ task holds does not grow with the table.
 from __future__ import annotations
 
 import heapq
+import os
 import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from .texts import PORTION_BYTES, Words, give_back, portions
+from .texts import PORTION_BYTES, Words, portions, thrifty
 
 TIERS = (256, 512, 1024, 2048)
 END = 1
@@ -57,6 +57,7 @@ class Tokens:
     def __init__(self, spec: str) -> None:
         import json
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; threads each hold memory
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_str(spec)
@@ -99,10 +100,11 @@ class Tokens:
             ids = np.array(self.plain.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, np.uint32)
             chunks.append(ids)
             sizes.append(np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
-        texts = [c.decode() for c in other]
-        for found in self.full.encode_batch_fast(texts, add_special_tokens=False) if texts else ():
-            chunks.append(np.array(found.ids, np.uint32))
-            sizes.append(np.array([len(chunks[-1])]))
+        for a in range(0, len(other), 2_000):
+            some = [c.decode() for c in other[a : a + 2_000]]
+            for found in self.full.encode_batch_fast(some, add_special_tokens=False):
+                chunks.append(np.array(found.ids, np.uint32))
+                sizes.append(np.array([len(chunks[-1])]))
         if sizes:
             self.sizes = np.concatenate([self.sizes, *sizes])
             self.starts = np.cumsum(self.sizes) - self.sizes
@@ -140,10 +142,16 @@ class Tokens:
         return ids, lengths
 
 
-@lru_cache(1)
+#: What a worker process knows, by specification and stage: of one stage at a time.
+KNOWN: dict[tuple[str, int], Tokens] = {}
+
+
 def tokens_of(spec: str, stage: int) -> Tokens:
     """One for a worker process and stage: the worker's next task of the stage goes on with the words that are known."""
-    return Tokens(spec)
+    if (spec, stage) not in KNOWN:
+        KNOWN.clear()
+        KNOWN[spec, stage] = Tokens(spec)
+    return KNOWN[spec, stage]
 
 
 Piece = tuple[int, int, int]  # document, first id, number of ids
@@ -230,10 +238,12 @@ def packed(
     tiers: tuple[int, ...] = TIERS,
     ids: bool = False,
     step_bytes: int = PORTION_BYTES,
+    across_tasks: bool = True,
 ) -> DataFrame:
     """A row per piece: the columns `keep` of its document (all, if None), where it lies, and its ids if asked.
 
-    `step_bytes` of text are tokenized at a time: less takes less memory and more time. `tokenizer` is the path of a tokenizer file, read by the driver. A document's ids are those of its text, without special
+    `step_bytes` of text are tokenized at a time: less takes less memory and more time. With
+    `across_tasks` a worker holds the words it knows until its next task of the stage. `tokenizer` is the path of a tokenizer file, read by the driver. A document's ids are those of its text, without special
     ones, and the end id; a null text is empty. Sequence ids and step groups carry the task's
     partition number, so they are unique in the result. Repeated rows are packed one by one. An empty
     table gives no rows. Columns named like the added ones are an error.
@@ -251,7 +261,6 @@ def packed(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = None
-        give_back()
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 36
         sequences = groups = waiting = 0
@@ -288,7 +297,7 @@ def packed(
             return pa.RecordBatch.from_arrays([*arrays, *(pa.array(c, t) for c, (_, _, t) in zip(cells, added))], names=names)
 
         for batch in batches:
-            tokens = tokens or tokens_of(spec, context.stageId() if context else 0)
+            tokens = tokens or (tokens_of(spec, context.stageId() if context else 0) if across_tasks else Tokens(spec))
             held = [*held, batch.select(list(range(width)))] if waiting else [batch.select(list(range(width)))]
             place = sum(b.num_rows for b in held[:-1])
             for part in portions(batch.column(width), step_bytes):
@@ -304,4 +313,4 @@ def packed(
             yield flush()
 
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(n, t) for n, t, _ in added)])
-    return docs.select(*keep, docs[text].cast("binary").alias("__text")).mapInArrow(rows, schema)
+    return docs.select(*keep, docs[text].cast("binary").alias("__text")).mapInArrow(thrifty(rows), schema)

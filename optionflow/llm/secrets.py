@@ -20,6 +20,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from .texts import thrifty
+
 # The base patterns. Letters of the key words in either case, ASCII only.
 ASSIGN = re.compile(
     r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -357,4 +359,4 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None, mar
     added = [T.StructField(n, T.LongType() if t == pa.int64() else T.StringType()) for n, t in ADDED]
     schema = T.StructType([*docs.select(*keep).schema.fields, *added])
     body = docs[text].cast("binary").alias("__text")
-    return docs.select(*keep, body).mapInArrow(rows, schema)
+    return docs.select(*keep, body).mapInArrow(thrifty(rows), schema)

@@ -36,6 +36,18 @@ def give_back() -> None:
         trim(0)
 
 
+def thrifty(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same work on a task's batches; a worker that waits for its next task does not hold what it took."""
+
+    def batches(found: Iterator) -> Iterator:
+        try:
+            yield from work(found)
+        finally:
+            give_back()
+
+    return batches
+
+
 class Numbered(dict):
     """A number for every value seen, in order of first appearance."""
 

@@ -48,6 +48,7 @@ def test_a_worker_goes_on_with_the_words_of_its_stage():
     assert again is first and len(again.words) == 2
     assert again.of([b"bar, Foo baz"], END)[0].tolist() == ids_of("bar, Foo baz")
     assert packing.tokens_of(spec, 8) is not first
+    assert len(packing.KNOWN) == 1
 
 
 def held(windows):

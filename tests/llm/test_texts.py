@@ -35,3 +35,10 @@ def test_short_words_are_held_as_numbers():
     assert [spelled[i] for i in numbers.tolist()] == [w for t in portion for w in t.split()]
     # a word takes a few numbers, not an object
     assert sum(a.nbytes for a in (words.low, words.high, words.size, words.slots)) < 40 * len(words)
+
+
+def test_work_gives_its_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(texts, "give_back", lambda: given.append(True))
+    rows = texts.thrifty(lambda found: (x + 1 for x in found))
+    assert list(rows(iter([1, 2]))) == [2, 3] and len(given) == 1
