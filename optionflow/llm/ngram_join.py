@@ -2,10 +2,10 @@
 
 Two sets with a Jaccard similarity of t or more share a token among the first
 |x| - ceil(t |x|) + 1 of each, whatever order all tokens are put in. Every order gives such a
-filter, and a pair has to pass all of them. The first order puts frequent tokens last, so that
+filter, and a pair from a short list has to pass all of them. The first order puts frequent tokens last, so that
 its inverted lists are short: frequencies come from a sketch of fixed size over the whole
 corpus, and ties are broken by a hash. The other orders break the ties by other hashes. A pair must
-also pass an odd sketch: the parities of its tokens' hashes differ in no more places
+also pass an odd sketch, a short one in long lists: the parities of its tokens' hashes differ in no more places
 than the two sets may differ in tokens. None of these filters can lose a link.
 
 What is wanted is the component of every document, so not every link has to be verified. Equal
@@ -15,7 +15,8 @@ other components that it was not compared with, `FEW` at first and `MORE` times
 has any. So a group of m near copies costs a few times m verified pairs, not m^2 / 2.
 
 Inverted lists of tokens that the sketch calls frequent, and other long ones, are cut into
-chunks of bounded size; tasks compare a chunk, or in further rounds two, in memory.
+chunks of bounded size; tasks compare a chunk, or in further rounds two, in memory. A list of one chunk
+whose sets all have few candidates is done after the first round.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ from .store import drop, kept
 from .texts import portions, thrifty
 
 #: The frequency sketch has a counter for about so many tokens, between two bounds; counters that travel in a row.
-TOKENS_PER_COUNTER, LEAST_SKETCH, MOST_SKETCH, SKETCH_ROW = 8, 14, 24, 1 << 14
+TOKENS_PER_COUNTER, LEAST_SKETCH, MOST_SKETCH, SKETCH_ROW = 8, 14, 24, 1 << 16
+
+#: Ranks of tokens by their counter: `ALONE` has no other, those from `FREQUENT` on are above the usual load, with `STEPS` per power of two.
+ALONE, FREQUENT, STEPS = 0, 128, 4
 
 #: Text that a task works on at a time.
 STEP_BYTES = 2_000_000
@@ -78,11 +82,11 @@ def text_key() -> list:
 
 
 def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
-    """For each counter of the sketch, how far above the usual load it is, as a power of two; 0 if it isn't.
+    """For each counter of the sketch the rank of its tokens: `ALONE` up to 1, from `FREQUENT` on above the usual load.
 
-    A token's count is at most its counter's, so a token of class 0 has a bounded list. What comes to the
-    driver is the sketch: at most 2^MOST_SKETCH counters. Its size only decides how well the first order tells
-    frequent tokens.
+    A token's count is at most its counter's, so a token below `FREQUENT` has a bounded list, and one that is
+    `ALONE` is in one text. What comes to the driver is the sketch: at most 2^MOST_SKETCH counters. Its size only
+    decides how well the first order tells frequent tokens.
     """
     words = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     bits = min(MOST_SKETCH, max(LEAST_SKETCH, (words // TOKENS_PER_COUNTER).bit_length()))
@@ -101,7 +105,7 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zlib.decompress(data), "<u2").astype(np.uint32)
+                part = unpacked(data)
                 sums[number] = sums[number] + part if number in sums else part
         yield from rows(sums)
 
@@ -109,21 +113,42 @@ def frequency_classes(texts: DataFrame, n: int) -> np.ndarray:
         # a counter that is full stays far above the usual load
         for number, part in parts.items():
             if part.any():
-                data = zlib.compress(np.minimum(part, most).astype("<u2").tobytes(), 1)
+                data = packed(np.minimum(part, most))
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data])], names=["number", "counts"])
 
     ddl = "number int, counts binary"
     total = texts.select("text").mapInArrow(thrifty(count), ddl).repartition("number").mapInArrow(thrifty(add), ddl)
     counts = np.zeros((max(1, (1 << bits) // SKETCH_ROW), min(SKETCH_ROW, 1 << bits)), np.uint16)
     for row in total.collect():
-        counts[row["number"]] = np.frombuffer(zlib.decompress(row["counts"]), "<u2")
+        counts[row["number"]] = unpacked(row["counts"])
     counts = counts.reshape(-1)
     load = float(counts.mean())
     usual = min(load + 4 * load**0.5 + 2, most - 1)
-    classes = np.zeros(len(counts), np.uint8)
-    above = counts > usual
-    classes[above] = 1 + np.log2(counts[above] / usual).astype(np.uint8)
-    return classes
+    ranks = np.full(len(counts), ALONE, np.uint8)
+    usually, above = (counts > 1) & (counts <= usual), counts > usual
+    ranks[usually] = 1 + (counts[usually] * ((FREQUENT - 2) / usual)).astype(np.uint8)
+    ranks[above] = FREQUENT + (STEPS * np.log2(counts[above] / usual)).astype(np.uint8)
+    return ranks
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counters below 2^16, a whole number of bytes of them: a bit for each that is not 0, then what these have above 1."""
+    there = counts > 0
+    more = counts[there] - 1
+    parts = (np.packbits(there), (more & 255).astype(np.uint8), (more >> 8).astype(np.uint8))
+    # most bits and bytes are far from even but in no order, so coding them by frequency does nearly all there is to do
+    coder = zlib.compressobj(1, zlib.DEFLATED, zlib.MAX_WBITS, zlib.DEF_MEM_LEVEL, zlib.Z_RLE)
+    return len(there).to_bytes(4, "little") + coder.compress(b"".join(p.tobytes() for p in parts)) + coder.flush()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:4], "little")
+    plain = np.frombuffer(zlib.decompress(data[4:]), np.uint8)
+    there = np.unpackbits(plain[: size // 8]).astype(bool)
+    low, high = plain[size // 8 :].reshape(2, -1).astype(np.uint32)
+    counts = np.zeros(size, np.uint32)
+    counts[there] = 1 + low + 256 * high
+    return counts
 
 
 # --- what is kept of every set --------------------------------------------------------
@@ -153,14 +178,16 @@ def records(texts: DataFrame, n: int, rule: Rule, classes: np.ndarray) -> DataFr
     def filters(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes, bytes, bytes]:
         p = rule.prefix(len(tokens))
         rank = classes[tokens >> shift]
-        late = rank.astype(np.uint64) << np.uint64(56)
+        # the first order is the finest; the others only put frequent tokens last, so that they differ from it
+        coarse = np.where(rank < FREQUENT, 0, 1 + (rank - FREQUENT) // STEPS)
         orders = []
         for order in range(1 + MORE_ORDERS):
+            late = (coarse if order else rank).astype(np.uint64) << np.uint64(56)
             place = late | (mix(tokens, order) >> np.uint64(8))
             orders.append(np.argpartition(place, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens)))
         first, rest = orders[0], orders[1:]
-        rare = tokens[first][rank[first] == 0].view(np.int64)
-        frequent = tokens[first][rank[first] > 0].view(np.int64)
+        rare = tokens[first][(rank[first] > ALONE) & (rank[first] < FREQUENT)].view(np.int64)
+        frequent = tokens[first][rank[first] >= FREQUENT].view(np.int64)
         short = [np.unique((mix(tokens[o], 10) & np.uint64(0xFFFF)).astype("<u2")) for o in rest]
         more = b"".join(len(s).to_bytes(4, "little") + s.tobytes() for s in short)
         odd = odd_sketch(tokens)
@@ -224,13 +251,12 @@ def share_all(a: list[np.ndarray], b: list[np.ndarray]) -> bool:
 
 
 class Members:
-    """Sets of one chunk, with what the filters need."""
+    """Sets of one chunk, with their outlines."""
 
     def __init__(self, f: pd.DataFrame) -> None:
         self.fp = f["fp"].to_numpy(np.int64)
         self.size = f["size"].to_numpy(np.int64)
         self.odd = [np.frombuffer(o, np.uint64) for o in f["odd"]]
-        self.more = [orders_of(m) for m in f["more"]]
         self.root = f["root"].to_numpy(np.int64) if "root" in f else None
         self.words = np.array([len(o) for o in self.odd], np.int64)
         # sketches of one length as rows of a matrix, by length; `row` is a set's row in its matrix
@@ -241,7 +267,7 @@ class Members:
             self.row[here] = np.arange(len(here))
 
     def candidates(self, other: Members, rule: Rule) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each set, the places and differences of those in `other` with a smaller fingerprint that pass all filters."""
+        """For each set, the places and differences of those in `other` with a smaller fingerprint that pass the sketch."""
         for i in range(len(self.fp)):
             allowed = rule.may_differ(self.size[i], other.size)
             near = np.flatnonzero((other.fp < self.fp[i]) & (np.abs(other.size - self.size[i]) <= allowed))
@@ -257,10 +283,8 @@ class Members:
                     rows = folded(table[other.row[near[here]]], words) ^ folded(self.odd[i], words)
                     differ[here] = np.bitwise_count(rows).sum(1, dtype=np.int64)
             passed = differ <= allowed[near]
-            near, differ = near[passed], differ[passed]
-            keep = np.array([share_all(self.more[i], other.more[j]) for j in near], bool)
-            if keep.any():
-                yield i, near[keep], differ[keep]
+            if passed.any():
+                yield i, near[passed], differ[passed]
 
 
 def closest_across(rule: Rule, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -284,6 +308,28 @@ def closest_across(rule: Rule, limit: int) -> Callable[[pd.DataFrame], pd.DataFr
     return across
 
 
+def closest_within(rule: Rule, limit: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Of a chunk of a list: each set's closest candidates, up to `limit`. If a set has more, a row (token) says so."""
+
+    def within(f: pd.DataFrame) -> pd.DataFrame:
+        m = Members(f)
+        rows, more = [], False
+        for i, near, differ in m.candidates(m, rule):
+            if len(near) > limit:
+                best = np.lexsort((m.fp[near], differ))[:limit]
+                near, differ, more = near[best], differ[best], True
+            rows.append((np.full(len(near), m.fp[i]), m.fp[near], differ))
+        # tokens need all 64 bits, so nulls may not turn them into floats
+        found = frame(rows).astype("Int64").assign(token=pd.array([None] * sum(len(r[1]) for r in rows), "Int64"))
+        if not more:
+            return found
+        none = pd.array([None], "Int64")
+        told = pd.DataFrame({"a": none, "b": none, "apart": none, "token": f["token"].iloc[:1].astype("Int64").array})
+        return pd.concat([found, told], ignore_index=True)
+
+    return within
+
+
 PAIRS = "a bigint, b bigint, apart bigint"  # b < a
 
 
@@ -362,19 +408,20 @@ def likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, co
     """Rows of `df` whose key may be among the wanted ones: all that are, and few others.
 
     The keys' hashes mark a bitmap of bounded size, which is therefore broadcast; it keeps most
-    rows from being moved by the exact join that has to follow.
+    rows from being moved by the exact join that has to follow. A key marks three bits of one word.
     """
     bits = min(MOST_FIND, max(LEAST_FIND, (FIND_BITS * count).bit_length()))
 
     def place(key: Column) -> tuple[Column, Column]:
-        bit = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
-        return F.shiftright(bit, 6), F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+        hash, one = F.xxhash64(key), F.lit(1).cast("bigint")
+        marks = [F.call_function("shiftleft", one, F.shiftright(hash, 6 * k).bitwiseAND(63).cast("int")) for k in range(3)]
+        return F.shiftrightunsigned(hash, 70 - bits), marks[0].bitwiseOR(marks[1]).bitwiseOR(marks[2])
 
-    word, bit = place(wanted_key)
-    bitmap = wanted.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
-    word, bit = place(key)
+    word, marks = place(wanted_key)
+    bitmap = wanted.groupBy(word.alias("__word")).agg(F.bit_or(marks).alias("__bits"))
+    word, marks = place(key)
     marked = df.withColumn("__at", word).join(F.broadcast(bitmap), F.col("__at") == F.col("__word"))
-    return marked.filter(F.col("__bits").bitwiseAND(bit) != 0).drop("__at", "__word", "__bits")
+    return marked.filter(F.col("__bits").bitwiseAND(marks) == marks).drop("__at", "__word", "__bits")
 
 
 def bodies_of(sets: DataFrame, kept_records: DataFrame, texts: DataFrame) -> DataFrame:
@@ -394,6 +441,21 @@ def marks_of(sets: DataFrame, kept_records: DataFrame) -> DataFrame:
     return kept(near.join(sets, F.col("fp") == F.col("m"), "left_semi").dropDuplicates(["fp"]))
 
 
+def outlines(marks: DataFrame) -> DataFrame:
+    """(fp, size, odd) with sketches of about a bit per token, which still tell sets apart that have a passage in common.
+
+    A set is sent to each of its lists, so what is sent is kept short.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            short = [folded(np.frombuffer(o, np.uint64), max(LEAST_ODD, 1 << (n - 1).bit_length()) // 64).tobytes() for n, o in sketches]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short, pa.binary())], names=["fp", "size", "odd"])
+
+    return marks.select("fp", "size", "odd").mapInArrow(thrifty(rows), "fp bigint, size bigint, odd binary")
+
+
 def verified(pairs: DataFrame, bodies: DataFrame, n: int, rule: Rule) -> DataFrame:
     """Pairs (a, b) whose sets link, by the whole texts; only texts that may be of a pair are moved."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("m")).distinct()
@@ -434,28 +496,29 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     short_pairs = rare.filter("token is null").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
     # a short sketch rules out most pairs; the rest of what the filters need is moved for few sets
-    brief = known.filter("first").groupBy("fp").agg(F.first("size").alias("size"), F.first("brief").alias("brief"))
-    hopeful = kept(passing_brief(short_pairs, kept(brief), rule))
+    shortest = known.filter("first").groupBy("fp").agg(F.first("size").alias("size"), F.first("brief").alias("brief"))
+    hopeful = kept(passing_brief(short_pairs, kept(shortest), rule))
     in_pairs = hopeful.select(F.explode(F.array("a", "b")).alias("m"))
     marks = marks_of(kept(in_pairs.unionByName(long.select(F.col("fp").alias("m"))).distinct()), known)
 
-    candidates = kept(filtered(hopeful, marks, rule))
-    drop(docs.sparkSession, rare)
     chunked = long.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
 
     def marked(members: DataFrame) -> DataFrame:
-        return members.join(marks.withColumnRenamed("fp", "mark"), F.col("fp") == F.col("mark")).drop("mark")
-
-    def best_before(f: pd.DataFrame) -> pd.DataFrame:
-        m = Members(f)
-        found = [(i, near[k := int(differ.argmin())], differ[k]) for i, near, differ in m.candidates(m, rule)]
-        return frame([tuple(np.array(c, np.int64) for c in (m.fp[[i]], m.fp[[j]], [d])) for i, j, d in found])
-
-    in_chunks = marked(chunked).groupBy("token", "chunk").applyInPandas(best_before, PAIRS)
-    nearest = candidates.unionByName(in_chunks).groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-    nearest = kept(nearest)
-    ends = candidates.select("a", "b").unionByName(nearest).select(F.explode(F.array("a", "b")).alias("fp"))
-    bodies = bodies_of(ends.unionByName(long.select("fp")).distinct(), known, texts)
+        return members.join(outline.withColumnRenamed("fp", "mark"), F.col("fp") == F.col("mark")).drop("mark")
+
+    in_long = long.select(F.col("fp").alias("m")).distinct()
+    outline = kept(outlines(marks.join(in_long, F.col("fp") == F.col("m"), "left_semi")))
+
+    # a list of one chunk whose sets have few candidates is done when these are known; only the others are looked at again
+    looked = kept(marked(chunked).groupBy("token", "chunk").applyInPandas(closest_within(rule, FEW), f"{PAIRS}, token bigint"))
+    in_lists = looked.filter("token is null").select("a", "b", "apart")
+    candidates = kept(filtered(hopeful, marks, rule).unionByName(in_lists).groupBy("a", "b").agg(F.min("apart").alias("apart")))
+    more = looked.filter("token is not null").select(F.col("token").alias("t")).distinct()
+    unfinished = kept(chunked.join(more, F.col("token") == F.col("t"), "left").filter("chunks > 1 or t is not null").drop("t"))
+    drop(docs.sparkSession, rare, hopeful, long, looked, marks)
+    nearest = kept(candidates.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b")))
+    ends = candidates.select(F.explode(F.array("a", "b")).alias("fp"))
+    bodies = bodies_of(ends.unionByName(unfinished.select("fp")).distinct(), known, texts)
     links = verified(nearest, bodies, n, rule)
     roots = kept(components(links))
 
@@ -466,10 +529,11 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
     while True:
         split = with_roots(with_roots(candidates, roots, "a"), roots, "b").filter("root_a <> root_b").select("a", "b", "apart")
         split = split.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        rooted = with_roots(chunked, roots, "fp").withColumnRenamed("root_fp", "root")
+        rooted = with_roots(unfinished, roots, "fp").withColumnRenamed("root_fp", "root")
         divided = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
         divided = divided.select(F.col("token").alias("t"))
-        open_lists = marked(rooted.join(divided, F.col("token") == F.col("t"), "left_semi"))
+        still = kept(rooted.join(divided, F.col("token") == F.col("t"), "left_semi"))
+        open_lists = marked(still)
         past = tried.groupBy(F.col("a").alias("of")).agg(F.collect_set("b").alias("past"))
         open_lists = open_lists.join(past, F.col("fp") == F.col("of"), "left").drop("of")
         # chunks x <= y meet in (token, x, y): a chunk goes to all pairs that hold it
@@ -480,13 +544,14 @@ def link_components(docs: DataFrame, n: int = 4, percent: int = 85, id: str = "d
         found = split.unionByName(open_pairs).groupBy("a", "b").agg(F.min("apart").alias("apart"))
         place = F.row_number().over(W.partitionBy("a").orderBy("apart", "b"))
         again = kept(found.withColumn("place", place).filter(F.col("place") <= limit).select("a", "b"))
+        drop(docs.sparkSession, still)
         if not again.limit(1).count():
             drop(docs.sparkSession, again)
             break
         links = links.unionByName(verified(again, bodies, n, rule))
         roots, tried, limit = kept(components(links)), tried.select("a", "b").unionByName(again), MORE * limit
 
-    drop(docs.sparkSession, long, marks, candidates, tried, bodies)
+    drop(docs.sparkSession, unfinished, outline, candidates, tried, bodies)
 
     rows = with_roots(known.select("id", "body", "size", "fp"), roots, "fp")
     least = rows.filter("fp is not null").groupBy(F.col("root_fp").alias("r")).agg(F.min("id").alias("least"))

@@ -3,7 +3,9 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from optionflow.llm import ngram_join
 from optionflow.llm.components import components
@@ -109,6 +111,76 @@ def test_prefix_and_sketch_never_lose_a_link():
         assert a_only + b_only <= rule.may_differ(np.int64(len(a)), np.int64(len(b)))
 
 
+def test_counters_travel_in_few_bytes_and_come_back():
+    rng = np.random.default_rng(0)
+    counts = rng.poisson(0.2, 1 << 16).astype(np.uint32)
+    counts[rng.integers(0, 1 << 16, 50)] = [256, 65535] * 25
+    data = ngram_join.packed(counts)
+    assert (ngram_join.unpacked(data) == counts).all() and len(data) < (1 << 16) / 8
+    for counts in (np.zeros(1 << 14, np.uint32), np.full(1 << 14, 300, np.uint32)):
+        assert (ngram_join.unpacked(ngram_join.packed(counts)) == counts).all()
+
+
+def test_ranks_rise_with_counts_and_tell_tokens_that_are_alone(spark):
+    words = [f"w{k} x{k} y{k} z{k}" for k in range(300)]
+    often = "o p q r"
+    rows = [(k, w) for k, w in enumerate(words)] + [(1000 + k, often) for k in range(200)] + [(2000, words[0])]
+    texts = spark.createDataFrame(rows, "id bigint, text string").withColumn("text", F.col("text").cast("binary"))
+    ranks = ngram_join.frequency_classes(texts, 4)
+    shift = np.uint64(64 - (len(ranks) - 1).bit_length())
+    rank = lambda t: int(ranks[Shingles(4).of([t.encode()])[0] >> shift][0])
+    assert rank(often) >= ngram_join.FREQUENT > rank(words[0]) > ngram_join.ALONE
+    assert sum(rank(w) == ngram_join.ALONE for w in words[1:]) > 250  # but for a few that share a counter
+
+
+def test_few_rows_are_moved_beside_the_wanted(spark):
+    df, wanted = spark.range(100_000), spark.range(0, 100_000, 50).withColumnRenamed("id", "m")
+    near = ngram_join.likely(df, F.col("id"), wanted, F.col("m"), 2000).cache()
+    assert near.join(wanted, F.col("id") == F.col("m")).count() == 2000
+    assert near.count() < 2000 + 3000
+
+
+TOKEN = 2**62 + 1  # no float is equal
+
+
+def test_a_list_whose_candidates_are_known_is_done():
+    rule, rng = ngram_join.Rule(85), np.random.default_rng(1)
+    shared = rng.integers(0, 2**63, 40).astype(np.uint64)
+
+    def row(tokens):
+        short = np.unique((tokens & np.uint64(0xFFFF)).astype("<u2"))
+        more = (len(short).to_bytes(4, "little") + short.tobytes()) * 2
+        return {"token": TOKEN, "fp": int(tokens.sum() >> np.uint64(1)), "size": len(tokens), "odd": ngram_join.odd_sketch(tokens), "more": more}
+
+    def near(k):
+        return [row(np.concatenate([shared, rng.integers(0, 2**63, 2).astype(np.uint64)])) for _ in range(k)]
+
+    def far(k):
+        return [row(np.concatenate([shared, rng.integers(0, 2**63, 200).astype(np.uint64)])) for _ in range(k)]
+
+    look = ngram_join.closest_within(rule, 4)
+    found = look(pd.DataFrame(near(5) + far(30)))
+    assert found["token"].isna().all() and len(found) == 10  # all pairs of five
+    found = look(pd.DataFrame(near(8) + far(30)))
+    pairs = found[found["token"].isna()]
+    assert found["token"].dropna().tolist() == [TOKEN] and pairs.groupby("a").size().max() == 4 and (pairs["b"] < pairs["a"]).all()
+    assert not len(look(pd.DataFrame(far(30))))
+
+
+def test_the_farthest_of_a_large_group_is_found_in_a_later_round(spark):
+    """A set that is among the closest few of no other, in lists of which only some candidates are known."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join([*base, f"end{k}"])) for k in range(1, 60)]
+    for k in range(60, 70):
+        edge = list(base)
+        for at in rng.sample(range(20, 280), 5):
+            edge[at] = f"new{k}{at}"
+        rows.append((k, " ".join(edge)))
+    got = ngram_join.link_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 4, 85)
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == sorted(brute(rows, 4, 85))
+
+
 def test_shingles_of_portions_do_not_mix():
     one = Shingles(4)
     alone = [one.of([t])[0].tolist() for t in (b"a b c d e", b"", b"A b", b"a b c d e f")]
