@@ -269,12 +269,15 @@ class Members:
     def candidates(self, other: Members, rule: Rule) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each set, the places and differences of those in `other` with a smaller fingerprint that pass the sketch."""
         for i in range(len(self.fp)):
-            allowed = rule.may_differ(self.size[i], other.size)
-            near = np.flatnonzero((other.fp < self.fp[i]) & (np.abs(other.size - self.size[i]) <= allowed))
+            asked = other.fp < self.fp[i]
             if self.root is not None:
-                near = near[other.root[near] != self.root[i]]
+                asked &= other.root != self.root[i]
+            near = np.flatnonzero(asked)
             if not len(near):
                 continue
+            allowed = rule.may_differ(self.size[i], other.size[near])
+            close = np.abs(other.size[near] - self.size[i]) <= allowed
+            near, allowed = near[close], allowed[close]
             differ = np.empty(len(near), np.int64)
             for length, table in other.tables.items():
                 here = other.words[near] == length
@@ -282,7 +285,7 @@ class Members:
                     words = min(length, len(self.odd[i]))
                     rows = folded(table[other.row[near[here]]], words) ^ folded(self.odd[i], words)
                     differ[here] = np.bitwise_count(rows).sum(1, dtype=np.int64)
-            passed = differ <= allowed[near]
+            passed = differ <= allowed
             if passed.any():
                 yield i, near[passed], differ[passed]
 
@@ -301,7 +304,9 @@ def closest_across(rule: Rule, limit: int) -> Callable[[pd.DataFrame], pd.DataFr
                 if len(looked[i]):
                     new = ~np.isin(other.fp[near], looked[i])
                     near, differ = near[new], differ[new]
-                near, differ = (c[np.lexsort((other.fp[near], differ))[:limit]] for c in (near, differ))
+                if len(near) > limit:
+                    best = np.lexsort((other.fp[near], differ))[:limit]
+                    near, differ = near[best], differ[best]
                 rows.append((np.full(len(near), mine.fp[i]), other.fp[near], differ))
         return frame(rows)
 
@@ -319,13 +324,12 @@ def closest_within(rule: Rule, limit: int) -> Callable[[pd.DataFrame], pd.DataFr
                 best = np.lexsort((m.fp[near], differ))[:limit]
                 near, differ, more = near[best], differ[best], True
             rows.append((np.full(len(near), m.fp[i]), m.fp[near], differ))
+        pairs = frame(rows)
+        last = np.arange(len(pairs) + more) >= len(pairs)
         # tokens need all 64 bits, so nulls may not turn them into floats
-        found = frame(rows).astype("Int64").assign(token=pd.array([None] * sum(len(r[1]) for r in rows), "Int64"))
-        if not more:
-            return found
-        none = pd.array([None], "Int64")
-        told = pd.DataFrame({"a": none, "b": none, "apart": none, "token": f["token"].iloc[:1].astype("Int64").array})
-        return pd.concat([found, told], ignore_index=True)
+        found = {c: pd.arrays.IntegerArray(np.resize(np.append(pairs[c].to_numpy(), 0), len(last)), last.copy()) for c in pairs}
+        found["token"] = pd.arrays.IntegerArray(np.full(len(last), f["token"].iloc[0], np.int64), ~last)
+        return pd.DataFrame(found)
 
     return within
 
