@@ -7,12 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import streams
-from optionflow.operators import records, registry, trades as trade_ops
+from optionflow.operators import alerts as windows, records, registry, trades as trade_ops
 from optionflow.plans import profiles as P, scan
 from optionflow.sources import readers, sinks
 from optionflow.streaming import live, processors, runs
 
 from . import model
+from .machines import alone, instants, ordered, played
 from .test_windows import noisy_feed, ticks, trade_frame, trade_rows
 
 
@@ -61,6 +62,17 @@ def test_dedup_of_many_instruments_breaks_ties_as_that_of_one():
     assert together.to_dict("records") == pd.concat(alone).to_dict("records")
 
 
+@pytest.mark.parametrize("width", [12, None])
+def test_reset_takes_many_instruments_in_one_call(width):
+    """One call a batch for all instruments of a group: each gets what it gets alone, also beside null values."""
+    batches = [instants(batch, 40, odd=True) for batch in range(4)]
+    columns = processors.names(windows.ALERT_COLUMNS)
+    machine = lambda: processors.ResetWindow(width, 300, columns)
+    together, calls = played(machine(), batches)
+    assert calls == 4 and len(together) > 100
+    assert ordered(together) == alone(machine, batches)
+
+
 @pytest.mark.parametrize("window_s", [5, None])
 def test_reset_equals_batch(spark, window_s):
     profile = replace(P.RESET, window_s=window_s, threshold_paise=6000)
@@ -82,6 +94,22 @@ def test_sliding_equals_batch(spark):
     assert sorted(out.select(keep).collect()) == sorted(want.select(keep).collect())
 
 
+def test_sliding_state_is_buckets(spark, tmp_path):
+    """In append mode no trade is copied into the windows that hold it."""
+    stream = spark.readStream.schema(trade_frame(spark, trade_rows(13, n=5)).schema).parquet(str(tmp_path))
+    plan = lambda **mode: live.sliding_bursts(stream, P.SLIDING, **mode)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan() and "Expand" in plan(mode="update")
+
+
+def test_sliding_in_update_mode_equals_batch(spark):
+    profile = replace(P.SLIDING, threshold_paise=6000)
+    rows = trade_rows(13) + [("~close", 10_000, 10_000_000, 1)]
+    out = streams.run(spark, trade_frame(spark, rows), lambda t: live.sliding_bursts(t, profile, mode="update"), mode="update", stretches=2)
+    want = scan.detect(trade_frame(spark, rows), profile).filter("instrument_key != '~close'")
+    got = {(r.instrument_key, r.b): r.paise for r in out.orderBy("batch_id").collect() if r.instrument_key != "~close"}
+    assert got == {(r.instrument_key, r.b): r.paise for r in want.collect()}
+
+
 def test_sliding_edges_equal_batch(spark):
     profile = replace(P.SLIDING, threshold_paise=6000)
     rows = trade_rows(13) + [("~close", 10_000, 10_000_000, 1)]
