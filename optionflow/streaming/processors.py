@@ -25,7 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 Step = Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]
 
 #: Keys are dealt to so many groups. A group has one state and one call a micro-batch, as calls cost more than rows.
-SLOTS = 1024
+SLOTS = 256
 LAST_STATE = "instrument_key array<string>, ltt array<bigint>, vtt array<bigint>"
 BUCKETS = (
     "b bigint, paise bigint, vol bigint, n bigint, first_price double, last_price double, first_oi bigint, "
